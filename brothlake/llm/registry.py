@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import bpe, mixing
 
 QUERIES = {
+    "op2_bpe_codec": bpe.query,
     "op7_source_mixing": mixing.query,
 }
 
