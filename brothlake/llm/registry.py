@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing
+from . import bpe, mixing, quality, tokencount
 
 QUERIES = {
+    "op1_token_counts": tokencount.query,
     "op2_bpe_codec": bpe.query,
+    "op3_quality_rules": quality.query,
     "op7_source_mixing": mixing.query,
 }
 
 ORACLES = {
+    "op3_quality_rules": quality.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
 }

@@ -41,6 +41,7 @@ class Block(NamedTuple):
     starts: np.ndarray  # byte at which each word starts
     ends: np.ndarray
     hashes: np.ndarray  # uint64 for each word
+    offsets: np.ndarray  # byte at which each document starts, and the end
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,12 +96,16 @@ def _block(first: int, data: np.ndarray, at: np.ndarray) -> Block:
     stops = inside.copy()
     stops[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return Block(first, data, np.searchsorted(starts, at), starts, ends, span_hashes(data, starts, ends), at)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash for the bytes of each span."""
     up, down = powers(_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-        hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Block(first, data, np.searchsorted(starts, at), starts, ends, hashes)
+        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
