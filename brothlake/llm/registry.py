@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality, tokencount
+from . import bpe, mixing, quality, tokencount, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
     "op2_bpe_codec": bpe.query,
     "op3_quality_rules": quality.query,
     "op7_source_mixing": mixing.query,
+    "op9_warc": warc.query,
 }
 
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
