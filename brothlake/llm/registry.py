@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality, tokencount, warc
+from . import bpe, mixing, quality, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
     "op2_bpe_codec": bpe.query,
     "op3_quality_rules": quality.query,
+    "op4_toxicity": toxicity.query,
     "op7_source_mixing": mixing.query,
     "op9_warc": warc.query,
 }
