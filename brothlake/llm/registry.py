@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality, tokencount, toxicity, warc
+from . import ann, bpe, langid, mixing, quality, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
     "op2_bpe_codec": bpe.query,
     "op3_quality_rules": quality.query,
     "op4_toxicity": toxicity.query,
+    "op5_language_id": langid.query,
     "op7_source_mixing": mixing.query,
+    "op8_nearest_neighbours": ann.query,
     "op9_warc": warc.query,
 }
 
