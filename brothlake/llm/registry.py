@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, langid, mixing, quality, tokencount, toxicity, warc
+from . import ann, bpe, langid, mixing, ngram_join, quality, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
@@ -13,10 +13,12 @@ QUERIES = {
     "op7_source_mixing": mixing.query,
     "op8_nearest_neighbours": ann.query,
     "op9_warc": warc.query,
+    "op10_ngram_jaccard": ngram_join.query,
 }
 
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op10_ngram_jaccard": ngram_join.ORACLE,
 }
