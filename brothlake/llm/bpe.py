@@ -172,14 +172,20 @@ def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame
 
 
 def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """doc_id and the token ids of each row's whole text; nulls as in digests()."""
+    """digests() and the token ids of each row's whole text."""
 
     def kernel(batches):
         c = codec(public_tokenizers.path(vocabulary))
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [c.encode(t or "") for t in batch["text"]]})
+            rows = []
+            for text in batch["text"]:
+                ids = c.encode(text or "")
+                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(), hashlib.sha256(c.decode(ids.tolist()).encode()).hexdigest(), ids))
+            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            yield out
 
-    return docs.select("doc_id", "text").mapInPandas(kernel, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInPandas(kernel, f"{SCHEMA}, ids array<int>")
 
 
 def decoded(tokens: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
@@ -222,7 +223,7 @@ def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent
     return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long")
 
 
-def joined(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS, tile_rows: int = TILE_ROWS, frequent: float = FREQUENT) -> DataFrame:
+def labelled(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS, tile_rows: int = TILE_ROWS, frequent: float = FREQUENT) -> DataFrame:
     """For each row of docs doc_id, n_shingles and component_id: the smallest doc_id among the documents that links lead to.
 
     Two documents link when 100 * intersection >= percent * union of their
@@ -270,7 +271,29 @@ def joined(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS,
     rooted = firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(smallest, "root").select("node", "component_id")
-    return sig.select("doc_id", "n_shingles", "node").join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return sig.select("doc_id", "n_shingles", "node").join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+
+
+def joined(docs: DataFrame, **options) -> DataFrame:
+    """labelled() without the names of the sets."""
+    return labelled(docs, **options).drop("node")
+
+
+def representatives(docs: DataFrame, k: int = 3, **options) -> DataFrame:
+    """One row of docs for each component, that of the smallest doc_id, with the columns of docs; of repeated rows one stays."""
+    place, names = docs.columns.index("text"), [f.name for f in docs.schema]
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in W.blocks(batch.column(place), lower=True):
+                nodes = [node_of(hashes) if len(hashes) else None for hashes, _ in shingle_sets(block, k)]
+                part = batch.slice(block.first, len(nodes))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*names, "_node"])
+
+    first = labelled(docs, k=k, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("node").alias("_of")).distinct()
+    named = docs.mapInArrow(kernel, T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
+    kept = named.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_node").eqNullSafe(F.col("_of")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_node"]).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, langid, mixing, ngram_join, quality, tokencount, toxicity, warc
+from . import ann, bpe, langid, mixing, ngram_join, quality, substrings, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality.query,
     "op4_toxicity": toxicity.query,
     "op5_language_id": langid.query,
+    "op6_substring_dedup": substrings.query,
     "op7_source_mixing": mixing.query,
     "op8_nearest_neighbours": ann.query,
     "op9_warc": warc.query,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
+    "op6_substring_dedup": substrings.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_ngram_jaccard": ngram_join.ORACLE,

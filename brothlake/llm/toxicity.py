@@ -297,6 +297,20 @@ def scored(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> D
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(kernel, SCHEMA)
 
 
+def clean_documents(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs whose score is below the threshold, with the columns of docs."""
+    shared, place = docs.sparkSession.sparkContext.broadcast(network.p), docs.columns.index("text")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network.__new__(Network)
+        net.p = shared.value
+        for batch in batches:
+            for block in W.blocks(batch.column(place), block_bytes=1 << 19):
+                yield batch.slice(block.first, len(block.bounds) - 1).filter(pa.array(net.scores(block) < threshold))
+
+    return docs.mapInArrow(kernel, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return scored(docs, fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
