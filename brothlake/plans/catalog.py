@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from . import mapping_queries, media_queries, name_queries, source_queries, table_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
 FLAGSHIP = "media_summary"
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
