@@ -9,9 +9,10 @@ bitmaps differ bound their overlap from above, and only pairs that pass are
 intersected exactly as sorted arrays.
 
 Equal sets are one node. A large group of near copies is not compared pair by
-pair: each set is first held against a few leaders of its tiles, and tiles are
-then searched only for pairs between different components of these links. No
-pair that could join two components is left out, so components are exact.
+pair: each set is first held against a few leaders of its tiles, then, as long
+as a twentieth of such pairs link, against its nearest set of another component
+in each tile. At last the tiles are searched for all pairs between different
+components. No pair that could join two is left out, so components are exact.
 """
 
 from __future__ import annotations
@@ -134,36 +135,51 @@ def _halved(bits: np.ndarray) -> np.ndarray:
     return bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
 
 
-def may_link(n1: np.ndarray, n2: np.ndarray, bits1: np.ndarray, bits2: np.ndarray, percent: int) -> np.ndarray:
-    """Whether pairs of sets can be similar enough, by sizes and bitmaps (object arrays of bytes)."""
-    low, high = np.minimum(n1, n2), np.maximum(n1, n2)
-    out = 100 * low >= percent * high
-    places = np.flatnonzero(out)
-    widths = np.array([(len(bits1[i]), len(bits2[i])) for i in places]).reshape(-1, 2)
-    for w1, w2 in {tuple(x) for x in widths.tolist()}:
-        some = places[(widths[:, 0] == w1) & (widths[:, 1] == w2)]
-        one, two = (np.frombuffer(b"".join(b[some]), np.uint8).reshape(len(some), -1) for b in (bits1, bits2))
-        while one.shape[1] > two.shape[1]:
-            one = _halved(one)
-        while two.shape[1] > one.shape[1]:
-            two = _halved(two)
-        differ = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
-        most = np.minimum(low[some], (n1[some] + n2[some] - differ) // 2)
-        out[some] = 100 * most >= percent * (n1[some] + n2[some] - most)
-    return out
-
-
-def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+class Bitmaps:
+    """Bitmaps of many sets, packed by width."""
+
+    def __init__(self, bits: np.ndarray):
+        self.width = np.array([len(x) for x in bits], np.int64)
+        self.place, self.packed = np.zeros(len(bits), np.int64), {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            self.packed[w] = np.frombuffer(b"".join(bits[rows]), np.uint8).reshape(len(rows), w)
+
+    def differing(self, a: np.ndarray, other: Bitmaps, b: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps a of this and b of the other differ; the wider of a pair is folded."""
+        out, wide, others = np.zeros(len(a), np.int64), self.width[a], other.width[b]
+        for w1, w2 in {tuple(x) for x in np.stack([wide, others], axis=1).tolist()}:
+            some = np.flatnonzero((wide == w1) & (others == w2))
+            one, two = self.packed[w1][self.place[a[some]]], other.packed[w2][other.place[b[some]]]
+            while one.shape[1] > two.shape[1]:
+                one = _halved(one)
+            while two.shape[1] > one.shape[1]:
+                two = _halved(two)
+            x = np.ascontiguousarray(one ^ two)
+            out[some] = np.bitwise_count(x.view(np.uint64) if x.shape[1] % 8 == 0 else x).sum(1, dtype=np.int64)
+        return out
+
+
+def may_link(n1: np.ndarray, n2: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of sets can be similar enough, by sizes and differing bits."""
+    most = np.minimum(np.minimum(n1, n2), (n1 + n2 - differ) // 2)
+    return 100 * most >= percent * (n1 + n2 - most)
+
+
+def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) that may link among the rows of each tile: of different components and, in a tile of two blocks, of different blocks.
 
     tiles: token, i, j, block, node, component, n_shingles, bitmap. A tile has
-    two blocks of TILE_ROWS rows or so at most, read in order of size.
+    two blocks of TILE_ROWS rows or so at most, read in order of size. With
+    ``nearest`` only the pair of the fewest differing bits is given for each row.
     """
 
     def searched(t: pd.DataFrame) -> pd.DataFrame:
         tile = t[["token", "i", "j"]].to_numpy()
-        n, node, comp, block, bits = (t[c].to_numpy() for c in ("n_shingles", "node", "component", "block", "bitmap"))
-        mixed, found = t["i"].to_numpy() != t["j"].to_numpy(), []
+        n, node, comp, block = (t[c].to_numpy() for c in ("n_shingles", "node", "component", "block"))
+        mixed, found, maps = t["i"].to_numpy() != t["j"].to_numpy(), [], Bitmaps(t["bitmap"].to_numpy())
+        least, partner = np.full(len(t), np.iinfo(np.int64).max), np.full(len(t), -1)
         left = np.arange(len(t))
         for lag in range(1, len(t)):
             left = left[left + lag < len(t)]
@@ -175,9 +191,20 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             right = left + lag
             asked = (comp[left] != comp[right]) & (~mixed[left] | (block[left] != block[right]))
             a, b = left[asked], right[asked]
-            if len(a):
-                ok = may_link(n[a], n[b], bits[a], bits[b], percent)
-                found.append(np.stack([np.minimum(node[a[ok]], node[b[ok]]), np.maximum(node[a[ok]], node[b[ok]])], axis=1))
+            if not len(a):
+                continue
+            differ = maps.differing(a, maps, b)
+            ok = may_link(n[a], n[b], differ, percent)
+            a, b, differ = a[ok], b[ok], differ[ok]
+            if not nearest:
+                found.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1))
+                continue
+            for x, y in ((a, b), (b, a)):
+                closer = differ < least[x]
+                least[x[closer]], partner[x[closer]] = differ[closer], y[closer]
+        if nearest:
+            x = np.flatnonzero(partner >= 0)
+            found.append(np.stack([np.minimum(node[x], node[partner[x]]), np.maximum(node[x], node[partner[x]])], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -194,7 +221,16 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
         if held is not None and len(held):
             yield searched(held)
 
-    return tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n_shingles").mapInPandas(kernel, "a long, b long")
+    return tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n_shingles").mapInPandas(kernel, "a long, b long").distinct()
+
+
+def open_tiles(postings: DataFrame, bits: DataFrame, links: DataFrame, tile_rows: int) -> DataFrame:
+    """The rows of the tiles that hold sets of more than one component of the links, in blocks of about ``tile_rows``."""
+    placed = postings.join(components(links), "node", "left").select("token", "node", "n_shingles", F.coalesce("root", "node").alias("component"))
+    still = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / tile_rows).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    tiles = placed.join(still, "token").withColumn("block", block).join(bits, "node").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return tiles.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "component", "n_shingles", "bitmap")
 
 
 def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -251,20 +287,21 @@ def labelled(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS
 
     @F.pandas_udf("boolean")
     def possible(n1: pd.Series, n2: pd.Series, b1: pd.Series, b2: pd.Series) -> pd.Series:
-        return pd.Series(may_link(n1.to_numpy(), n2.to_numpy(), b1.to_numpy(), b2.to_numpy(), percent))
+        every = np.arange(len(n1))
+        differ = Bitmaps(b1.to_numpy()).differing(every, Bitmaps(b2.to_numpy()), every)
+        return pd.Series(may_link(n1.to_numpy(), n2.to_numpy(), differ, percent))
 
     near = near.join(bits, "node").join(bits.select(F.col("node").alias("leader"), F.col("bitmap").alias("bitmap_2")), "leader").where(possible("n_shingles", "m", "bitmap", "bitmap_2"))
     near = near.withColumn("turn", F.row_number().over(Window.partitionBy("node").orderBy("h", "leader"))).where(F.col("turn") <= lead)
     stars = written(near.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "join-stars")
     links = written(linked(stars, docs, names, k, percent), "join-links")
 
-    roots = components(links)
-    placed = postings.join(roots, "node", "left").select("token", "node", "n_shingles", F.coalesce("root", "node").alias("component"))
-    open_tiles = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / tile_rows).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tiles = placed.join(open_tiles, "token").withColumn("block", block).join(bits, "node").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "component", "n_shingles", "bitmap")
-    rest = written(tile_pairs(tiles, percent).distinct().join(stars, ["a", "b"], "left_anti"), "join-pairs")
+    tested, new = stars, links.count()
+    while new:
+        pairs = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent, nearest=True).join(tested, ["a", "b"], "left_anti"), "join-nearest")
+        found = written(linked(pairs, docs, names, k, percent), "join-links")
+        tested, links, new = tested.unionByName(pairs), links.unionByName(found), found.count() * 20 // max(1, pairs.count())
+    rest = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent).join(tested, ["a", "b"], "left_anti"), "join-pairs")
     links = links.unionByName(linked(rest, docs, names, k, percent))
 
     roots = components(links)
