@@ -264,11 +264,17 @@ def held_out(doc_id):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> tuple[pa.Array, np.ndarray]:
-    """Texts and labels of at most ``most`` documents of class 0 and 1, those of least hash, that are not held out and have at most ``chars`` characters."""
+    """Texts and labels of at most ``most`` documents of class 0 and 1, those of least hash, that are not held out and have at most ``chars`` characters.
+
+    Documents are chosen by id, so only the chosen ids are broadcast and no
+    text is shuffled but theirs."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    joined = docs.select("doc_id", "text").where(F.length("text").between(1, chars)).join(known, "doc_id")
-    parts = [joined.where(F.col("toxic") == c).select("text", "toxic", F.xxhash64("doc_id", F.lit(7)).alias("h")).orderBy("h", "text").limit(most[c]) for c in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).toArrow().combine_chunks()
+    short = docs.select("doc_id", F.length("text").alias("n")).where(F.col("n").between(1, chars)).select("doc_id").distinct()
+    ranked = known.join(short, "doc_id").withColumn("h", F.xxhash64("doc_id", F.lit(7)))
+    parts = [ranked.where(F.col("toxic") == c).orderBy("h", "doc_id").limit(most[c]) for c in (0, 1)]
+    chosen = parts[0].unionByName(parts[1])
+    texts = docs.select("doc_id", "text").where(F.length("text").between(1, chars)).join(F.broadcast(chosen), "doc_id")
+    rows = texts.select("text", "toxic", "h").orderBy("h", "text").limit(4 * sum(most)).toArrow().combine_chunks()
     return rows["text"], rows["toxic"].to_numpy().astype(np.int64)
 
 
