@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.nested import synonyms
 
@@ -45,7 +46,7 @@ def exact_cascade(names: DataFrame, nodes: DataFrame, name: str, normaliser: Cal
     return names.join(best, names[name] == best["_name"], "left").drop("_name").withColumn("mapped", F.col("best.id")).withColumn("match_tier", F.col("best.tier")).drop("best")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 times the matching share of two strings, rounded; 0 with a null."""
     return pd.Series([int(round(100 * difflib.SequenceMatcher(None, x, y).ratio())) if isinstance(x, str) and isinstance(y, str) else 0 for x, y in zip(a, b)], dtype="int32")

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import chemistry, names
 from ..functions.nested import number_list, pair_map
@@ -89,28 +90,32 @@ def notes(summary: DataFrame) -> DataFrame:
     return summary.withColumn("notes", messages)
 
 
+@F.pandas_udf(T.DoubleType())
+def _balanced_ph(molar: pd.Series, pka: pd.Series) -> pd.Series:
+    """pH at which the charges of each row's acids and of water balance; molar and pka are lists by acid."""
+    owner = np.repeat(np.arange(len(molar)), molar.map(len))
+    amount, values = np.concatenate(molar.tolist() or [[]]).astype(float), [np.asarray(x, float) for row in pka for x in row]
+    widest = max(map(len, values), default=0)
+    table = np.full((len(values), widest), 400.0)  # a missing step never dissociates
+    for i, x in enumerate(values):
+        table[i, : len(x)] = x
+    low, high = np.full(len(molar), 0.5), np.full(len(molar), 14.0)
+    for _ in range(60):
+        mid = (low + high) / 2
+        logs = np.concatenate([np.zeros((len(values), 1)), np.cumsum(mid[owner][:, None] - table, axis=1)], axis=1)
+        terms = 10.0 ** (logs - logs.max(axis=1, keepdims=True))
+        charge = (terms * np.arange(widest + 1)).sum(1) / terms.sum(1)
+        total = 10.0**-mid - 10.0 ** (mid - 14) - np.bincount(owner, amount * charge, minlength=len(molar))
+        low, high = np.where(total > 0, mid, low), np.where(total > 0, high, mid)
+    return pd.Series((low + high) / 2).round(4)
+
+
 def charge_balance_ph(compositions: DataFrame, properties: DataFrame) -> DataFrame:
-    """medium_id and the pH between 0.5 and 14 at which the charges of its acids, water and fixed ions balance, by bisection.
+    """medium_id and the pH between 0.5 and 14 at which the charges of its acids and of water balance, by bisection.
 
     Charges pair with the forms of an acid by position, from the most
-    protonated on; a group is one medium's few ingredients.
+    protonated on; a row gathers one medium's few acids.
     """
-    parts = ingredients(compositions, properties).where("molar > 0 AND size(pka_values) > 0").select("medium_id", "molar", "pka_values")
-
-    def solved(pdf: pd.DataFrame) -> pd.DataFrame:
-        def balance(ph: float) -> float:
-            h = 10.0**-ph
-            total = h - 1e-14 / h
-            for molar, pka in zip(pdf["molar"], pdf["pka_values"]):
-                terms = np.cumprod(np.concatenate([[1.0], 10.0 ** -np.asarray(pka) / h]))
-                total -= molar * float((terms / terms.sum() * np.arange(len(terms))).sum())
-            return total
-
-        low, high = 0.5, 14.0
-        for _ in range(60):
-            mid = (low + high) / 2
-            low, high = (mid, high) if balance(mid) > 0 else (low, mid)
-        return pd.DataFrame({"medium_id": [pdf["medium_id"].iloc[0]], "ph": [round((low + high) / 2, 4)]})
-
-    kind = compositions.schema["medium_id"].dataType.simpleString()
-    return parts.groupBy("medium_id").applyInPandas(solved, f"medium_id {kind}, ph double")
+    acids = ingredients(compositions, properties).where("molar > 0 AND size(pka_values) > 0")
+    gathered = acids.groupBy("medium_id").agg(F.collect_list("molar").alias("molar"), F.collect_list("pka_values").alias("pka"))
+    return gathered.select("medium_id", _balanced_ph("molar", "pka").alias("ph"))

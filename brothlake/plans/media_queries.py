@@ -195,11 +195,11 @@ def score_labels(t: Tables) -> DataFrame:
 
 
 @query("list_texts", """
-SELECT p_partkey, concat(printf('%.2f', p_size / 7.0), ',', printf('%.2f', p_retailprice / 100)) AS pka, concat(-(p_size % 3), ',', p_size % 3) AS charges, concat('Na+:', p_size % 3, ',Cl-:', -(p_size % 4)) AS ions, (p_size % 3 - p_size % 4)::INTEGER AS total FROM part""")
+SELECT p_partkey, concat(printf('%.2f', p_size / 8.0 + 0.001), ',', printf('%.2f', p_size + 0.25)) AS pka, concat(-(p_size % 3), ',', p_size % 3) AS charges, concat('Na+:', p_size % 3, ',Cl-:', -(p_size % 4)) AS ions, (p_size % 3 - p_size % 4)::INTEGER AS total FROM part""")
 def list_texts(t: Tables) -> DataFrame:
     texts = t.part.select(
         "p_partkey",
-        F.concat_ws(",", F.format_string("%.2f", F.col("p_size") / 7.0), F.lit(" "), F.format_string(" %.2f", F.col("p_retailprice") / 100)).alias("pka"),
+        F.concat_ws(",", F.format_string("%.2f", F.col("p_size") / 8.0 + 0.001), F.lit(" "), F.format_string(" %.2f", F.col("p_size") + 0.25)).alias("pka"),
         F.concat_ws(",", (-(F.col("p_size") % 3)).cast("string"), F.lit("x"), (F.col("p_size") % 3).cast("string")).alias("charges"),
         F.concat(F.lit("Na+: "), (F.col("p_size") % 3).cast("string"), F.lit(", Cl-:"), (-(F.col("p_size") % 4)).cast("string"), F.lit(",bad")).alias("ions"),
     )

@@ -1 +1,43 @@
-"""Queries."""
+"""Sources: URLs, JSON columns and HTML."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import urls
+from ..functions.chains import contains_any_sql
+from .registry import Tables, query
+
+_URLS = "[^ \\t\\n\\r\"'<>)}\\],]*"
+
+
+@query("url_scan", f"SELECT page_id, unnest(list_distinct(regexp_extract_all(concat(url, ' ', html), 'https?://{_URLS.replace(chr(39), chr(39) * 2)}'))) AS url FROM pages")
+def url_scan(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", F.explode(urls.urls_in(F.concat_ws(" ", "url", "html"))).alias("url"))
+
+
+_RECIPE = "concat(['https://mediadive.dsmz.de/medium/', 'https://www.dsmz.de/microorganisms/medium/pdf/DSMZ_Medium', 'https://www.jcm.riken.jp/cgi-bin/jcm/jcm_grmd?GRMD=', 'https://www.ccap.ac.uk/wp/MR_', 'https://www.atcc.org/-/docs/atcc-medium-', 'http://www.example.org/a/b', 'https://cyanosite.bio.purdue.edu/media/table/B'][p_partkey % 7 + 1], p_partkey, ['', '.pdf', '&x=1', '.pdf', '.pdf', '', '.html'][p_partkey % 7 + 1])"
+_SPARK_RECIPE = _RECIPE.replace("concat([", "concat(array(").replace("][p_partkey % 7 + 1]", ")[p_partkey % 7]").replace(", ['',", ", array('',")
+
+
+def recipe_urls(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", F.expr(_SPARK_RECIPE).alias("url"))
+
+
+@query("url_filter", f"SELECT p_partkey, url FROM (SELECT p_partkey, {_RECIPE} AS url FROM part) WHERE {contains_any_sql('lower(url)', urls.KEYWORDS)}")
+def url_filter(t: Tables) -> DataFrame:
+    return recipe_urls(t).where(urls.about_media(F.col("url")))
+
+
+@query("url_medium_id", f"""
+WITH u AS (SELECT p_partkey, {_RECIPE} AS url FROM part)
+SELECT p_partkey, coalesce(nullif(regexp_extract(url, '/medium/([^/?]+)', 1), ''), nullif(regexp_extract(url, 'DSMZ_Medium([^.]+)\\.pdf', 1), '')) AS medium_id,
+  CASE p_partkey % 7 WHEN 0 THEN concat('dsmz_', p_partkey) WHEN 1 THEN concat('dsmz_', p_partkey) WHEN 2 THEN concat('jcm_', p_partkey) WHEN 3 THEN concat('ccap_', p_partkey) WHEN 4 THEN concat('atcc_', p_partkey) WHEN 5 THEN concat('example_org_b', p_partkey) ELSE concat('cyanosite_B', p_partkey) END AS source_id FROM u""")
+def url_medium_id(t: Tables) -> DataFrame:
+    return recipe_urls(t).select("p_partkey", urls.medium_id(F.col("url")).alias("medium_id"), urls.source_medium_id(F.col("url")).alias("source_id"))
+
+
+@query("json_properties", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+def json_properties(t: Tables) -> DataFrame:
+    return t.events.select("event_id", F.from_json("props", "k int")["k"].alias("k")).where("k IS NOT NULL")
