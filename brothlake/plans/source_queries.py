@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions.chains import contains_any_sql
+from ..operators import recipes
+from ..sources import readers
 from .registry import Tables, query
 
 _URLS = "[^ \\t\\n\\r\"'<>)}\\],]*"
@@ -41,3 +43,55 @@ def url_medium_id(t: Tables) -> DataFrame:
 @query("json_properties", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
 def json_properties(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.from_json("props", "k int")["k"].alias("k")).where("k IS NOT NULL")
+
+
+_TEXT = "CASE p_partkey % 5 WHEN 0 THEN concat('Na', p_size, 'Cl ...... ', p_size, '.5 g/L\nKNO3 ... 2,5 mg/L\n') WHEN 1 THEN concat('MgSO4 ', p_size, ' g\nwater\nK2HPO4 1.5 mM') WHEN 2 THEN concat('Take Glucose (', p_size, ' g/L) and boil.') WHEN 3 THEN concat('Dissolve ', p_size, ' g of Na2CO3 in water.') ELSE p_name END"
+
+
+@query("recipe_ingredients", """
+SELECT p_partkey, 0 AS pos, CASE p_partkey % 5 WHEN 0 THEN concat('Na', p_size, 'Cl') WHEN 1 THEN 'MgSO4' WHEN 2 THEN 'Take Glucose' ELSE 'Na2CO3' END AS name, CASE p_partkey % 5 WHEN 0 THEN p_size + 0.5 ELSE p_size END::DOUBLE AS concentration,
+  ['g/L', 'g', 'g/L', 'g'][p_partkey % 5 + 1] AS unit, ['dotted', 'columnar', 'parenthetical', 'amount_first'][p_partkey % 5 + 1] AS extraction_method FROM part WHERE p_partkey % 5 < 4
+UNION ALL SELECT p_partkey, 1, CASE p_partkey % 5 WHEN 0 THEN 'KNO3' ELSE 'K2HPO4' END, CASE p_partkey % 5 WHEN 0 THEN 2.5 ELSE 1.5 END, CASE p_partkey % 5 WHEN 0 THEN 'mg/L' ELSE 'mM' END, CASE p_partkey % 5 WHEN 0 THEN 'dotted' ELSE 'columnar' END FROM part WHERE p_partkey % 5 < 2""")
+def recipe_ingredients(t: Tables) -> DataFrame:
+    return recipes.recipe_rows(t.part.select("p_partkey", F.expr(_TEXT.replace("\n", "\\n")).alias("text")), "p_partkey")
+
+
+@query("html_table_ingredients", """
+SELECT page_id, 1 AS pos, 'NaCl' AS name, (page_id % 90)::DOUBLE AS concentration, 'g/l' AS unit FROM pages UNION ALL SELECT page_id, 3, 'K2HPO4 & co', 2.5, 'mM' FROM pages""")
+def html_table_ingredients(t: Tables) -> DataFrame:
+    table = F.concat(F.lit("<table><tr><th>Name</th><th>Amount</th></tr><tr><td>NaCl</td><td>"), (F.col("page_id") % 90).cast("string"), F.lit(" g/l</td></tr><tr><td>Distilled water</td><td>1 l</td></tr><tr><td><b>K2HPO4</b> &amp; co<td>dropped</td></tr>".replace("<td>dropped</td>", "</td><td>2.5</td><td>mM</td>") + "</table>"))
+    return recipes.table_ingredients(t.pages.select("page_id", F.concat(table, "html").alias("html")), "page_id")
+
+
+@query("composition_documents", """
+SELECT concat('m', o_orderkey) AS medium_id, 'NaCl' AS compound, o_custkey::DOUBLE AS g_l, 'g/L' AS unit, 0 AS pos FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey::VARCHAR, 'KCl', 1.5, 'mM', 0 FROM orders WHERE o_orderkey % 3 = 1 UNION ALL SELECT o_orderkey::VARCHAR, 'agar', o_custkey, 'g/L', 1 FROM orders WHERE o_orderkey % 3 = 1""")
+def composition_documents(t: Tables) -> DataFrame:
+    key, amount = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    listed = F.concat(F.lit('[{"compound":"NaCl","g_l":'), amount, F.lit(',"medium_id":"m'), key, F.lit('"}]'))
+    formed = F.concat(F.lit('{"composition":[{"name":"KCl","concentration":"1.5","unit":"mM"},{"compound":"agar","amount":"'), amount, F.lit('"}]}'))
+    content = F.when(F.col("o_orderkey") % 3 == 0, listed).when(F.col("o_orderkey") % 3 == 1, formed).otherwise("not JSON")
+    docs = t.orders.select(F.concat(F.lit("/x/medium_"), key, F.lit("_composition.json")).alias("path"), content.alias("content"))
+    return readers.composition_rows(docs).select("medium_id", "compound", "g_l", "unit", "pos")
+
+
+@query("file_types", """
+SELECT t, count(*) AS n FROM (SELECT ['composition_json', 'jcm_html', 'ccap_text', 'text', 'unknown'][p_partkey % 5 + 1] AS t FROM part) GROUP BY 1""")
+def file_types(t: Tables) -> DataFrame:
+    names = F.element_at(F.array(*map(F.lit, ["/a/medium_1_composition.json", "/a/jcm_12.html", "ccap_bb.pdf", "/x/other.PDF", "/x/y.bin"])), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return t.part.groupBy(readers.file_type(names).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ontology_names", """
+WITH k AS (SELECT lower(n_name) AS key, 0 AS r, concat('CHEBI:', n_nationkey) AS id, n_name AS name FROM nation UNION ALL SELECT concat('group ', n_regionkey), 1, concat('CHEBI:', n_nationkey), n_name FROM nation)
+SELECT key, arg_min(id, (r, id)) AS id, arg_min(name, (r, id)) AS name FROM k GROUP BY key""")
+def ontology_names(t: Tables) -> DataFrame:
+    nodes = t.nation.select(F.concat(F.lit("CHEBI:"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.concat(F.lit(" Group "), F.col("n_regionkey").cast("string"), F.lit("|")).alias("synonym"))
+    return readers.ontology_names(nodes, F.lower)
+
+
+@query("markdown_tables", """
+SELECT medium_id, concat('| Component | Amount | Unit |', chr(10), '|---|---|---|', chr(10), string_agg(line, chr(10) ORDER BY pos, line)) AS markdown
+FROM (SELECT l_orderkey AS medium_id, concat('| part ', l_partkey, ' | ', l_partkey, ' | g |') AS line, l_linenumber AS pos FROM lineitem) GROUP BY 1""")
+def markdown_tables(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(F.col("l_orderkey").alias("medium_id"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("compound"), F.col("l_partkey").alias("g_l"), F.lit("g").alias("unit"), F.col("l_linenumber").alias("pos"))
+    return readers.markdown_table(rows)
