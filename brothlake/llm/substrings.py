@@ -6,9 +6,9 @@ windows mostly share theirs. Anchors of more than one document lead to the
 windows that recur; the smallest doc_id that has a window owns it, and runs of
 owned windows are the confirmed passages. Passages are cut into blocks of half
 a window, of which every window in a passage holds one. The blocks are compiled
-into Aho-Corasick automata, in shards by owner, and every document that has an
-anchor of a shard's windows streams through that shard's automaton. Windows
-around each hit are then looked up among the shard's own.
+into Aho-Corasick automata, in shards by owner, and of every document the words
+under windows that have an anchor of a shard's stream through its automaton.
+Windows around each hit are then looked up among the shard's own.
 
 Equal texts are one: all but the first are removed whole. Each document meets
 the shards it needs only, and the documents of a popular shard are dealt out to
@@ -207,17 +207,52 @@ class Shard:
                 yield i, edges.tolist()
 
 
+def segments(texts: DataFrame, routes: DataFrame, window: int, anchor: int) -> DataFrame:
+    """shard, doc_id, kept_sha256, start, text: for each shard the runs of words under the windows whose anchors it has.
+
+    routes: doc_id, kept_sha256 and routes, an array of (anchor, shard). A
+    shard is sent these runs only, not the whole text.
+    """
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, row, start, text = [], [], [], []
+            lists = batch.column(3)
+            for block in W.blocks(batch.column(2)):
+                place, _, anchors = windows_of(block, window, anchor)
+                cuts = np.searchsorted(place, block.bounds)
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    wanted = lists[block.first + i].values.flatten()
+                    keys, shards = wanted[0].to_numpy().view(np.uint64), wanted[1].to_numpy()
+                    for s in np.unique(shards):
+                        starts = place[a:b][np.isin(anchors[a:b], keys[shards == s])]
+                        if not len(starts):
+                            continue
+                        breaks = np.flatnonzero(np.diff(starts) > window)
+                        for first, last in zip(starts[np.concatenate([[0], breaks + 1])], starts[np.concatenate([breaks, [len(starts) - 1]])]):
+                            shard.append(s)
+                            row.append(block.first + i)
+                            start.append(first - block.bounds[i])
+                            text.append(block.data[block.starts[first] : block.ends[last + window - 1]].tobytes().decode())
+            rows = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start, pa.int64()), pa.array(text, pa.string())], ["shard", "doc_id", "kept_sha256", "start", "text"])
+
+    joined = texts.select("doc_id", "kept_sha256", "text").join(routes, ["doc_id", "kept_sha256"]).select("doc_id", "kept_sha256", "text", "routes")
+    return joined.mapInArrow(kernel, "shard int, doc_id long, kept_sha256 string, start long, text string")
+
+
 def located(texts: DataFrame, found: DataFrame, owned: DataFrame, window: int, anchor: int, shard_words: int = SHARD_WORDS, stream_chars: int = STREAM_CHARS) -> DataFrame:
     """doc_id, kept_sha256 and spans (starts and ends of words, in turn) of the passages of smaller doc_ids in each text."""
     shards = max(1, -(-(found.agg(F.sum("n_words")).first()[0] or 0) // shard_words))
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
     holders = owned.groupBy("anchor", shard("owner").alias("shard")).agg(F.min("owner").alias("least"))
-    routes = texts.select("doc_id", "kept_sha256", F.length("text").alias("chars"), F.explode("anchors").alias("anchor")).join(holders, "anchor").where("least < doc_id")
-    routes = written(routes.select("doc_id", "kept_sha256", "chars", "shard").distinct(), "substring-routes")
-    copies = routes.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(F.sum("chars") / stream_chars)).cast("int").alias("copies"))
+    routes = texts.select("doc_id", "kept_sha256", F.explode("anchors").alias("anchor")).join(holders, "anchor").where("least < doc_id")
+    routes = written(routes.groupBy("doc_id", "kept_sha256").agg(F.collect_list(F.struct("anchor", "shard")).alias("routes")), "substring-routes")
+    sent = written(segments(texts, routes, window, anchor), "substring-segments")
+    copies = sent.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("text")) / stream_chars)).cast("int").alias("copies"))
     turn = F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int")
-    reading = routes.drop("chars").join(copies, "shard").withColumn("copy", turn).join(texts, ["doc_id", "kept_sha256"]).select("shard", "copy", F.lit(1).alias("kind"), "doc_id", "kept_sha256", "text")
-    told = found.withColumn("shard", shard("owner")).join(copies, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), F.lit("").alias("kept_sha256"), "text")
+    reading = sent.join(copies, "shard").select("shard", turn.alias("copy"), F.lit(1).alias("kind"), "doc_id", "kept_sha256", "start", "text")
+    told = found.withColumn("shard", shard("owner")).join(copies, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), F.lit("").alias("kept_sha256"), F.lit(0).cast("long").alias("start"), "text")
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, built, owners, phrases = None, None, [], []
@@ -231,9 +266,9 @@ def located(texts: DataFrame, found: DataFrame, owned: DataFrame, window: int, a
                     phrases += part["text"].tolist()
                     continue
                 built = built or Shard(owners, phrases, window, anchor)
-                ids, shas = part["doc_id"].to_numpy(), part["kept_sha256"].to_numpy()
+                ids, shas, starts = (part[c].to_numpy() for c in ("doc_id", "kept_sha256", "start"))
                 for block in W.blocks(pa.array(part["text"], pa.string())):
-                    out += [(ids[block.first + i], shas[block.first + i], spans) for i, spans in built.covered(block, ids)]
+                    out += [(ids[block.first + i], shas[block.first + i], [int(x + starts[block.first + i]) for x in spans]) for i, spans in built.covered(block, ids)]
             yield pd.DataFrame(out, columns=["doc_id", "kept_sha256", "spans"])
 
     streamed = told.unionByName(reading).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind").mapInPandas(kernel, "doc_id long, kept_sha256 string, spans array<long>")
