@@ -55,7 +55,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
     return out.select("source", "rank", "source_size", "source_rows", "weight", F.when(F.col("full"), F.col("limit")).otherwise(F.col("common") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 20_000, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 2_000, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """One row for each row of docs: doc_id, size, source_size, target, taken, and the columns named in ``carry``.
 
     taken is 0, size or 2 * size: documents are whole, and those up to the
@@ -65,8 +65,9 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 20_000,
     doc_ids share one place in the order; repeated rows count one by one; an
     empty table gives no rows; other columns are ignored.
     """
+    others = [c for c in carry if c not in ("doc_id", "source")]
     sized = written(
-        docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size")).withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))),
+        docs.select("doc_id", "source", *others, word_count(F.col("text")).alias("size")).withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))),
         "mix-sized",
     )
     targets = written(source_targets(sized, weights, share, repeats).coalesce(1), "mix-targets")
@@ -84,7 +85,7 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 20_000,
     timed = written(
         placed.join(starts, ["rank", "block"])
         .withColumn("sent", F.col("before") + F.sum("size").over(inside))
-        .select("doc_id", *carry, "size", "source_size", "rank", "target", *[F.coalesce(F.try_divide(F.col("sent") + F.lit(k) * F.col("source_size"), F.col("target")), F.lit(0.0)).alias(f"finish_{k}") for k in range(repeats)]),
+        .select("doc_id", "source", *others, "size", "source_size", "rank", "target", *[F.coalesce(F.try_divide(F.col("sent") + F.lit(k) * F.col("source_size"), F.col("target")), F.lit(0.0)).alias(f"finish_{k}") for k in range(repeats)]),
         "mix-timed",
     )
     last, rank = _cut(timed, targets, share, repeats, block_rows)
@@ -117,11 +118,17 @@ def _cut(timed: DataFrame, targets: DataFrame, share: float, repeats: int, block
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that the mix takes, with the columns of docs; a document taken twice is there twice."""
-    numbered = docs.withColumn("_size", word_count(F.col("text")))
-    copies = mix(docs, **options).where("taken > 0").groupBy("doc_id", "size").agg((F.sum("taken") / F.first("size") / F.count(F.lit(1))).alias("_mean"), F.count(F.lit(1)).alias("_n"))
-    joined = numbered.join(copies.withColumnsRenamed({"doc_id": "_id", "size": "_words"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil("_mean").cast("int")))).select(*docs.columns)
+    """The rows of docs that the mix takes, with the columns of docs; a document taken twice is there twice.
+
+    Rows of one doc_id and size are alike to the mix; what it takes of them
+    goes to them one by one, so their number is right.
+    """
+    alike = Window.partitionBy("doc_id", "_size").orderBy(F.xxhash64("text"))
+    numbered = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_turn", F.row_number().over(alike))
+    taken = mix(docs, **options).where("taken > 0").withColumn("_copies", (F.col("taken") / F.col("size")).cast("int"))
+    ranked = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_words"), "_copies", F.row_number().over(Window.partitionBy("doc_id", "size").orderBy(F.desc("taken"))).alias("_nth"))
+    joined = numbered.join(ranked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")) & (F.col("_turn") == F.col("_nth")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
