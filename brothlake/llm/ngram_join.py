@@ -9,22 +9,21 @@ bitmaps differ bound their overlap from above, and only pairs that pass are
 intersected exactly as sorted arrays.
 
 Equal sets are one node. A large group of near copies is not compared pair by
-pair: each set is first held against a few leaders of its tiles, then, as long
-as a twentieth of such pairs link, against its nearest set of another component
-in each tile. At last the tiles are searched for all pairs between different
-components. No pair that could join two is left out, so components are exact.
+pair: each set is first held against its nearest set in each tile and against
+the leaders of some tiles. Then the tiles are searched for all pairs between
+different components of these links. No pair that could join two is left out,
+so components are exact.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +33,8 @@ from .tables import written
 
 #: A shingle is frequent if a share of all documents has it. At most the mean set size divided by it are: the only table that is broadcast.
 FREQUENT = 0.005
-#: Sets in one block of a tile, and leaders that a set is held against.
-TILE_ROWS, LEADERS = 2_048, 3
+#: Sets in one block of a tile, and of how many tiles one has a leader.
+TILE_ROWS, LEAD = 2_048, 2
 
 SIGNATURES = "doc_id long, n_shingles long, node long, tokens array<long>, bitmap binary"
 
@@ -172,7 +171,8 @@ def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFra
 
     tiles: token, i, j, block, node, component, n_shingles, bitmap. A tile has
     two blocks of TILE_ROWS rows or so at most, read in order of size. With
-    ``nearest`` only the pair of the fewest differing bits is given for each row.
+    ``nearest`` only the pair of the fewest differing bits is given for each
+    row, and in one of LEAD tiles that with the tile's leader.
     """
 
     def searched(t: pd.DataFrame) -> pd.DataFrame:
@@ -180,6 +180,12 @@ def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFra
         n, node, comp, block = (t[c].to_numpy() for c in ("n_shingles", "node", "component", "block"))
         mixed, found, maps = t["i"].to_numpy() != t["j"].to_numpy(), [], Bitmaps(t["bitmap"].to_numpy())
         least, partner = np.full(len(t), np.iinfo(np.int64).max), np.full(len(t), -1)
+        leads = np.zeros(len(t), bool)
+        if nearest:
+            first = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]).any(1)]))
+            with np.errstate(over="ignore"):
+                turn = W.mixed(node.view(np.uint64) * np.uint64(3) + t["token"].to_numpy().view(np.uint64))
+            leads = (turn == np.repeat(np.minimum.reduceat(turn, first), np.diff(np.append(first, len(t))))) & (t["token"].to_numpy().view(np.uint64) % np.uint64(LEAD) == 0)
         left = np.arange(len(t))
         for lag in range(1, len(t)):
             left = left[left + lag < len(t)]
@@ -199,6 +205,8 @@ def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFra
             if not nearest:
                 found.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1))
                 continue
+            led = leads[a] | leads[b]
+            found.append(np.stack([np.minimum(node[a[led]], node[b[led]]), np.maximum(node[a[led]], node[b[led]])], axis=1))
             for x, y in ((a, b), (b, a)):
                 closer = differ < least[x]
                 least[x[closer]], partner[x[closer]] = differ[closer], y[closer]
@@ -224,9 +232,9 @@ def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFra
     return tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n_shingles").mapInPandas(kernel, "a long, b long").distinct()
 
 
-def open_tiles(postings: DataFrame, bits: DataFrame, links: DataFrame, tile_rows: int) -> DataFrame:
-    """The rows of the tiles that hold sets of more than one component of the links, in blocks of about ``tile_rows``."""
-    placed = postings.join(components(links), "node", "left").select("token", "node", "n_shingles", F.coalesce("root", "node").alias("component"))
+def open_tiles(postings: DataFrame, bits: DataFrame, links: DataFrame | None, tile_rows: int) -> DataFrame:
+    """The rows of the tiles that hold sets of more than one component of the links (without any, each set is one), in blocks of about ``tile_rows``."""
+    placed = postings.withColumn("component", F.col("node")) if links is None else postings.join(components(links), "node", "left").select("token", "node", "n_shingles", F.coalesce("root", "node").alias("component"))
     still = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / tile_rows).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     tiles = placed.join(still, "token").withColumn("block", block).join(bits, "node").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -259,7 +267,7 @@ def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent
     return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long")
 
 
-def labelled(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS, tile_rows: int = TILE_ROWS, frequent: float = FREQUENT) -> DataFrame:
+def labelled(docs: DataFrame, k: int = 3, percent: int = 90, tile_rows: int = TILE_ROWS, frequent: float = FREQUENT) -> DataFrame:
     """For each row of docs doc_id, n_shingles and component_id: the smallest doc_id among the documents that links lead to.
 
     Two documents link when 100 * intersection >= percent * union of their
@@ -275,33 +283,13 @@ def labelled(docs: DataFrame, k: int = 3, percent: int = 90, lead: int = LEADERS
     chosen = sig.join(firsts.select(F.col("node").alias("of"), "first_id"), (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["node"])
     postings = chosen.select(F.explode("tokens").alias("token"), "node", "n_shingles")
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    band = F.floor(F.log(F.col("n_shingles").cast("double")) / (-math.log(percent / 100) * 1.0001 + 1e-12))
-    postings = written(postings.join(shared, "token").withColumn("band", band), "join-postings")
+    postings = written(postings.join(shared, "token"), "join-postings")
     names = firsts.select("node", "first_id")
     bits = chosen.select("node", "bitmap")
 
-    leaders = postings.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("token", "node").alias("h"), F.col("node").alias("leader"), F.col("n_shingles").alias("m")))
-        .alias("x")).select("token", "band", "x.h", "x.leader", "x.m")
-    near = postings.join(leaders, ["token", "band"]).where(F.col("node") != F.col("leader")).where(100 * F.least("n_shingles", "m") >= percent * F.greatest("n_shingles", "m"))
-    near = near.groupBy("node", "leader").agg(F.min("h").alias("h"), F.first("n_shingles").alias("n_shingles"), F.first("m").alias("m"))
-
-    @F.pandas_udf("boolean")
-    def possible(n1: pd.Series, n2: pd.Series, b1: pd.Series, b2: pd.Series) -> pd.Series:
-        every = np.arange(len(n1))
-        differ = Bitmaps(b1.to_numpy()).differing(every, Bitmaps(b2.to_numpy()), every)
-        return pd.Series(may_link(n1.to_numpy(), n2.to_numpy(), differ, percent))
-
-    near = near.join(bits, "node").join(bits.select(F.col("node").alias("leader"), F.col("bitmap").alias("bitmap_2")), "leader").where(possible("n_shingles", "m", "bitmap", "bitmap_2"))
-    near = near.withColumn("turn", F.row_number().over(Window.partitionBy("node").orderBy("h", "leader"))).where(F.col("turn") <= lead)
-    stars = written(near.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "join-stars")
-    links = written(linked(stars, docs, names, k, percent), "join-links")
-
-    tested, new = stars, links.count()
-    while new:
-        pairs = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent, nearest=True).join(tested, ["a", "b"], "left_anti"), "join-nearest")
-        found = written(linked(pairs, docs, names, k, percent), "join-links")
-        tested, links, new = tested.unionByName(pairs), links.unionByName(found), found.count() * 20 // max(1, pairs.count())
-    rest = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent).join(tested, ["a", "b"], "left_anti"), "join-pairs")
+    near = written(tile_pairs(open_tiles(postings, bits, None, tile_rows), percent, nearest=True), "join-nearest")
+    links = written(linked(near, docs, names, k, percent), "join-links")
+    rest = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent).join(near, ["a", "b"], "left_anti"), "join-pairs")
     links = links.unionByName(linked(rest, docs, names, k, percent))
 
     roots = components(links)
