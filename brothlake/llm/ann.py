@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from .tables import written
 
-#: Vectors that the codebooks are fitted on at most; every row is indexed.
+#: Vectors that the codebooks are fitted on, about; every row is indexed.
 FIT_ROWS = 20_000
 CENTROIDS = 16
 #: Share of all rows in the cells that a query visits.
-PROBE_SHARE = 0.55
+PROBE_SHARE = 0.65
 CHUNK_ROWS = 4_096
 TOP = 5
 EVERY = 50
@@ -65,8 +65,9 @@ def unit(rows) -> np.ndarray:
 
 
 def codebooks(vectors: DataFrame, centroids: int = CENTROIDS, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray] | None:
-    """Centroids of both halves, by k-means on the ``fit_rows`` rows of least hash."""
-    sample = vectors.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id", "vector").limit(fit_rows).select("vector").toPandas()["vector"]
+    """Centroids of both halves, by k-means on about ``fit_rows`` rows chosen by hash, all if there are fewer."""
+    share = min(1.0, fit_rows / max(1, vectors.count()))
+    sample = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < share * 1_000_000).select("vec_id", "vector").toPandas().sort_values("vec_id", kind="stable")["vector"]
     if not len(sample):
         return None
     x = unit(sample)
