@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from .words import WORD_PATTERN
 
 #: Nodes before a task's trie starts anew, and the characters of a word that it shares.
-TRIE_NODES, SHARED_CHARS = 600_000, 48
+TRIE_NODES, SHARED_CHARS = 1_200_000, 48
 
 SPACE = "▁"
 SCHEMA = "doc_id long, n_words long, n_tokens long"
@@ -42,49 +42,63 @@ def unigram_scores(path: str) -> dict[str, float]:
 class Trie:
     """Forward scores and token counts of prefixes.
 
-    A node is [children, score, tokens]. A character that no piece covers is
+    Nodes are numbers; one table leads from a node and a character to a node,
+    and two lists hold score and tokens. An automaton of the vocabulary tells
+    the pieces that end at each new node. A character that no piece covers is
     written as its UTF-8 bytes: a token a byte, each worse than any piece.
     """
 
     def __init__(self, scores: dict[str, float], nodes: int = TRIE_NODES):
-        self.scores, self.most = scores, nodes
-        self.longest = max(map(len, scores), default=1)
+        import ahocorasick
+
+        self.most = nodes
         self.byte = min(scores.values(), default=0.0) - 10.0
+        self.pieces = ahocorasick.Automaton()
+        for piece, score in scores.items():
+            self.pieces.add_word(piece, (len(piece), score))
+        self.pieces.make_automaton()
         self.clear()
 
     def clear(self) -> None:
-        self.root = [{}, 0.0, 0]
-        self.size = 1
-
-    def _step(self, word: str, depth: int, back: list[tuple[float, int]]) -> tuple[float, int]:
-        """Best score and its tokens for word[:depth], from those of the shorter prefixes; of equals, the fewest tokens."""
-        width = len(word[depth - 1].encode("utf-8", "surrogatepass"))
-        score, tokens = back[depth - 1][0] + width * self.byte, back[depth - 1][1] + width
-        get = self.scores.get
-        for start in range(max(0, depth - self.longest), depth):
-            piece = get(word[start:depth])
-            if piece is not None:
-                other = back[start][0] + piece
-                if other > score or (other == score and back[start][1] + 1 < tokens):
-                    score, tokens = other, back[start][1] + 1
-        return score, tokens
+        self.edges, self.best, self.tokens = {}, [0.0], [0]
+
+    @property
+    def size(self) -> int:
+        return len(self.best)
 
     def count(self, word: str) -> int:
-        """Tokens of one pre-token; prefixes beyond SHARED_CHARS are scored but not stored."""
-        if self.size > self.most:
+        """Tokens of one pre-token: of equal scores, the fewest. Prefixes beyond SHARED_CHARS are scored but not stored."""
+        if len(self.best) > self.most:
             self.clear()
-        node, back = self.root, [(0.0, 0)]
-        for depth in range(1, min(len(word), SHARED_CHARS) + 1):
-            child = node[0].get(word[depth - 1])
-            if child is None:
-                child = [{}, *self._step(word, depth, back)]
-                node[0][word[depth - 1]] = child
-                self.size += 1
-            node = child
-            back.append((node[1], node[2]))
-        for depth in range(SHARED_CHARS + 1, len(word) + 1):
-            back.append(self._step(word, depth, back))
-        return back[-1][1]
+        edges, node, best, tokens = self.edges, 0, [0.0], [0]
+        for c in word[:SHARED_CHARS]:
+            after = edges.get(node << 21 | ord(c))
+            if after is None:
+                break
+            node = after
+            best.append(self.best[node])
+            tokens.append(self.tokens[node])
+        known, ending = len(best) - 1, {}
+        if known < len(word):
+            for end, piece in self.pieces.iter(word):
+                if end >= known:
+                    ending.setdefault(end, []).append(piece)
+        for at in range(known, len(word)):
+            c = word[at]
+            width = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
+            score, count = best[at] + width * self.byte, tokens[at] + width
+            for length, value in ending.get(at, ()):
+                other, more = best[at + 1 - length] + value, tokens[at + 1 - length] + 1
+                if other > score or (other == score and more < count):
+                    score, count = other, more
+            best.append(score)
+            tokens.append(count)
+            if at < SHARED_CHARS:
+                key, node = node << 21 | ord(c), len(self.best)
+                edges[key] = node
+                self.best.append(score)
+                self.tokens.append(count)
+        return tokens[-1]
 
 
 class _Counts(dict):
