@@ -23,7 +23,10 @@ from pyspark.sql import DataFrame
 PATTERN = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 #: A cached word's bytes at most, and cached words at most before the cache starts anew.
-CACHED_BYTES, CACHED_WORDS = 64, 400_000
+CACHED_BYTES, CACHED_WORDS = 64, 250_000
+
+#: Rows in a batch that a task returns.
+ROWS = 512
 
 NO_RANK = 1 << 30
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -157,35 +160,34 @@ def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame
     are ignored. The decoded text is that of the ids, not a copy of the input.
     """
 
+    return _mapped(docs, vocabulary, SCHEMA, lambda ids: ())
+
+
+def _mapped(docs: DataFrame, vocabulary: str, schema: str, more) -> DataFrame:
+    """Rows of doc_id, n_tokens, the digests, and what ``more`` gives for the ids; the words that a task has cached go with it."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def row(c: Codec, text: str) -> tuple:
+        ids = c.encode(text)
+        numbers = ids.tolist()
+        return (len(numbers), hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest(), hashlib.sha256(c.decode(numbers).encode()).hexdigest(), *more(ids))
+
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(public_tokenizers.path(vocabulary))
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = c.encode(text or "").tolist()
-                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            for at in range(0, len(batch), ROWS):
+                part = batch.iloc[at : at + ROWS]
+                out = pd.DataFrame([row(c, text or "") for text in part["text"]], columns=names[1:])
+                out.insert(0, "doc_id", part["doc_id"].to_numpy())
+                yield out
+        c.words.clear()
 
-    return docs.select("doc_id", "text").mapInPandas(kernel, SCHEMA)
+    return docs.select("doc_id", "text").mapInPandas(kernel, schema)
 
 
 def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """digests() and the token ids of each row's whole text."""
-
-    def kernel(batches):
-        c = codec(public_tokenizers.path(vocabulary))
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = c.encode(text or "")
-                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(), hashlib.sha256(c.decode(ids.tolist()).encode()).hexdigest(), ids))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    return docs.select("doc_id", "text").mapInPandas(kernel, f"{SCHEMA}, ids array<int>")
+    return _mapped(docs, vocabulary, f"{SCHEMA}, ids array<int>", lambda ids: (ids,))
 
 
 def decoded(tokens: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:

@@ -70,7 +70,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
 def frequent_shingles(docs: DataFrame, k: int, share: float = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and counts of the shingles that about ``share`` of all documents have, at least.
 
-    Each task counts runs of whole documents of about four million shingles
+    Each task counts runs of whole documents of about a million shingles
     and returns those above half the share, so what is gathered is bounded by
     the mean size of a set over the share.
     """
@@ -87,7 +87,7 @@ def frequent_shingles(docs: DataFrame, k: int, share: float = FREQUENT) -> tuple
                 for hashes, _ in shingle_sets(block, k):
                     held.append(hashes)
                     size += len(hashes)
-                    if size >= 4_000_000:
+                    if size >= 1_000_000:
                         yield counted(held)
                         held, size = [], 0
         if held:
@@ -248,8 +248,11 @@ def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent
     def sets(texts: pa.Array) -> list[np.ndarray]:
         return [hashes for block in W.blocks(texts, lower=True) for hashes, _ in shingle_sets(block, k)]
 
+    def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+        return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             mine = np.array([node_of(s) for s in sets(batch.column(1))], np.int64)
             yield batch.filter(pa.array(mine == batch.column(0).to_numpy()))
 
@@ -257,7 +260,7 @@ def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent
     texts = written(texts.dropDuplicates(["node"]), "join-texts")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             one, two = sets(batch.column(2)), sets(batch.column(3))
             keep = [100 * (both := len(np.intersect1d(x, y, assume_unique=True))) >= percent * (len(x) + len(y) - both) for x, y in zip(one, two)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))

@@ -141,6 +141,8 @@ def token_counts(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model") -> Da
         for batch in batches:
             words = [find(text or "") for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": [len(w) for w in words], "n_tokens": [sum(map(counts.__getitem__, w)) for w in words]})
+        counts.clear()
+        counts.trie.clear()
 
     return docs.select("doc_id", "text").mapInPandas(kernel, SCHEMA)
 
