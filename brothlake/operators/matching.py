@@ -58,27 +58,33 @@ def token_sorted(c: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int = 85, top: int = 1, prepared: Callable[[Column], Column] = F.lower) -> DataFrame:
-    """For each distinct left name the ``top`` right names of the best ratio of at least ``least``, with score and rank.
+def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None) -> DataFrame:
+    """left_name, right_name and score of all pairs of distinct names with a ratio of at least ``least`` and equal ``shared`` columns.
 
     A pair can only reach the score if the shorter is at least t / (200 - t) of
     the longer (t half a point below, for rounding) and if their letters agree
     enough, so names meet within bands of length, and pairs are dropped by
     their counts of letters before the ratio is taken. Both bounds lose
-    nothing. Ties go to the smaller right name.
+    nothing.
     """
+    shared = shared or []
     share = (least - 0.5) / (200 - least + 0.5)
     width = -F.log(F.lit(share)) * 1.0001
     band = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1)).cast("double")) / width)
     letters = lambda c: F.array(*[F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz0123456789 "])
-    a = left.select(F.col(left_name).alias("left_name")).where("left_name IS NOT NULL").distinct().withColumn("a", prepared(F.col("left_name"))).where("a <> ''")
-    b = right.select(F.col(right_name).alias("right_name")).where("right_name IS NOT NULL").distinct().withColumn("b", prepared(F.col("right_name"))).where("b <> ''")
+    a = left.select(F.col(left_name).alias("left_name"), *shared).where("left_name IS NOT NULL").distinct().withColumn("a", prepared(F.col("left_name"))).where("a <> ''")
+    b = right.select(F.col(right_name).alias("right_name"), *shared).where("right_name IS NOT NULL").distinct().withColumn("b", prepared(F.col("right_name"))).where("b <> ''")
     a = a.withColumn("la", letters(F.col("a"))).withColumn("band", F.explode(F.sequence(band(F.col("a")) - 1, band(F.col("a")) + 1)))
     b = b.withColumn("lb", letters(F.col("b"))).withColumn("band", band(F.col("b")))
     shorter, longer = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
     apart = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    near = a.join(b, "band").where(shorter >= longer * share).where(200 * (F.length("a") + F.length("b") - apart) / 2 >= (least - 0.5) * (F.length("a") + F.length("b")))
-    scored = near.withColumn("score", ratio("a", "b")).where(F.col("score") >= least)
+    near = a.join(b, ["band", *shared]).where(shorter >= longer * share).where(200 * (F.length("a") + F.length("b") - apart) / 2 >= (least - 0.5) * (F.length("a") + F.length("b")))
+    return near.withColumn("score", ratio("a", "b")).where(F.col("score") >= least).select("left_name", "right_name", *shared, "score")
+
+
+def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int = 85, top: int = 1, prepared: Callable[[Column], Column] = F.lower) -> DataFrame:
+    """For each distinct left name the ``top`` right names of the best ratio of at least ``least``, with score and rank; ties go to the smaller right name."""
+    scored = scored_pairs(left, right, left_name, right_name, least, prepared)
     rank = F.row_number().over(Window.partitionBy("left_name").orderBy(F.desc("score"), "right_name"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("left_name", "right_name", "score", "rank")
 

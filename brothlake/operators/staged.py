@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chemistry, hydrates, names
 from ..functions.elements import element_mismatch
-from .matching import first_rows, fuzzy_best
+from .matching import first_rows, scored_pairs
 
 MATCH = ["original", "chebi_id", "chebi_name", "similarity_score", "match_confidence", "matching_method"]
 
@@ -33,17 +33,19 @@ def matched_in_stages(unaccounted: DataFrame, dictionary: DataFrame, least: int
     def exact(left: DataFrame, key: list[str]) -> DataFrame:
         return left.join(known.select("chebi_id", "chebi_name", *key), key).withColumn("similarity_score", F.lit(100.0))
 
-    def similar(left: DataFrame, score: int, same_waters: bool) -> DataFrame:
-        near = fuzzy_best(left, known, "base_key", "base_key", least=score, top=5)
-        found = left.join(near, left["base_key"] == near["left_name"]).drop("left_name").join(known.withColumnsRenamed({"base_key": "right_key", "full_key": "right_full", "waters": "right_waters"}), F.col("right_name") == F.col("right_key"))
-        return (found.where("waters = right_waters") if same_waters else found).withColumnRenamed("score", "similarity_score")
+    def similar(left: DataFrame, score: int, shared: list[str]) -> DataFrame:
+        # All names that tie at the best score stay, for stage() decides between them by id.
+        place = F.rank().over(Window.partitionBy("left_name", *shared).orderBy(F.desc("score")))
+        near = scored_pairs(left, known, "base_key", "base_key", score, shared=shared).withColumn("_n", place).where("_n = 1").drop("_n")
+        right = known.select("chebi_id", "chebi_name", F.col("base_key").alias("right_name"), *shared)
+        return left.join(near.withColumnRenamed("left_name", "base_key"), ["base_key", *shared]).join(right, ["right_name", *shared]).withColumnRenamed("score", "similarity_score")
 
     stages = [("exact_normalized", lambda d: exact(d, ["full_key"])), ("hydration_aware_exact", lambda d: exact(d, ["base_key", "waters"]))]
     if fuzzy:
-        stages.append(("hydration_aware_fuzzy", lambda d: similar(d, hydration_least, True)))
+        stages.append(("hydration_aware_fuzzy", lambda d: similar(d, hydration_least, ["waters"])))
     stages.append(("hydration_variant_exact", lambda d: exact(d, ["base_key"])))
     if fuzzy:
-        stages.append(("fuzzy_normalized", lambda d: similar(d, least, False)))
+        stages.append(("fuzzy_normalized", lambda d: similar(d, least, [])))
     left, found = asked, []
     for method, search in stages:
         found.append(stage(search(left), method))
@@ -73,7 +75,5 @@ def element_mismatches(df: DataFrame, original: str, label: str, formula: str) -
 def code_usage(df: DataFrame, name: str, code: str, examples: int = 3) -> DataFrame:
     """For each code its rows, distinct names and the first few of them by name."""
     per = df.where(F.col(code).isNotNull()).groupBy(code, name).agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-
     top = per.withColumn("k", F.row_number().over(Window.partitionBy(code).orderBy(name)))
     return top.groupBy(code).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("names"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("k") <= examples, F.col(name)))), "; ").alias("examples"))
