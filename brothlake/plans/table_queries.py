@@ -65,6 +65,12 @@ def unified_order(t: Tables) -> DataFrame:
     return unified(t).select("mapping_quality", "medium_id", "original").orderBy("mapping_quality", "medium_id", "original").limit(100)
 
 
+@query("unified_sorted", f"WITH {_MERGED} SELECT mapping_quality, medium_id, original FROM q ORDER BY mapping_quality, medium_id, original")
+def unified_sorted(t: Tables) -> DataFrame:
+    """The whole table in order; unified_order is its first 100 rows."""
+    return unified(t).select("mapping_quality", "medium_id", "original").orderBy("mapping_quality", "medium_id", "original")
+
+
 @query("best_per_name", """
 WITH r AS (SELECT l_partkey, l_orderkey, l_linenumber, ['excellent', 'good', 'poor', NULL][l_linenumber % 4 + 1] AS quality, l_quantity AS score FROM lineitem),
 k AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE quality WHEN 'excellent' THEN 0 WHEN 'good' THEN 1 WHEN 'poor' THEN 2 ELSE 3 END, score DESC, l_orderkey, l_linenumber) AS n FROM r)

@@ -1,7 +1,10 @@
 """Jobs that a cap, a length limit or a missing stage would cut."""
 
+import __spark_entry__
 from brothlake.operators import staged
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def dictionary(spark, rows):
     return spark.createDataFrame(rows, "id string, name string")
@@ -16,3 +19,10 @@ def test_staged_fuzzy_compares_all_names(spark):
     known = dictionary(spark, [(f"CHEBI:{9 - k}", stem + c) for k, c in enumerate("abcdefgh")] + [("CHEBI:99", stem + "z dihydrate")])
     got = {r.original: (r.chebi_id, r.matching_method) for r in staged.matched_in_stages(asked(spark, stem + "x dihydrate", stem + "x", stem + "x trihydrate"), known).collect()}
     assert got == {stem + "x dihydrate": ("CHEBI:99", "hydration_aware_fuzzy"), stem + "x": ("CHEBI:2", "hydration_aware_fuzzy"), stem + "x trihydrate": ("CHEBI:2", "fuzzy_normalized")}
+
+
+def test_unified_sorted_keeps_all_rows(spark):
+    queries = __spark_entry__.queries()
+    rows = [tuple(r) for r in queries["unified_sorted"](spark, SMALL).collect()]
+    assert len(rows) == queries["unified_mapping"](spark, SMALL).count() > 100
+    assert rows == sorted(rows)
