@@ -90,16 +90,16 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: st
 
 
 def contained_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least_length: int = 4) -> DataFrame:
-    """For each distinct left name the longest right name found in it: exact ones score 100, others the share of the length.
+    """For each distinct left name the longest right name found in it: exact ones score 100 at any length, others, of ``least_length`` or more, the share of the length.
 
     Right names are looked up word by word: a contained name begins in some
     window of the left name, so windows of characters at the lengths that right
     names have are joined by equality; no pair is formed that doesn't match.
     """
-    b = right.select(F.lower(F.col(right_name)).alias("key"), F.col(right_name).alias("right_name")).where(F.length("key") >= least_length).groupBy("key").agg(F.min("right_name").alias("right_name"))
+    b = right.select(F.lower(F.col(right_name)).alias("key"), F.col(right_name).alias("right_name")).where("key <> ''").groupBy("key").agg(F.min("right_name").alias("right_name"))
     lengths = b.agg(F.sort_array(F.collect_set(F.length("key"))).alias("lengths"))
     a = left.select(F.col(left_name).alias("left_name")).where("left_name IS NOT NULL").distinct().withColumn("a", F.lower("left_name"))
-    windows = a.join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where(F.col("n") <= F.length("a")).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("a") - F.col("n") + 1)))
+    windows = a.join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where((F.col("n") == F.length("a")) | ((F.col("n") >= least_length) & (F.col("n") < F.length("a")))).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("a") - F.col("n") + 1)))
     found = windows.withColumn("key", F.expr("substring(a, at, n)")).join(b, "key")
     score = F.when(F.col("key") == F.col("a"), F.lit(100.0)).otherwise(F.length("key") / F.length("a") * 100)
     return first_rows(found.withColumn("score", score), ["left_name"], F.desc("score"), F.asc("key")).select("left_name", "right_name", "score")

@@ -140,6 +140,17 @@ def contained_name(t: Tables) -> DataFrame:
     return matching.contained_best(t.part, words, "p_name", "word").withColumn("score", F.round("score", 6))
 
 
+@query("contained_short_name", """
+WITH b AS (SELECT DISTINCT w AS right_name FROM (SELECT unnest([left(p_name, 3), left(p_name, 2), split_part(p_name, ' ', 1)]) AS w FROM part)), a AS (SELECT DISTINCT unnest([left(p_name, 3), p_name]) AS left_name FROM part),
+m AS (SELECT left_name, right_name, lower(left_name) = lower(right_name) AS exact, length(right_name) * 100.0::DOUBLE / length(left_name) AS s FROM a JOIN b ON lower(left_name) = lower(right_name) OR length(right_name) >= 4 AND contains(lower(left_name), lower(right_name)))
+SELECT left_name, right_name, round(CASE WHEN exact THEN 100 ELSE s END, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY left_name ORDER BY exact DESC, s DESC, lower(right_name), right_name) AS n FROM m) WHERE n = 1""")
+def contained_short_name(t: Tables) -> DataFrame:
+    """Names of up to three letters, which match as a whole only, among longer ones."""
+    asked = t.part.select(F.explode(F.array(F.substring("p_name", 1, 3), "p_name")).alias("asked"))
+    known = t.part.select(F.explode(F.array(F.substring("p_name", 1, 3), F.substring("p_name", 1, 2), F.split_part("p_name", F.lit(" "), F.lit(1)))).alias("word"))
+    return matching.contained_best(asked, known, "asked", "word").withColumn("score", F.round("score", 6))
+
+
 @query("fuzzy_names")
 def fuzzy_names(t: Tables) -> DataFrame:
     """The nearest other spelling of each part name: no SQL, for the ratio is no SQL function."""

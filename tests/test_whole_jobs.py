@@ -1,7 +1,7 @@
 """Jobs that a cap, a length limit or a missing stage would cut."""
 
 import __spark_entry__
-from brothlake.operators import staged
+from brothlake.operators import matching, staged
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,3 +26,9 @@ def test_unified_sorted_keeps_all_rows(spark):
     rows = [tuple(r) for r in queries["unified_sorted"](spark, SMALL).collect()]
     assert len(rows) == queries["unified_mapping"](spark, SMALL).count() > 100
     assert rows == sorted(rows)
+
+
+def test_short_names_match_as_a_whole_only(spark):
+    left, right = asked(spark, "KCl", "HCl in water", "NaF", "agar", ""), asked(spark, "kcl", "HCl", "water", "agar", "aga", "")
+    got = {r.left_name: (r.right_name, round(r.score)) for r in matching.contained_best(left, right, "original", "original").collect()}
+    assert got == {"KCl": ("kcl", 100), "HCl in water": ("water", 42), "agar": ("agar", 100)}
