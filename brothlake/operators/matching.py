@@ -89,6 +89,12 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("left_name", "right_name", "score", "rank")
 
 
+def windows(df: DataFrame, text: str, lengths: DataFrame, allowed: Column) -> DataFrame:
+    """A row for each part of a text, as key, whose length n is in the array ``lengths`` of the only row of lengths and is ``allowed``."""
+    sized = df.join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where(F.col("n") <= F.length(text)).where(allowed)
+    return sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("n") + 1))).withColumn("key", F.expr(f"substring({text}, at, n)"))
+
+
 def contained_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least_length: int = 4) -> DataFrame:
     """For each distinct left name the longest right name found in it: exact ones score 100 at any length, others, of ``least_length`` or more, the share of the length.
 
@@ -99,12 +105,42 @@ def contained_best(left: DataFrame, right: DataFrame, left_name: str, right_name
     b = right.select(F.lower(F.col(right_name)).alias("key"), F.col(right_name).alias("right_name")).where("key <> ''").groupBy("key").agg(F.min("right_name").alias("right_name"))
     lengths = b.agg(F.sort_array(F.collect_set(F.length("key"))).alias("lengths"))
     a = left.select(F.col(left_name).alias("left_name")).where("left_name IS NOT NULL").distinct().withColumn("a", F.lower("left_name"))
-    windows = a.join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where((F.col("n") == F.length("a")) | ((F.col("n") >= least_length) & (F.col("n") < F.length("a")))).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("a") - F.col("n") + 1)))
-    found = windows.withColumn("key", F.expr("substring(a, at, n)")).join(b, "key")
+    found = windows(a, "a", lengths, (F.col("n") == F.length("a")) | (F.col("n") >= least_length)).join(b, "key")
     score = F.when(F.col("key") == F.col("a"), F.lit(100.0)).otherwise(F.length("key") / F.length("a") * 100)
     return first_rows(found.withColumn("score", score), ["left_name"], F.desc("score"), F.asc("key")).select("left_name", "right_name", "score")
 
 
+def respellings(key: Column) -> list[Column]:
+    """Other spellings of a name, in the order in which they are tried."""
+    swap = lambda c, old, new="": F.replace(c, F.lit(old), F.lit(new))
+    return [swap(key, "-", " "), swap(key, " ", "-"), swap(key, "_", " "), swap(key, " "), swap(swap(key, "("), ")"), swap(swap(key, "["), "]")]
+
+
+def respelled_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, pos: str, least_length: int = 4) -> DataFrame:
+    """left_name, right_name and method of each distinct left name found in an index: exact, else respelled, else partial.
+
+    The first respelling that the index has counts; partial is the first entry
+    by ``pos`` that holds the name or is held by it, both of ``least_length``
+    or more. Cases and outer blanks don't count. Parts of names meet by
+    equality, of equal parts of the index only the first entry.
+    """
+    key = lambda c: F.lower(F.trim(F.col(c)))
+    first = F.min(F.struct(F.col("pos"), F.col("right_name"))).alias("first")
+    b = right.select(key(right_name).alias("key"), F.col(right_name).alias("right_name"), F.col(pos).alias("pos")).where("key <> ''").groupBy("key").agg(first)
+    a = left.select(F.col(left_name).alias("left_name")).where("left_name IS NOT NULL").distinct().withColumn("a", key("left_name")).where("a <> ''")
+    spelled = a.select("left_name", F.posexplode(F.array(F.col("a"), *respellings(F.col("a")))).alias("tier", "key")).join(b, "key")
+    whole = first_rows(spelled, ["left_name"], F.asc("tier")).select("left_name", F.col("first.right_name").alias("right_name"), F.when(F.col("tier") == 0, "exact").otherwise("respelled").alias("method"))
+    rest = a.join(whole, "left_name", "left_anti").where(F.length("a") >= least_length)
+    long = b.where(F.length("key") >= least_length)
+    sizes = lambda df, c: df.agg(F.sort_array(F.collect_set(F.length(c))).alias("lengths"))
+    held = windows(rest, "a", sizes(long, "key"), F.lit(True)).join(long, "key").select("left_name", "first")
+    entries = long.select(F.col("key").alias("entry"), "first")
+    parts = windows(entries, "entry", sizes(rest, "a"), F.lit(True)).groupBy("key").agg(F.min("first").alias("first"))
+    holding = rest.join(parts, rest["a"] == parts["key"]).select("left_name", "first")
+    partial = held.unionByName(holding).groupBy("left_name").agg(F.min("first").alias("first"))
+    return whole.unionByName(partial.select("left_name", F.col("first.right_name").alias("right_name"), F.lit("partial").alias("method")))
+
+
 def medium_components(edges: DataFrame, direct: bool = True, part_of: str = "biolink:has_part") -> DataFrame:
     """medium_id and component: what a medium holds through its solutions and, with ``direct``, itself. edges: subject, predicate, object."""
     parts = edges.where(F.col("predicate") == part_of).select("subject", "object")

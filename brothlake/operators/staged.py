@@ -19,8 +19,10 @@ def matched_in_stages(unaccounted: DataFrame, dictionary: DataFrame, least: int
 
     unaccounted: original. dictionary: id, name. Stages: equal normalised name;
     the same waters and nearly the same base; equal base name of any hydrate;
-    similar normalised name. Without a match the score is 0 and the method
-    none. ``fuzzy`` off leaves out the stages that compare by similarity.
+    similar normalised name, or the name as it is where that is more similar
+    and the normalised one below ``hydration_least``. Without a match the score
+    is 0 and the method none. ``fuzzy`` off leaves out the stages that compare
+    by similarity.
     """
     known = dictionary.select(F.col("id").alias("chebi_id"), F.col("name").alias("chebi_name"), names.kg_key(F.col("name")).alias("full_key"), names.ontology_key(F.col("name")).alias("base_key"), F.coalesce(hydrates.hydration_number(F.col("name")), F.lit(0)).alias("waters"))
     asked = unaccounted.select("original").where("original IS NOT NULL").distinct()
@@ -33,22 +35,27 @@ def matched_in_stages(unaccounted: DataFrame, dictionary: DataFrame, least: int
     def exact(left: DataFrame, key: list[str]) -> DataFrame:
         return left.join(known.select("chebi_id", "chebi_name", *key), key).withColumn("similarity_score", F.lit(100.0))
 
-    def similar(left: DataFrame, score: int, shared: list[str]) -> DataFrame:
+    def similar(left: DataFrame, score: int, shared: list[str], name: str = "base_key") -> DataFrame:
         # All names that tie at the best score stay, for stage() decides between them by id.
         place = F.rank().over(Window.partitionBy("left_name", *shared).orderBy(F.desc("score")))
-        near = scored_pairs(left, known, "base_key", "base_key", score, shared=shared).withColumn("_n", place).where("_n = 1").drop("_n")
-        right = known.select("chebi_id", "chebi_name", F.col("base_key").alias("right_name"), *shared)
+        near = scored_pairs(left, known, "base_key", name, score, shared=shared).withColumn("_n", place).where("_n = 1").drop("_n")
+        right = known.select("chebi_id", "chebi_name", F.col(name).alias("right_name"), *shared)
         return left.join(near.withColumnRenamed("left_name", "base_key"), ["base_key", *shared]).join(right, ["right_name", *shared]).withColumnRenamed("score", "similarity_score")
 
-    stages = [("exact_normalized", lambda d: exact(d, ["full_key"])), ("hydration_aware_exact", lambda d: exact(d, ["base_key", "waters"]))]
+    def by_name(left: DataFrame) -> DataFrame:
+        both = stage(similar(left, least, []), "fuzzy_normalized").unionByName(stage(similar(left, least, [], "chebi_name"), "fuzzy_label"))
+        normalised = F.col("matching_method") == "fuzzy_normalized"
+        return first_rows(both, ["original"], F.desc(normalised & (F.col("similarity_score") >= hydration_least)), F.desc("similarity_score"), F.desc(normalised))
+
+    stages = [lambda d: stage(exact(d, ["full_key"]), "exact_normalized"), lambda d: stage(exact(d, ["base_key", "waters"]), "hydration_aware_exact")]
     if fuzzy:
-        stages.append(("hydration_aware_fuzzy", lambda d: similar(d, hydration_least, ["waters"])))
-    stages.append(("hydration_variant_exact", lambda d: exact(d, ["base_key"])))
+        stages.append(lambda d: stage(similar(d, hydration_least, ["waters"]), "hydration_aware_fuzzy"))
+    stages.append(lambda d: stage(exact(d, ["base_key"]), "hydration_variant_exact"))
     if fuzzy:
-        stages.append(("fuzzy_normalized", lambda d: similar(d, least, [])))
+        stages.append(by_name)
     left, found = asked, []
-    for method, search in stages:
-        found.append(stage(search(left), method))
+    for search in stages:
+        found.append(search(left))
         left = left.join(found[-1].select("original"), "original", "left_anti")
     none = left.select("original", F.lit(None).cast("string").alias("chebi_id"), F.lit(None).cast("string").alias("chebi_name"), F.lit(0.0).alias("similarity_score"), F.lit("no_match").alias("match_confidence"), F.lit("none").alias("matching_method"))
     return reduce(DataFrame.unionByName, [*found, none])

@@ -151,6 +151,20 @@ def contained_short_name(t: Tables) -> DataFrame:
     return matching.contained_best(asked, known, "asked", "word").withColumn("score", F.round("score", 6))
 
 
+_ASKED = "CASE p_partkey % 6 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, ' ', '-') WHEN 2 THEN concat('(', p_name, ')') WHEN 3 THEN substring(p_name, 3, 100) WHEN 4 THEN concat(p_name, ' hydrate') ELSE concat('[', replace(p_name, ' ', '_'), ']') END"
+
+
+@query("respelled_names", f"""
+WITH b AS (SELECT lower(p_name) AS key, p_name AS right_name, min(p_partkey) AS pos FROM part GROUP BY 1, 2), a AS (SELECT DISTINCT {_ASKED} AS left_name FROM part),
+k AS (SELECT left_name, lower(left_name) AS a FROM a),
+v AS (SELECT left_name, unnest(range(7)) AS tier, unnest([a, replace(a, '-', ' '), replace(a, ' ', '-'), replace(a, '_', ' '), replace(a, ' ', ''), replace(replace(a, '(', ''), ')', ''), replace(replace(a, '[', ''), ']', '')]) AS key FROM k),
+w AS (SELECT left_name, right_name, tier, row_number() OVER (PARTITION BY left_name ORDER BY tier) AS n FROM v JOIN b USING (key)),
+p AS (SELECT left_name, right_name, row_number() OVER (PARTITION BY left_name ORDER BY pos) AS n FROM k JOIN b ON (contains(a, key) OR contains(key, a)) AND length(a) > 3 AND length(key) > 3 WHERE left_name NOT IN (SELECT left_name FROM w))
+SELECT left_name, right_name, CASE WHEN tier = 0 THEN 'exact' ELSE 'respelled' END AS method FROM w WHERE n = 1 UNION ALL SELECT left_name, right_name, 'partial' FROM p WHERE n = 1""")
+def respelled_names(t: Tables) -> DataFrame:
+    return matching.respelled_best(t.part.select(F.expr(_ASKED).alias("asked")), t.part, "asked", "p_name", "p_partkey")
+
+
 @query("fuzzy_names")
 def fuzzy_names(t: Tables) -> DataFrame:
     """The nearest other spelling of each part name: no SQL, for the ratio is no SQL function."""

@@ -32,3 +32,19 @@ def test_short_names_match_as_a_whole_only(spark):
     left, right = asked(spark, "KCl", "HCl in water", "NaF", "agar", ""), asked(spark, "kcl", "HCl", "water", "agar", "aga", "")
     got = {r.left_name: (r.right_name, round(r.score)) for r in matching.contained_best(left, right, "original", "original").collect()}
     assert got == {"KCl": ("kcl", 100), "HCl in water": ("water", 42), "agar": ("agar", 100)}
+
+
+def test_respelled_and_held_names(spark):
+    index = spark.createDataFrame([("Sodium Chloride", 1), ("iron(II) sulfate", 2), ("calcium chloride dihydrate", 3), ("calcium", 4), ("ab", 5)], "name string, pos long")
+    left = asked(spark, " sodium chloride", "sodium-chloride", "sodium_chloride", "[iron(II)] sulfate", "chloride dihydrate", "calcium carbonate", "chloride", "abc", "agar", None)
+    got = {r.left_name: (r.right_name, r.method) for r in matching.respelled_best(left, index, "original", "name", "pos").collect()}
+    assert got == {
+        " sodium chloride": ("Sodium Chloride", "exact"), "sodium-chloride": ("Sodium Chloride", "respelled"), "sodium_chloride": ("Sodium Chloride", "respelled"), "[iron(II)] sulfate": ("iron(II) sulfate", "respelled"),
+        "chloride dihydrate": ("calcium chloride dihydrate", "partial"), "calcium carbonate": ("calcium", "partial"), "chloride": ("Sodium Chloride", "partial"),
+    }
+
+
+def test_staged_label_beats_a_lower_normalised_score(spark):
+    known = dictionary(spark, [("CHEBI:1", "sodium citrate dihydrate"), ("CHEBI:2", "agar")])
+    got = [(r.chebi_id, r.matching_method) for r in staged.matched_in_stages(asked(spark, "sodium cit dihydrat"), known).collect()]
+    assert got == [("CHEBI:1", "fuzzy_label")]
