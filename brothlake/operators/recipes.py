@@ -2,7 +2,8 @@
 
 Line-oriented layouts are read with Column expressions: a text is split into
 lines once, each line is tried against a layout's pattern, and the first layout
-that finds anything wins. Tables in HTML are read by a small parser in a pandas
+that finds anything wins; lists of names and amounts come before the prose of
+amount_first. Tables in HTML are read by a small parser in a pandas
 UDF, one document a row.
 """
 
@@ -31,6 +32,12 @@ LAYOUTS = [
     ("amount_first", rf"(?i)(?:add|dissolve|contains?|with|and)\s+{NUMBER}\s*({UNITS})\s+(?:of\s+)?{NAME}(?=[,.;\n]|\s+(?:in|to|and|per)\b|$)", 3, 1, 2),
 ]
 
+#: A list of names, a line with "per litre", and the list of their amounts; lines that are neither, and those that end the amounts.
+PER_LITRE = r"(?i)\bper\s+lit(?:re|er)\b"
+LISTED_AMOUNT = rf"{NUMBER}\s*({UNITS}|mL|l|L)(?![A-Za-z])"
+NOT_LISTED = r"(?i)©|adjust|sterili[sz]e|preparation|ccap|tel:|fax:|email:|web:|^SNA.*Seawater|^.?$"
+LIST_END = r"(?i)make up|steam|autoclave"
+
 MOST_INGREDIENTS = 50
 REFERENCE = r"(?i)\bmedium\s+(?:no\.?\s*)?(\d+[a-z]?)\b"
 ADDITION = rf"(?i)(?:add|supplemented with|plus)\s+{NUMBER}\s*%\s+([A-Za-z][A-Za-z \-]*)"
@@ -45,12 +52,29 @@ def layout(text: Column, name: str) -> Column:
     _, pattern, n, a, u = next(x for x in LAYOUTS if x[0] == name)
     part = lambda g: F.regexp_extract_all(text, F.lit(pattern), g)
     rows = F.transform(F.arrays_zip(part(n).alias("n"), part(a).alias("a"), part(u).alias("u")), lambda r: F.struct(F.trim(r["n"]).alias("name"), F.regexp_replace(r["a"], ",", ".").cast("double").alias("concentration"), r["u"].alias("unit"), F.lit(name).alias("extraction_method")))
-    return F.slice(F.filter(rows, lambda r: is_compound(r["name"])), 1, MOST_INGREDIENTS)
+    return F.slice(F.filter(rows, lambda r: is_compound(r["name"]) & ~r["name"].rlike(PER_LITRE)), 1, MOST_INGREDIENTS)
+
+
+def listed(text: Column) -> Column:
+    """The names before the first line with "per litre", each with the amount at its place after it, as far as both go."""
+    lines = F.transform(F.split(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+    lines = F.filter(lines, lambda x: ~x.rlike(NOT_LISTED))
+    first = lambda xs, true: F.array_position(F.transform(xs, true), F.lit(True)).cast("int")
+    at = first(lines, lambda x: x.rlike(PER_LITRE))
+    named = F.filter(F.slice(lines, 1, F.greatest(at - 1, F.lit(0))), lambda x: (F.length(x) > 3) & (F.lower(x) != "medium") & ~x.rlike(r"^\d"))
+    rest = F.slice(lines, at + 1, F.size(lines))
+    end = first(rest, lambda x: x.rlike(LIST_END) & ~x.rlike(LISTED_AMOUNT))
+    amounts = F.filter(F.slice(rest, 1, F.when(end > 0, end - 1).otherwise(F.size(rest))), lambda x: x.rlike(LISTED_AMOUNT) & ~x.rlike(PER_LITRE))
+    pairs = F.slice(F.arrays_zip(named.alias("n"), amounts.alias("a")), 1, F.least(F.size(named), F.size(amounts)))
+    part = lambda r, g: F.regexp_extract(r["a"], LISTED_AMOUNT, g)
+    rows = F.transform(pairs, lambda r: F.struct(r["n"].alias("name"), F.regexp_replace(part(r, 1), ",", ".").cast("double").alias("concentration"), part(r, 2).alias("unit"), F.lit("list").alias("extraction_method")))
+    return F.slice(rows, 1, MOST_INGREDIENTS)
 
 
 def ingredients(text: Column) -> Column:
     """Those of the first layout that finds any; an empty array if none does or the text is null."""
     found = [layout(text, name) for name, *_ in LAYOUTS]
+    found.insert(3, listed(text))
     return F.coalesce(*[F.when(F.size(x) > 0, x) for x in found], F.array().cast(INGREDIENT))
 
 

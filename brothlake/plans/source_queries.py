@@ -56,6 +56,16 @@ def recipe_ingredients(t: Tables) -> DataFrame:
     return recipes.recipe_rows(t.part.select("p_partkey", F.expr(_TEXT.replace("\n", "\\n")).alias("text")), "p_partkey")
 
 
+_LISTED = "concat('Medium\\nSodium nitrate\\nKH2PO4\\nSoil extract\\nper litre\\n', p_size, '.5 g\\n20 mg\\n', p_partkey % 9 + 1, ' ml\\nMake up to 1 litre\\nAutoclave at 15 psi\\n')"
+
+
+@query("listed_ingredients", """
+SELECT p_partkey, 0 AS pos, 'Sodium nitrate' AS name, p_size + 0.5::DOUBLE AS concentration, 'g' AS unit, 'list' AS extraction_method FROM part
+UNION ALL SELECT p_partkey, 1, 'KH2PO4', 20, 'mg', 'list' FROM part UNION ALL SELECT p_partkey, 2, 'Soil extract', p_partkey % 9 + 1, 'ml', 'list' FROM part""")
+def listed_ingredients(t: Tables) -> DataFrame:
+    return recipes.recipe_rows(t.part.select("p_partkey", F.expr(_LISTED).alias("text")), "p_partkey")
+
+
 @query("html_table_ingredients", """
 SELECT page_id, 1 AS pos, 'NaCl' AS name, (page_id % 90)::DOUBLE AS concentration, 'g/l' AS unit FROM pages UNION ALL SELECT page_id, 3, 'K2HPO4 & co', 2.5, 'mM' FROM pages""")
 def html_table_ingredients(t: Tables) -> DataFrame:

@@ -1,7 +1,7 @@
 """Jobs that a cap, a length limit or a missing stage would cut."""
 
 import __spark_entry__
-from brothlake.operators import matching, staged
+from brothlake.operators import matching, recipes, staged
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -48,3 +48,10 @@ def test_staged_label_beats_a_lower_normalised_score(spark):
     known = dictionary(spark, [("CHEBI:1", "sodium citrate dihydrate"), ("CHEBI:2", "agar")])
     got = [(r.chebi_id, r.matching_method) for r in staged.matched_in_stages(asked(spark, "sodium cit dihydrat"), known).collect()]
     assert got == [("CHEBI:1", "fuzzy_label")]
+
+
+def test_lists_of_names_and_amounts(spark):
+    texts = ["Medium\n©\nSodium nitrate\nKH2PO4\nVitamin B12\nper litre\n5,5 g\n20 mg\n1 mL\nMake up to 1 litre\nagar 15 g", "NaCl 5 g\nKCl 2 g\nper litre", "names only\nper litre", "per litre\n5 g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.doc_id, r.name, r.concentration, r.unit, r.extraction_method) for r in recipes.recipe_rows(docs, "doc_id").orderBy("doc_id", "pos").collect()]
+    assert got == [(0, "Sodium nitrate", 5.5, "g", "list"), (0, "KH2PO4", 20.0, "mg", "list"), (0, "Vitamin B12", 1.0, "mL", "list"), (1, "NaCl", 5.0, "g", "columnar"), (1, "KCl", 2.0, "g", "columnar")]
