@@ -107,6 +107,24 @@ def expanded_solutions(t: Tables) -> DataFrame:
     return tables.expanded_solutions(rows, solutions).select("o_orderkey", "original", F.round("value", 1).alias("value"), "unit", "expansion_status")
 
 
+@query("expanded_all_lines", """
+WITH r AS (SELECT o_orderkey, o_custkey % 100 AS medium_id, o_orderpriority AS original, CASE WHEN o_orderkey % 3 = 0 THEN concat('CHEBI:', o_orderkey) WHEN o_orderkey % 4 = 0 THEN concat('solution:none', o_orderkey % 120) ELSE concat('solution:', o_orderkey % 120) END AS mapped, o_totalprice AS value, ['ml/L', 'g/L', 'drops'][o_orderkey % 3 + 1] AS unit FROM orders),
+s AS (SELECT l_suppkey AS sid, concat('comp', l_partkey % 50) AS name, min(l_extendedprice) AS conc FROM lineitem GROUP BY 1, 2)
+SELECT o_orderkey, original, round(value, 1) AS value, unit, 'direct' AS expansion_status FROM r WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, name, round(CASE WHEN unit IN ('ml/L', 'g/L') THEN conc * value / 1000 ELSE conc END, 1), 'g/L', 'expanded' FROM r JOIN s ON mapped = concat('solution:', sid)
+UNION ALL SELECT o_orderkey, original, round(value, 1), unit, 'unresolved' FROM r WHERE o_orderkey % 3 > 0 AND mapped NOT IN (SELECT concat('solution:', sid) FROM s)""")
+def expanded_all_lines(t: Tables) -> DataFrame:
+    """Solutions of all lines of all suppliers; the unresolved ones have ids that no supplier has."""
+    key = F.col("o_orderkey")
+    number = (key % 120).cast("string")
+    mapped = F.when(key % 3 == 0, F.concat(F.lit("CHEBI:"), key.cast("string"))).when(key % 4 == 0, F.concat(F.lit("solution:none"), number)).otherwise(F.concat(F.lit("solution:"), number))
+    unit = F.element_at(F.array(*map(F.lit, ["ml/L", "g/L", "drops"])), (key % 3 + 1).cast("int"))
+    rows = t.orders.select("o_orderkey", (F.col("o_custkey") % 100).alias("medium_id"), F.col("o_orderpriority").alias("original"), mapped.alias("mapped"), F.col("o_totalprice").alias("value"), unit.alias("unit"))
+    parts = t.lineitem.groupBy("l_suppkey", F.concat(F.lit("comp"), (F.col("l_partkey") % 50).cast("string")).alias("name")).agg(F.min("l_extendedprice").alias("concentration"))
+    solutions = parts.groupBy(F.col("l_suppkey").cast("string").alias("solution_id")).agg(F.collect_list(F.struct("name", "concentration", F.lit("g/L").alias("unit"))).alias("composition"))
+    return tables.expanded_solutions(rows, solutions).select("o_orderkey", "original", F.round("value", 1).alias("value"), "unit", "expansion_status")
+
+
 @query("upserted_names", """
 WITH old AS (SELECT s_name AS name, s_acctbal AS weight FROM supplier WHERE s_suppkey % 2 = 0), new AS (SELECT upper(s_name) AS name, s_acctbal + 1 AS weight FROM supplier WHERE s_suppkey % 3 = 0)
 SELECT name, round(weight, 4) AS weight FROM old UNION ALL SELECT name, round(weight, 4) FROM new WHERE lower(name) NOT IN (SELECT lower(name) FROM old)""")

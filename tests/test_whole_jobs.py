@@ -55,3 +55,12 @@ def test_lists_of_names_and_amounts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [(r.doc_id, r.name, r.concentration, r.unit, r.extraction_method) for r in recipes.recipe_rows(docs, "doc_id").orderBy("doc_id", "pos").collect()]
     assert got == [(0, "Sodium nitrate", 5.5, "g", "list"), (0, "KH2PO4", 20.0, "mg", "list"), (0, "Vitamin B12", 1.0, "mL", "list"), (1, "NaCl", 5.0, "g", "columnar"), (1, "KCl", 2.0, "g", "columnar")]
+
+
+def test_expansion_has_the_components_of_all_lines(spark):
+    rows = __spark_entry__.queries()["expanded_all_lines"](spark, SMALL)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").selectExpr("l_suppkey AS sid", "l_partkey % 50 AS part").distinct()
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").where("o_orderkey % 3 > 0")
+    want = orders.where("o_orderkey % 4 > 0").selectExpr("o_orderkey % 120 AS sid").join(lines, "sid").count()
+    assert rows.where("expansion_status = 'expanded'").count() == want > 0
+    assert rows.where("expansion_status = 'unresolved'").count() >= orders.where("o_orderkey % 4 = 0").count() > 0
