@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import elements, hydrates
-from ..operators import staged
+from ..operators import properties, staged
 from . import stages
 from .mapping_queries import nodes
-from .media_queries import compositions
+from .media_queries import _FACTS, compositions, property_rows
 from .name_queries import _FORMULA_CASE
 from .registry import Tables, query
 
@@ -84,3 +84,18 @@ query("elements_of_formulas", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN
     lambda t: t.part.select("p_partkey", F.array_join(elements.elements_in(F.element_at(F.array(F.lit("NaCl"), F.lit("MgSO4"), F.lit("calcium with KCl")), (F.col("p_partkey") % 3 + 1).cast("int"))), ",").alias("elements"))
 )
 query("ingredient_usage", "SELECT count(*) AS n FROM lineitem")(lambda t: compositions(t).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("unaccounted_compounds", f"""
+WITH {_FACTS}
+SELECT compound, count(*) AS frequency FROM lines WHERE weight IS NULL AND lower(compound) NOT IN ('water', 'distilled water') GROUP BY 1""")
+def unaccounted_compounds(t: Tables) -> DataFrame:
+    """How often each compound is in a medium without being accounted for; water doesn't count."""
+    parts = properties.ingredients(compositions(t), property_rows(t)).where((F.col("account") == "unaccounted") & ~F.lower("compound").isin("water", "distilled water"))
+    return parts.groupBy("compound").agg(F.count(F.lit(1)).alias("frequency"))
+
+
+@query("compound_usage", f"WITH {_FACTS} SELECT compound, count(*) AS n, count(DISTINCT medium_id) AS media FROM lines GROUP BY 1")
+def compound_usage(t: Tables) -> DataFrame:
+    """How many rows and media use each ingredient."""
+    return compositions(t).groupBy("compound").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("medium_id").alias("media"))

@@ -64,3 +64,11 @@ def test_expansion_has_the_components_of_all_lines(spark):
     want = orders.where("o_orderkey % 4 > 0").selectExpr("o_orderkey % 120 AS sid").join(lines, "sid").count()
     assert rows.where("expansion_status = 'expanded'").count() == want > 0
     assert rows.where("expansion_status = 'unresolved'").count() >= orders.where("o_orderkey % 4 = 0").count() > 0
+
+
+def test_unaccounted_compounds_are_those_of_the_accounts(spark):
+    queries = __spark_entry__.queries()
+    accounts = queries["compound_accounts"](spark, SMALL).collect()
+    want = {r.compound: r.frequency for r in accounts if r.account == "unaccounted"}
+    assert {r.compound: r.frequency for r in queries["unaccounted_compounds"](spark, SMALL).collect()} == want and any(len(x) < 12 for x in want)
+    assert {r.compound: r.n for r in queries["compound_usage"](spark, SMALL).collect()} == {r.compound: r.frequency for r in accounts}
