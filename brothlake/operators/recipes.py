@@ -42,20 +42,25 @@ MOST_INGREDIENTS = 50
 REFERENCE = r"(?i)\bmedium\s+(?:no\.?\s*)?(\d+[a-z]?)\b"
 ADDITION = rf"(?i)(?:add|supplemented with|plus)\s+{NUMBER}\s*%\s+([A-Za-z][A-Za-z \-]*)"
 TITLE = [r"(?im)^\s*\d+[a-z]?\.\s*([A-Z][^\n]{3,80})$", r"(?im)^\s*(?:medium|name)\s*:\s*([^\n]+)$", r"(?m)^\s*([A-Z][A-Z0-9 \-]{3,60}MEDIUM)\s*$"]
-PREPARATION = r"(?is)\b(?:preparation|instructions|procedure|method)\s*:?\s*(.{1,500})"
+PREPARATION = r"(?is)\b(?:preparation|instructions|procedure|method)\s*:?\s*(.+)"
+MOST_PREPARATION = 500
 
 INGREDIENT = "array<struct<name:string,concentration:double,unit:string,extraction_method:string>>"
 
 
-def layout(text: Column, name: str) -> Column:
-    """The ingredients that one layout finds in a text, in order, at most MOST_INGREDIENTS with a compound's name."""
+def _most(rows: Column, parity: bool) -> Column:
+    return F.slice(rows, 1, MOST_INGREDIENTS) if parity else rows
+
+
+def layout(text: Column, name: str, parity: bool = False) -> Column:
+    """The ingredients with a compound's name that one layout finds in a text, in order; with ``parity`` the first MOST_INGREDIENTS."""
     _, pattern, n, a, u = next(x for x in LAYOUTS if x[0] == name)
     part = lambda g: F.regexp_extract_all(text, F.lit(pattern), g)
     rows = F.transform(F.arrays_zip(part(n).alias("n"), part(a).alias("a"), part(u).alias("u")), lambda r: F.struct(F.trim(r["n"]).alias("name"), F.regexp_replace(r["a"], ",", ".").cast("double").alias("concentration"), r["u"].alias("unit"), F.lit(name).alias("extraction_method")))
-    return F.slice(F.filter(rows, lambda r: is_compound(r["name"]) & ~r["name"].rlike(PER_LITRE)), 1, MOST_INGREDIENTS)
+    return _most(F.filter(rows, lambda r: is_compound(r["name"]) & ~r["name"].rlike(PER_LITRE)), parity)
 
 
-def listed(text: Column) -> Column:
+def listed(text: Column, parity: bool = False) -> Column:
     """The names before the first line with "per litre", each with the amount at its place after it, as far as both go."""
     lines = F.transform(F.split(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
     lines = F.filter(lines, lambda x: ~x.rlike(NOT_LISTED))
@@ -68,13 +73,13 @@ def listed(text: Column) -> Column:
     pairs = F.slice(F.arrays_zip(named.alias("n"), amounts.alias("a")), 1, F.least(F.size(named), F.size(amounts)))
     part = lambda r, g: F.regexp_extract(r["a"], LISTED_AMOUNT, g)
     rows = F.transform(pairs, lambda r: F.struct(r["n"].alias("name"), F.regexp_replace(part(r, 1), ",", ".").cast("double").alias("concentration"), part(r, 2).alias("unit"), F.lit("list").alias("extraction_method")))
-    return F.slice(rows, 1, MOST_INGREDIENTS)
+    return _most(rows, parity)
 
 
-def ingredients(text: Column) -> Column:
+def ingredients(text: Column, parity: bool = False) -> Column:
     """Those of the first layout that finds any; an empty array if none does or the text is null."""
-    found = [layout(text, name) for name, *_ in LAYOUTS]
-    found.insert(3, listed(text))
+    found = [layout(text, name, parity) for name, *_ in LAYOUTS]
+    found.insert(3, listed(text, parity))
     return F.coalesce(*[F.when(F.size(x) > 0, x) for x in found], F.array().cast(INGREDIENT))
 
 
@@ -93,13 +98,15 @@ def title(text: Column, default: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(F.regexp_extract(text, p, 1)), F.lit("")) for p in TITLE], default)
 
 
-def preparation(text: Column) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, PREPARATION, 1)), F.lit(""))
+def preparation(text: Column, parity: bool = False) -> Column:
+    """What follows the heading of the instructions; with ``parity`` its first MOST_PREPARATION characters."""
+    found = F.regexp_extract(text, PREPARATION, 1)
+    return F.nullif(F.trim(F.substring(found, 1, MOST_PREPARATION) if parity else found), F.lit(""))
 
 
-def recipe_rows(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def recipe_rows(docs: DataFrame, key: str, text: str = "text", parity: bool = False) -> DataFrame:
     """A row for each ingredient of each document: key, pos, name, concentration, unit, extraction_method."""
-    return docs.select(key, F.posexplode(ingredients(F.col(text))).alias("pos", "i")).select(key, "pos", "i.*")
+    return docs.select(key, F.posexplode(ingredients(F.col(text), parity)).alias("pos", "i")).select(key, "pos", "i.*")
 
 
 def deduplicated(rows: DataFrame, key: str) -> DataFrame:

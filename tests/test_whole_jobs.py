@@ -1,5 +1,7 @@
 """Jobs that a cap, a length limit or a missing stage would cut."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 from brothlake.operators import matching, recipes, staged
 
@@ -72,3 +74,10 @@ def test_unaccounted_compounds_are_those_of_the_accounts(spark):
     want = {r.compound: r.frequency for r in accounts if r.account == "unaccounted"}
     assert {r.compound: r.frequency for r in queries["unaccounted_compounds"](spark, SMALL).collect()} == want and any(len(x) < 12 for x in want)
     assert {r.compound: r.n for r in queries["compound_usage"](spark, SMALL).collect()} == {r.compound: r.frequency for r in accounts}
+
+
+def test_long_recipes_stay_whole(spark):
+    text = "\n".join(f"K{n}Cl ...... {n}.5 g/L" for n in range(1, 61)) + "\nPreparation: " + "x" * 700
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [recipes.recipe_rows(docs, "doc_id", parity=p).count() for p in (False, True)] == [60, 50]
+    assert [docs.select(F.length(recipes.preparation(F.col("text"), p))).first()[0] for p in (False, True)] == [700, 500]
