@@ -28,37 +28,34 @@ def matched_in_stages(unaccounted: DataFrame, dictionary: DataFrame, least: int
     asked = unaccounted.select("original").where("original IS NOT NULL").distinct()
     asked = asked.select("original", names.kg_key(F.col("original")).alias("full_key"), names.ontology_key(F.col("original")).alias("base_key"), F.coalesce(hydrates.hydration_number(F.col("original")), F.lit(0)).alias("waters"))
 
-    def stage(found: DataFrame, method: str) -> DataFrame:
-        best = first_rows(found, ["original"], F.desc("similarity_score"), F.asc("chebi_id"))
-        return best.select("original", "chebi_id", "chebi_name", F.col("similarity_score").cast("double").alias("similarity_score"), chemistry.score_label(F.col("similarity_score")).alias("match_confidence"), F.lit(method).alias("matching_method"))
+    # Each stage is planned once over its own rest, found by anti joins on keys, and the earliest stage of an original wins at the end: a chain of stages, each on the last one's rest, doubles its plan with every stage.
+    def stage(found: DataFrame, place: int, method: str) -> DataFrame:
+        return found.select("original", "chebi_id", "chebi_name", F.col("similarity_score").cast("double").alias("similarity_score"), F.lit(method).alias("matching_method"), F.lit(place).alias("place"))
 
-    def exact(left: DataFrame, key: list[str]) -> DataFrame:
-        return left.join(known.select("chebi_id", "chebi_name", *key), key).withColumn("similarity_score", F.lit(100.0))
+    def exact(key: list[str]) -> DataFrame:
+        return asked.join(known.select("chebi_id", "chebi_name", *key), key).withColumn("similarity_score", F.lit(100.0))
+
+    def unlike(*keys: list[str]) -> DataFrame:
+        return reduce(lambda d, key: d.join(known.select(*key), key, "left_anti"), keys, asked)
 
     def similar(left: DataFrame, score: int, shared: list[str], name: str = "base_key") -> DataFrame:
-        # All names that tie at the best score stay, for stage() decides between them by id.
+        # All names that tie at the best score stay, for the id decides between them.
         place = F.rank().over(Window.partitionBy("left_name", *shared).orderBy(F.desc("score")))
         near = scored_pairs(left, known, "base_key", name, score, shared=shared).withColumn("_n", place).where("_n = 1").drop("_n")
         right = known.select("chebi_id", "chebi_name", F.col(name).alias("right_name"), *shared)
-        return left.join(near.withColumnRenamed("left_name", "base_key"), ["base_key", *shared]).join(right, ["right_name", *shared]).withColumnRenamed("score", "similarity_score")
-
-    def by_name(left: DataFrame) -> DataFrame:
-        both = stage(similar(left, least, []), "fuzzy_normalized").unionByName(stage(similar(left, least, [], "chebi_name"), "fuzzy_label"))
-        normalised = F.col("matching_method") == "fuzzy_normalized"
-        return first_rows(both, ["original"], F.desc(normalised & (F.col("similarity_score") >= hydration_least)), F.desc("similarity_score"), F.desc(normalised))
+        return asked.join(near.withColumnRenamed("left_name", "base_key"), ["base_key", *shared]).join(right, ["right_name", *shared]).withColumnRenamed("score", "similarity_score")
 
-    stages = [lambda d: stage(exact(d, ["full_key"]), "exact_normalized"), lambda d: stage(exact(d, ["base_key", "waters"]), "hydration_aware_exact")]
-    if fuzzy:
-        stages.append(lambda d: stage(similar(d, hydration_least, ["waters"]), "hydration_aware_fuzzy"))
-    stages.append(lambda d: stage(exact(d, ["base_key"]), "hydration_variant_exact"))
+    found = [stage(exact(["full_key"]), 0, "exact_normalized"), stage(exact(["base_key", "waters"]), 1, "hydration_aware_exact"), stage(exact(["base_key"]), 3, "hydration_variant_exact")]
     if fuzzy:
-        stages.append(by_name)
-    left, found = asked, []
-    for search in stages:
-        found.append(search(left))
-        left = left.join(found[-1].select("original"), "original", "left_anti")
-    none = left.select("original", F.lit(None).cast("string").alias("chebi_id"), F.lit(None).cast("string").alias("chebi_name"), F.lit(0.0).alias("similarity_score"), F.lit("no_match").alias("match_confidence"), F.lit("none").alias("matching_method"))
-    return reduce(DataFrame.unionByName, [*found, none])
+        rest = unlike(["full_key"], ["base_key"])
+        found.append(stage(similar(unlike(["full_key"], ["base_key", "waters"]), hydration_least, ["waters"]), 2, "hydration_aware_fuzzy"))
+        found.append(stage(similar(rest, least, []), 5, "fuzzy_normalized").withColumn("place", F.when(F.col("similarity_score") >= hydration_least, 4).otherwise(5)))
+        found.append(stage(similar(rest, least, [], "chebi_name"), 5, "fuzzy_label"))
+    order = [F.asc("place"), F.desc("similarity_score"), F.desc("matching_method"), F.asc("chebi_id")]
+    best = first_rows(reduce(DataFrame.unionByName, found), ["original"], *order)
+    out = asked.select("original").join(best, "original", "left").withColumn("similarity_score", F.coalesce("similarity_score", F.lit(0.0)))
+    confidence = F.when(F.col("matching_method").isNull(), "no_match").otherwise(chemistry.score_label(F.col("similarity_score")))
+    return out.withColumn("match_confidence", confidence).withColumn("matching_method", F.coalesce("matching_method", F.lit("none"))).select(*MATCH)
 
 
 def backfilled_weights(df: DataFrame, formula: str = "base_formula", weight: str = "base_weight", default: float = hydrates.UNKNOWN_WEIGHT) -> DataFrame:
