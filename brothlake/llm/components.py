@@ -17,15 +17,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Self-links and repeated edges change nothing; no edges give no rows. A
     round at least halves the distance to the root, so rounds grow with the
-    logarithm of the longest path. Nodes of high degree are split by joins,
-    never gathered.
+    logarithm of the longest path. The edges of one node meet in a sort-merge
+    join, which streams them and which adaptive execution splits where it is
+    skewed; they are never held together.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
     state, before = _state(now), None
     while state != before and state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "components")

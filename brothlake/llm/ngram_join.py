@@ -5,14 +5,18 @@ share one of their first shingles in an order common to all sets (prefix
 filter; rarest first), so a tile is the sets that have such a shingle, in
 order of size, and a set meets only those of the sizes that the threshold
 allows. A bitmap holds the parity of a set's hashes; the bits in which two
-bitmaps differ bound their overlap from above, and only pairs that pass are
-intersected exactly as sorted arrays.
-
-Equal sets are one node. A large group of near copies is not compared pair by
-pair: each set is first held against its nearest set in each tile and against
-the leaders of some tiles. Then the tiles are searched for all pairs between
-different components of these links. No pair that could join two is left out,
-so components are exact.
+bitmaps differ bound their overlap from above.
+
+A tile gives the sets that have a partner by these bounds, never the pairs.
+Those sets meet again in the tile with their texts, are intersected exactly as
+sorted arrays, and give a spanning forest of the tile's links: fewer links than
+sets, however many pairs there are. Equal sets are one node.
+
+First each set is in the tiles of its HEADS rarest shared shingles only, which
+joins groups of near copies. Then all tiles that still hold more than one
+component are searched for links between different components, leaving out
+pairs that a tile of the first search has seen. No pair that could join two is
+left out, so components are exact.
 """
 
 from __future__ import annotations
@@ -21,20 +25,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .tables import written
+from .tables import free_names, written
 
 #: A shingle is frequent if a share of all documents has it. At most the mean set size divided by it are: the only table that is broadcast.
-FREQUENT = 0.005
-#: Sets in one block of a tile, and of how many tiles one has a leader.
-TILE_ROWS, LEAD = 2_048, 2
+FREQUENT = 0.001
+#: Sets and shingles in one block of a tile, about, and of how many tiles a set is in the first search.
+TILE_ROWS, TILE_SHINGLES, HEADS = 2_048, 2_000_000, 4
 
 SIGNATURES = "doc_id long, n_shingles long, node long, tokens array<long>, bitmap binary"
 
@@ -60,9 +63,9 @@ def needed(n: int, percent: int) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Parities of the hashes in a power of two of bits, at least 64 and half their number."""
+    """Parities of the hashes in a power of two of bits, at least 64 and their number."""
     bits = 64
-    while bits * 2 < len(hashes):
+    while bits < len(hashes):
         bits *= 2
     return np.packbits(np.bincount((hashes >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits) & 1).tobytes()
 
@@ -70,28 +73,41 @@ def bitmap(hashes: np.ndarray) -> bytes:
 def frequent_shingles(docs: DataFrame, k: int, share: float = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and counts of the shingles that about ``share`` of all documents have, at least.
 
-    Each task counts runs of whole documents of about a million shingles
-    and returns those above half the share, so what is gathered is bounded by
-    the mean size of a set over the share.
+    Each task counts lossily: shingles below a quarter of the share of what it
+    has seen are forgotten when its table is full. It returns those above half
+    the share, so what is gathered is bounded by the mean size of a set over
+    the share. The order of shingles depends on it, links don't.
     """
+    full = 500_000
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        known, times, seen, held, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, [], 0
+
+        def counted() -> tuple[np.ndarray, np.ndarray]:
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= max(4, len(held) * share / 2)
-            return pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(n[keep])], ["shingle", "n"])
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                old = known[at] == found
+                times[at[old]] += n[old]
+                found, n = np.concatenate([known, found[~old]]), np.concatenate([times, n[~old]])
+                order = np.argsort(found, kind="stable")
+                found, n = found[order], n[order]
+            keep = n > (max(1, seen * share / 4) if len(found) > full else 0)
+            return found[keep], n[keep]
 
-        held, size = [], 0
         for batch in batches:
             for block in W.blocks(batch.column(0), lower=True):
                 for hashes, _ in shingle_sets(block, k):
                     held.append(hashes)
                     size += len(hashes)
+                    seen += 1
                     if size >= 1_000_000:
-                        yield counted(held)
+                        known, times = counted()
                         held, size = [], 0
         if held:
-            yield counted(held)
+            known, times = counted()
+        keep = times >= max(4, seen * share / 2)
+        yield pa.RecordBatch.from_arrays([pa.array(known[keep].view(np.int64)), pa.array(times[keep])], ["shingle", "n"])
 
     least = max(8, docs.count() * share)
     found = docs.select("text").mapInArrow(kernel, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
@@ -166,137 +182,211 @@ def may_link(n1: np.ndarray, n2: np.ndarray, differ: np.ndarray, percent: int) -
     return 100 * most >= percent * (n1 + n2 - most)
 
 
-def tile_pairs(tiles: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
-    """Pairs (a, b) that may link among the rows of each tile: of different components and, in a tile of two blocks, of different blocks.
-
-    tiles: token, i, j, block, node, component, n_shingles, bitmap. A tile has
-    two blocks of TILE_ROWS rows or so at most, read in order of size. With
-    ``nearest`` only the pair of the fewest differing bits is given for each
-    row, and in one of LEAD tiles that with the tile's leader.
+def by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a partition in order of (token, i, j), cut and joined so that no tile is in two."""
+    held: list[pa.RecordBatch] = []
+
+    def whole() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = np.ones(batch.num_rows, bool)
+        for c in ("token", "i", "j"):
+            x = batch.column(c).to_numpy()
+            last &= x == x[-1]
+        cut = 0 if last.all() else int(np.flatnonzero(~last)[-1]) + 1
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("token", "i", "j")):
+            yield whole()
+            held = []
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield whole()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield whole()
+
+
+def possible(tiles: DataFrame, percent: int, again: bool) -> DataFrame:
+    """The rows (token, i, j, node, component) of tiles that have a partner by size and bitmap: of another component and, in a tile of two blocks, of the other block.
+
+    tiles: token, i, j, block, node, component, n_shingles, bitmap and the
+    columns h0, h1 and on, the node's heads whose tile of the first search is
+    of one block (0: none). Of such tiles that two sets share only the one
+    with the smallest token looks at the pair, and no tile does ``again``.
     """
+    heads = [f"h{k}" for k in range(HEADS)]
 
-    def searched(t: pd.DataFrame) -> pd.DataFrame:
-        tile = t[["token", "i", "j"]].to_numpy()
-        n, node, comp, block = (t[c].to_numpy() for c in ("n_shingles", "node", "component", "block"))
-        mixed, found, maps = t["i"].to_numpy() != t["j"].to_numpy(), [], Bitmaps(t["bitmap"].to_numpy())
-        least, partner = np.full(len(t), np.iinfo(np.int64).max), np.full(len(t), -1)
-        leads = np.zeros(len(t), bool)
-        if nearest:
-            first = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]).any(1)]))
-            with np.errstate(over="ignore"):
-                turn = W.mixed(node.view(np.uint64) * np.uint64(3) + t["token"].to_numpy().view(np.uint64))
-            leads = (turn == np.repeat(np.minimum.reduceat(turn, first), np.diff(np.append(first, len(t))))) & (t["token"].to_numpy().view(np.uint64) % np.uint64(LEAD) == 0)
-        left = np.arange(len(t))
-        for lag in range(1, len(t)):
-            left = left[left + lag < len(t)]
-            right = left + lag
-            near = (tile[left] == tile[right]).all(1) & (100 * n[left] >= percent * n[right])
-            left = left[near]
-            if not len(left):
-                break
-            right = left + lag
-            asked = (comp[left] != comp[right]) & (~mixed[left] | (block[left] != block[right]))
-            a, b = left[asked], right[asked]
-            if not len(a):
-                continue
-            differ = maps.differing(a, maps, b)
-            ok = may_link(n[a], n[b], differ, percent)
-            a, b, differ = a[ok], b[ok], differ[ok]
-            if not nearest:
-                found.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1))
-                continue
-            led = leads[a] | leads[b]
-            found.append(np.stack([np.minimum(node[a[led]], node[b[led]]), np.maximum(node[a[led]], node[b[led]])], axis=1))
-            for x, y in ((a, b), (b, a)):
-                closer = differ < least[x]
-                least[x[closer]], partner[x[closer]] = differ[closer], y[closer]
-        if nearest:
-            x = np.flatnonzero(partner >= 0)
-            found.append(np.stack([np.minimum(node[x], node[partner[x]]), np.maximum(node[x], node[partner[x]])], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = (held[["token", "i", "j"]] == held[["token", "i", "j"]].iloc[-1]).all(axis=1).to_numpy() if len(held) else np.zeros(0, bool)
-            if last.all():
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_tile(batches):
+            token, i, j, block, node, comp, n = (t.column(c).to_numpy() for c in ("token", "i", "j", "block", "node", "component", "n_shingles"))
+            own = np.stack([t.column(h).to_numpy() for h in heads], axis=1)
+            mixed, alone = i != j, (own == token[:, None]).any(1)
+            maps = Bitmaps(np.array(t.column("bitmap").to_pylist(), object))
+            marked, left = np.zeros(len(n), bool), np.arange(len(n))
+            for lag in range(1, len(n)):
+                left = left[left + lag < len(n)]
+                right = left + lag
+                left = left[(token[left] == token[right]) & (i[left] == i[right]) & (j[left] == j[right]) & (100 * n[left] >= percent * n[right])]
+                if not len(left):
+                    break
+                right = left + lag
+                asked = (comp[left] != comp[right]) & (~mixed[left] | (block[left] != block[right])) & ~(marked[left] & marked[right])
+                a, b = left[asked], right[asked]
+                if len(a):
+                    ok = may_link(n[a], n[b], maps.differing(a, maps, b), percent)
+                    a, b = a[ok], b[ok]
+                for x in range(HEADS) if len(a) else ():
+                    both = (own[b] == own[a, x][:, None]).any(1) & (own[a, x] != 0)
+                    seen = both if again else both & ((own[a, x] < token[a]) | ~alone[a])
+                    a, b = a[~seen], b[~seen]
+                marked[a] = True
+                marked[b] = True
+            yield t.filter(pa.array(marked)).select(["token", "i", "j", "node", "component"])
+
+    sorted_tiles = tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n_shingles")
+    return sorted_tiles.mapInArrow(kernel, "token long, i int, j int, node long, component long")
+
+
+def first_tiles(sets: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Tiles of the heads of the sets, of a tile of several blocks each block by itself; and sets with the heads h0, h1 and on that have tiles of one block."""
+    rows = sets.select("node", F.explode(F.slice("tokens", 1, HEADS)).alias("token"), "n_shingles")
+    sized = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("s")).where("m > 1")
+    blocks = rows.join(sized.select("token", _blocks("m", "s", tile_rows).alias("blocks")), "token")
+    placed = written(blocks.select("node", "token", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int").alias("block"), "blocks"), "join-heads")
+    single = placed.where("blocks = 1").groupBy("node").agg(F.collect_set("token").alias("heads"))
+    headed = sets.join(single, "node", "left").select("*", *[F.coalesce(F.try_element_at("heads", F.lit(k + 1)), F.lit(0)).alias(f"h{k}") for k in range(HEADS)]).drop("heads")
+    headed = written(headed, "join-headed")
+    tiles = placed.join(headed.drop("tokens"), "node").select("token", F.col("block").alias("i"), F.col("block").alias("j"), "block", "node", F.col("node").alias("component"), "n_shingles", "bitmap", *[f"h{k}" for k in range(HEADS)])
+    return tiles, headed
+
+
+def _blocks(rows: str, shingles: str, tile_rows: int) -> Column:
+    return F.greatest(F.ceil(F.col(rows) / tile_rows), F.ceil(F.col(shingles) / TILE_SHINGLES)).cast("int")
+
+
+def open_tiles(headed: DataFrame, links: DataFrame, tile_rows: int) -> DataFrame:
+    """The rows of the tiles that hold sets of more than one component of the links.
+
+    The largest component of a tile of several blocks is dealt to blocks 0 and
+    on, the rest to blocks -1 and on; only pairs of blocks that hold some of
+    the rest are formed.
+    """
+    placed = headed.select("node", F.explode("tokens").alias("token"), "n_shingles").join(components(links), "node", "left").select("node", "token", "n_shingles", F.coalesce("root", "node").alias("component"))
+    parts = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("s"))
+    largest = F.max(F.struct("m", "s", "component")).alias("top")
+    still = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("s").alias("s"), largest, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    still = still.select("token", F.col("top.component").alias("top"), _blocks("m", "s", tile_rows).alias("blocks"), F.col("top.m").alias("tm"), F.col("top.s").alias("ts"), (F.col("m") - F.col("top.m")).alias("rm"), (F.col("s") - F.col("top.s")).alias("rs"))
+    still = still.select("token", "top", "blocks", _blocks("tm", "ts", tile_rows).alias("major"), _blocks("rm", "rs", tile_rows).alias("minor"))
+    rows = placed.join(still, "token")
+    turn = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    block = F.when(F.col("blocks") == 1, F.lit(0)).when(F.col("component") == F.col("top"), turn("major")).otherwise(-1 - turn("minor"))
+    rest = F.sequence(-F.col("minor"), F.lit(-1))
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(F.col("block") >= 0, rest).otherwise(F.concat(rest, F.sequence(F.lit(0), F.col("major") - 1)))
+    dealt = rows.withColumn("block", block).select("token", "node", "component", "block", F.explode(others).alias("o"))
+    tiles = dealt.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "component")
+    return tiles.join(headed.drop("tokens"), "node").select("token", "i", "j", "block", "node", "component", "n_shingles", "bitmap", *[f"h{k}" for k in range(HEADS)])
+
+
+def forest(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join all of the sets that links join, each between two parts not joined before; sets of one component are joined from the start."""
+    n = np.array([len(s) for s in sets])
+    if len(n) == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if 100 * both >= percent * (n.sum() - both) and comp[0] != comp[1] else []
+    order = np.argsort(n, kind="stable")
+    n, comp = n[order], comp[order]
+    _, flat = np.unique(np.concatenate([sets[x] for x in order]), return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(n)])
+    flags, left, links = np.zeros(flat.max() + 1, np.int32), np.ones(len(n), bool), []
+    for root in range(len(n)):
+        if not left[root]:
+            continue
+        stack = np.flatnonzero(left & (comp == comp[root])).tolist()
+        left[stack] = False
+        while stack and left.any():
+            x = stack.pop()
+            lo, hi = np.searchsorted(n, -(-percent * n[x] // 100)), np.searchsorted(n, 100 * n[x] // percent, "right")
+            if not left[lo:hi].any():
                 continue
-            cut = int(np.flatnonzero(~last)[-1]) + 1
-            yield searched(held.iloc[:cut])
-            held = held.iloc[cut:].reset_index(drop=True)
-        if held is not None and len(held):
-            yield searched(held)
-
-    return tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n_shingles").mapInPandas(kernel, "a long, b long").distinct()
-
+            flags[flat[at[x] : at[x + 1]]] = 1
+            both = np.add.reduceat(flags[flat[at[lo] : at[hi]]], at[lo:hi] - at[lo])
+            flags[flat[at[x] : at[x + 1]]] = 0
+            for y in lo + np.flatnonzero(left[lo:hi] & (100 * both >= percent * (n[x] + n[lo:hi] - both))):
+                if left[y]:
+                    links.append((int(order[x]), int(order[y])))
+                    joined = np.flatnonzero(left & (comp == comp[y]))
+                    left[joined] = False
+                    stack += joined.tolist()
+    return links
 
-def open_tiles(postings: DataFrame, bits: DataFrame, links: DataFrame | None, tile_rows: int) -> DataFrame:
-    """The rows of the tiles that hold sets of more than one component of the links (without any, each set is one), in blocks of about ``tile_rows``."""
-    placed = postings.withColumn("component", F.col("node")) if links is None else postings.join(components(links), "node", "left").select("token", "node", "n_shingles", F.coalesce("root", "node").alias("component"))
-    still = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("token", F.ceil(F.col("m") / tile_rows).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tiles = placed.join(still, "token").withColumn("block", block).join(bits, "node").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return tiles.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "component", "n_shingles", "bitmap")
 
+def texts_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """node and a text that has its set, for each node of nodes (node, first_id: the doc_id of such a text)."""
 
-def linked(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, by exact intersection of the sets of their texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
-
-    def sets(texts: pa.Array) -> list[np.ndarray]:
-        return [hashes for block in W.blocks(texts, lower=True) for hashes, _ in shingle_sets(block, k)]
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in W.blocks(batch.column(1), lower=True):
+                mine = pa.array([node_of(hashes) if len(hashes) else None for hashes, _ in shingle_sets(block, k)], pa.int64())
+                part = batch.slice(block.first, len(mine))
+                yield pa.RecordBatch.from_arrays([mine, part.column(0), part.column(1)], ["node", "wanted", "text"])
 
-    def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-        return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+    schema = "node long, wanted long, text string"
+    asked = nodes.where("first_id IS NOT NULL").select(F.col("first_id").alias("doc_id"), F.col("node").alias("wanted"))
+    by_id = docs.join(asked, "doc_id").select("wanted", "text").mapInArrow(named, schema).where("node = wanted").select("node", "text")
+    unnamed = docs.where("doc_id IS NULL").select(F.lit(None).cast("long").alias("wanted"), "text").mapInArrow(named, schema).select("node", "text")
+    without = nodes.where("first_id IS NULL").select("node")
+    return by_id.unionByName(unnamed.join(without, "node", "left_semi")).dropDuplicates(["node"])
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            mine = np.array([node_of(s) for s in sets(batch.column(1))], np.int64)
-            yield batch.filter(pa.array(mine == batch.column(0).to_numpy()))
 
-    texts = docs.select(F.col("doc_id").alias("first_id"), "text").join(wanted.withColumnRenamed("first_id", "id"), F.col("first_id").eqNullSafe(F.col("id"))).select("node", "text").mapInArrow(named, "node long, text string")
-    texts = written(texts.dropDuplicates(["node"]), "join-texts")
+def links_in(tiles: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int, again: bool) -> DataFrame:
+    """Links (a, b) between nodes that join all that the links within the tiles join, by exact intersection of the sets."""
+    rows = written(possible(tiles, percent, again), "join-possible")
+    texts = texts_of(rows.select("node").distinct().join(firsts, "node"), docs, k)
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            one, two = sets(batch.column(2)), sets(batch.column(3))
-            keep = [100 * (both := len(np.intersect1d(x, y, assume_unique=True))) >= percent * (len(x) + len(y) - both) for x, y in zip(one, two)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_tile(batches):
+            keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "i", "j")], axis=1)
+            edges = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
+            node, comp, found = t.column("node").to_numpy(), t.column("component").to_numpy(), []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if hi - lo > 1:
+                    sets = [hashes for block in W.blocks(t.column("text").slice(lo, hi - lo), lower=True) for hashes, _ in shingle_sets(block, k)]
+                    found += [(node[lo + x], node[lo + y]) for x, y in forest(sets, comp[lo:hi], percent)]
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long")
+    with_texts = rows.join(texts, "node").select("token", "i", "j", "node", "component", "text")
+    return written(with_texts.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(kernel, "a long, b long"), "join-links")
 
 
 def labelled(docs: DataFrame, k: int = 3, percent: int = 90, tile_rows: int = TILE_ROWS, frequent: float = FREQUENT) -> DataFrame:
-    """For each row of docs doc_id, n_shingles and component_id: the smallest doc_id among the documents that links lead to.
+    """For each row of docs doc_id, n_shingles, component_id (the smallest doc_id among the documents that links lead to) and node, the name of its set.
 
     Two documents link when 100 * intersection >= percent * union of their
     sets. A null or empty text, or one without words, has no shingles, links
     with nothing and is a component of its own. A null doc_id never is the
     smallest, unless all of a component's are null. Repeated rows give a row
     each; an empty table gives none; other columns are ignored. Sets are told
-    apart by 64-bit digests, shingles by 64-bit hashes.
+    apart by 64-bit digests, shingles by 64-bit hashes. A very long text is
+    one row of its tiles like any other.
     """
     docs = docs.select("doc_id", "text")
     sig = written(signatures(docs, frequent_shingles(docs, k, frequent), k, percent), "join-signatures")
-    firsts = written(sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles")), "join-sets")
-    chosen = sig.join(firsts.select(F.col("node").alias("of"), "first_id"), (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["node"])
-    postings = chosen.select(F.explode("tokens").alias("token"), "node", "n_shingles")
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    postings = written(postings.join(shared, "token"), "join-postings")
-    names = firsts.select("node", "first_id")
-    bits = chosen.select("node", "bitmap")
-
-    near = written(tile_pairs(open_tiles(postings, bits, None, tile_rows), percent, nearest=True), "join-nearest")
-    links = written(linked(near, docs, names, k, percent), "join-links")
-    rest = written(tile_pairs(open_tiles(postings, bits, links, tile_rows), percent).join(near, ["a", "b"], "left_anti"), "join-pairs")
-    links = links.unionByName(linked(rest, docs, names, k, percent))
-
-    roots = components(links)
-    rooted = firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    nodes = written(sig.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n_shingles", "tokens", "bitmap")]), "join-sets")
+    postings = nodes.select("node", F.posexplode("tokens").alias("pos", "token"))
+    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    tokens = postings.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("tokens"))
+    sets = written(nodes.select("node", "n_shingles", "bitmap").join(tokens, "node").withColumn("tokens", F.col("tokens.token")), "join-shared")
+    firsts = nodes.select("node", "first_id")
+
+    tiles, headed = first_tiles(sets, tile_rows)
+    links = links_in(tiles, docs, firsts, k, percent, again=False)
+    links = links.unionByName(links_in(open_tiles(headed, links, tile_rows), docs, firsts, k, percent, again=True))
+
+    rooted = firsts.join(components(links), "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(smallest, "root").select("node", "component_id")
     return sig.select("doc_id", "n_shingles", "node").join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
@@ -308,20 +398,26 @@ def joined(docs: DataFrame, **options) -> DataFrame:
 
 
 def representatives(docs: DataFrame, k: int = 3, **options) -> DataFrame:
-    """One row of docs for each component, that of the smallest doc_id, with the columns of docs; of repeated rows one stays."""
+    """One row of docs for each component of labelled(), that of the smallest doc_id, with the columns of docs.
+
+    Of repeated rows one stays. A null or empty text is a component of its
+    own, so it stays, once for each doc_id; so does a component whose doc_ids
+    are all null, once for each different set. An empty table gives no rows.
+    """
     place, names = docs.columns.index("text"), [f.name for f in docs.schema]
+    node, of, first_id = free_names(docs, "node", "of", "first_id")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in W.blocks(batch.column(place), lower=True):
                 nodes = [node_of(hashes) if len(hashes) else None for hashes, _ in shingle_sets(block, k)]
                 part = batch.slice(block.first, len(nodes))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*names, "_node"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*names, node])
 
-    first = labelled(docs, k=k, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("node").alias("_of")).distinct()
-    named = docs.mapInArrow(kernel, T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
-    kept = named.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_node").eqNullSafe(F.col("_of")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_node"]).select(*docs.columns)
+    first = labelled(docs, k=k, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(first_id), F.col("node").alias(of)).distinct()
+    named = docs.mapInArrow(kernel, T.StructType([*docs.schema.fields, T.StructField(node, T.LongType())]))
+    kept = named.join(first, F.col("doc_id").eqNullSafe(F.col(first_id)) & F.col(node).eqNullSafe(F.col(of)), "left_semi")
+    return kept.dropDuplicates(["doc_id", node]).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

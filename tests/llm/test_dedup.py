@@ -48,7 +48,7 @@ def test_join_equals_brute_force(docs, texts):
     assert sorted(got, key=str) == grouped(texts)
 
 
-@pytest.mark.parametrize("k, percent, tile_rows", [(3, 90, 4), (5, 80, 2048)])
+@pytest.mark.parametrize("k, percent, tile_rows", [(3, 90, 4), (5, 80, 2048), (5, 80, 5)])
 def test_join_of_many_near_copies(spark, k, percent, tile_rows):
     """A family of copies that drift apart, in tiles split into blocks."""
     rng = random.Random(3)
@@ -63,6 +63,49 @@ def test_join_of_many_near_copies(spark, k, percent, tile_rows):
     assert sorted(got, key=str) == grouped(rows, k, percent)
 
 
+def test_join_of_one_large_group(spark, tmp_path):
+    """Links grow with the rows of a group, not with its pairs, in one block or in many."""
+    rng = random.Random(5)
+    base, rows = sentence(rng, 120, 3000).split(), []
+    for i in range(2000):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(5000 + i, sentence(rng, 60, 3000)) for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for tile_rows in (4096, 300):
+        got = {r.doc_id: r.component_id for r in ngram_join.joined(docs, k=5, percent=80, tile_rows=tile_rows).collect()}
+        assert got == {i: 0 if i < 5000 else i for i, _ in rows}
+
+
+def test_forest_equals_all_pairs():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        base = rng.choice(200, 30, replace=False)
+        sets = [np.unique(np.where(rng.random(30) < 0.08, rng.integers(0, 400, 30), base)).astype(np.uint64) for _ in range(rng.integers(2, 25))]
+        comp = rng.integers(0, 20, len(sets))
+        ways = [ngram_join.forest(sets, comp, 80), [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))]]
+        roots = []
+        for links in ways:
+            root = list(comp)
+            for i, j in links:
+                root = [root[j] if r == root[i] else r for r in root]
+            roots.append([root.index(r) for r in root])
+        assert roots[0] == roots[1] and len(ways[0]) < len(sets)
+
+
+def test_batches_by_tile():
+    rng = np.random.default_rng(2)
+    tokens = np.sort(rng.integers(0, 12, 90))
+    whole = pa.record_batch({"token": tokens, "i": np.zeros(90, np.int32), "j": np.zeros(90, np.int32), "row": np.arange(90)})
+    for size in (1, 2, 7, 90):
+        out = list(ngram_join.by_tile(whole.slice(at, size) for at in range(0, 90, size)))
+        assert np.concatenate([b.column("row").to_numpy() for b in out]).tolist() == list(range(90))
+        owners = [set(b.column("token").to_pylist()) for b in out]
+        assert sum(map(len, owners)) == len(set(tokens))
+
+
 def test_bitmap_bound_loses_nothing():
     rng = np.random.default_rng(4)
     for _ in range(200):
@@ -83,6 +126,19 @@ def test_representatives(docs, no_docs):
     assert ngram_join.representatives(no_docs).count() == 0 and ngram_join.joined(no_docs).count() == 0
 
 
+def test_clashing_names_and_null_ids(spark):
+    rng = random.Random(6)
+    text, other = sentence(rng, 80), sentence(rng, 80)
+    rows = [(1, text, "a", 1), (2, text, "b", 2), (None, other, "c", 3), (None, other, "d", 4), (None, sentence(rng, 80), "e", 5), (3, None, "f", 6), (3, "", "g", 7)]
+    for names in (("node", "first_id"), ("_node", "_of"), ("_sha", "_spans"), ("_size", "_copies"), ("of", "source")):
+        docs = spark.createDataFrame(rows, f"doc_id long, text string, {names[0]} string, {names[1]} long")
+        kept = ngram_join.representatives(docs)
+        assert kept.columns == docs.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None", "None"]
+        assert substrings.cut_documents(docs).columns == docs.columns
+        assert substrings.cut_documents(docs).where("text = ''").count() == 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 5), (200, 201), (201, 200), (7, 7), (300, 300)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
