@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import logging
 import re
 import uuid
 import zlib
@@ -34,6 +35,7 @@ MANIFEST = "path string, archive_bytes long, records long"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 GAPS = "path string, gap_start long, gap_end long, reason string"
 
+_log = logging.getLogger(__name__)
 _MEMBER = b"\x1f\x8b\x08"
 _START = re.compile(rb"WARC/1\.[01]\r\n")
 
@@ -75,6 +77,7 @@ def member(data: bytes) -> bytes:
 class Record(NamedTuple):
     headers: dict[str, str]
     block: bytes
+    end: int  # byte after the record
 
 
 class Gap(NamedTuple):
@@ -83,8 +86,8 @@ class Gap(NamedTuple):
     reason: str
 
 
-def _checked(data: bytes, at: int) -> tuple[Record, int] | str:
-    """The record at a place and its end, or what is wrong with it."""
+def _checked(data: bytes, at: int) -> Record | str:
+    """The record at a place, or what is wrong with it."""
     if not _START.match(data, at):
         return "no version line"
     stop = data.find(b"\r\n\r\n", at)
@@ -106,7 +109,7 @@ def _checked(data: bytes, at: int) -> tuple[Record, int] | str:
     kind, _, digest = headers.get("warc-block-digest", "").partition(":")
     if kind == "sha1" and digest != sha1_base32(block):
         return "digest differs"
-    return Record(headers, block), end + 4
+    return Record(headers, block, end + 4)
 
 
 def records_of(data: bytes, base: int = 0) -> Iterator[Record | Gap]:
@@ -115,8 +118,8 @@ def records_of(data: bytes, base: int = 0) -> Iterator[Record | Gap]:
     while at < len(data):
         got = _checked(data, at)
         if not isinstance(got, str):
-            yield got[0]
-            at = got[1]
+            yield got
+            at = got.end
             continue
         found = _START.search(data, at + 1)
         after = found.start() if found else len(data)
@@ -124,40 +127,58 @@ def records_of(data: bytes, base: int = 0) -> Iterator[Record | Gap]:
         at = after
 
 
-def unpacked(data: memoryview, at: int) -> tuple[bytes, int] | str:
-    """Contents of the gzip member at a place and its end, or what is wrong with it."""
-    reader, out, fed = zlib.decompressobj(31), io.BytesIO(), at
-    try:
-        while not reader.eof:
-            if fed >= len(data):
-                return "member without end"
-            out.write(reader.decompress(data[fed : fed + 65536]))
-            fed = min(fed + 65536, len(data))
-    except zlib.error as e:
-        return f"bad member: {e}"
-    return out.getvalue(), fed - len(reader.unused_data)
+def unpacked(data: memoryview, at: int) -> tuple[bytes, int, list[tuple[int, int]], str]:
+    """What can be inflated of the gzip member at a place, its end, marks (compressed and inflated bytes up to a point, in order), and what is wrong with it, if anything is."""
+    reader, out, fed, marks = zlib.decompressobj(31), io.BytesIO(), at, [(at, 0)]
+    while not reader.eof and fed < len(data):
+        before, part = reader.copy(), data[fed : fed + 16384]
+        try:
+            out.write(reader.decompress(part))
+        except zlib.error as e:
+            for i in range(len(part)):  # what the part holds before the damage
+                try:
+                    out.write(before.decompress(part[i : i + 1]))
+                except zlib.error:
+                    break
+            return out.getvalue(), fed, marks, f"bad member: {e}"
+        fed += len(part)
+        marks.append((fed, out.tell()))
+    return out.getvalue(), fed - len(reader.unused_data), marks, "" if reader.eof else "member without end"
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """All readable records of an archive, packed or not or both, and the quarantined gaps, as offsets in ``data``."""
+    """All readable records of an archive, packed or not or both, and the quarantined gaps, as offsets in ``data``.
+
+    Of a damaged member the whole records before the damage are given; the gap
+    begins where the last of them ends, to the accuracy of one read.
+    """
     view, at = memoryview(data), 0
     while at < len(data):
+        start = at
         if data[at : at + 3] == _MEMBER:
-            got = unpacked(view, at)
-            if not isinstance(got, str):
-                for x in records_of(got[0]):
-                    yield Gap(at, got[1], f"in member: {x.reason}") if isinstance(x, Gap) else x
-                at = got[1]
+            inside, end, marks, wrong = unpacked(view, at)
+            found = list(records_of(inside))
+            if wrong:  # what comes after the last whole record is part of the damage
+                while found and isinstance(found[-1], Gap):
+                    found.pop()
+                whole = found[-1].end if found else 0
+                start = max(packed for packed, plain in marks if plain <= whole)
+            for x in found:
+                yield Gap(at, end, f"in member: {x.reason}") if isinstance(x, Gap) else x
+            if not wrong:
+                at = end
                 continue
+            got = wrong
         else:
             got = _checked(data, at)
             if not isinstance(got, str):
-                yield got[0]
-                at = got[1]
+                yield got
+                at = got.end
                 continue
         packed, plain = data.find(_MEMBER, at + 1), _START.search(data, at + 1)
         after = min([x for x in (packed, plain.start() if plain else -1) if x >= 0], default=len(data))
-        yield Gap(at, after, got)
+        if start < after:
+            yield Gap(start, after, got)
         at = after
 
 
@@ -216,36 +237,50 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     return pages.select(F.col("page_id").cast("string"), "url", "html", F.col("first").cast("string"), "revisit").mapInPandas(kernel, MANIFEST)
 
 
-def _read(manifest: DataFrame, schema: str, pick) -> DataFrame:
+def read_back(manifest: DataFrame) -> DataFrame:
+    """Rows of the files named in the column path: those of readable page records, and those of gaps, which have a path."""
+
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
                 store, name = _store(path)
                 with store.open_input_stream(name, compression=None) as f:
                     data = f.read()
-                rows = [row for x in salvage(data) if (row := pick(path, x)) is not None]
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")], dtype=object)
+                rows = []
+                for x in salvage(data):
+                    if isinstance(x, Gap):
+                        rows.append((None,) * 5 + (path, *x))
+                    elif (page := page_row(x)) is not None:
+                        rows.append(page + (None,) * 4)
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in f"{READ}, {GAPS}".split(", ")], dtype=object)
 
     files = manifest.select("path")
-    return files.repartition(max(1, manifest.sparkSession.sparkContext.defaultParallelism), "path").mapInPandas(kernel, schema)
+    return files.repartition(max(1, files.count())).mapInPandas(kernel, f"{READ}, {GAPS}")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
     """Page rows of all readable records of the files named in the column path."""
-    return _read(manifest, READ, lambda path, x: page_row(x) if isinstance(x, Record) else None)
+    return read_back(manifest).where("path IS NULL").select(*[c.split()[0] for c in READ.split(", ")])
 
 
 def read_gaps(manifest: DataFrame) -> DataFrame:
     """Quarantined byte gaps of the files named in the column path."""
-    return _read(manifest, GAPS, lambda path, x: (path, *x) if isinstance(x, Gap) else None)
+    return read_back(manifest).where("path IS NOT NULL").select(*[c.split()[0] for c in GAPS.split(", ")])
 
 
 def marked_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, first, revisit: of equal payloads of at least ``least_bytes`` bytes all but the smallest page_id revisit it."""
+    """page_id, url, html, first, revisit: of equal payloads of at least ``least_bytes`` bytes all but the smallest page_id revisit it.
+
+    Digests and ids alone are grouped and joined, so the copies of a popular
+    payload don't meet in one task; pages get their mark by page_id.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    keyed = pages.select("page_id", "url", "html", F.when(F.octet_length(payload) >= least_bytes, F.sha1(payload)).alias("digest"))
-    firsts = keyed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return keyed.join(firsts, "digest", "left").select("page_id", "url", "html", "first", (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).alias("revisit"))
+    digest = F.when(F.octet_length(payload) >= least_bytes, F.sha1(payload))
+    keyed = pages.select("page_id", digest.alias("digest")).where("digest IS NOT NULL").groupBy("page_id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    firsts = keyed.groupBy("digest").agg(F.min("page_id").alias("first"), F.sum("rows").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
+    marks = keyed.join(firsts, "digest").select(F.col("page_id").alias("id"), F.col("digest").alias("of"), "first")
+    marked = pages.select("page_id", "url", "html", digest.alias("digest")).join(marks, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
+    return marked.select("page_id", "url", "html", "first", (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).alias("revisit"))
 
 
 def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -254,12 +289,16 @@ def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     A null html is an empty payload; a null url is written as the page's own
     name; a null page_id never is the first of its payload's, unless all are
     null, and then all are responses. Rows that repeat a first page's id and
-    payload are responses too. An empty table gives no archives and no rows;
-    other columns are ignored.
+    payload are responses too. A very long page is an archive of its own. An
+    empty table gives no archives and no rows; other columns are ignored. Gaps
+    found on reading back are logged.
     """
     spark: SparkSession = pages.sparkSession
     manifest = written(write_archives(marked_revisits(pages, least_bytes), fresh_path(spark, "warc")), "warc-manifest")
-    return read_archives(manifest)
+    rows = written(read_back(manifest), "warc-read")
+    for gap in rows.where("path IS NOT NULL").select("path", "gap_start", "gap_end", "reason").toLocalIterator():
+        _log.warning("%s: bytes %d to %d quarantined, %s", *gap)
+    return rows.where("path IS NULL").select(*[c.split()[0] for c in READ.split(", ")])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
