@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Unit vectors are cut in two halves, each quantised to its own codebook; a cell
-is a pair of centroids. A query goes through the cells in order of summed
-distance, with a heap over the two sorted centroid lists, until the cells hold
-its share of all rows. Those rows are reranked by exact cosine, cell by cell
-and in chunks of bounded size, so no cell has to fit into one task.
+is a pair of centroids; there are about as many as the square root of the rows.
+A query goes through the cells in order of summed distance, with a heap over
+the two sorted centroid lists, until the cells hold its share of all rows. The
+share is the least one that finds enough of the true neighbours of a bounded
+sample of queries, which are compared with all rows. The visited rows are
+reranked by exact cosine, cell by cell and in chunks of bounded size, so no
+cell has to fit into one task.
 """
 
 from __future__ import annotations
@@ -19,11 +22,10 @@ from pyspark.sql import functions as F
 
 from .tables import written
 
-#: Vectors that the codebooks are fitted on, about; every row is indexed.
-FIT_ROWS = 20_000
-CENTROIDS = 16
-#: Share of all rows in the cells that a query visits.
-PROBE_SHARE = 0.65
+#: Vectors that the codebooks are fitted on, about, and queries on which the visited share is measured, about; every row is indexed.
+FIT_ROWS, TRIAL_QUERIES = 20_000, 256
+#: Recall that the visited share is chosen for, and the most centroids of a codebook.
+RECALL, MOST_CENTROIDS = 0.96, 1_024
 CHUNK_ROWS = 4_096
 TOP = 5
 EVERY = 50
@@ -64,9 +66,14 @@ def unit(rows) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def codebooks(vectors: DataFrame, centroids: int = CENTROIDS, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray] | None:
-    """Centroids of both halves, by k-means on about ``fit_rows`` rows chosen by hash, all if there are fewer."""
-    share = min(1.0, fit_rows / max(1, vectors.count()))
+def codebooks(vectors: DataFrame, centroids: int | None = None, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray] | None:
+    """Centroids of both halves, by k-means on about ``fit_rows`` rows chosen by hash, all if there are fewer.
+
+    Without ``centroids`` each half has the fourth root of the rows, times 1.5.
+    """
+    n = vectors.count()
+    share = min(1.0, fit_rows / max(1, n))
+    centroids = centroids or max(4, min(MOST_CENTROIDS, round(1.5 * n**0.25)))
     sample = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < share * 1_000_000).select("vec_id", "vector").toPandas().sort_values("vec_id", kind="stable")["vector"]
     if not len(sample):
         return None
@@ -102,36 +109,86 @@ def with_cells(vectors: DataFrame, books: tuple[np.ndarray, np.ndarray]) -> Data
     return vectors.withColumn("cell", cell("vector"))
 
 
+def ordered_cells(v, books: tuple[np.ndarray, np.ndarray], size: dict[int, int]) -> Iterator[Iterator[int]]:
+    """For each vector the cells that hold rows, nearest first."""
+    one, two = books
+    x, half = unit(v), one.shape[1]
+    for d1, d2 in zip(distances(x[:, :half], one), distances(x[:, half:], two)):
+        yield (i * len(two) + j for i, j in cell_order(d1, d2) if size.get(i * len(two) + j))
+
+
 def visited(queries: DataFrame, books: tuple[np.ndarray, np.ndarray], sizes: dict[int, int], enough: int) -> DataFrame:
-    """query_id, vector and each cell that the query visits: the nearest ones until they hold ``enough`` rows."""
+    """vec_id, key and each cell that the query visits: the nearest ones until they hold ``enough`` rows."""
     shared = queries.sparkSession.sparkContext.broadcast((books, sizes))
 
     @F.pandas_udf("array<int>")
     def cells(v: pd.Series) -> pd.Series:
-        (one, two), size = shared.value
-        x, half, out = unit(v), one.shape[1], []
-        for d1, d2 in zip(distances(x[:, :half], one), distances(x[:, half:], two)):
+        books, size = shared.value
+        out = []
+        for order in ordered_cells(v, books, size):
             got, held = [], 0
-            for i, j in cell_order(d1, d2):
-                c = i * len(two) + j
-                if size.get(c):
-                    got.append(c)
-                    held += size[c]
+            for c in order:
+                got.append(c)
+                held += size[c]
                 if held >= enough:
                     break
             out.append(got)
         return pd.Series(out)
 
-    return queries.select(F.col("vec_id").alias("query_id"), "vector", F.explode(cells("vector")).alias("cell"))
+    return queries.select("vec_id", "key", F.explode(cells("vector")).alias("cell"))
+
+
+def needed_share(index: DataFrame, asked: DataFrame, books: tuple[np.ndarray, np.ndarray], sizes: dict[int, int], top: int, recall: float = RECALL, trials: int = TRIAL_QUERIES) -> float:
+    """The least share of the rows whose visit finds ``recall`` of the true neighbours of about ``trials`` queries.
+
+    The trial queries are chosen by hash and broadcast; every task compares
+    its rows with them and keeps the ``top`` best of each.
+    """
+    share = min(1.0, trials / max(1, asked.count()))
+    chosen = asked.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1_000_000)) < share * 1_000_000).select("vec_id", "vector").toPandas()
+    if not len(chosen):
+        return 1.0
+    shared = index.sparkSession.sparkContext.broadcast((chosen["vec_id"].to_numpy(), unit(chosen["vector"])))
+
+    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, q = shared.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            score = q @ unit(batch["vector"]).T
+            score[ids[:, None] == batch["vec_id"].to_numpy()[None]] = -np.inf
+            k = min(top, len(batch))
+            best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+            row = np.repeat(np.arange(len(q)), k)
+            found = pd.DataFrame({"row": row, "score": score[row, best.ravel()], "vec_id": batch["vec_id"].to_numpy()[best.ravel()], "cell": batch["cell"].to_numpy()[best.ravel()]})
+            yield found[np.isfinite(found["score"])]
+
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    found = index.select("vec_id", "vector", "cell").mapInPandas(kernel, "row int, score double, vec_id long, cell int")
+    true = found.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top).select("row", "cell").toPandas()
+    upto, n = {}, sum(sizes.values())
+    for row, cells in enumerate(ordered_cells(chosen["vector"], books, sizes)):
+        held = 0
+        for c in cells:
+            held += sizes[c]
+            upto[row, c] = held / n
+    shares = np.sort([upto[r, c] for r, c in zip(true["row"], true["cell"])])
+    return float(shares[min(len(shares), int(np.ceil(recall * len(shares)))) - 1]) if len(shares) else 1.0
+
+
+def _scaled(rows) -> np.ndarray:
+    """The vectors, each times a power of two so that its largest component is near 1: cosines stay as they are, to the bit."""
+    x = np.stack(rows)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
 
 
 def _best(found: pd.DataFrame, asked: pd.DataFrame, top: int) -> pd.DataFrame:
     """The nearest rows of one chunk for each query that visits it, by exact cosine; ties to the smaller vec_id."""
-    out = {"query_id": [], "vec_id": [], "score": []}
+    out = {"query_id": [], "key": [], "vec_id": [], "score": []}
     if len(found) and len(asked):
         found = found.sort_values("vec_id", kind="stable")
-        v, q = np.stack(found["vector"].to_numpy()), np.stack(asked["vector"].to_numpy())
-        ids, mine = found["vec_id"].to_numpy(), asked["query_id"].to_numpy()
+        v, q = _scaled(found["vector"].to_numpy()), _scaled(asked["vector"].to_numpy())
+        ids, mine, key = found["vec_id"].to_numpy(), asked["query_id"].to_numpy(), asked["key"].to_numpy()
         v_norm, q_norm = np.sqrt((v * v).sum(1)), np.sqrt((q * q).sum(1))
         for at in range(0, len(q), 512):
             part = (q[at : at + 512] / q_norm[at : at + 512, None]) @ (v / v_norm[:, None]).T
@@ -144,36 +201,44 @@ def _best(found: pd.DataFrame, asked: pd.DataFrame, top: int) -> pd.DataFrame:
             row, col, exact = row[order], col[order], exact[order]
             keep = np.arange(len(row)) - np.searchsorted(row, row) < top
             out["query_id"].append(mine[at + row[keep]])
+            out["key"].append(key[at + row[keep]])
             out["vec_id"].append(ids[col[keep]])
             out["score"].append(exact[keep])
     return pd.DataFrame({k: np.concatenate(x) if x else np.zeros(0, "float64" if k == "score" else "int64") for k, x in out.items()})
 
 
-def nearest(vectors: DataFrame, is_query: Column, top: int = TOP, probe_share: float = PROBE_SHARE, centroids: int = CENTROIDS, chunk_rows: int = CHUNK_ROWS, fit_rows: int = FIT_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, top: int = TOP, probe_share: float | None = None, centroids: int | None = None, chunk_rows: int = CHUNK_ROWS, fit_rows: int = FIT_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest rows found for each row that ``is_query`` is true of.
 
-    Rows with the query's own id are no candidates. Rows that usable() leaves
-    out take no part. Repeated vectors are candidates each; repeated queries
-    are one query for each different vector of an id. With fewer candidates
-    than ``top`` in the visited cells those are returned. An empty table gives
-    no rows; other columns are ignored.
+    A query visits the cells that hold ``probe_share`` of all rows: 1 is exact;
+    without it, needed_share(). Rows with the query's own id are no candidates.
+    Rows that usable() leaves out take no part. Repeated vectors are candidates
+    each; of repeated queries each different vector of an id is a query with
+    ``top`` rows of its own. With fewer candidates than ``top`` in the visited
+    cells those are returned. An empty table gives no rows; other columns are
+    ignored.
     """
     rows = usable(vectors)
     books = codebooks(rows, centroids, fit_rows)
-    empty = "query_id long, rank int, vec_id long, score double"
     if books is None:
-        return vectors.sparkSession.createDataFrame([], empty)
-    index = written(with_cells(rows, books), "ann-index")
-    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}
-    n = sum(sizes.values())
-    chunks = F.coalesce(*[F.when(F.col("cell") == c, F.lit(-(-s // chunk_rows))) for c, s in sizes.items() if s > chunk_rows], F.lit(1))
-    asked = index.where(is_query.eqNullSafe(True)).dropDuplicates(["vec_id", "vector"])
-    blocks = max(1, -(-asked.count() // chunk_rows))
-    found = index.select("vec_id", "vector", "cell", F.pmod(F.xxhash64("vec_id"), chunks).alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    wanted = visited(asked, books, sizes, max(top + 1, int(np.ceil(probe_share * n)))).select("query_id", "vector", "cell", F.explode(F.sequence(F.lit(0).cast("long"), chunks.cast("long") - 1)).alias("chunk"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"))
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index = written(with_cells(rows.withColumn("asked", is_query.eqNullSafe(True)), books), "ann-index")
+    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().toLocalIterator()}
+    asked = written(index.where("asked").select("vec_id", "vector", F.xxhash64("vector").alias("key")).dropDuplicates(["vec_id", "key"]), "ann-queries")
+    share = needed_share(index, asked, books, sizes, top) if probe_share is None else probe_share
+    visits = written(visited(asked, books, sizes, max(top + 1, int(np.ceil(share * sum(sizes.values()))))), "ann-visits")
+
+    # A cell's rows are dealt to chunks and its visitors to blocks, each pair of which is one task's work; there are at most as many cells as pairs of centroids.
+    parts = lambda n: F.ceil(F.col(n) / chunk_rows).cast("int")
+    visitors = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visitors"))
+    plan = F.broadcast(index.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).join(visitors, "cell").select("cell", parts("rows").alias("chunks"), parts("visitors").alias("blocks")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    found = index.join(plan, "cell").select("vec_id", "vector", "cell", F.pmod(F.xxhash64("vec_id", "vector"), F.col("chunks")).cast("int").alias("chunk"), every("blocks").alias("block"))
+    wanted = visits.join(plan, "cell").select("vec_id", "key", "cell", F.pmod(F.xxhash64("vec_id", "key"), F.col("blocks")).cast("int").alias("block"), every("chunks").alias("chunk"))
+    wanted = wanted.join(asked, ["vec_id", "key"]).select(F.col("vec_id").alias("query_id"), "key", "vector", "cell", "chunk", "block")
     keys = ["cell", "chunk", "block"]
-    local = found.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(lambda f, w: _best(f, w, top), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    local = found.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(lambda f, w: _best(f, w, top), "query_id long, key long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
