@@ -3,11 +3,13 @@
 Every shuffled document is given a virtual finish time: the words its source
 has sent up to its end, divided by the source's target. A document can be sent
 twice, so it has a second finish time one whole source later. All entries are
-put in order of finish time and cut at the total budget.
+range-sorted by finish time over all partitions and cut at the total budget:
+partitions give their sums, the driver adds up those few numbers, and only the
+partition in which the budget ends is summed row by row.
 
-Cumulative sums are two-level, so no source or time range is summed in one
-task: blocks of about ``block_rows`` rows get their sums, the sums are
-accumulated, and each block is accumulated from its start.
+The sums within a source are two-level, so no source is summed in one task:
+blocks of rows get their sums, the sums are accumulated, and each block is
+accumulated from its start.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import free_names, written
 from .words import WORD_PATTERN
 
 WEIGHTS = (3, 1, 2)
+#: Blocks of one source at most: their sums are added up in one task.
+MOST_BLOCKS = 65_536
 SHARE = 1.5
 REPEATS = 2
 
@@ -61,21 +65,21 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 2_000, w
     taken is 0, size or 2 * size: documents are whole, and those up to the
     budget are taken in order of virtual finish time. The order within a
     source is that of md5 of doc_id, so reruns agree. A null or empty text has
-    size 0 and takes nothing; a null source is a source of its own, last; null
-    doc_ids share one place in the order; repeated rows count one by one; an
-    empty table gives no rows; other columns are ignored.
+    size 0 and takes nothing; a null source is a source of its own, last; rows
+    without a doc_id are ordered by md5 of their text; repeated rows count one
+    by one, and rows of one doc_id are next to each other; a very long text
+    counts whole; an empty table gives no rows; other columns are ignored.
     """
     others = [c for c in carry if c not in ("doc_id", "source")]
-    sized = written(
-        docs.select("doc_id", "source", *others, word_count(F.col("text")).alias("size")).withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))),
-        "mix-sized",
-    )
+    turn = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("null")).cast("binary"))
+    sized = written(docs.select("doc_id", "source", *others, word_count(F.col("text")).alias("size"), turn.alias("turn")), "mix-sized")
     targets = written(source_targets(sized, weights, share, repeats).coalesce(1), "mix-targets")
     span = float(1 << 32)
+    blocks = F.least(F.ceil(F.col("source_rows") / block_rows), F.lit(MOST_BLOCKS))
     placed = (
         sized.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
         .drop("of")
-        .withColumn("block", F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("double") / span * F.ceil(F.col("source_rows") / block_rows)).cast("long"))
+        .withColumn("block", F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("double") / span * blocks).cast("long"))
     )
     starts = written(
         placed.groupBy("rank", "block").agg(F.sum("size").alias("words")).withColumn("before", F.coalesce(F.sum("words").over(Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("words"),
@@ -88,47 +92,51 @@ def mix(docs: DataFrame, carry: tuple[str, ...] = (), block_rows: int = 2_000, w
         .select("doc_id", "source", *others, "size", "source_size", "rank", "target", *[F.coalesce(F.try_divide(F.col("sent") + F.lit(k) * F.col("source_size"), F.col("target")), F.lit(0.0)).alias(f"finish_{k}") for k in range(repeats)]),
         "mix-timed",
     )
-    last, rank = _cut(timed, targets, share, repeats, block_rows)
+    last, rank = _cut(timed, targets, share, repeats)
     due = lambda k: (F.col(f"finish_{k}") < F.lit(last)) | ((F.col(f"finish_{k}") == F.lit(last)) & (F.col("rank") <= F.lit(rank)))
     taken = sum((F.when(due(k), F.col("size")).otherwise(F.lit(0)) for k in range(1, repeats)), F.when(due(0), F.col("size")).otherwise(F.lit(0)))
     return timed.select("doc_id", *carry, "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def _cut(timed: DataFrame, targets: DataFrame, share: float, repeats: int, block_rows: int) -> tuple[float, int]:
-    """Finish time and source rank of the last entry within the budget: one row comes to the driver."""
-    total, rows = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("source_rows"), F.lit(0))).first()
-    budget = total * share
-    slices = max(1024, rows // block_rows)
+def _cut(timed: DataFrame, targets: DataFrame, share: float, repeats: int) -> tuple[float, int]:
+    """Finish time and source rank of the last entry within the budget.
+
+    The entries are range-sorted into partitions. The driver gets a number for
+    each partition and one row of the partition in which the budget ends.
+    """
+    budget = (targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]) * share
+    spark = timed.sparkSession
     entries = timed.select("rank", "size", F.explode(F.array(*[F.col(f"finish_{k}") for k in range(repeats)])).alias("finish")).where("size > 0")
-    entries = entries.withColumn("slice", F.least(F.floor(F.col("finish") * slices), F.lit(4 * slices)).cast("long"))
-    so_far = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = entries.groupBy("slice").agg(F.sum("size").alias("words")).withColumn("before", F.coalesce(F.sum("words").over(so_far), F.lit(0)))
-    crossing = sums.where((F.col("before") <= budget) & (F.col("before") + F.col("words") > budget)).first()
-    if crossing is None:
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    queue = written(entries.repartitionByRange(partitions, "finish", "rank").sortWithinPartitions("finish", "rank").withColumn("part", F.spark_partition_id()), "mix-queue")
+    before = 0
+    for part, words in sorted(queue.groupBy("part").agg(F.sum("size")).toLocalIterator()):
+        if before + words > budget:
+            break
+        before += words
+    else:
         return float("inf"), 1 << 30
-    ordered = Window.orderBy("finish", "rank").rowsBetween(Window.unboundedPreceding, 0)
-    last = (
-        entries.where(F.col("slice") == crossing["slice"])
-        .withColumn("upto", F.sum("size").over(ordered) + F.lit(crossing["before"]))
-        .where(F.col("upto") <= budget)
-        .agg(F.max(F.struct("finish", "rank")).alias("last"))
-        .first()["last"]
-    )
-    return (last["finish"], last["rank"]) if last else (crossing["slice"] / slices, 0)
+    ordered = Window.partitionBy("part").orderBy("finish", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    ending = queue.where(F.col("part") == part).withColumn("upto", F.sum("size").over(ordered) + F.lit(before))
+    last = ending.agg(F.max(F.when(F.col("upto") <= budget, F.struct("finish", "rank"))), F.min(F.struct("finish", "rank"))).first()
+    return (last[0]["finish"], last[0]["rank"]) if last[0] else (last[1]["finish"], last[1]["rank"] - 1)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that the mix takes, with the columns of docs; a document taken twice is there twice.
 
     Rows of one doc_id and size are alike to the mix; what it takes of them
-    goes to them one by one, so their number is right.
+    goes to them one by one, so their number is right. A null or empty text
+    has nothing to take and goes; an empty table gives no rows; a very long
+    text is taken whole or not at all.
     """
-    alike = Window.partitionBy("doc_id", "_size").orderBy(F.xxhash64("text"))
-    numbered = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_turn", F.row_number().over(alike))
-    taken = mix(docs, **options).where("taken > 0").withColumn("_copies", (F.col("taken") / F.col("size")).cast("int"))
-    ranked = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_words"), "_copies", F.row_number().over(Window.partitionBy("doc_id", "size").orderBy(F.desc("taken"))).alias("_nth"))
-    joined = numbered.join(ranked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")) & (F.col("_turn") == F.col("_nth")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    size, turn, copies, id_, words, nth, copy = free_names(docs, "size", "turn", "copies", "id", "words", "nth", "copy")
+    alike = Window.partitionBy("doc_id", size).orderBy(F.xxhash64("text"))
+    numbered = docs.withColumn(size, word_count(F.col("text"))).withColumn(turn, F.row_number().over(alike))
+    taken = mix(docs, **options).where("taken > 0").withColumn("copies", (F.col("taken") / F.col("size")).cast("int"))
+    ranked = taken.select(F.col("doc_id").alias(id_), F.col("size").alias(words), F.col("copies").alias(copies), F.row_number().over(Window.partitionBy("doc_id", "size").orderBy(F.desc("taken"))).alias(nth))
+    joined = numbered.join(ranked, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(size) == F.col(words)) & (F.col(turn) == F.col(nth)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -138,7 +146,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, 'null')) AS turn
+         md5(coalesce(doc_id::VARCHAR, text, 'null')) AS turn
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
