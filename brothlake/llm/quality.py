@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule's cost and share of rejected documents are measured on a bounded
-sample; the rules then run in order of rejection per cost, each only on the
-documents that all before it have kept. The verdict is the same in any order.
+Each rule's cost and share of rejected documents are measured by the executors
+on a sample chosen by hash; the rules then run in order of rejection per cost,
+each only on the documents that all before it have kept. The verdict is the
+same in any order.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import words as W
 
-#: Documents on which costs and rejections are estimated.
-SAMPLE_ROWS = 2_000
+#: Documents on which costs and rejections are estimated, about, and bytes of their texts that one task looks at.
+SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 8 << 20
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
 
@@ -118,15 +120,49 @@ def letters(block, at, base, some):
     return out
 
 
+def _own_lines(block: W.Block, at: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a document, and where its lines start and end."""
+    data = block.data[at[d] : at[d + 1]]
+    breaks = np.flatnonzero(data == 10)
+    return data, np.concatenate([[0], np.stack([breaks, breaks + 1], axis=1).ravel(), [len(data)]]).reshape(-1, 2)
+
+
 def bullets(block, at, base, some):
     """Over 90% of the lines begin with a bullet."""
-    doc, starts, _ = _lines(block, at)
-    hits = np.bincount(doc[_BULLET[block.data[starts]]], minlength=len(at) - 1)
-    return 100 * hits[some] > 90 * base.n_lines[some]
+    out = np.zeros(len(some), bool)
+    for i, d in enumerate(some):
+        data, lines = _own_lines(block, at, d)
+        starts = lines[:, 0][lines[:, 0] < lines[:, 1]]
+        out[i] = 100 * np.count_nonzero(_BULLET[data[starts]]) > 90 * base.n_lines[d]
+    return out
+
+
+def ellipses(block, at, base, some):
+    """Over 30% of the lines end with three dots."""
+    out = np.zeros(len(some), bool)
+    for i, d in enumerate(some):
+        data, lines = _own_lines(block, at, d)
+        ends = lines[:, 1][lines[:, 1] - lines[:, 0] >= 3]
+        dots = (data[ends - 1] == 46) & (data[ends - 2] == 46) & (data[ends - 3] == 46)
+        out[i] = 100 * np.count_nonzero(dots) > 30 * base.n_lines[d]
+    return out
+
+
+def common_pair(block, at, base, some):
+    """Over 20% of the characters in words are those of the most frequent pair of words, all its places together."""
+    out = np.zeros(len(some), bool)
+    for i, d in enumerate(some):
+        a, b = block.bounds[d], block.bounds[d + 1]
+        starts = np.concatenate([[0], np.cumsum((block.data[at[d] : at[d + 1]] & 0xC0) != 0x80)])
+        chars = starts[block.ends[a:b] - at[d]] - starts[block.starts[a:b] - at[d]]
+        _, inverse = np.unique(W.grams(block.hashes[a:b], 2), return_inverse=True)
+        most = np.bincount(inverse, chars[:-1] + chars[1:]).max() if len(inverse) else 0
+        out[i] = 100 * most > 20 * base.word_chars[d]
+    return out
 
 
 Rule = Callable[[W.Block, np.ndarray, Base, np.ndarray], np.ndarray]
-RULES: dict[str, Rule] = {"symbols": symbols, "duplicate_lines": duplicate_lines, "word_length": word_length, "letters": letters, "bullets": bullets}
+RULES: dict[str, Rule] = {"symbols": symbols, "duplicate_lines": duplicate_lines, "word_length": word_length, "letters": letters, "bullets": bullets, "ellipses": ellipses, "common_pair": common_pair}
 
 
 def _blocks(texts: pa.Array):
@@ -135,18 +171,32 @@ def _blocks(texts: pa.Array):
 
 
 def measured(docs: DataFrame, rows: int = SAMPLE_ROWS, rules: dict[str, Rule] = RULES) -> dict[str, tuple[float, float]]:
-    """Seconds and share of rejected documents of each rule on a sample of at most ``rows`` rows, all rules on all of it."""
-    sample = pa.array([r["text"] for r in docs.select("text").take(rows)], pa.string())
-    cost, failed, n = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0
-    for block, at in _blocks(sample):
-        base = base_statistics(block, at)
-        some = np.flatnonzero(~base_failed(base))
-        n += len(some)
-        for name, rule in rules.items():
-            began = time.perf_counter()
-            failed[name] += int(rule(block, at, base, some).sum())
-            cost[name] += time.perf_counter() - began
-    return {name: (cost[name] / max(1, n), failed[name] / max(1, n)) for name in rules}
+    """Seconds and share of rejected documents of each rule on about ``rows`` rows chosen by hash, all rules on all of it.
+
+    A task measures its own part of the sample and returns a row for each rule.
+    """
+    share = min(1.0, rows / max(1, docs.count()))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1_000_000)) < share * 1_000_000).select("text")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cost, failed, n, held = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0, 0
+        for batch in batches:
+            for block, at in _blocks(batch.column(0)):
+                held += len(block.data)
+                if held > SAMPLE_BYTES and n:
+                    continue
+                base = base_statistics(block, at)
+                some = np.flatnonzero(~base_failed(base))
+                n += len(some)
+                for name, rule in rules.items():
+                    began = time.perf_counter()
+                    failed[name] += int(rule(block, at, base, some).sum())
+                    cost[name] += time.perf_counter() - began
+        yield pa.RecordBatch.from_arrays([pa.array(list(rules)), pa.array(list(cost.values())), pa.array(list(failed.values()), pa.int64()), pa.array([n] * len(rules), pa.int64())], ["rule", "cost", "failed", "n"])
+
+    sums = sample.mapInArrow(kernel, "rule string, cost double, failed long, n long").groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("cost", "failed", "n")])
+    got = {r["rule"]: (r["cost"] / max(1, r["n"]), r["failed"] / max(1, r["n"])) for r in sums.toLocalIterator()}
+    return {name: got.get(name, (0.0, 0.0)) for name in rules}
 
 
 def cascade_order(figures: dict[str, tuple[float, float]]) -> list[str]:
@@ -158,8 +208,8 @@ def judged(docs: DataFrame, order: list[str] | None = None, rules: dict[str, Rul
     """A row for each row of docs with its statistics, base_failed and kept.
 
     kept is false if the base rules fail, or else if any rule of the cascade
-    does. A null or empty text has no words and fails the base rules. Null
-    doc_ids and repeated rows give a row each; an empty table gives none; other
+    does. A null or empty text has no words and fails the base rules. A very
+    long text is worked on whole, alone in its block. Null doc_ids and repeated rows give a row each; an empty table gives none; other
     columns are ignored. ``order`` overrides the sampled order of the rules.
     """
     order = order or cascade_order(measured(docs, sample_rows, rules))
@@ -194,24 +244,26 @@ WITH d AS (
 ), lines AS (
   SELECT n, unnest(string_split(text, chr(10))) AS line FROM d
 ), line_stats AS (
-  SELECT n, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (line[1] IN ('-', '*')) AS n_bullet
+  SELECT n, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (line[1] IN ('-', '*')) AS n_bullet, count(*) FILTER (ends_with(line, '...')) AS n_dots
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY n
 ), places AS (
   SELECT n, unnest(range(1, len(words) - 1)) AS i, words FROM d WHERE len(words) >= 3
 ), windows AS (
   SELECT n, i, count(*) OVER (PARTITION BY n, words[i], words[i + 1], words[i + 2]) AS c FROM places
+), pairs AS (
+  SELECT n, max(chars) AS pair_chars FROM (SELECT n, sum(length(words[i]) + length(words[i + 1])) AS chars FROM (SELECT n, words, unnest(range(1, len(words))) AS i FROM d WHERE len(words) >= 2) GROUP BY n, words[i], words[i + 1]) GROUP BY n
 ), repeats AS (
   SELECT n, count(DISTINCT j) AS n_repeat FROM (SELECT n, unnest([i, i + 1, i + 2]) AS j FROM windows WHERE c > 1) GROUP BY n
 ), stats AS (
   SELECT d.n, doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
-         coalesce(n_bullet, 0) AS n_bullet, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS lettered
-  FROM d LEFT JOIN line_stats USING (n) LEFT JOIN repeats USING (n)
+         coalesce(n_bullet, 0) AS n_bullet, coalesce(n_dots, 0) AS n_dots, coalesce(pair_chars, 0) AS pair_chars, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS lettered
+  FROM d LEFT JOIN line_stats USING (n) LEFT JOIN pairs USING (n) LEFT JOIN repeats USING (n)
 ), based AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 100 * n_symbols > 15 * n_words OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 3 * n_words OR word_chars > 15 * n_words
-            OR 100 * lettered < 70 * n_words OR 100 * n_bullet > 90 * n_lines) AS kept
+            OR 100 * lettered < 70 * n_words OR 100 * n_bullet > 90 * n_lines OR 100 * n_dots > 30 * n_lines OR 100 * pair_chars > 20 * word_chars) AS kept
 FROM based
 """
