@@ -4,7 +4,8 @@ A pre-token of n bytes is n parts: one array holds the part boundaries, another
 beside it the rank of each part joined with its right neighbour. The smallest
 rank is found by a scan, its boundary is deleted, and the ranks of the two
 neighbours are looked up again, until no rank is left. Words are short, so the
-scans are cheaper than a heap; each distinct word is merged once a task.
+scans are cheaper than a heap; each distinct word is merged once a task, and its
+ids, their digits and the bytes they decode to are kept for its other places.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 PATTERN = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 #: A cached word's bytes at most, and cached words at most before the cache starts anew.
-CACHED_BYTES, CACHED_WORDS = 64, 250_000
+CACHED_BYTES, CACHED_WORDS = 64, 200_000
 
 #: Rows in a batch that a task returns.
 ROWS = 512
@@ -39,6 +42,19 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
 
 
+class Piece(NamedTuple):
+    """A pre-token's tokens: how many, their ids in digits with commas between, the bytes that they decode to, their ids."""
+
+    n: int
+    digits: str
+    data: bytes
+    ids: tuple[int, ...]
+
+
+def joined_ids(pieces: list[Piece]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(p.ids for p in pieces), np.int32)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -51,7 +67,10 @@ class Codec:
         vocab = model["model"]["vocab"]
         self.id_of = {spelled(token): i for token, i in vocab.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
-        self.rank = {(spelled(a), spelled(b)): r for r, (a, b) in enumerate(merges)}
+        self.size = 1 + max(self.id_of.values())
+        self.rank = {self.id_of[spelled(a)] * self.size + self.id_of[spelled(b)]: r for r, (a, b) in enumerate(merges)}
+        self.joined = [self.id_of[spelled(a) + spelled(b)] for a, b in merges]
+        self.byte_ids = [self.id_of[bytes([b])] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.splitter = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         size = 1 + max([*self.id_of.values(), *self.special.values()])
@@ -65,36 +84,37 @@ class Codec:
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
-        if word in self.id_of and len(word) == 1:
-            return [self.id_of[word]]
-        bounds = list(range(len(word) + 1))
-        ranks = [self._joined(word, bounds, i) for i in range(len(word) - 1)]
+        rank, size = self.rank.get, self.size
+        bounds, parts = list(range(len(word) + 1)), [self.byte_ids[b] for b in word]  # the parts between the boundaries, by id
+        ranks = [rank(a * size + b, NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks:
             low = min(ranks)
             if low == NO_RANK:
                 break
             at = ranks.index(low)
-            del bounds[at + 1], ranks[at]
+            parts[at] = self.joined[low]
+            del bounds[at + 1], parts[at + 1], ranks[at]
             if at < len(ranks):
-                ranks[at] = self._joined(word, bounds, at)
+                ranks[at] = rank(parts[at] * size + parts[at + 1], NO_RANK)
             if at:
-                ranks[at - 1] = self._joined(word, bounds, at - 1)
+                ranks[at - 1] = rank(parts[at - 1] * size + parts[at], NO_RANK)
         return [self.id_of[word[a:b]] for a, b in zip(bounds, bounds[1:])]
 
-    def _joined(self, word: bytes, bounds: list[int], i: int) -> int:
-        return self.rank.get((word[bounds[i] : bounds[i + 1]], word[bounds[i + 1] : bounds[i + 2]]), NO_RANK) if i + 2 < len(bounds) else NO_RANK
+    def piece(self, ids: list[int]) -> Piece:
+        return Piece(len(ids), ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids)), tuple(ids))
 
-    def pieces(self, text: str) -> Iterator[tuple[int, ...]]:
-        """Ids of the pre-tokens of a text in turn; a special token's string is that token."""
-        at = 0
+    def pieces(self, text: str) -> list[Piece]:
+        """The pre-tokens of a text in turn; a special token's string is that token."""
+        out, at = [], 0
         for found in self.splitter.finditer(text) if self.splitter else ():
-            yield from map(self.words.__getitem__, PATTERN.findall(text[at : found.start()]))
-            yield (self.special[found[0]],)
+            out += map(self.words.__getitem__, PATTERN.findall(text[at : found.start()]))
+            out.append(self.piece([self.special[found[0]]]))
             at = found.end()
-        yield from map(self.words.__getitem__, PATTERN.findall(text[at:] if at else text))
+        out += map(self.words.__getitem__, PATTERN.findall(text[at:] if at else text))
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter((i for piece in self.pieces(text) for i in piece), np.int32)
+        return joined_ids(self.pieces(text))
 
     def decode(self, ids) -> str:
         """Text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
@@ -102,43 +122,43 @@ class Codec:
 
 
 class _Words(dict):
-    """Ids of words seen by this task, merged when first asked for."""
+    """Words seen by this task, merged when first asked for."""
 
     def __init__(self, codec: Codec):
         self.codec = codec
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> Piece:
         raw = word.encode()
-        ids = tuple(self.codec.merged(raw)) if len(raw) <= 4 * CACHED_BYTES else tuple(merged_long(self.codec, raw))
+        piece = self.codec.piece(self.codec.merged(raw) if len(raw) <= 4 * CACHED_BYTES else merged_long(self.codec, raw))
         if len(raw) <= CACHED_BYTES:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            self[word] = ids
-        return ids
+            self[word] = piece
+        return piece
 
 
 def merged_long(codec: Codec, word: bytes) -> list[int]:
     """merged() for words of any length: neighbours are linked and a heap holds the ranks, so the time is not quadratic."""
     import heapq
 
-    n = len(word)
-    left, right, end = list(range(-1, n - 1)), list(range(1, n + 1)), list(range(1, n + 1))
+    n, parts = len(word), [codec.byte_ids[b] for b in word]
+    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
     alive = [True] * n
-    rank = lambda i: codec.rank.get((word[i : end[i]], word[end[i] : end[right[i]]]), NO_RANK) if right[i] < n else NO_RANK
-    heap = [(r, i, end[i], end[right[i]]) for i in range(n - 1) if (r := rank(i)) != NO_RANK]
+    rank = lambda i: codec.rank.get(parts[i] * codec.size + parts[right[i]], NO_RANK) if right[i] < n else NO_RANK
+    heap = [(r, i) for i in range(n - 1) if (r := rank(i)) != NO_RANK]
     heapq.heapify(heap)
     while heap:
-        _, i, stop, far = heapq.heappop(heap)
-        if not alive[i] or end[i] != stop or right[i] >= n or end[right[i]] != far:
+        r, i = heapq.heappop(heap)
+        if not alive[i] or rank(i) != r:
             continue
         gone = right[i]
-        alive[gone], end[i], right[i] = False, end[gone], right[gone]
+        alive[gone], parts[i], right[i] = False, codec.joined[r], right[gone]
         if right[i] < n:
             left[right[i]] = i
         for j in (i, left[i]):
             if j >= 0 and (r := rank(j)) != NO_RANK:
-                heapq.heappush(heap, (r, j, end[j], end[right[j]]))
-    return [codec.id_of[word[i : end[i]]] for i in range(n) if alive[i]]
+                heapq.heappush(heap, (r, j))
+    return [parts[i] for i in range(n) if alive[i]]
 
 
 _codecs: dict[str, Codec] = {}
@@ -160,17 +180,18 @@ def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame
     are ignored. The decoded text is that of the ids, not a copy of the input.
     """
 
-    return _mapped(docs, vocabulary, SCHEMA, lambda ids: ())
+    return _mapped(docs, vocabulary, SCHEMA, lambda pieces: ())
 
 
 def _mapped(docs: DataFrame, vocabulary: str, schema: str, more) -> DataFrame:
-    """Rows of doc_id, n_tokens, the digests, and what ``more`` gives for the ids; the words that a task has cached go with it."""
+    """Rows of doc_id, n_tokens, the digests, and what ``more`` gives for the pieces; the words that a task has cached go with it."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def row(c: Codec, text: str) -> tuple:
-        ids = c.encode(text)
-        numbers = ids.tolist()
-        return (len(numbers), hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest(), hashlib.sha256(c.decode(numbers).encode()).hexdigest(), *more(ids))
+        pieces = c.pieces(text)
+        numbers = hashlib.sha256(",".join([p.digits for p in pieces]).encode()).hexdigest()
+        back = b"".join([p.data for p in pieces]).decode("utf-8", "replace")
+        return (sum([p.n for p in pieces]), numbers, hashlib.sha256(back.encode()).hexdigest(), *more(pieces))
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(public_tokenizers.path(vocabulary))
@@ -186,8 +207,8 @@ def _mapped(docs: DataFrame, vocabulary: str, schema: str, more) -> DataFrame:
 
 
 def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """digests() and the token ids of each row's whole text."""
-    return _mapped(docs, vocabulary, f"{SCHEMA}, ids array<int>", lambda ids: (ids,))
+    """digests() and the token ids of each row's whole text; a very long text is encoded whole, and nulls, empty texts, repeated rows and empty tables are as there."""
+    return _mapped(docs, vocabulary, f"{SCHEMA}, ids array<int>", lambda pieces: (joined_ids(pieces),))
 
 
 def decoded(tokens: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
