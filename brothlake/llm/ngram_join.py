@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .tables import free_names, written
+from .tables import few, free_names, written
 
 #: A shingle is frequent if a share of all documents has it. At most the mean set size divided by it are: the only table that is broadcast.
 FREQUENT = 0.001
@@ -324,7 +324,10 @@ def forest(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> list[tuple
 
 
 def texts_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """node and a text that has its set, for each node of nodes (node, first_id: the doc_id of such a text)."""
+    """node and a text that has its set, for each node of nodes (node, first_id: the doc_id of such a text), a written table.
+
+    Where nodes are few they are broadcast, so that no other text is shuffled.
+    """
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,7 +338,7 @@ def texts_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
 
     schema = "node long, wanted long, text string"
     asked = nodes.where("first_id IS NOT NULL").select(F.col("first_id").alias("doc_id"), F.col("node").alias("wanted"))
-    by_id = docs.join(asked, "doc_id").select("wanted", "text").mapInArrow(named, schema).where("node = wanted").select("node", "text")
+    by_id = docs.join(few(asked), "doc_id").select("wanted", "text").mapInArrow(named, schema).where("node = wanted").select("node", "text")
     unnamed = docs.where("doc_id IS NULL").select(F.lit(None).cast("long").alias("wanted"), "text").mapInArrow(named, schema).select("node", "text")
     without = nodes.where("first_id IS NULL").select("node")
     return by_id.unionByName(unnamed.join(without, "node", "left_semi")).dropDuplicates(["node"])
@@ -344,7 +347,7 @@ def texts_of(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
 def links_in(tiles: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int, again: bool) -> DataFrame:
     """Links (a, b) between nodes that join all that the links within the tiles join, by exact intersection of the sets."""
     rows = written(possible(tiles, percent, again), "join-possible")
-    texts = texts_of(rows.select("node").distinct().join(firsts, "node"), docs, k)
+    texts = texts_of(written(rows.select("node").distinct().join(firsts, "node"), "join-wanted"), docs, k)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_tile(batches):

@@ -8,7 +8,9 @@ owned windows are the confirmed passages. Passages are cut into blocks of half
 a window, of which every window in a passage holds one. The blocks are compiled
 into Aho-Corasick automata, in shards by owner, and of every document the words
 under windows that have an anchor of a shard's stream through its automaton.
-Windows around each hit are then looked up among the shard's own.
+Windows around each hit are then looked up among the shard's own. A phrase that
+very many passages go on from differently would send its documents to all
+shards; the windows under such anchors are joined by their hashes instead.
 
 Equal texts are one: all but the first are removed whole. Each document meets
 the shards it needs only, and the documents of a popular shard are dealt out to
@@ -27,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .tables import written
+from .tables import few, free_names, written
 
 WINDOW, ANCHOR = 50, 20
 #: Words of passages in one automaton, and characters of documents that one copy of it reads, about.
 SHARD_WORDS, STREAM_CHARS = 400_000, 8_000_000
+#: An anchor that more shards have is not streamed: its windows are looked up by their hashes.
+MANY_SHARDS = 8
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 PROFILE = "doc_id long, n_words long, kept_sha256 string, anchors array<long>"
@@ -89,14 +93,15 @@ def recurring_texts(docs: DataFrame, profiles: DataFrame) -> DataFrame:
     """doc_id, kept_sha256, text and recurring anchors of one document for each different text that has any."""
     anchored = profiles.select("doc_id", "kept_sha256", F.explode("anchors").alias("anchor"))
     recurring = anchored.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
-    marked = anchored.join(recurring, "anchor").groupBy("doc_id", "kept_sha256").agg(F.collect_list("anchor").alias("anchors"))
+    marked = written(anchored.join(recurring, "anchor").groupBy("doc_id", "kept_sha256").agg(F.collect_list("anchor").alias("anchors")), "substring-marked")
+    ids = written(marked.select("doc_id").distinct(), "substring-ids")
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shas = [hashlib.sha256(x).hexdigest() for block in W.blocks(batch.column(2)) for x in joined_words(block)]
             yield batch.filter(pa.array([a == b for a, b in zip(shas, batch.column(1).to_pylist())], pa.bool_()))
 
-    found = docs.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "kept_sha256", "text", "anchors")
+    found = docs.select("doc_id", "text").join(few(ids), "doc_id", "left_semi").join(marked, "doc_id").select("doc_id", "kept_sha256", "text", "anchors")
     return found.mapInArrow(same, "doc_id long, kept_sha256 string, text string, anchors array<long>").dropDuplicates(["doc_id", "kept_sha256"])
 
 
@@ -241,11 +246,36 @@ def segments(texts: DataFrame, routes: DataFrame, window: int, anchor: int) -> D
     return joined.mapInArrow(kernel, "shard int, doc_id long, kept_sha256 string, start long, text string")
 
 
-def located(texts: DataFrame, found: DataFrame, owned: DataFrame, window: int, anchor: int, shard_words: int = SHARD_WORDS, stream_chars: int = STREAM_CHARS) -> DataFrame:
+def looked_up(texts: DataFrame, anchors: DataFrame, owned: DataFrame, window: int, anchor: int) -> DataFrame:
+    """doc_id, kept_sha256, spans of the windows with one of the anchors that a smaller doc_id owns, by equality of hashes."""
+    lists = texts.select("doc_id", "kept_sha256", F.explode("anchors").alias("anchor")).join(anchors, "anchor").groupBy("doc_id", "kept_sha256").agg(F.collect_list("anchor").alias("wanted"))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in W.blocks(batch.column(2)):
+                place, hashes, lowest = windows_of(block, window, anchor)
+                cuts = np.searchsorted(place, block.bounds)
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    row = block.first + i
+                    some = np.flatnonzero(np.isin(lowest[a:b], batch.column(3)[row].values.to_numpy().view(np.uint64)))
+                    if len(some):
+                        same = pa.array(np.full(len(some), row))
+                        yield pa.RecordBatch.from_arrays([pa.array(hashes[a:b][some].view(np.int64)), batch.column(0).take(same), batch.column(1).take(same), pa.array(place[a:b][some] - block.bounds[i])], ["hash", "doc_id", "kept_sha256", "start"])
+
+    rows = texts.join(lists, ["doc_id", "kept_sha256"]).select("doc_id", "kept_sha256", "text", "wanted").mapInArrow(kernel, "hash long, doc_id long, kept_sha256 string, start long")
+    hits = rows.join(owned.select("hash", "owner"), "hash").where("owner < doc_id")
+    return hits.groupBy("doc_id", "kept_sha256").agg(F.flatten(F.collect_list(F.array("start", F.col("start") + window))).alias("spans"))
+
+
+def located(texts: DataFrame, found: DataFrame, owned: DataFrame, window: int, anchor: int, shard_words: int = SHARD_WORDS, stream_chars: int = STREAM_CHARS, many_shards: int = MANY_SHARDS) -> DataFrame:
     """doc_id, kept_sha256 and spans (starts and ends of words, in turn) of the passages of smaller doc_ids in each text."""
     shards = max(1, -(-(found.agg(F.sum("n_words")).first()[0] or 0) // shard_words))
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
     holders = owned.groupBy("anchor", shard("owner").alias("shard")).agg(F.min("owner").alias("least"))
+    held_by_many = shards > many_shards
+    if held_by_many:
+        many = written(holders.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many_shards).select("anchor"), "substring-many")
+        holders = holders.join(many, "anchor", "left_anti")
     routes = texts.select("doc_id", "kept_sha256", F.explode("anchors").alias("anchor")).join(holders, "anchor").where("least < doc_id")
     routes = written(routes.groupBy("doc_id", "kept_sha256").agg(F.collect_list(F.struct("anchor", "shard")).alias("routes")), "substring-routes")
     sent = written(segments(texts, routes, window, anchor), "substring-segments")
@@ -272,6 +302,8 @@ def located(texts: DataFrame, found: DataFrame, owned: DataFrame, window: int, a
             yield pd.DataFrame(out, columns=["doc_id", "kept_sha256", "spans"])
 
     streamed = told.unionByName(reading).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind").mapInPandas(kernel, "doc_id long, kept_sha256 string, spans array<long>")
+    if held_by_many:
+        streamed = streamed.unionByName(looked_up(texts, many, owned, window, anchor))
     return streamed.groupBy("doc_id", "kept_sha256").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
@@ -282,7 +314,7 @@ def _kept_flags(n: int, spans: np.ndarray) -> np.ndarray:
     return np.cumsum(flags[:-1]) == 0
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, stream_chars: int = STREAM_CHARS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, stream_chars: int = STREAM_CHARS, many_shards: int = MANY_SHARDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """profiles of all rows; firsts (kept_sha256, first_id) of the texts long enough; spans of words to remove, with the text."""
     docs = docs.select("doc_id", "text")
     profiles = written(profiled(docs, window, anchor), "substring-profiles")
@@ -291,7 +323,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_w
     texts = written(recurring_texts(docs, alone), "substring-texts")
     owned = written(owned_windows(texts, window, anchor), "substring-windows")
     found = written(passages(texts, owned, window, anchor), "substring-passages")
-    spans = located(texts, found, owned, window, anchor, shard_words, stream_chars)
+    spans = located(texts, found, owned, window, anchor, shard_words, stream_chars, many_shards)
     return profiles, firsts, spans.join(texts.drop("anchors"), ["doc_id", "kept_sha256"])
 
 
@@ -303,8 +335,8 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     of it. A null, empty or shorter text loses nothing. A null doc_id is
     neither smaller nor larger than any, so its row loses nothing and takes
     nothing from others. Repeated rows, and other texts of one doc_id, don't
-    count against each other; an empty table gives no rows; other columns are
-    ignored.
+    count against each other; a very long text is worked on whole, alone in its
+    block; an empty table gives no rows; other columns are ignored.
     """
     profiles, firsts, spans = repeats(docs, **options)
 
@@ -326,13 +358,16 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 def cut_documents(docs: DataFrame, **options) -> DataFrame:
     """docs with the words that deduplicated() removes, and the white space after each, cut out of their texts; the columns of docs.
 
-    Rows stay, even without any word left; a null text stays null.
+    Rows stay, even without any word left; a null text stays null; repeated
+    rows, ties and very long texts are as in deduplicated(); an empty table
+    gives no rows.
     """
+    sha, of, first_id, some_id, some_sha, cuts = free_names(docs, "sha", "of", "first_id", "some_id", "some_sha", "spans")
     _, firsts, spans = repeats(docs, **options)
-    keyed = docs.withColumn("_sha", native_words_sha(F.col("text")))
-    first = firsts.select(F.col("kept_sha256").alias("_of"), "first_id")
-    some = spans.select(F.col("doc_id").alias("_id"), F.col("kept_sha256").alias("_text_sha"), F.col("spans").alias("_spans"))
-    marked = keyed.join(first, F.col("_sha") == F.col("_of"), "left").join(some, (F.col("doc_id") == F.col("_id")) & (F.col("_sha") == F.col("_text_sha")), "left")
+    keyed = docs.withColumn(sha, native_words_sha(F.col("text")))
+    first = firsts.select(F.col("kept_sha256").alias(of), F.col("first_id").alias(first_id))
+    some = spans.select(F.col("doc_id").alias(some_id), F.col("kept_sha256").alias(some_sha), F.col("spans").alias(cuts))
+    marked = keyed.join(first, F.col(sha) == F.col(of), "left").join(some, (F.col("doc_id") == F.col(some_id)) & (F.col(sha) == F.col(some_sha)), "left")
 
     @F.pandas_udf("string")
     def without(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -345,7 +380,7 @@ def cut_documents(docs: DataFrame, **options) -> DataFrame:
             out.iloc[at] = (block.data[: block.starts[0]].tobytes() + b"".join(parts)).decode()
         return out
 
-    text = F.when(F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False)), F.lit("")).when(F.col("_spans").isNotNull(), without("text", "_spans")).otherwise(F.col("text"))
+    text = F.when(F.coalesce(F.col(first_id) < F.col("doc_id"), F.lit(False)), F.lit("")).when(F.col(cuts).isNotNull(), without("text", cuts)).otherwise(F.col("text"))
     return marked.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
 
 

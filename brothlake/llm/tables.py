@@ -6,6 +6,16 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: Keys of one or two longs that are broadcast at most; more meet their rows in a shuffle.
+FEW_KEYS = 2_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """keys, a written table of one or two longs a row, to be broadcast if there are at most FEW_KEYS."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
 
 
 def shared_dir(spark: SparkSession) -> str:

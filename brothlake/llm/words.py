@@ -100,7 +100,15 @@ def _block(first: int, data: np.ndarray, at: np.ndarray) -> Block:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash for the bytes of each span."""
+    """A hash for the bytes of each span; spans are in order and worked on in runs of a few megabytes of data, so a very long text takes no more room than its words."""
+    if len(data) > 4 * BLOCK_BYTES and len(starts) > 1:
+        out, at = np.empty(len(starts), np.uint64), 0
+        while at < len(starts):
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK_BYTES, "right")))
+            first, last = starts[at], ends[stop - 1]
+            out[at:stop] = span_hashes(data[first:last], starts[at:stop] - first, ends[at:stop] - first)
+            at = stop
+        return out
     up, down = powers(_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
@@ -112,6 +120,9 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """A hash for the k words from each word on; the last k-1 places are missing."""
     if len(hashes) < k:
         return np.zeros(0, np.uint64)
+    run = max(1 << 20, k)
+    if len(hashes) > 2 * run:
+        return np.concatenate([grams(hashes[at : at + run + k - 1], k) for at in range(0, len(hashes) - k + 1, run)])
     up, down = powers(_GRAM, len(hashes) + 1)
     sums = np.zeros(len(hashes) + 1, np.uint64)
     with np.errstate(over="ignore"):

@@ -163,7 +163,7 @@ def kept_words(rows, window=50):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_words": 60, "stream_chars": 500}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 60, "stream_chars": 500, "many_shards": 10**6}, {"shard_words": 60, "many_shards": 0}])
 def test_substrings_equal_brute_force(docs, texts, options):
     got = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs, **options).collect())
     assert got == kept_words(texts)
@@ -182,8 +182,10 @@ def test_substrings_of_variants(spark):
             parts += [" ".join(w[cut:]), sentence(rng, rng.randrange(0, 9), 50)]
         rows.append((i * 7 % 61, "  \n".join(parts)))
     rows += [(70, "For " * 120), (71, "x " + "For " * 90), (72, "For " * 49)]
-    got = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert got == kept_words(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"shard_words": 200, "many_shards": 1}):
+        got = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(df, **options).collect())
+        assert got == kept_words(rows)
 
 
 def test_cut_documents_agree_with_digests(docs, no_docs):
@@ -201,3 +203,15 @@ def test_word_blocks_equal_the_pattern(texts):
             for i, (a, b) in enumerate(zip(block.bounds[:-1], block.bounds[1:])):
                 got = [block.data[s:e].tobytes().decode() for s, e in zip(block.starts[a:b], block.ends[a:b])]
                 assert got == words_of(values[block.first + i])
+
+
+def test_long_texts_hash_alike():
+    rng = np.random.default_rng(1)
+    text = " ".join(str(x) for x in rng.integers(0, 10**6, 900_000))
+    whole = next(W.blocks(pa.array([text], pa.string())))
+    at = text.index(" ", 3_000_000) + 1
+    parts = [next(W.blocks(pa.array([x], pa.string()))) for x in (text[:at], text[at:at + 1_000_000].rpartition(" ")[0])]
+    joined = np.concatenate([p.hashes for p in parts])
+    assert (whole.hashes[: len(joined)] == joined).all()
+    some = W.mixed(np.arange(2_500_000, dtype=np.uint64))
+    assert (W.grams(some, 50)[1_048_000:1_049_000] == W.grams(some[1_048_000:1_049_049], 50)).all()
