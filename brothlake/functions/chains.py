@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -43,3 +44,8 @@ def first_match(c: Column, patterns: list[tuple[str, int]]) -> Column:
 
 def first_match_sql(expression: str, patterns: list[tuple[str, int]]) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({expression}, '{p}') THEN regexp_extract({expression}, '{p}', {g})" for p, g in patterns) + " END"
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]

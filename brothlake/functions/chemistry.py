@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .chains import contains_any, contains_any_sql
+from .chains import bound, contains_any, contains_any_sql
 
 # Fixed values.
 
@@ -123,12 +123,20 @@ def alpha_fractions(h: Column, pka: Column) -> Column:
     return F.when(n == 0, F.array(F.lit(1.0))).otherwise(F.transform(terms, lambda x: x / total))
 
 
+def _elements(formula: Column, nesting: int) -> Column:
+    """The elements of a formula as (e, n), in order, repeated ones more than once."""
+    tokens = F.regexp_extract_all(_expanded(formula, nesting), F.lit(r"([A-Z][a-z]?)(\d*)"), 0)
+    return F.transform(tokens, lambda t: F.struct(F.regexp_extract(t, "^[A-Za-z]+", 0).alias("e"), F.coalesce(F.regexp_extract(t, r"\d+$", 0).try_cast("long"), F.lit(1)).alias("n")))
+
+
 def element_counts(formula: Column, nesting: int = 2) -> Column:
     """Map of elements to counts; groups in parentheses are multiplied, up to ``nesting`` deep."""
-    tokens = F.regexp_extract_all(_expanded(formula, nesting), F.lit(r"([A-Z][a-z]?)(\d*)"), 0)
-    pairs = F.transform(tokens, lambda t: F.struct(F.regexp_extract(t, "^[A-Za-z]+", 0).alias("e"), F.coalesce(F.regexp_extract(t, r"\d+$", 0).try_cast("long"), F.lit(1)).alias("n")))
-    elements = F.array_distinct(F.transform(pairs, lambda p: p["e"]))
-    return F.map_from_arrays(elements, F.transform(elements, lambda e: F.aggregate(F.filter(pairs, lambda p: p["e"] == e), F.lit(0).cast("long"), lambda a, p: a + p["n"])))
+
+    def counted(pairs: Column) -> Column:
+        of = lambda e: F.aggregate(F.filter(pairs, lambda p: p["e"] == e), F.lit(0).cast("long"), lambda a, p: a + p["n"])
+        return bound(F.array_distinct(F.transform(pairs, lambda p: p["e"])), lambda elements: F.map_from_arrays(elements, F.transform(elements, of)))
+
+    return bound(_elements(formula, nesting), counted)
 
 
 def _expanded(formula: Column, nesting: int) -> Column:
@@ -150,8 +158,8 @@ def _expanded(formula: Column, nesting: int) -> Column:
 def formula_weight(formula: Column, unknown: float = 0.0, default: float = 100.0) -> Column:
     """Sum of atomic weights; an unknown element weighs ``unknown``, a formula without weight ``default``."""
     weights = F.create_map(*[F.lit(x) for pair in ATOMIC_WEIGHTS.items() for x in pair])
-    total = F.aggregate(F.map_entries(element_counts(formula)), F.lit(0.0), lambda a, e: a + F.coalesce(F.element_at(weights, e["key"]), F.lit(unknown)) * e["value"])
-    return F.when(total > 0, total).otherwise(F.lit(default))
+    total = F.aggregate(_elements(formula, 2), F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(weights, p["e"]), F.lit(unknown)) * p["n"])
+    return bound(total, lambda t: F.when(t > 0, t).otherwise(F.lit(default)))
 
 
 def ion_charges(formula: Column) -> Column:

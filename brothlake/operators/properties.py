@@ -30,18 +30,18 @@ def ingredients(compositions: DataFrame, properties: DataFrame) -> DataFrame:
     own = F.col("molecular_weight").isNotNull()
     facts = known.select(
         F.col("compound").alias("_compound"),
-        F.when(own, F.struct("molecular_weight", "pka_values", "ion_charges")).otherwise(F.struct("estimate.molecular_weight", "estimate.pka_values", "estimate.ion_charges")).alias("p"),
+        F.when(own, F.struct("molecular_weight", "pka_values", "charge_states", "ion_charges")).otherwise(F.struct("estimate.molecular_weight", "estimate.pka_values", "estimate.charge_states", "estimate.ion_charges")).alias("p"),
         F.when(own, "recognized").when(F.col("estimate").isNotNull(), "estimated").otherwise("unaccounted").alias("account"),
     )
     doubled = F.coalesce(*[F.when(F.col("key") == k, F.lit(ion)) for k, ion in DOUBLED.items()], F.lit(""))
     amount = F.coalesce("g_l", F.lit(0.0))
     charge = F.aggregate(F.map_entries("p.ion_charges"), F.lit(0.0), lambda a, e: a + e["value"] * e["value"] * F.when((doubled != "") & e["key"].contains(doubled), 2.0).otherwise(1.0))
     joined = keyed.join(facts, keyed["compound"].eqNullSafe(facts["_compound"]), "left").drop("_compound")
-    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.coalesce(charge, F.lit(0.0)).alias("charge_sum"), "account", (F.size(F.map_keys("p.ion_charges")) > 0).alias("ionic"))
+    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.col("p.charge_states").alias("charge_states"), F.coalesce(charge, F.lit(0.0)).alias("charge_sum"), "account", (F.size(F.map_keys("p.ion_charges")) > 0).alias("ionic"))
 
 
-def media_summary(compositions: DataFrame, properties: DataFrame) -> DataFrame:
-    """One row for each medium: ph, salinity_percent, ionic_strength, total_dissolved_solids, shares of recognised and estimated compounds, labels."""
+def media_figures(compositions: DataFrame, properties: DataFrame) -> DataFrame:
+    """One row for each medium: ph, salinity and their uncertainties, strength, tds, and the numbers of its compounds by account."""
     parts = ingredients(compositions, properties)
     buffered = (F.col("molar") > 0) & (F.size("pka_values") > 0)
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
@@ -62,18 +62,30 @@ def media_summary(compositions: DataFrame, properties: DataFrame) -> DataFrame:
     doubt = F.when(F.col("buffers") == 0, 0.5).otherwise(F.least(F.lit(1.5), 0.5 + 0.1 * F.col("buffers") + F.when(F.col("buffering") < 0.001, 0.3).otherwise(0.0)))
     strength = F.greatest(F.col("strength"), F.lit(chemistry.LEAST_IONIC_STRENGTH))
     salt_doubt = F.least(F.lit(0.1), 0.01 + F.when(strength < 0.001, 0.005).otherwise(0.0) + 0.005 * F.col("other_salts"))
-    percent = lambda c: F.round(100.0 * c / F.col("n"), 1)
-    return sums.select(
+    return sums.select("medium_id", ph.alias("ph"), doubt.alias("ph_uncertainty"), chemistry.salinity_percent(strength, F.col("tds")).alias("salinity"), salt_doubt.alias("salinity_uncertainty"), strength.alias("strength"), "tds", "n", "recognized", "estimated")
+
+
+def _confidence(doubt: str, high: float, medium: float):
+    return F.when(F.col(doubt) < high, "high").when(F.col(doubt) < medium, "medium").otherwise("low")
+
+
+def _percent(c):
+    return F.coalesce(F.round(F.try_divide(100.0 * c, F.col("n")), 1), F.lit(0.0))
+
+
+def media_summary(compositions: DataFrame, properties: DataFrame) -> DataFrame:
+    """One row for each medium: ph, salinity_percent, ionic_strength, total_dissolved_solids, shares of recognised and estimated compounds, labels."""
+    return media_figures(compositions, properties).select(
         "medium_id",
-        F.round(ph, 2).alias("ph"),
-        F.when(doubt < 0.3, "high").when(doubt < 0.7, "medium").otherwise("low").alias("ph_confidence"),
-        F.round(chemistry.salinity_percent(strength, F.col("tds")), 4).alias("salinity_percent"),
-        F.when(salt_doubt < 0.02, "high").when(salt_doubt < 0.05, "medium").otherwise("low").alias("salinity_confidence"),
-        F.round(strength, 6).alias("ionic_strength"),
+        F.round("ph", 2).alias("ph"),
+        _confidence("ph_uncertainty", 0.3, 0.7).alias("ph_confidence"),
+        F.round("salinity", 4).alias("salinity_percent"),
+        _confidence("salinity_uncertainty", 0.02, 0.05).alias("salinity_confidence"),
+        F.round("strength", 6).alias("ionic_strength"),
         F.round("tds", 2).alias("total_dissolved_solids"),
-        percent(F.col("recognized")).alias("compounds_recognized"),
-        percent(F.col("estimated")).alias("compounds_estimated"),
-        percent(F.col("recognized") + F.col("estimated")).alias("total_coverage"),
+        _percent(F.col("recognized")).alias("compounds_recognized"),
+        _percent(F.col("estimated")).alias("compounds_estimated"),
+        _percent(F.col("recognized") + F.col("estimated")).alias("total_coverage"),
     )
 
 
@@ -91,31 +103,45 @@ def notes(summary: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(T.DoubleType())
-def _balanced_ph(molar: pd.Series, pka: pd.Series) -> pd.Series:
-    """pH at which the charges of each row's acids and of water balance; molar and pka are lists by acid."""
+def _balanced_ph(molar: pd.Series, pka: pd.Series, charges: pd.Series, strength: pd.Series) -> pd.Series:
+    """pH at which the charges of each row's acids and of water balance, halving 0.5 to 14; molar, pka and charges are lists by acid."""
     owner = np.repeat(np.arange(len(molar)), molar.map(len))
-    amount, values = np.concatenate(molar.tolist() or [[]]).astype(float), [np.asarray(x, float) for row in pka for x in row]
-    widest = max(map(len, values), default=0)
-    table = np.full((len(values), widest), 400.0)  # a missing step never dissociates
-    for i, x in enumerate(values):
-        table[i, : len(x)] = x
+    amount = np.concatenate(molar.tolist() or [[]]).astype(float)
+    steps = [np.asarray(x, float) for row in pka for x in row]
+    forms = [np.asarray(x, float)[: len(k) + 1] for row, ks in zip(charges, pka) for x, k in zip(row, ks)]
+    widest = max(map(len, steps), default=0)
+    table, z = np.full((len(steps), widest), 400.0), np.zeros((len(steps), widest + 1))  # a missing step never dissociates
+    for i, (x, f) in enumerate(zip(steps, forms)):
+        table[i, : len(x)], z[i, : len(f)] = x, f
+    root = np.sqrt(strength.to_numpy(float))[owner][:, None]
+    ionic = strength.to_numpy(float)[owner][:, None]
+    effective = z * 10.0 ** (-chemistry.DEBYE * z * z * (root / (1 + root) - chemistry.DAVIES_SLOPE * ionic))
     low, high = np.full(len(molar), 0.5), np.full(len(molar), 14.0)
     for _ in range(60):
         mid = (low + high) / 2
-        logs = np.concatenate([np.zeros((len(values), 1)), np.cumsum(mid[owner][:, None] - table, axis=1)], axis=1)
+        logs = np.concatenate([np.zeros((len(steps), 1)), np.cumsum(mid[owner][:, None] - table, axis=1)], axis=1)
         terms = 10.0 ** (logs - logs.max(axis=1, keepdims=True))
-        charge = (terms * np.arange(widest + 1)).sum(1) / terms.sum(1)
-        total = 10.0**-mid - 10.0 ** (mid - 14) - np.bincount(owner, amount * charge, minlength=len(molar))
+        charge = (terms * effective).sum(1) / terms.sum(1)
+        total = 10.0**-mid - 10.0 ** (mid - 14) + np.bincount(owner, amount * charge, minlength=len(molar))
         low, high = np.where(total > 0, mid, low), np.where(total > 0, high, mid)
-    return pd.Series((low + high) / 2).round(4)
+    return pd.Series((low + high) / 2)
 
 
 def charge_balance_ph(compositions: DataFrame, properties: DataFrame) -> DataFrame:
-    """medium_id and the pH between 0.5 and 14 at which the charges of its acids and of water balance, by bisection.
-
-    Charges pair with the forms of an acid by position, from the most
-    protonated on; a row gathers one medium's few acids.
+    """medium_id, ph and ph_uncertainty: where the charges of its acids, weakened by activity, and of water balance.
+
+    An acid's charge states pair with its forms by position, from the most
+    protonated on, as far as both go; each counts with its Davies coefficient
+    at the medium's ionic strength. The pH is the root between 0.5 and 14, or
+    the end that halving comes to where there is none; a medium without acids
+    is neutral, with an uncertainty of 0.5. A row gathers one medium's few
+    acids.
     """
-    acids = ingredients(compositions, properties).where("molar > 0 AND size(pka_values) > 0")
-    gathered = acids.groupBy("medium_id").agg(F.collect_list("molar").alias("molar"), F.collect_list("pka_values").alias("pka"))
-    return gathered.select("medium_id", _balanced_ph("molar", "pka").alias("ph"))
+    parts = ingredients(compositions, properties)
+    acid = (F.col("molar") > 0) & (F.size("pka_values") > 0)
+    list_of = lambda c: F.array_sort(F.collect_list(F.when(acid, F.struct(F.col("molar").alias("m"), F.col("pka_values").alias("k"), F.coalesce("charge_states", F.array().cast("array<int>")).alias("z")))))
+    media = parts.groupBy("medium_id").agg(F.greatest(F.sum(0.5 * F.coalesce("molar", F.lit(0.0)) * F.col("charge_sum")), F.lit(chemistry.LEAST_IONIC_STRENGTH)).alias("strength"), list_of("acids").alias("acids"))
+    n = F.size("acids")
+    uncertainty = F.when(n == 0, 0.5).otherwise(F.least(F.lit(1.0), 0.1 + 0.05 * n + 0.1 * F.sqrt("strength")))
+    solved = _balanced_ph(F.col("acids.m"), F.col("acids.k"), F.col("acids.z"), F.col("strength"))
+    return media.select("medium_id", F.round(F.when(n == 0, 7.0).otherwise(solved), 3).alias("ph"), F.round(uncertainty, 4).alias("ph_uncertainty"))

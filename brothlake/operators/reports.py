@@ -76,3 +76,20 @@ def word_jaccard(a: Column, b: Column) -> Column:
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^a-z0-9]+"), lambda w: w != ""))
     x, y = words(a), words(b)
     return F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)).cast("double"), F.size(F.array_union(x, y)).cast("double")), F.lit(0.0))
+
+
+def strategy_counts(rows: DataFrame, key: str, strategy: str = "extraction_method") -> DataFrame:
+    """key and strategies: a map of each way in which its rows were found to their number."""
+    counts = rows.groupBy(key, F.coalesce(F.col(strategy), F.lit("unknown")).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("s", "n")))).alias("strategies"))
+
+
+def run_statistics(requests: DataFrame, status: str = "status") -> DataFrame:
+    """One row: requests by outcome (downloaded, failed, empty; processed, unprocessed are downloaded ones) and the rates of success in percent."""
+    was = lambda *s: F.count_if(F.col(status).isin(*s))
+    rate = lambda *s: F.coalesce(F.round(F.try_divide(100.0 * was(*s), F.count(F.lit(1))), 1), F.lit(0.0))
+    got = ("downloaded", "processed", "unprocessed")
+    return requests.agg(
+        F.count(F.lit(1)).alias("total"), was(*got).alias("downloads"), was("failed").alias("failed"), was("empty").alias("empty"), was("processed").alias("processed"), was("unprocessed").alias("unprocessed"),
+        rate(*got).alias("download_rate"), rate("processed").alias("processing_rate"),
+    )

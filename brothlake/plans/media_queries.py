@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,11 @@ def _charge_sum(key: str, ions: str) -> float:
     return total
 
 
+def _buffering(pka: list[float]) -> float:
+    return sum(math.exp(-abs(7 - p)) for p in pka)
+
+
+_DOUBLES = lambda xs: f"{[float(x) for x in xs]}::DOUBLE[]"
 _ESTIMATED = lambda f: chemistry.estimate_case_sql("name", f)
 _FACTS = f"""
 names AS (SELECT i, n AS compound, trim(lower(n)) AS name FROM (SELECT unnest(range(len({_LIST}))) AS i, unnest({_LIST}) AS n)),
@@ -62,20 +69,25 @@ facts AS (SELECT *, {_known(lambda r: r[1])}::DOUBLE AS own_weight,
   coalesce({_known(lambda r: r[1])}, {_ESTIMATED(lambda r: r.weight)})::DOUBLE AS weight,
   coalesce({_known(lambda r: len(_numbers(r[2])))}, {_ESTIMATED(lambda r: len(r.pka))}) AS n_pka,
   coalesce({_known(lambda r: sum(_numbers(r[2])))}, {_ESTIMATED(lambda r: sum(r.pka))})::DOUBLE AS pka_sum,
+  coalesce({_known(lambda r: _buffering(_numbers(r[2])))}, {_ESTIMATED(lambda r: _buffering(r.pka))})::DOUBLE AS buffer, coalesce({_known(lambda r: str(bool(r[4])))}, false) AS ionic,
+  coalesce({_known(lambda r: _DOUBLES(_numbers(r[2])))}, {_ESTIMATED(lambda r: _DOUBLES(r.pka))}) AS pka, coalesce({_known(lambda r: _DOUBLES(_numbers(r[3])))}, {_ESTIMATED(lambda r: _DOUBLES(r.charges))}) AS charges,
   coalesce({_known(lambda r: _charge_sum(r[0].lower(), r[4]))}, {_ESTIMATED(lambda r: sum(z * z for z in r.ions.values()))})::DOUBLE AS charge_sum FROM keyed),
 lines AS (SELECT l_orderkey AS medium_id, f.*, l_quantity / 10 AS g_l, l_quantity / 10 / weight AS molar FROM lineitem JOIN facts f ON l_partkey % {len(INGREDIENTS)} = f.i),
 sums AS (SELECT medium_id, sum(g_l) AS tds, greatest(coalesce(sum(0.5 * molar * charge_sum), 0), 1e-7) AS strength, count(*) FILTER (molar > 0 AND n_pka > 0) AS buffers,
-  sum(molar * pka_sum) FILTER (molar > 0 AND n_pka > 0) AS ps, sum(molar * n_pka) FILTER (molar > 0 AND n_pka > 0) AS pw, count(*) AS n, count(own_weight) AS recognized,
+  sum(molar * pka_sum) FILTER (molar > 0 AND n_pka > 0) AS ps, sum(molar * n_pka) FILTER (molar > 0 AND n_pka > 0) AS pw, sum(molar * buffer) FILTER (molar > 0 AND n_pka > 0) AS buffering, count(*) FILTER (own_weight IS NOT NULL AND key <> 'nacl' AND ionic) AS salts,
+  list({{'m': molar, 'k': pka, 'z': charges}}) FILTER (molar > 0 AND n_pka > 0) AS acids, count(*) AS n, count(own_weight) AS recognized,
   count(*) FILTER (own_weight IS NULL AND weight IS NOT NULL) AS estimated FROM lines GROUP BY medium_id)"""
 _PH = "CASE WHEN buffers = 0 THEN 7.0 ELSE least(13.0, greatest(1.0, CASE WHEN buffers > 1 THEN 0.7 * (ps / pw) + 0.3 * 7.0 ELSE ps / pw END)) END"
 
 
 @query("media_summary", f"""
 WITH {_FACTS}
-SELECT medium_id, round({_PH}, 2) AS ph, round(0.013 * pow(strength, 0.9) / 0.0126 / (1000 + tds) * 100, 4) AS salinity_percent, round(strength, 6) AS ionic_strength, round(tds, 2) AS total_dissolved_solids,
-  round(100.0::DOUBLE * recognized / n, 1) AS compounds_recognized, round(100.0::DOUBLE * estimated / n, 1) AS compounds_estimated, round(100.0::DOUBLE * (recognized + estimated) / n, 1) AS total_coverage FROM sums""")
+SELECT medium_id, round({_PH}, 2) AS ph, CASE WHEN doubt < 0.3 THEN 'high' WHEN doubt < 0.7 THEN 'medium' ELSE 'low' END AS ph_confidence, CASE WHEN salt_doubt < 0.02 THEN 'high' WHEN salt_doubt < 0.05 THEN 'medium' ELSE 'low' END AS salinity_confidence, round(0.013 * pow(strength, 0.9) / 0.0126 / (1000 + tds) * 100, 4) AS salinity_percent, round(strength, 6) AS ionic_strength, round(tds, 2) AS total_dissolved_solids,
+  round(100.0::DOUBLE * recognized / n, 1) AS compounds_recognized, round(100.0::DOUBLE * estimated / n, 1) AS compounds_estimated, round(100.0::DOUBLE * (recognized + estimated) / n, 1) AS total_coverage
+FROM (SELECT *, CASE WHEN buffers = 0 THEN 0.5 ELSE least(1.5, 0.5::DOUBLE + 0.1::DOUBLE * buffers + CASE WHEN buffering < 0.001 THEN 0.3 ELSE 0.0 END::DOUBLE) END::DOUBLE AS doubt,
+  least(0.1, 0.01::DOUBLE + CASE WHEN strength < 0.001 THEN 0.005 ELSE 0.0 END::DOUBLE + 0.005::DOUBLE * salts)::DOUBLE AS salt_doubt FROM sums)""")
 def media_summary(t: Tables) -> DataFrame:
-    return properties.media_summary(compositions(t), property_rows(t)).drop("ph_confidence", "salinity_confidence")
+    return properties.media_summary(compositions(t), property_rows(t))
 
 
 @query("media_notes", f"""
@@ -106,7 +118,22 @@ def media_statistics(t: Tables) -> DataFrame:
     return reports.described(summary, ["ph", "total_dissolved_solids"]).withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 
 
-query("media_ph_by_charge_balance")(lambda t: properties.charge_balance_ph(compositions(t), property_rows(t)))
+_FORM = "pow(10.0::DOUBLE, i * mid - coalesce(list_sum(a.k[1:i]), 0))"
+_GAMMA = f"pow(10.0::DOUBLE, -{chemistry.DEBYE}::DOUBLE * a.z[i + 1] * a.z[i + 1] * (sqrt(strength) / (1 + sqrt(strength)) - {chemistry.DAVIES_SLOPE}::DOUBLE * strength))"
+
+
+@query("media_ph_by_charge_balance", f"""
+WITH RECURSIVE {_FACTS},
+m AS (SELECT medium_id, strength, coalesce(acids, []) AS acids FROM sums),
+b AS (SELECT medium_id, 0.5::DOUBLE AS lo, 14.0::DOUBLE AS hi, 0 AS step FROM m UNION ALL
+  SELECT medium_id, CASE WHEN f > 0 THEN mid ELSE lo END, CASE WHEN f > 0 THEN hi ELSE mid END, step + 1 FROM (
+    SELECT medium_id, lo, hi, mid, step, pow(10.0::DOUBLE, -mid) - pow(10.0::DOUBLE, mid - 14) + coalesce(list_sum(list_transform(acids, lambda a: a.m
+      * list_sum(list_transform(range(least(len(a.z), len(a.k) + 1)), lambda i: a.z[i + 1] * {_GAMMA} * {_FORM})) / list_sum(list_transform(range(len(a.k) + 1), lambda i: {_FORM})))), 0) AS f
+    FROM (SELECT *, (lo + hi) / 2 AS mid FROM b JOIN m USING (medium_id) WHERE step < 60)))
+SELECT m.medium_id, round(CASE WHEN len(acids) = 0 THEN 7.0 ELSE (lo + hi) / 2 END, 3) AS ph, round(CASE WHEN len(acids) = 0 THEN 0.5 ELSE least(1.0, 0.1::DOUBLE + 0.05::DOUBLE * len(acids) + 0.1::DOUBLE * sqrt(strength)) END, 4) AS ph_uncertainty
+FROM m JOIN b USING (medium_id) WHERE step = 60""")
+def media_ph_by_charge_balance(t: Tables) -> DataFrame:
+    return properties.charge_balance_ph(compositions(t), property_rows(t))
 
 
 @query("ionic_strength", "SELECT l_orderkey AS medium_id, round(greatest(sum(0.5 * l_quantity / p_retailprice * (l_linenumber % 4) * (l_linenumber % 4)), 1e-7), 6) AS ionic_strength FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")

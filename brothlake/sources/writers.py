@@ -34,3 +34,8 @@ def failures(results: DataFrame, kind: str, path: str, failed) -> DataFrame:
 def partitioned_names(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
     """A table bucketed and sorted by key, so that later lookups join without a shuffle."""
     df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+
+
+def named_files(df: DataFrame, folder: str) -> None:
+    """A folder for each file_name with its content as text, so a reader finds it by path."""
+    df.select("file_name", "content").repartition("file_name").write.partitionBy("file_name").text(folder)
