@@ -29,7 +29,7 @@ def compositions_of(documents: DataFrame) -> DataFrame:
 
 
 def _error(content: Column) -> Column:
-    """What is wrong with a composition document; null if nothing is."""
+    """What is wrong with a composition document; null if nothing is. What follows its first JSON value doesn't count."""
     return F.when(F.try_parse_json(content).isNull(), NOT_JSON).when(~F.startswith(F.trim(content), F.lit("[")), NOT_A_LIST)
 
 

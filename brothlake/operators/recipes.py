@@ -1,10 +1,9 @@
 """Ingredients out of recipe texts and HTML tables.
 
-Line-oriented layouts are read with Column expressions: a text is split into
-lines once, each line is tried against a layout's pattern, and the first layout
-that finds anything wins; lists of names and amounts come before the prose of
-amount_first. Tables in HTML are read by a small parser in a pandas
-UDF, one document a row.
+Layouts are read with Column expressions: blocks of lines and phrases (module
+layouts), and lines that match a pattern. The first layout that finds anything
+wins. Tables in HTML are read by a small parser in a pandas UDF, one document a
+row.
 """
 
 from __future__ import annotations
@@ -16,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.chains import bound
 from ..functions.predicates import is_compound
+from . import layouts
 
 # Fixed values.
 
@@ -63,24 +64,32 @@ def layout(text: Column, name: str, parity: bool = False) -> Column:
 def listed(text: Column, parity: bool = False) -> Column:
     """The names before the first line with "per litre", each with the amount at its place after it, as far as both go."""
     lines = F.transform(F.split(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
-    lines = F.filter(lines, lambda x: ~x.rlike(NOT_LISTED))
     first = lambda xs, true: F.array_position(F.transform(xs, true), F.lit(True)).cast("int")
-    at = first(lines, lambda x: x.rlike(PER_LITRE))
-    named = F.filter(F.slice(lines, 1, F.greatest(at - 1, F.lit(0))), lambda x: (F.length(x) > 3) & (F.lower(x) != "medium") & ~x.rlike(r"^\d"))
-    rest = F.slice(lines, at + 1, F.size(lines))
-    end = first(rest, lambda x: x.rlike(LIST_END) & ~x.rlike(LISTED_AMOUNT))
-    amounts = F.filter(F.slice(rest, 1, F.when(end > 0, end - 1).otherwise(F.size(rest))), lambda x: x.rlike(LISTED_AMOUNT) & ~x.rlike(PER_LITRE))
-    pairs = F.slice(F.arrays_zip(named.alias("n"), amounts.alias("a")), 1, F.least(F.size(named), F.size(amounts)))
     part = lambda r, g: F.regexp_extract(r["a"], LISTED_AMOUNT, g)
-    rows = F.transform(pairs, lambda r: F.struct(r["n"].alias("name"), F.regexp_replace(part(r, 1), ",", ".").cast("double").alias("concentration"), part(r, 2).alias("unit"), F.lit("list").alias("extraction_method")))
+
+    def paired(named: Column, amounts: Column) -> Column:
+        pairs = F.slice(F.arrays_zip(named.alias("n"), amounts.alias("a")), 1, F.least(F.size(named), F.size(amounts)))
+        return F.transform(pairs, lambda r: F.struct(r["n"].alias("name"), F.regexp_replace(part(r, 1), ",", ".").cast("double").alias("concentration"), part(r, 2).alias("unit"), F.lit("list").alias("extraction_method")))
+
+    def found(lines: Column, at: Column) -> Column:
+        named = F.filter(F.slice(lines, 1, F.greatest(at - 1, F.lit(0))), lambda x: (F.length(x) > 3) & (F.lower(x) != "medium") & ~x.rlike(r"^\d"))
+        rest = F.slice(lines, at + 1, F.size(lines))
+        end = lambda xs: first(xs, lambda x: x.rlike(LIST_END) & ~x.rlike(LISTED_AMOUNT))
+        own = bound(rest, lambda xs: bound(end(xs), lambda e: F.slice(xs, 1, F.when(e > 0, e - 1).otherwise(F.size(xs)))))
+        amounts = F.filter(own, lambda x: x.rlike(LISTED_AMOUNT) & ~x.rlike(PER_LITRE))
+        return bound(F.struct(named.alias("n"), amounts.alias("a")), lambda s: paired(s["n"], s["a"]))
+
+    rows = bound(F.filter(lines, lambda x: ~x.rlike(NOT_LISTED)), lambda xs: bound(first(xs, lambda x: x.rlike(PER_LITRE)), lambda at: found(xs, at)))
     return _most(rows, parity)
 
 
 def ingredients(text: Column, parity: bool = False) -> Column:
     """Those of the first layout that finds any; an empty array if none does or the text is null."""
-    found = [layout(text, name, parity) for name, *_ in LAYOUTS]
-    found.insert(3, listed(text, parity))
-    return F.coalesce(*[F.when(F.size(x) > 0, x) for x in found], F.array().cast(INGREDIENT))
+    line = {name: layout(text, name, parity) for name, *_ in LAYOUTS}
+    blocks = [layouts.tabular(text), layouts.reverse_tabular(text), F.transform(layouts.solutions(text), lambda r: r.dropFields("solution")), layouts.reference(text)]
+    rest = [layouts.three_columns(text), listed(text, parity), layouts.prose(text)]
+    found = [*blocks, line["dotted"], line["columnar"], line["parenthetical"], *rest, line["amount_first"], layouts.generic(text)]
+    return F.coalesce(*[F.when(F.size(x) > 0, _most(x, parity).cast(INGREDIENT)) for x in found], F.array().cast(INGREDIENT))
 
 
 def references(text: Column) -> Column:

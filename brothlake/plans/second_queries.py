@@ -250,13 +250,13 @@ def _medium_documents(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("medium_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
     listed = F.to_json(F.transform("lines", lambda x: F.struct(x["compound"].alias("compound"), x["g_l"].alias("g_l"))))
     kind = F.col("medium_id") % 10
-    return lines.select("medium_id", F.when(kind == 7, F.concat(listed, F.lit("]"))).when(kind == 8, '{"name": "no list"}').otherwise(listed).alias("content"))
+    return lines.select("medium_id", F.when(kind == 7, F.substring(listed, F.lit(1), F.length(listed) - 1)).when(kind == 8, '{"name": "no list"}').otherwise(listed).alias("content"))
 
 
 _DOCUMENT_SQL = f"""
 WITH {_FACTS}, ok AS (SELECT * FROM sums WHERE medium_id % 10 NOT IN (7, 8)),
 d AS (SELECT *, {_PH} AS ph, CASE WHEN buffers = 0 THEN 0.5 ELSE least(1.5, 0.5::DOUBLE + 0.1::DOUBLE * buffers + CASE WHEN buffering < 0.001 THEN 0.3 ELSE 0.0 END::DOUBLE) END::DOUBLE AS doubt FROM ok),
-l AS (SELECT medium_id, array_to_string(list(compound ORDER BY line) FILTER (own_weight IS NOT NULL), '; ') AS recognized_list FROM (SELECT l_orderkey AS medium_id, l_linenumber AS line, compound, own_weight FROM lineitem JOIN facts f ON l_partkey % {len(INGREDIENTS)} = f.i) GROUP BY 1),
+l AS (SELECT medium_id, array_to_string(list(compound ORDER BY line, compound) FILTER (own_weight IS NOT NULL), '; ') AS recognized_list FROM (SELECT l_orderkey AS medium_id, l_linenumber AS line, compound, own_weight FROM lineitem JOIN facts f ON l_partkey % {len(INGREDIENTS)} = f.i) GROUP BY 1),
 m AS (SELECT DISTINCT l_orderkey AS medium_id FROM lineitem)
 SELECT m.medium_id, round(ph, 2) AS ph_value, round(ph - doubt, 2) AS ph_range_min, CASE WHEN d.medium_id IS NULL THEN 'none' WHEN doubt < 0.3 THEN 'high' WHEN doubt < 0.7 THEN 'medium' ELSE 'low' END AS ph_confidence, round(tds, 2) AS tds,
   concat(recognized, '/', nullif(n, 0)) AS compounds_recognized, CASE WHEN d.medium_id IS NULL THEN '' ELSE coalesce(recognized_list, '') END AS recognized_compounds_list, coalesce(recognized, 0)::INTEGER AS recognized_compounds_count,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions.chains import contains_any_sql
-from ..operators import recipes
+from ..operators import layouts, recipes
 from ..sources import readers
 from .registry import Tables, query
 
@@ -105,3 +105,54 @@ FROM (SELECT l_orderkey AS medium_id, concat('| part ', l_partkey, ' | ', l_part
 def markdown_tables(t: Tables) -> DataFrame:
     rows = t.lineitem.select(F.col("l_orderkey").alias("medium_id"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("compound"), F.col("l_partkey").alias("g_l"), F.lit("g").alias("unit"), F.col("l_linenumber").alias("pos"))
     return readers.markdown_table(rows)
+
+
+# Texts in layouts of several lines, with one to four ingredients each, told by a part's numbers.
+
+_NAMES = ["MgSO4", "Yeast extract", "K2HPO4 x 3 H2O", "Beef extract", "NaCl", "Casitone", "CaCl2"]
+
+
+def _layout_texts(t: Tables) -> DataFrame:
+    each, kind = F.sequence(F.lit(0), (F.col("p_size") % 4).cast("int")), F.col("p_partkey") % 6
+    name = lambda i: F.element_at(F.array(*map(F.lit, _NAMES)), ((F.col("p_partkey") + i) % len(_NAMES) + 1).cast("int"))
+    amount = lambda i: F.concat((F.col("p_size") + i).cast("string"), F.lit(".5"))
+    block = lambda f: F.concat_ws("\n", F.transform(each, f))
+    names, amounts = block(name), block(amount)
+    units = F.concat_ws("\n", F.transform(F.filter(each, lambda i: i > 0), lambda i: F.lit("mg")))
+    solution = F.concat(F.lit("Take care\nTrace solution:\n"), block(lambda i: F.concat(name(i), F.lit(" ("), amount(i), F.lit(" mg)"))), F.lit("\npH 7\nDistilled water"))
+    sentence = F.concat(F.lit("The broth contains "), amount(F.lit(0)), F.lit(" g yeast extract per litre. Casitone is added at "), amount(F.lit(1)), F.lit(" mg/l."))
+    text = (
+        F.when(kind == 0, F.concat_ws("\n", F.lit("Some medium"), names, amounts, units, F.lit("Adjust pH")))
+        .when(kind == 1, F.concat_ws("\n", amounts, F.lit("mg"), names, F.lit("Final medium")))
+        .when(kind == 2, solution)
+        .when(kind == 3, F.concat(F.lit("Use Medium "), F.col("p_size").cast("string"), F.lit(" and add 5% beef extract. plus "), amount(F.lit(0)), F.lit(" agar")))
+        .when(kind == 4, F.concat_ws("\n", names, F.lit("see below"), amounts, F.lit("in"), units))
+        .otherwise(sentence)
+    )
+    return t.part.select("p_partkey", text.alias("text"))
+
+
+_LAYOUT_ROWS = f"""
+rows AS (SELECT p_partkey, p_size, p_partkey % 6 AS kind, unnest(range(p_size % 4 + 1)) AS i FROM part),
+named AS (SELECT *, ({_NAMES})[(p_partkey + i) % {len(_NAMES)} + 1] AS name, p_size + i + 0.5::DOUBLE AS amount, p_size % 4 + 1 AS n FROM rows)"""
+
+
+@query("layout_ingredients", f"""
+WITH {_LAYOUT_ROWS}
+SELECT p_partkey, i::INTEGER AS pos, name, amount AS concentration, CASE WHEN kind = 2 OR (kind = 0 AND i < n - 1) OR (kind = 1 AND i = 0) OR (kind = 4 AND i < n - 1) THEN 'mg' ELSE 'g' END AS unit, ['tabular', 'reverse_tabular', 'solutions', '', 'tabular'][kind + 1] AS extraction_method FROM named WHERE kind IN (0, 1, 2, 4)
+UNION ALL SELECT p_partkey, 0, concat('Reference to Medium ', p_size), 1.0, 'reference', 'reference' FROM part WHERE p_partkey % 6 = 3
+UNION ALL SELECT p_partkey, 1, 'Beef Extract', 5.0, '%', 'addition' FROM part WHERE p_partkey % 6 = 3 UNION ALL SELECT p_partkey, 2, 'Agar', p_size + 0.5, 'g', 'addition' FROM part WHERE p_partkey % 6 = 3
+UNION ALL SELECT p_partkey, 0, 'yeast extract', p_size + 0.5, 'g/L', 'prose' FROM part WHERE p_partkey % 6 = 5 UNION ALL SELECT p_partkey, 1, x, p_size + 1.5, 'mg/L', 'prose' FROM (SELECT *, 'Casitone' AS x FROM part) WHERE p_partkey % 6 = 5""")
+def layout_ingredients(t: Tables) -> DataFrame:
+    return recipes.recipe_rows(_layout_texts(t), "p_partkey")
+
+
+@query("three_column_ingredients", f"WITH {_LAYOUT_ROWS} SELECT p_partkey, i AS pos, name, amount AS concentration, CASE WHEN i < n - 1 THEN 'mg' ELSE 'g' END AS unit, 'three_columns' AS extraction_method FROM named WHERE kind = 4")
+def three_column_ingredients(t: Tables) -> DataFrame:
+    return _layout_texts(t).where("p_partkey % 6 = 4").select("p_partkey", F.posexplode(layouts.three_columns(F.col("text"))).alias("pos", "r")).select("p_partkey", "pos", "r.*")
+
+
+@query("solution_ingredients", f"WITH {_LAYOUT_ROWS} SELECT p_partkey, name, amount AS concentration, 'Trace solution:' AS solution FROM named WHERE kind = 2")
+def solution_ingredients(t: Tables) -> DataFrame:
+    rows = _layout_texts(t).select("p_partkey", F.explode(layouts.solutions(F.col("text"))).alias("r"))
+    return rows.select("p_partkey", "r.name", "r.concentration", "r.solution")
