@@ -176,9 +176,9 @@ def additions(text: Column) -> Column:
     return F.transform(kept, lambda r: F.struct(F.initcap(F.trim(r["n"])).alias("name"), F.replace(r["a"], F.lit("%"), F.lit("")).cast("double").alias("concentration"), F.when(r["a"].contains("%"), "%").otherwise("g").alias("unit"), F.lit("addition").alias("extraction_method")))
 
 
-def _unrepeated(rows: Column) -> Column:
-    """Rows without those whose name an earlier one has."""
-    return bound(rows, lambda rs: F.filter(rs, lambda r, i: F.array_position(F.transform(rs, lambda x: x["name"]), r["name"]) == i + 1))
+def unrepeated(rows: Column, key=lambda r: r["name"]) -> Column:
+    """Rows without those whose key an earlier one has."""
+    return bound(rows, lambda rs: F.filter(rs, lambda r, i: F.array_position(F.transform(rs, key), key(r)) == i + 1))
 
 
 def _phrases(text: Column, pattern: str, n: int, a: int, u: int, unit, method: str) -> Column:
@@ -191,12 +191,12 @@ def _phrases(text: Column, pattern: str, n: int, a: int, u: int, unit, method: s
 def prose(text: Column) -> Column:
     """Names with amounts within sentences, as amounts in a litre; of a name the first phrase counts."""
     found = F.concat(*[_phrases(text, *p, lambda u: F.concat(u, F.lit("/L")), "prose") for p in PROSE])
-    return _unrepeated(F.filter(found, lambda r: likely_chemical(r["name"]) & ~r["name"].rlike(r"(?i)\bis added at$")))
+    return unrepeated(F.filter(found, lambda r: likely_chemical(r["name"]) & ~r["name"].rlike(r"(?i)\bis added at$")))
 
 
 def generic(text: Column) -> Column:
     """Any capitalised words before a number and a unit; of a name the first."""
-    return _unrepeated(F.filter(_phrases(text, GENERIC, 1, 2, 3, lambda u: u, "generic"), lambda r: likely_chemical(r["name"])))
+    return unrepeated(F.filter(_phrases(text, GENERIC, 1, 2, 3, lambda u: u, "generic"), lambda r: likely_chemical(r["name"])))
 
 
 def first_found(found: list[Column], empty: Column) -> Column:
