@@ -5,7 +5,7 @@ beside it the rank of each part joined with its right neighbour. The smallest
 rank is found by a scan, its boundary is deleted, and the ranks of the two
 neighbours are looked up again, until no rank is left. Words are short, so the
 scans are cheaper than a heap; each distinct word is merged once a task, and its
-ids, their digits and the bytes they decode to are kept for its other places.
+ids are kept, as digits with commas between, for its other places.
 """
 
 from __future__ import annotations
@@ -13,12 +13,11 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 PATTERN = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 #: A cached word's bytes at most, and cached words at most before the cache starts anew.
-CACHED_BYTES, CACHED_WORDS = 64, 200_000
+CACHED_BYTES, CACHED_WORDS = 64, 150_000
 
 #: Rows in a batch that a task returns.
 ROWS = 512
@@ -42,19 +41,6 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
 
 
-class Piece(NamedTuple):
-    """A pre-token's tokens: how many, their ids in digits with commas between, the bytes that they decode to, their ids."""
-
-    n: int
-    digits: str
-    data: bytes
-    ids: tuple[int, ...]
-
-
-def joined_ids(pieces: list[Piece]) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(p.ids for p in pieces), np.int32)
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -100,41 +86,42 @@ class Codec:
                 ranks[at - 1] = rank(parts[at - 1] * size + parts[at], NO_RANK)
         return [self.id_of[word[a:b]] for a, b in zip(bounds, bounds[1:])]
 
-    def piece(self, ids: list[int]) -> Piece:
-        return Piece(len(ids), ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids)), tuple(ids))
-
-    def pieces(self, text: str) -> list[Piece]:
-        """The pre-tokens of a text in turn; a special token's string is that token."""
+    def digits(self, text: str) -> str:
+        """Decimal ids of a text with commas between; a special token's string is that token."""
         out, at = [], 0
         for found in self.splitter.finditer(text) if self.splitter else ():
             out += map(self.words.__getitem__, PATTERN.findall(text[at : found.start()]))
-            out.append(self.piece([self.special[found[0]]]))
+            out.append(str(self.special[found[0]]))
             at = found.end()
         out += map(self.words.__getitem__, PATTERN.findall(text[at:] if at else text))
-        return out
+        return ",".join(out)
 
     def encode(self, text: str) -> np.ndarray:
-        return joined_ids(self.pieces(text))
+        return ids_of(self.digits(text))
 
     def decode(self, ids) -> str:
         """Text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def ids_of(digits: str) -> np.ndarray:
+    return np.fromstring(digits, np.int32, sep=",") if digits else np.zeros(0, np.int32)
+
+
 class _Words(dict):
     """Words seen by this task, merged when first asked for."""
 
     def __init__(self, codec: Codec):
         self.codec = codec
 
-    def __missing__(self, word: str) -> Piece:
+    def __missing__(self, word: str) -> str:
         raw = word.encode()
-        piece = self.codec.piece(self.codec.merged(raw) if len(raw) <= 4 * CACHED_BYTES else merged_long(self.codec, raw))
+        digits = ",".join(map(str, self.codec.merged(raw) if len(raw) <= 4 * CACHED_BYTES else merged_long(self.codec, raw)))
         if len(raw) <= CACHED_BYTES:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            self[word] = piece
-        return piece
+            self[word] = digits
+        return digits
 
 
 def merged_long(codec: Codec, word: bytes) -> list[int]:
@@ -180,35 +167,37 @@ def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame
     are ignored. The decoded text is that of the ids, not a copy of the input.
     """
 
-    return _mapped(docs, vocabulary, SCHEMA, lambda pieces: ())
+    return _mapped(docs, vocabulary, SCHEMA)
 
 
-def _mapped(docs: DataFrame, vocabulary: str, schema: str, more) -> DataFrame:
-    """Rows of doc_id, n_tokens, the digests, and what ``more`` gives for the pieces; the words that a task has cached go with it."""
+def _mapped(docs: DataFrame, vocabulary: str, schema: str) -> DataFrame:
+    """Rows of doc_id, n_tokens, the digests, and the ids if the schema has them, ROWS at a time; the words that a task has cached go with it."""
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def row(c: Codec, text: str) -> tuple:
-        pieces = c.pieces(text)
-        numbers = hashlib.sha256(",".join([p.digits for p in pieces]).encode()).hexdigest()
-        back = b"".join([p.data for p in pieces]).decode("utf-8", "replace")
-        return (sum([p.n for p in pieces]), numbers, hashlib.sha256(back.encode()).hexdigest(), *more(pieces))
-
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(public_tokenizers.path(vocabulary))
         for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                part = batch.iloc[at : at + ROWS]
-                out = pd.DataFrame([row(c, text or "") for text in part["text"]], columns=names[1:])
-                out.insert(0, "doc_id", part["doc_id"].to_numpy())
-                yield out
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids, shas, texts = [], [], []
+                for text in part.column(1).to_pylist():
+                    digits = c.digits(text or "")
+                    ids.append(ids_of(digits))
+                    shas.append(hashlib.sha256(digits.encode()).hexdigest())
+                    texts.append(hashlib.sha256(c.decode(ids[-1].tolist()).encode()).hexdigest())
+                size = np.array([len(x) for x in ids], np.int64)
+                columns = [part.column(0).cast(pa.int64()), pa.array(size), pa.array(shas), pa.array(texts)]
+                if "ids" in names:
+                    columns.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays(columns, names)
         c.words.clear()
 
-    return docs.select("doc_id", "text").mapInPandas(kernel, schema)
+    return docs.select("doc_id", "text").mapInArrow(kernel, schema)
 
 
 def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """digests() and the token ids of each row's whole text; a very long text is encoded whole, and nulls, empty texts, repeated rows and empty tables are as there."""
-    return _mapped(docs, vocabulary, f"{SCHEMA}, ids array<int>", lambda pieces: (joined_ids(pieces),))
+    return _mapped(docs, vocabulary, f"{SCHEMA}, ids array<int>")
 
 
 def decoded(tokens: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
