@@ -21,14 +21,26 @@ def components(edges: DataFrame) -> DataFrame:
     join, which streams them and which adaptive execution splits where it is
     skewed; they are never held together.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
+    ends = lambda df: df.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    now = written(ends(edges).distinct(), "components")
     state, before = _state(now), None
     while state != before and state[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "components")
+        # A node's smallest neighbour, or itself, is told to its larger neighbours (large star), and what a node is told to all it is told (small star).
+        low = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), "v")).groupBy("u").agg(F.min("v").alias("m"))
+        large = now.join(low.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v")).repartition("u").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        now = written(ends(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))).distinct(), "components")
         state, before = _state(now), state
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def joined_components(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """components() of the edges that roots (node, root) stand for and further ones."""
+    named = lambda df, c: df.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left").withColumn(c, F.coalesce(f"{c}_root", c)).drop(f"{c}_root")
+    more = components(named(named(edges, "a"), "b"))
+    if more.isEmpty():
+        return roots
+    higher = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(higher, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return moved.unionByName(more)

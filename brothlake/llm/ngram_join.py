@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .components import components
+from .components import components, joined_components
 from .tables import few, free_names, written
 
 #: A shingle is frequent if a share of all documents has it. At most the mean set size divided by it are: the only table that is broadcast.
@@ -78,7 +78,7 @@ def frequent_shingles(docs: DataFrame, k: int, share: float = FREQUENT) -> tuple
     the share, so what is gathered is bounded by the mean size of a set over
     the share. The order of shingles depends on it, links don't.
     """
-    full = 500_000
+    full, run = 250_000, 500_000
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times, seen, held, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, [], 0
@@ -101,7 +101,7 @@ def frequent_shingles(docs: DataFrame, k: int, share: float = FREQUENT) -> tuple
                     held.append(hashes)
                     size += len(hashes)
                     seen += 1
-                    if size >= 1_000_000:
+                    if size >= run:
                         known, times = counted()
                         held, size = [], 0
         if held:
@@ -267,19 +267,21 @@ def _blocks(rows: str, shingles: str, tile_rows: int) -> Column:
     return F.greatest(F.ceil(F.col(rows) / tile_rows), F.ceil(F.col(shingles) / TILE_SHINGLES)).cast("int")
 
 
-def open_tiles(headed: DataFrame, links: DataFrame, tile_rows: int) -> DataFrame:
-    """The rows of the tiles that hold sets of more than one component of the links.
+def open_tiles(headed: DataFrame, roots: DataFrame, tile_rows: int) -> DataFrame | None:
+    """The rows of the tiles that hold sets of more than one component (roots: node, root); None without any.
 
     The largest component of a tile of several blocks is dealt to blocks 0 and
     on, the rest to blocks -1 and on; only pairs of blocks that hold some of
     the rest are formed.
     """
-    placed = headed.select("node", F.explode("tokens").alias("token"), "n_shingles").join(components(links), "node", "left").select("node", "token", "n_shingles", F.coalesce("root", "node").alias("component"))
+    placed = headed.select("node", F.explode("tokens").alias("token"), "n_shingles").join(roots, "node", "left").select("node", "token", "n_shingles", F.coalesce("root", "node").alias("component"))
     parts = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("s"))
     largest = F.max(F.struct("m", "s", "component")).alias("top")
     still = parts.groupBy("token").agg(F.sum("m").alias("m"), F.sum("s").alias("s"), largest, F.count(F.lit(1)).alias("parts")).where("parts > 1")
     still = still.select("token", F.col("top.component").alias("top"), _blocks("m", "s", tile_rows).alias("blocks"), F.col("top.m").alias("tm"), F.col("top.s").alias("ts"), (F.col("m") - F.col("top.m")).alias("rm"), (F.col("s") - F.col("top.s")).alias("rs"))
-    still = still.select("token", "top", "blocks", _blocks("tm", "ts", tile_rows).alias("major"), _blocks("rm", "rs", tile_rows).alias("minor"))
+    still = written(still.select("token", "top", "blocks", _blocks("tm", "ts", tile_rows).alias("major"), _blocks("rm", "rs", tile_rows).alias("minor")), "join-open")
+    if still.isEmpty():
+        return None
     rows = placed.join(still, "token")
     turn = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     block = F.when(F.col("blocks") == 1, F.lit(0)).when(F.col("component") == F.col("top"), turn("major")).otherwise(-1 - turn("minor"))
@@ -386,10 +388,12 @@ def labelled(docs: DataFrame, k: int = 3, percent: int = 90, tile_rows: int = TI
     firsts = nodes.select("node", "first_id")
 
     tiles, headed = first_tiles(sets, tile_rows)
-    links = links_in(tiles, docs, firsts, k, percent, again=False)
-    links = links.unionByName(links_in(open_tiles(headed, links, tile_rows), docs, firsts, k, percent, again=True))
+    roots = components(links_in(tiles, docs, firsts, k, percent, again=False))
+    rest = open_tiles(headed, roots, tile_rows)
+    if rest is not None:
+        roots = joined_components(roots, links_in(rest, docs, firsts, k, percent, again=True))
 
-    rooted = firsts.join(components(links), "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    rooted = firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(smallest, "root").select("node", "component_id")
     return sig.select("doc_id", "n_shingles", "node").join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")

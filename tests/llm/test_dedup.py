@@ -67,7 +67,7 @@ def test_join_of_one_large_group(spark, tmp_path):
     """Links grow with the rows of a group, not with its pairs, in one block or in many."""
     rng = random.Random(5)
     base, rows = sentence(rng, 120, 3000).split(), []
-    for i in range(2000):
+    for i in range(1200):
         words = list(base)
         words[rng.randrange(len(words))] = f"n{i}"
         rows.append((i, " ".join(words)))
@@ -139,6 +139,16 @@ def test_clashing_names_and_null_ids(spark):
         assert substrings.cut_documents(docs).where("text = ''").count() == 2
 
 
+def test_joined_components(spark):
+    frame = lambda xs: spark.createDataFrame(xs, "a long, b long")
+    rng = random.Random(2)
+    for n in (5, 40):
+        first, more = ([(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for _ in range(2))
+        want = {r.node: r.root for r in components.components(frame(first + more)).collect()}
+        assert {r.node: r.root for r in components.joined_components(components.components(frame(first)), frame(more)).collect()} == want
+    assert components.joined_components(components.components(frame([(1, 2)])), frame([])).count() == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 5), (200, 201), (201, 200), (7, 7), (300, 300)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
