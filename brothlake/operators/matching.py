@@ -5,11 +5,13 @@ from __future__ import annotations
 import difflib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.chains import bound
 from ..functions.nested import synonyms
 
 
@@ -48,8 +50,31 @@ def exact_cascade(names: DataFrame, nodes: DataFrame, name: str, normaliser: Cal
 
 @F.pandas_udf(T.IntegerType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """100 times the matching share of two strings, rounded; 0 with a null."""
-    return pd.Series([int(round(100 * difflib.SequenceMatcher(None, x, y).ratio())) if isinstance(x, str) and isinstance(y, str) else 0 for x, y in zip(a, b)], dtype="int32")
+    """100 times the matching share of two strings, rounded; 0 with a null. What is known of a second string is kept for all its pairs."""
+    out, matcher, second = np.zeros(len(a), np.int32), difflib.SequenceMatcher(None), None
+    for i in b.fillna("").argsort(kind="stable"):
+        x, y = a.iloc[i], b.iloc[i]
+        if isinstance(x, str) and isinstance(y, str):
+            if y != second:
+                matcher.set_seq2(y)
+                second = y
+            matcher.set_seq1(x)
+            out[i] = round(100 * matcher.ratio())
+    return pd.Series(out)
+
+
+#: Letters from common to rare; others are rarer still.
+_COMMON = "etaoinsrhldcumfpgwybvkxjqz 0123456789-"
+
+
+def _rare_letters(c: Column, share: float) -> Column:
+    """The rarest numbered letters of a string (the first a, the second a ...), so many that no string that shares ``share`` of its letters lacks all of them."""
+    letters = F.regexp_extract_all(c, F.lit("(?s)."), 0)
+    place = lambda x: F.when(F.instr(F.lit(_COMMON), x) > 0, F.instr(F.lit(_COMMON), x)).otherwise(F.lit(99))
+    numbered = lambda xs: F.transform(xs, lambda x, i: F.struct((-F.size(F.filter(F.slice(xs, 1, i + 1), lambda y: y == x))).alias("n"), (-place(F.lower(x))).alias("p"), x.alias("x")))
+    most = F.length(c) - F.ceil(F.length(c) * F.lit(share) - 1e-9) + 1
+    rows = bound(letters, lambda xs: F.array_sort(numbered(xs)))
+    return F.transform(F.slice(rows, 1, most.cast("int")), lambda r: F.concat(r["x"], r["n"].cast("string")))
 
 
 def token_sorted(c: Column) -> Column:
@@ -61,25 +86,27 @@ def token_sorted(c: Column) -> Column:
 def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None) -> DataFrame:
     """left_name, right_name and score of all pairs of distinct names with a ratio of at least ``least`` and equal ``shared`` columns.
 
-    A pair can only reach the score if the shorter is at least t / (200 - t) of
-    the longer (t half a point below, for rounding) and if their letters agree
-    enough, so names meet within bands of length, and pairs are dropped by
-    their counts of letters before the ratio is taken. Both bounds lose
-    nothing.
+    What matches in two strings is at most the letters that they share. A pair
+    can only reach the score if it shares at least t / (200 - t) of either's
+    letters (t half a point below, for rounding), so it shares one of the
+    rarest few of each: names meet by those, not by all. Pairs are then dropped
+    by their lengths and counts of letters before the ratio is taken. All
+    bounds lose nothing.
     """
     shared = shared or []
     share = (least - 0.5) / (200 - least + 0.5)
-    width = -F.log(F.lit(share)) * 1.0001
-    band = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1)).cast("double")) / width)
     letters = lambda c: F.array(*[F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz0123456789 "])
-    a = left.select(F.col(left_name).alias("left_name"), *shared).where("left_name IS NOT NULL").distinct().withColumn("a", prepared(F.col("left_name"))).where("a <> ''")
-    b = right.select(F.col(right_name).alias("right_name"), *shared).where("right_name IS NOT NULL").distinct().withColumn("b", prepared(F.col("right_name"))).where("b <> ''")
-    a = a.withColumn("la", letters(F.col("a"))).withColumn("band", F.explode(F.sequence(band(F.col("a")) - 1, band(F.col("a")) + 1)))
-    b = b.withColumn("lb", letters(F.col("b"))).withColumn("band", band(F.col("b")))
+
+    def posted(df: DataFrame, name: str, kept: str, c: str, counts: str) -> DataFrame:
+        names = df.select(F.col(name).alias(kept), *shared).where(f"{kept} IS NOT NULL").distinct().withColumn(c, prepared(F.col(kept))).where(f"{c} <> ''")
+        return names.withColumn(counts, letters(F.col(c))).withColumn("letter", F.explode(_rare_letters(F.col(c), share)))
+
+    a, b = posted(left, left_name, "left_name", "a", "la"), posted(right, right_name, "right_name", "b", "lb")
     shorter, longer = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
     apart = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    near = a.join(b, ["band", *shared]).where(shorter >= longer * share).where(200 * (F.length("a") + F.length("b") - apart) / 2 >= (least - 0.5) * (F.length("a") + F.length("b")))
-    return near.withColumn("score", ratio("a", "b")).where(F.col("score") >= least).select("left_name", "right_name", *shared, "score")
+    near = a.join(b, ["letter", *shared]).where(shorter >= longer * share).where(200 * (F.length("a") + F.length("b") - apart) / 2 >= (least - 0.5) * (F.length("a") + F.length("b")))
+    pairs = near.select("left_name", "right_name", *shared, "a", "b").distinct()
+    return pairs.withColumn("score", ratio("a", "b")).where(F.col("score") >= least).select("left_name", "right_name", *shared, "score")
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int = 85, top: int = 1, prepared: Callable[[Column], Column] = F.lower) -> DataFrame:
@@ -161,6 +188,37 @@ def matched_in_medium(names: DataFrame, components: DataFrame, nodes: DataFrame,
     return names.join(best, names[medium].eqNullSafe(best["_medium"]) & names[name].eqNullSafe(best["_name"]), "left").drop("_medium", "_name")
 
 
+def fuzzy_tier(names: DataFrame, candidates: DataFrame, name: str, normaliser: Callable[[Column], Column], least: int = 85, shared: list[str] | None = None) -> DataFrame:
+    """name, the ``shared`` columns, id and score of the candidate (id, name, pos) most like each distinct name, as it is or normalised; of equal scores the first by pos.
+
+    With ``shared`` only candidates of equal columns count, such as those of
+    the row's own medium.
+    """
+    shared = shared or []
+    ways = [scored_pairs(names, candidates.withColumnRenamed("name", "candidate"), name, "candidate", least, way, shared) for way in (lambda c: c, normaliser)]
+    best = ways[0].unionByName(ways[1]).groupBy("left_name", "right_name", *shared).agg(F.max("score").alias("score"))
+    found = best.join(candidates.withColumnRenamed("name", "right_name"), ["right_name", *shared])
+    return first_rows(found, ["left_name", *shared], F.desc("score"), F.asc("pos"), F.asc("id")).select(F.col("left_name").alias(name), *shared, "id", "score")
+
+
+def full_cascade(names: DataFrame, nodes: DataFrame, name: str, normaliser: Callable[[Column], Column], least: int = 85) -> DataFrame:
+    """exact_cascade(), and for what it leaves the most similar name of a node (match_tier 4) of a ratio of at least ``least``."""
+    exact = exact_cascade(names, nodes, name, normaliser)
+    like = fuzzy_tier(exact.where("mapped IS NULL").select(name), nodes.select("id", "name", "pos"), name, normaliser, least).select(F.col(name).alias("_left"), F.col("id").alias("_like"))
+    joined = exact.join(like, exact[name] == like["_left"], "left")
+    return joined.withColumn("match_tier", F.when(F.col("mapped").isNull() & F.col("_like").isNotNull(), 4).otherwise(F.col("match_tier"))).withColumn("mapped", F.coalesce("mapped", "_like")).drop("_left", "_like")
+
+
+def similar_in_medium(names: DataFrame, components: DataFrame, nodes: DataFrame, name: str, medium: str, normaliser: Callable[[Column], Column], least: int = 85) -> DataFrame:
+    """matched_in_medium(), and for what it leaves the component of the row's own medium with the most similar name or synonym."""
+    exact = matched_in_medium(names, components, nodes, name, medium, normaliser)
+    spelled = nodes.select("id", "pos", F.explode(F.concat(F.array("name"), F.coalesce(synonyms(F.col("synonym")), F.array().cast("array<string>")))).alias("name")).where("name IS NOT NULL")
+    known = components.join(spelled, components["component"] == spelled["id"]).select(F.col("medium_id").alias(medium), "id", "name", "pos").dropDuplicates([medium, "name"])
+    like = fuzzy_tier(exact.where("medium_match IS NULL").select(name, medium), known, name, normaliser, least, [medium]).select(F.col(name).alias("_left"), F.col(medium).alias("_medium"), F.col("id").alias("_like"))
+    joined = exact.join(like, (exact[name] == like["_left"]) & (exact[medium] == like["_medium"]), "left")
+    return joined.withColumn("medium_match", F.coalesce("medium_match", "_like")).drop("_left", "_medium", "_like")
+
+
 def preferred(df: DataFrame, by_medium: str = "medium_match", by_name: str = "string_match") -> DataFrame:
     """mapped and mapping_method: the match within the medium, else that by name."""
     method = F.when(F.col(by_medium).isNotNull(), "medium").when(F.col(by_name).isNotNull(), "string").otherwise("none")

@@ -196,3 +196,24 @@ def confident_split(t: Tables) -> DataFrame:
     s = F.element_at(F.array(*map(F.lit, ["original_only", "unmapped", "chebi_only", None, "original_and_chebi_match"])), (F.col("l_partkey") % 5 + 1).cast("int"))
     rows = t.lineitem.select("l_orderkey", c.alias("c"), s.alias("s"))
     return rows.groupBy(predicates.is_confident(F.col("c"), F.col("s")).alias("confident")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("media"))
+
+
+# Misspelled names, each of which is like one nation's name only.
+
+_TYPO_SQL = "CASE WHEN c_custkey % 3 = 0 THEN concat('NATION_', c_nationkey) WHEN c_custkey % 3 = 1 THEN concat('NATIOM_', c_nationkey) ELSE concat('quite other ', c_nationkey) END"
+
+
+@query("full_cascade", f"SELECT c_custkey, {_TYPO_SQL} AS original, CASE WHEN c_custkey % 3 < 2 THEN concat('CHEBI:', c_nationkey) END AS mapped, [1, 4, 0][c_custkey % 3 + 1] AS match_tier FROM customer")
+def full_cascade(t: Tables) -> DataFrame:
+    rows = t.customer.select("c_custkey", F.expr(_TYPO_SQL).alias("original"))
+    return matching.full_cascade(rows, nodes(t), "original", names.loose_key).withColumn("match_tier", F.coalesce("match_tier", F.lit(0)))
+
+
+_OWN_TYPO_SQL = _TYPO_SQL.replace("c_custkey % 3 = 0", "c_custkey % 3 = 0 AND c_nationkey % 5 = c_custkey % 5").replace("ELSE", "WHEN c_custkey % 3 = 0 THEN 'quite other' ELSE")
+
+
+@query("similar_in_medium", f"SELECT c_custkey, {_OWN_TYPO_SQL} AS original, CASE WHEN c_custkey % 3 < 2 AND c_nationkey % 5 = c_custkey % 5 THEN concat('CHEBI:', c_nationkey) END AS medium_match FROM customer")
+def similar_in_medium(t: Tables) -> DataFrame:
+    rows = t.customer.select("c_custkey", F.expr(_OWN_TYPO_SQL).alias("original"), F.concat(F.lit("medium:"), (F.col("c_custkey") % 5).cast("string")).alias("medium_id"))
+    parts = t.nation.select(F.concat(F.lit("medium:"), (F.col("n_nationkey") % 5).cast("string")).alias("medium_id"), F.concat(F.lit("CHEBI:"), F.col("n_nationkey").cast("string")).alias("component"))
+    return matching.similar_in_medium(rows, parts, nodes(t), "original", "medium_id", names.loose_key).select("c_custkey", "original", "medium_match")
