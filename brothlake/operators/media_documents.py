@@ -70,7 +70,7 @@ def as_json(analysed_rows: DataFrame) -> DataFrame:
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Nested documents of the files of a folder and those below, keyed by the id in medium_<id>_composition_properties.json, the name of a file or of its folder."""
-    rows = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(folder)
+    rows = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     medium = F.regexp_extract(F.col("_metadata.file_path"), r"medium_([^_/]+)_composition_properties\.json", 1)
     return rows.select(medium.alias("medium_id"), F.from_json("value", DOCUMENT).alias("d")).where("medium_id <> ''").select("medium_id", "d.*")
 

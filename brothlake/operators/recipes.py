@@ -110,7 +110,7 @@ def title(text: Column, default: Column) -> Column:
 def preparation(text: Column, parity: bool = False) -> Column:
     """What follows the heading of the instructions; with ``parity`` its first MOST_PREPARATION characters."""
     found = F.regexp_extract(text, PREPARATION, 1)
-    return F.nullif(F.trim(F.substring(found, 1, MOST_PREPARATION) if parity else found), F.lit(""))
+    return F.nullif(F.regexp_replace(F.substring(found, 1, MOST_PREPARATION) if parity else found, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def recipe_rows(docs: DataFrame, key: str, text: str = "text", parity: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mapping_queries, media_queries, name_queries, second_queries, source_queries, stage_queries, table_queries, text_queries  # noqa: F401
+from . import mapping_queries, media_queries, name_queries, round_trip_queries, second_queries, source_queries, stage_queries, table_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = "media_summary"

@@ -46,7 +46,7 @@ def media_summary(compositions: DataFrame, property_rows: DataFrame, mapped: Dat
 
 def extracted_texts(spark: SparkSession, folder: str, parity: bool = False) -> DataFrame:
     """Ingredient rows of the text files of a folder, with title, references and preparation of each file; ``parity`` cuts long ones as published."""
-    files = spark.read.option("wholetext", True).text(folder).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    files = readers.named_texts(spark, folder)
     rows = recipes.deduplicated(recipes.recipe_rows(files, "file_name", parity=parity), "file_name")
     heads = files.select("file_name", recipes.title(F.col("text"), F.col("file_name")).alias("medium_name"), recipes.references(F.col("text")).alias("reference_media"), recipes.preparation(F.col("text"), parity).alias("preparation_instructions"))
     return heads.join(rows, "file_name", "left")
@@ -58,5 +58,6 @@ def property_database(names_rows: DataFrame, known: DataFrame, found: DataFrame)
     return tables.upserted(known, wanted, "compound_name")
 
 
-def expanded(spark: SparkSession, mapped: DataFrame, solutions_folder: str, keep_unresolved: bool = True) -> DataFrame:
-    return tables.expanded_solutions(mapped, readers.solutions(spark, solutions_folder), keep_unresolved)
+def expanded(spark: SparkSession, mapped: DataFrame, solutions_folder: str, keep_unresolved: bool = True, **options) -> DataFrame:
+    """Mapping rows with stock solutions replaced by their components, read from a folder."""
+    return tables.expanded_solutions(mapped, readers.solutions(spark, solutions_folder, **options), keep_unresolved)

@@ -63,7 +63,7 @@ def composition_rows(documents: DataFrame) -> DataFrame:
 
 def compositions(spark: SparkSession, path: str) -> DataFrame:
     """composition_rows() of the *_composition.json files of a folder."""
-    files = spark.read.option("pathGlobFilter", "*_composition.json").option("wholetext", True).text(path)
+    files = spark.read.option("pathGlobFilter", "*_composition.json").text(path, wholetext=True)
     return composition_rows(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
 
 
@@ -93,13 +93,16 @@ def entity_field(xml: Column, field: str) -> Column:
     return present(F.regexp_extract(xml, rf"(?s)<{field}>\s*([^<]*?)\s*</{field}>", 1))
 
 
-def solutions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("pathGlobFilter", "solution_*_composition.json").option("multiLine", True).schema(SOLUTIONS).json(path)
+def solutions(spark: SparkSession, path: str, pattern: str = "solution_*_composition.json") -> DataFrame:
+    """Compositions of stock solutions in the JSON files of a folder whose names fit a pattern: one a file, or one a line of files that fit another pattern."""
+    return spark.read.option("pathGlobFilter", pattern).option("multiLine", pattern.startswith("solution_")).schema(SOLUTIONS).json(path)
 
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """match_string and object_id of a JSON array of annotations, the first CHEBI id (by id) of each lower-cased string."""
-    rows = spark.read.option("multiLine", True).schema("match_string string, object_id string").json(path)
+    """match_string and object_id of annotations, a JSON array or an object a line, the first CHEBI id (by id) of each lower-cased string."""
+    text = spark.read.text(path, wholetext=True)
+    listed = F.when(F.startswith(F.trim("value"), F.lit("[")), F.col("value")).otherwise(F.concat(F.lit("["), F.array_join(F.split(F.trim(F.regexp_replace("value", r"\s+$", "")), r"\n"), ","), F.lit("]")))
+    rows = text.select(F.inline(F.from_json(listed, "array<struct<match_string:string,object_id:string>>")))
     return rows.where(F.col("object_id").startswith("CHEBI:")).groupBy(F.lower("match_string").alias("match_string")).agg(F.min("object_id").alias("object_id"))
 
 
@@ -115,3 +118,10 @@ def markdown_table(rows: DataFrame) -> DataFrame:
     head = "| Component | Amount | Unit |\n|---|---|---|\n"
     ordered = F.array_sort(F.collect_list(F.struct("pos", line.alias("line"))))
     return rows.groupBy("medium_id").agg(F.concat(F.lit(head), F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")).alias("markdown"))
+
+
+def named_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """file_name and text of each file of a folder, or of each folder file_name=... below it."""
+    rows = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
+    own = F.regexp_extract(F.col("_metadata.file_path"), r"file_name=([^/]+)/", 1)
+    return rows.select(F.coalesce(F.nullif(F.url_decode(own), F.lit("")), F.col("_metadata.file_name")).alias("file_name"), F.col("value").alias("text"))
