@@ -202,16 +202,22 @@ def log_odds(blocks: list[tuple[W.Block, Words]], labels: list[np.ndarray]) -> d
     return {k: np.log((s[1] + 0.5) / (totals[1] + 1)) - np.log((s[0] + 0.5) / (totals[0] + 1)) for k, s in seen.items()} | {f"{k}_seen": s.sum(0) for k, s in seen.items()}
 
 
-def trained(texts: pa.Array, labels: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Network:
-    """A network for labelled texts, by Adam over each document's highest window, found anew in each epoch."""
+def trained(texts: pa.Array, labels: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.01, seed: int = 5, seeded: bool = True) -> Network:
+    """A network for labelled texts, by Adam over each document's highest window, found anew in each epoch.
+
+    With ``seeded`` the first coordinate of each embedding starts at the
+    shrunken log-odds of its words or n-grams, which also choose the windows of
+    the first epoch; all of it is trained further. Without, embeddings start at
+    random.
+    """
     net, rng = Network(), np.random.default_rng(seed)
     blocks = [(b, word_inputs(b)) for b in W.blocks(texts, block_bytes=1 << 18)]
     labelled = [labels[b.first : b.first + len(b.bounds) - 1].astype(np.int64) for b, _ in blocks]
     if not sum(map(len, labelled)):
         return net
-    odds = log_odds(blocks, labelled)
+    odds = log_odds(blocks, labelled) if seeded else None
     evidence = {}
-    for k in ("word", "gram"):
+    for k in ("word", "gram") if seeded else ():
         evidence[k] = np.clip(odds[k] * odds[f"{k}_seen"] / (odds[f"{k}_seen"] + 4), -2, 4)
         net.p[k] *= 0.1
         net.p[k][:, 0] += (0.5 if k == "word" else 0.3) * evidence[k]
@@ -219,7 +225,7 @@ def trained(texts: pa.Array, labels: np.ndarray, epochs: int = 8, batch: int = 1
     for epoch in range(epochs):
         chosen = []
         for i, ((block, words), label) in enumerate(zip(blocks, labelled)):
-            if epoch:
+            if epoch or not seeded:
                 doc, first, size, value = net.logits(block, words)
             else:
                 doc, first, size = window_rows(block.bounds)
@@ -286,7 +292,7 @@ def scored(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> D
     """For each row of docs doc_id, held_out, score and predicted (1 if score >= threshold) of its whole text.
 
     A null or empty text has the score of an empty window. A null doc_id is not
-    held out. Repeated rows give a row each; an empty table gives none; other
+    held out. A very long text is scored whole. Repeated rows give a row each; an empty table gives none; other
     columns are ignored. The parameters, of fixed size, are broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network.p)
@@ -304,7 +310,12 @@ def scored(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> D
 
 
 def clean_documents(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose score is below the threshold, with the columns of docs."""
+    """The rows of docs whose score is below the threshold, with the columns of docs.
+
+    A null or empty text has the score of an empty window; a very long text is
+    scored whole, alone in its block; null doc_ids and repeated rows are judged
+    each for itself; an empty table gives no rows.
+    """
     shared, place = docs.sparkSession.sparkContext.broadcast(network.p), docs.columns.index("text")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
