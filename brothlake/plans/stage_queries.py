@@ -83,7 +83,13 @@ def unaccounted_frequency(t: Tables) -> DataFrame:
 query("elements_of_formulas", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Cl,Na' WHEN 1 THEN 'Mg,O,S' ELSE 'Ca,Cl,K' END AS elements FROM part")(
     lambda t: t.part.select("p_partkey", F.array_join(elements.elements_in(F.element_at(F.array(F.lit("NaCl"), F.lit("MgSO4"), F.lit("calcium with KCl")), (F.col("p_partkey") % 3 + 1).cast("int"))), ",").alias("elements"))
 )
-query("ingredient_usage", "SELECT count(*) AS n FROM lineitem")(lambda t: compositions(t).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("ingredient_usage", f"WITH {_FACTS} SELECT compound, any_value(CASE WHEN own_weight IS NOT NULL THEN 'recognized' WHEN weight IS NOT NULL THEN 'estimated' ELSE 'unaccounted' END) AS account, count(*) AS n, count(DISTINCT medium_id) AS media, round(sum(g_l), 4) AS grams, round(max(molar), 9) AS most_molar FROM lines GROUP BY 1")
+def ingredient_usage(t: Tables) -> DataFrame:
+    """Each compound's account, rows, media, grams in all and strongest solution."""
+    parts = properties.ingredients(compositions(t), property_rows(t))
+    return parts.groupBy("compound").agg(F.any_value("account").alias("account"), F.count(F.lit(1)).alias("n"), F.countDistinct("medium_id").alias("media"), F.round(F.sum("g_l"), 4).alias("grams"), F.round(F.max("molar"), 9).alias("most_molar"))
 
 
 @query("unaccounted_compounds", f"""

@@ -201,7 +201,7 @@ def download_targets(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_brand").alias("name")).unionByName(t.supplier.where(F.length("s_name") > 2).select(F.col("s_name").alias("name"))).distinct().orderBy("name")
 
 
-@query("seeded_sample")
+@query("seeded_sample", "SELECT p_partkey, p_name FROM part ORDER BY md5(concat(p_partkey, '-42')), p_partkey LIMIT 50")
 def seeded_sample(t: Tables) -> DataFrame:
     """A sample of 50 rows that reruns repeat; the sampling is the feature."""
-    return t.part.orderBy(F.xxhash64("p_partkey", F.lit(42)), "p_partkey").limit(50).select("p_partkey", "p_name")
+    return t.part.orderBy(F.md5(F.concat(F.col("p_partkey").cast("string"), F.lit("-42")).cast("binary")), "p_partkey").limit(50).select("p_partkey", "p_name")
