@@ -33,6 +33,11 @@ def ions_text(values: Column) -> Column:
     return F.concat_ws(",", F.transform(F.map_entries(values), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))))
 
 
+# Fixed values.
+
+PKA_MENTION = r"pka?\s*[=:]?\s*([0-9]+\.?[0-9]*)"
+
+
 def synonyms(text: Column) -> Column:
     """'a|b||c' as an array of trimmed, non-empty names."""
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
@@ -40,7 +45,7 @@ def synonyms(text: Column) -> Column:
 
 def pka_mentions(text: Column) -> Column:
     """All pKa values between 0 and 14 that a text mentions, in order."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"pka?\s*[=:]?\s*([0-9]+\.?[0-9]*)"), 1)
+    found = F.regexp_extract_all(F.lower(text), F.lit(PKA_MENTION), 1)
     return F.filter(F.transform(found, lambda x: x.cast("double")), lambda x: x.between(0, 14))
 
 
