@@ -36,6 +36,7 @@ def ions_text(values: Column) -> Column:
 # Fixed values.
 
 PKA_MENTION = r"pka?\s*[=:]?\s*([0-9]+\.?[0-9]*)"
+SOLUBILITY_MENTIONS = [r"([0-9]+\.?[0-9]*)\s*g\s*/\s*l", r"([0-9]+\.?[0-9]*)\s*mg\s*/\s*ml"]
 
 
 def synonyms(text: Column) -> Column:
@@ -52,4 +53,4 @@ def pka_mentions(text: Column) -> Column:
 def solubility_mention(text: Column) -> Column:
     """The first solubility in g/l, else in mg/ml, that a text mentions; they are the same number."""
     lowered = F.lower(text)
-    return F.coalesce(*[F.nullif(F.regexp_extract(lowered, p, 1), F.lit("")) for p in (r"([0-9]+\.?[0-9]*)\s*g\s*/\s*l", r"([0-9]+\.?[0-9]*)\s*mg\s*/\s*ml")]).cast("double")
+    return F.coalesce(*[F.nullif(F.regexp_extract(lowered, p, 1), F.lit("")) for p in SOLUBILITY_MENTIONS]).cast("double")
