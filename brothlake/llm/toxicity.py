@@ -194,7 +194,7 @@ def log_odds(blocks: list[tuple[W.Block, Words]], labels: list[np.ndarray]) -> d
     for (block, words), label in zip(blocks, labels):
         doc = np.repeat(np.arange(len(label)), np.diff(block.bounds))
         n = np.diff(words.at)[words.index]
-        grams = words.codes[np.repeat(words.at[words.index] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        grams = words.codes[np.repeat(words.at[words.index] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(n.sum())]
         for k, (d, code) in {"word": (doc, words.ids[words.index]), "gram": (np.repeat(doc, n), grams)}.items():
             pairs = np.unique(d * BUCKETS + code)
             np.add.at(seen[k], (label[pairs // BUCKETS], pairs % BUCKETS), 1)
@@ -211,7 +211,7 @@ def trained(texts: pa.Array, labels: np.ndarray, epochs: int = 8, batch: int = 1
     random.
     """
     net, rng = Network(), np.random.default_rng(seed)
-    blocks = [(b, word_inputs(b)) for b in W.blocks(texts, block_bytes=1 << 18)]
+    blocks = [(b._replace(data=None, starts=None, ends=None, hashes=None, offsets=None), Words(*[x.astype(np.int32) for x in word_inputs(b)])) for b in W.blocks(texts, block_bytes=1 << 18)]  # what training needs, in little room
     labelled = [labels[b.first : b.first + len(b.bounds) - 1].astype(np.int64) for b, _ in blocks]
     if not sum(map(len, labelled)):
         return net
