@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -51,7 +51,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = 1 << max(12, (n - 1).bit_length())
         with np.errstate(over="ignore"):
             got = tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, np.uint64))]) for b in (base, pow(base, -1, 1 << 64)))
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _powers[base] = got
     return got
 
