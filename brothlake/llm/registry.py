@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, langid, mixing, ngram_join, quality, substrings, tokencount, toxicity, warc
+from . import ann, bpe, langid, mixing, ngram_join, prefix_bpe, quality, substrings, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_nearest_neighbours": ann.query,
     "op9_warc": warc.query,
     "op10_ngram_jaccard": ngram_join.query,
+    "op12_byte_bpe": prefix_bpe.query,
 }
 
 ORACLES = {
