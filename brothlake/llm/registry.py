@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, langid, mixing, ngram_join, prefix_bpe, quality, substrings, tokencount, toxicity, warc
+from . import ann, bpe, langid, mixing, ngram_join, prefix_bpe, quality, substrings, tokencount, toxicity, warc, whitening
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc": warc.query,
     "op10_ngram_jaccard": ngram_join.query,
     "op12_byte_bpe": prefix_bpe.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 ORACLES = {
