@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, langid, mixing, ngram_join, prefix_bpe, quality, substrings, tokencount, toxicity, warc, whitening
+from . import ann, bpe, langid, mixing, ngram_join, periodic, prefix_bpe, quality, substrings, tokencount, toxicity, warc, whitening
 
 QUERIES = {
     "op1_token_counts": tokencount.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_nearest_neighbours": ann.query,
     "op9_warc": warc.query,
     "op10_ngram_jaccard": ngram_join.query,
+    "op11_periodic_runs": periodic.query,
     "op12_byte_bpe": prefix_bpe.query,
     "op13_embedding_whitening": whitening.query,
 }
@@ -25,4 +26,5 @@ ORACLES = {
     "op7_source_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_ngram_jaccard": ngram_join.ORACLE,
+    "op11_periodic_runs": periodic.ORACLE,
 }
