@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import ahocorasick
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 
 from .bpe import PATTERN
 
-#: A cached word's bytes at most; words and pairs of tokens cached at most before a cache starts anew.
-CACHED_BYTES, CACHED_WORDS, CACHED_PAIRS = 64, 150_000, 400_000
+#: A cached word's bytes at most; words cached at most, twice; prefixes of words and pairs of tokens cached at most before the cache starts anew.
+CACHED_BYTES, CACHED_WORDS, CACHED_PREFIXES, CACHED_PAIRS = 64, 250_000, 800_000, 400_000
 
 #: Rows in a batch that a task returns.
 ROWS = 512
@@ -48,9 +48,10 @@ class Ranks:
             self.bytes_of[rank] = token
             self.endings.add_word(token.decode("latin-1"), rank)
         self.endings.make_automaton()
-        self.longest = max(map(len, self.rank))
+        self.longest, self.length_of = max(map(len, self.rank)), list(map(len, self.bytes_of))
         self.growth: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
+        self.prefixes: dict[bytes, int] = {b"": -1}
         self.words = _Words(self)
 
     def grown(self, token: int) -> tuple | None:
@@ -68,12 +69,12 @@ class Ranks:
         return self.growth[token]
 
     def neighbours(self, left: int, right: int) -> bool:
-        """Whether merges keep the two tokens apart: of merges of one rank the leftmost comes first."""
+        """Whether merges keep the two tokens apart: of merges of one rank the leftmost comes first. With nothing, -1, to its left: whether they make the token."""
         known = self.pairs.get(left * self.size + right)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left * self.size + right] = self._kept_apart(left, right)
+            known = self.pairs[left * self.size + right] = self._kept_apart(left, right) if left >= 0 else self.grown(right) is not None
         return known
 
     def _kept_apart(self, left: int, right: int) -> bool:
@@ -93,6 +94,30 @@ class Ranks:
             else:
                 j += 1
 
+    def short(self, raw: bytes) -> list[int]:
+        """Ids of a short word; the last tokens of its prefixes are kept for all words that begin alike."""
+        prefixes, rank, pairs = self.prefixes, self.rank, self.pairs
+        if len(prefixes) >= CACHED_PREFIXES:
+            prefixes.clear()
+            prefixes[b""] = -1
+        known = len(raw)
+        while raw[:known] not in prefixes:
+            known -= 1
+        for end in range(known + 1, len(raw) + 1):
+            for begin in range(end - 1, max(0, end - self.longest) - 1, -1):
+                token = rank.get(raw[begin:end])
+                if token is not None:
+                    left = prefixes[raw[:begin]]
+                    apart = pairs.get(left * self.size + token)
+                    if apart or apart is None and self.neighbours(left, token):
+                        prefixes[raw[:end]] = token
+                        break
+        out = []
+        while raw:
+            out.append(prefixes[raw])
+            raw = raw[: -self.length_of[out[-1]]]
+        return out[::-1]
+
     def encode(self, text: str) -> list[int]:
         """Ids of a text, each match of the public pattern encoded separately."""
         return list(chain.from_iterable(map(self.words.__getitem__, PATTERN.findall(text))))
@@ -125,20 +150,22 @@ class Prefixes:
         """Prefixes longer than ``at``; where as many in a row as a token is long equal those of ``tail``, kept for the prefixes after ``tail_at``, so do all after them."""
         ranks, last = self.ranks, self.last
         begin = max(0, at - ranks.longest)
-        spelled, apart, same, done = ranks.bytes_of, ranks.neighbours, 0, at
+        length_of, pairs, size, same, done = ranks.length_of, ranks.pairs, ranks.size, 0, at
         for end, token in ranks.endings.iter(self.raw[begin:].decode("latin-1")):
             end += begin + 1
-            if end <= done:
-                continue
-            before = end - len(spelled[token])
-            if (apart(last[before], token)) if before else ranks.grown(token) is not None:
-                last.append(token)
-                done = end
-                if end > tail_at and tail:
-                    same = same + 1 if tail[end - tail_at - 1] == token else 0
-                    if same >= ranks.longest:
-                        last.extend(tail[end - tail_at :])
-                        break
+            if end > done:
+                left = last[end - length_of[token]]
+                apart = pairs.get(left * size + token)
+                if apart is None:
+                    apart = ranks.neighbours(left, token)
+                if apart:
+                    last.append(token)
+                    done = end
+                    if tail and end > tail_at:
+                        same = same + 1 if tail[end - tail_at - 1] == token else 0
+                        if same >= ranks.longest:
+                            last.extend(tail[end - tail_at :])
+                            break
         return done - at
 
     def ids(self) -> list[int]:
@@ -152,19 +179,23 @@ class Prefixes:
 
 
 class _Words(dict):
-    """Ids of the words that this task has seen."""
+    """Ids of the words that this worker has seen: once there are CACHED_WORDS, those asked for again before as many more have come stay."""
 
     def __init__(self, ranks: Ranks):
-        self.ranks = ranks
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        raw = word.encode()
-        whole = self.ranks.rank.get(raw)
-        ids = tuple(Prefixes(self.ranks, raw).ids()) if whole is None else (whole,)
-        if len(raw) <= CACHED_BYTES:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
+        self.ranks, self.before = ranks, {}
+
+    def __missing__(self, word: str) -> Sequence[int]:
+        ids = self.before.get(word)
+        if ids is None:
+            raw = word.encode()
+            whole = self.ranks.rank.get(raw)
+            if len(raw) > CACHED_BYTES:
+                return Prefixes(self.ranks, raw).ids() if whole is None else [whole]
+            ids = tuple(self.ranks.short(raw)) if whole is None else (whole,)
+        if len(self) >= CACHED_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
 
@@ -264,8 +295,6 @@ def _mapped(rows: DataFrame, vocabulary: str, schema: str, encode) -> DataFrame:
                 if "worked" in names:
                     made["worked"] = pa.array([w for _, w in got], pa.int64())
                 yield pa.RecordBatch.from_arrays([made[n] for n in names], names)
-        r.words.clear()
-        r.pairs.clear()
 
     return rows.mapInArrow(kernel, schema)
 
