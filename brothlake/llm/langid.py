@@ -31,12 +31,38 @@ TRIGRAM_ALPHA, VALUE_ALPHA, PARENT_WEIGHT = 0.5, 1.0, 5.0
 #: Trigrams overlap, so each counts as a third of an independent piece of evidence.
 TEMPER = 1 / 3
 
-_HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+#: A host of a larger share of all pages is hot: there are at most its inverse of them.
+HOT_HOST = 0.0005
+
+#: What hides the text up to its end; an opening without an end is a tag.
+_OPENS = re.compile(r"(?i)<(?:(script|style)\b|!--)")
+_ENDS = {"script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>"), "!--": re.compile("-->")}
 
 
 def visible_text(page: str) -> str:
-    """Text outside tags, comments, scripts and styles, with entities resolved."""
-    return html.unescape(_HIDDEN.sub(" ", page))
+    """Text outside tags, comments, scripts and styles, with entities resolved.
+
+    The page is gone through once: an end that isn't found is not looked for
+    again, so any page takes time in proportion to its length.
+    """
+    out, at, missing = [], 0, set()
+    while (start := page.find("<", at)) >= 0:
+        opened = _OPENS.match(page, start)
+        kind = (opened[1] or "!--").lower() if opened else None
+        end = -1
+        if kind and kind not in missing:
+            found = _ENDS[kind].search(page, opened.end())
+            end = found.end() if found else -1
+            if not found:
+                missing.add(kind)
+        if end < 0:
+            end = page.find(">", start) + 1
+        if end <= 0:
+            break
+        out += [page[at:start], " "]
+        at = end
+    out.append(page[at:])
+    return html.unescape("".join(out))
 
 
 def trigram_counts(text: str) -> np.ndarray:
@@ -89,7 +115,7 @@ def text_evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> Data
             out.append(ll - ll.max())
         return pd.Series(out)
 
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"""(?i)<html\b[^<>]*?\slang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
     return pages.select("page_id", "url", declared.alias("declared"), likelihoods("html").alias("text_ll"))
 
 
@@ -125,7 +151,9 @@ def identified(pages: DataFrame, docs: DataFrame, fit_docs: int = FIT_DOCS) -> D
     declares nothing, or has no host, counts with those that don't, as a value
     of its own. A null page_id and repeated rows give a row each. If docs has
     no labelled text, lang is null; an empty table gives no rows; other columns
-    are ignored. Ties go to the first language by name.
+    are ignored. Ties go to the first language by name. A very long or
+    malformed page takes time in proportion to its length. The languages are
+    those of the labels, a table small enough for the driver.
     """
     langs, model = text_model(docs, fit_docs)
     if not langs:
@@ -145,12 +173,16 @@ def identified(pages: DataFrame, docs: DataFrame, fit_docs: int = FIT_DOCS) -> D
     totals = [float(overall[x]) for x in langs]
     base = F.array(*[F.lit((t + 1) / (sum(totals) + len(langs))) for t in totals])
     domains = _tallies(seen, "domain", langs, "domain_n").select("domain", _smoothed(F.col("domain_n"), base).alias("domain_prior"))
-    hosts = seen.groupBy("host").agg(F.first("domain").alias("domain"), F.array(*[F.count_if(F.col("guess") == x).cast("double") for x in langs]).alias("host_n"))
-    priors = hosts.join(domains, "domain").select("host", _smoothed(F.col("host_n"), F.col("domain_prior")).alias("prior"))
+    hosts = seen.groupBy("host").agg(F.first("domain").alias("domain"), F.array(*[F.count_if(F.col("guess") == x).cast("double") for x in langs]).alias("host_n"), F.count(F.lit(1)).alias("pages"))
+    priors = hosts.join(domains, "domain").select("host", "pages", _smoothed(F.col("host_n"), F.col("domain_prior")).alias("prior"))
     said = _tallies(seen, "declared", langs, "n").select("declared", _value_likelihood(F.col("n"), totals, overall["#declared"]).alias("declared_p"))
     ends = _tallies(seen, "suffix", langs, "n").select("suffix", _value_likelihood(F.col("n"), totals, overall["#suffix"]).alias("suffix_p"))
     logs = lambda c: F.transform(c, lambda x: F.log(x))
-    fused = seen.join(priors, "host").join(said, "declared").join(ends, "suffix")
+    # Hot hosts' priors are few and broadcast; no other host's pages make a task large.
+    priors = written(priors, "lang-priors")
+    hot = lambda few: priors.where((F.col("pages") > HOT_HOST * sum(totals)) == F.lit(few)).drop("pages")
+    known = seen.join(F.broadcast(hot(True)), "host", "left")
+    fused = known.where("prior IS NOT NULL").unionByName(known.where("prior IS NULL").drop("prior").join(hot(False), "host")).join(said, "declared").join(ends, "suffix")
     total = F.col("text_ll")
     for part in ("prior", "declared_p", "suffix_p"):
         total = F.zip_with(total, logs(F.col(part)), lambda a, b: a + b)

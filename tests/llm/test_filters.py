@@ -1,4 +1,7 @@
+import html
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -220,3 +223,25 @@ def test_language_equals_brute_force(spark):
     pages += [(100, None, None), (None, "nothing", ""), pages[3], (101, "http://localhost/", "<p>zz</p>")]
     got = langid.identified(spark.createDataFrame(pages, "page_id long, url string, html string"), known).collect()
     assert sorted((str(r.page_id), r.lang, round(r.probability, 6)) for r in got) == naive_language(pages, *langid.text_model(known))
+
+
+def test_visible_text():
+    """As one pattern finds it on pages whose scripts, styles and comments end, and on those where they don't."""
+    pattern = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    rng = random.Random(4)
+    parts = ["<script>", "</script >", "<STYLE a='>'>", "</style>", "<!--", "-->", "<p>", "<", ">", "text ", "&amp;", "<scripts>", "</script", "\n", "<style"]
+    for _ in range(3_000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert langid.visible_text(page) == html.unescape(pattern.sub(" ", page)), page
+
+
+def test_malformed_pages_take_linear_time(spark, docs):
+    pages = [(i, "http://a.example/x", part * (5_000_000 // len(part)), "x") for i, part in enumerate(("<script>", "<!--", "<", "<style >", "<html ", "<html lang ", "a < b "))]
+    began = time.perf_counter()
+    for _, _, page, _ in pages:
+        langid.visible_text(page)
+    assert time.perf_counter() - began < 14
+    small = [(i, u, h[:200_000], x) for i, u, h, x in pages]
+    began = time.perf_counter()
+    assert langid.identified(spark.createDataFrame(small, "page_id long, url string, html string, lang string"), docs).count() == len(pages)
+    assert time.perf_counter() - began < 60
