@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.chains import bound
 from ..functions.nested import synonyms
+from .similar import scored_pairs
 
 
 def first_rows(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -48,67 +44,12 @@ def exact_cascade(names: DataFrame, nodes: DataFrame, name: str, normaliser: Cal
     return names.join(best, names[name] == best["_name"], "left").drop("_name").withColumn("mapped", F.col("best.id")).withColumn("match_tier", F.col("best.tier")).drop("best")
 
 
-@F.pandas_udf(T.IntegerType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """100 times the matching share of two strings, rounded; 0 with a null. What is known of a second string is kept for all its pairs."""
-    out, matcher, second = np.zeros(len(a), np.int32), difflib.SequenceMatcher(None), None
-    for i in b.fillna("").argsort(kind="stable"):
-        x, y = a.iloc[i], b.iloc[i]
-        if isinstance(x, str) and isinstance(y, str):
-            if y != second:
-                matcher.set_seq2(y)
-                second = y
-            matcher.set_seq1(x)
-            out[i] = round(100 * matcher.ratio())
-    return pd.Series(out)
-
-
-#: Letters from common to rare; others are rarer still.
-_COMMON = "etaoinsrhldcumfpgwybvkxjqz 0123456789-"
-
-
-def _rare_letters(c: Column, share: float) -> Column:
-    """The rarest numbered letters of a string (the first a, the second a ...), so many that no string that shares ``share`` of its letters lacks all of them."""
-    letters = F.regexp_extract_all(c, F.lit("(?s)."), 0)
-    place = lambda x: F.when(F.instr(F.lit(_COMMON), x) > 0, F.instr(F.lit(_COMMON), x)).otherwise(F.lit(99))
-    numbered = lambda xs: F.transform(xs, lambda x, i: F.struct((-F.size(F.filter(F.slice(xs, 1, i + 1), lambda y: y == x))).alias("n"), (-place(F.lower(x))).alias("p"), x.alias("x")))
-    most = F.length(c) - F.ceil(F.length(c) * F.lit(share) - 1e-9) + 1
-    rows = bound(letters, lambda xs: F.array_sort(numbered(xs)))
-    return F.transform(F.slice(rows, 1, most.cast("int")), lambda r: F.concat(r["x"], r["n"].cast("string")))
-
-
 def token_sorted(c: Column) -> Column:
     """Lower-cased alphanumeric words in order."""
     words = F.filter(F.split(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "), " "), lambda x: x != "")
     return F.array_join(F.array_sort(words), " ")
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None) -> DataFrame:
-    """left_name, right_name and score of all pairs of distinct names with a ratio of at least ``least`` and equal ``shared`` columns.
-
-    What matches in two strings is at most the letters that they share. A pair
-    can only reach the score if it shares at least t / (200 - t) of either's
-    letters (t half a point below, for rounding), so it shares one of the
-    rarest few of each: names meet by those, not by all. Pairs are then dropped
-    by their lengths and counts of letters before the ratio is taken. All
-    bounds lose nothing.
-    """
-    shared = shared or []
-    share = (least - 0.5) / (200 - least + 0.5)
-    letters = lambda c: F.array(*[F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz0123456789 "])
-
-    def posted(df: DataFrame, name: str, kept: str, c: str, counts: str) -> DataFrame:
-        names = df.select(F.col(name).alias(kept), *shared).where(f"{kept} IS NOT NULL").distinct().withColumn(c, prepared(F.col(kept))).where(f"{c} <> ''")
-        return names.withColumn(counts, letters(F.col(c))).withColumn("letter", F.explode(_rare_letters(F.col(c), share)))
-
-    a, b = posted(left, left_name, "left_name", "a", "la"), posted(right, right_name, "right_name", "b", "lb")
-    shorter, longer = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
-    apart = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    near = a.join(b, ["letter", *shared]).where(shorter >= longer * share).where(200 * (F.length("a") + F.length("b") - apart) / 2 >= (least - 0.5) * (F.length("a") + F.length("b")))
-    pairs = near.select("left_name", "right_name", *shared, "a", "b").distinct()
-    return pairs.withColumn("score", ratio("a", "b")).where(F.col("score") >= least).select("left_name", "right_name", *shared, "score")
-
-
 def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int = 85, top: int = 1, prepared: Callable[[Column], Column] = F.lower) -> DataFrame:
     """For each distinct left name the ``top`` right names of the best ratio of at least ``least``, with score and rank; ties go to the smaller right name."""
     scored = scored_pairs(left, right, left_name, right_name, least, prepared)

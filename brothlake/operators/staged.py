@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import chemistry, hydrates, names
 from ..functions.elements import element_mismatch
-from .matching import first_rows, scored_pairs
+from .matching import first_rows
+from .similar import scored_pairs
 
 MATCH = ["original", "chebi_id", "chebi_name", "similarity_score", "match_confidence", "matching_method"]
 

@@ -172,6 +172,15 @@ def fuzzy_names(t: Tables) -> DataFrame:
     return matching.fuzzy_best(typos, t.part, "typo", "p_name", least=85, top=3)
 
 
+@query("fuzzy_words")
+def fuzzy_words(t: Tables) -> DataFrame:
+    """For the longest word of each document the nearest of the next longest ones of all documents: no SQL, for the ratio is no SQL function."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    ranked = t.documents.select(F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"]).alias("words"))
+    asked, known = ranked.select(F.get("words", F.lit(0)).alias("asked")), ranked.select(F.explode(F.slice("words", 2, 3)).alias("known"))
+    return matching.fuzzy_best(asked, known, "asked", "known", least=85, top=3)
+
+
 @query("class_coverage", """
 WITH d AS (SELECT CASE WHEN doc_id % 6 = 0 THEN NULL ELSE concat(['CHEBI', 'PubChem', 'solution', 'x', 'medium'][doc_id % 5 + 1], ':', doc_id) END AS curie, source FROM documents)
 SELECT CASE WHEN curie IS NULL THEN 'unmapped' WHEN starts_with(curie, 'x:') THEN 'other' ELSE split_part(curie, ':', 1) END AS entity, count(*) AS n, count(DISTINCT source) AS originals, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM d), 2) AS percent FROM d GROUP BY 1""")
