@@ -89,7 +89,8 @@ def ingredients(text: Column, parity: bool = False) -> Column:
     blocks = [layouts.tabular(text), layouts.reverse_tabular(text), F.transform(layouts.solutions(text), lambda r: r.dropFields("solution")), layouts.reference(text)]
     rest = [layouts.three_columns(text), listed(text, parity), layouts.prose(text)]
     found = [*blocks, line["dotted"], line["columnar"], line["parenthetical"], *rest, line["amount_first"], layouts.generic(text)]
-    return F.coalesce(*[F.when(F.size(x) > 0, _most(x, parity).cast(INGREDIENT)) for x in found], F.array().cast(INGREDIENT))
+    any_of = lambda xs: F.when(F.size(xs) > 0, _most(xs, parity).cast(INGREDIENT))
+    return F.coalesce(*[bound(x, any_of) for x in found], F.array().cast(INGREDIENT))
 
 
 def references(text: Column) -> Column:

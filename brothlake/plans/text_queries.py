@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chains import replaced_sql
-from ..operators import jcm, mining, reports, solution_texts
+from ..operators import jcm, mining, reports, routing, solution_texts
 from .registry import Tables, query
 
 _SALTS = ["NaCl", "MgSO4", "KH2PO4", "CaCl2", "FeSO4"]
@@ -106,12 +106,79 @@ UNION ALL SELECT p_partkey, {_SALT('(p_partkey + 1)')}, 0, 'unknown', 'solution'
 UNION ALL SELECT p_partkey, 'Peptone', 0, 'unknown', 'compound_list' FROM r WHERE p_size % 2 = 0)
 SELECT * FROM m WHERE concentration > 0 OR strategy <> 'procedure'""")
 def mined_ingredients(t: Tables) -> DataFrame:
-    rows = _recipes(t).select("p_partkey", F.explode(mining.all_ingredients(F.col("text"))).alias("i")).select("p_partkey", "i.*")
-    return rows.where("NOT (strategy = 'compound_list' AND name LIKE '%g/L%')")
+    return _recipes(t).select("p_partkey", F.explode(mining.all_ingredients(F.col("text"))).alias("i")).select("p_partkey", "i.*")
 
 
-@query("mined_strategies", "SELECT strategy, count(*) AS recipes FROM (SELECT p_partkey, unnest(CASE WHEN p_size % 2 = 0 THEN ['inline', 'procedure', 'solution', 'compound_list'] ELSE ['inline', 'procedure', 'solution'] END) AS strategy FROM part WHERE p_size > 0) GROUP BY 1")
+@query("mined_strategies", """
+WITH n AS (SELECT p_partkey, unnest(['inline', 'procedure', 'solution', 'compound_list']) AS strategy, unnest([2, 1, 2, 1 - p_size % 2]) AS k FROM part)
+SELECT strategy, count(*) AS recipes, sum(k)::BIGINT AS ingredients FROM n WHERE k > 0 GROUP BY 1""")
 def mined_strategies(t: Tables) -> DataFrame:
-    rows = _recipes(t).where("p_size > 0").select("p_partkey", F.explode(mining.all_ingredients(F.col("text"))).alias("i")).select("p_partkey", "i.strategy")
+    rows = _recipes(t).select("p_partkey", F.explode(mining.every_ingredient(F.col("text"))).alias("i")).select("p_partkey", "i.strategy")
     counts = reports.strategy_counts(rows, "p_partkey", "strategy")
-    return counts.select(F.explode(F.map_keys("strategies")).alias("strategy")).groupBy("strategy").agg(F.count(F.lit(1)).alias("recipes"))
+    return counts.select(F.explode("strategies").alias("strategy", "k")).groupBy("strategy").agg(F.count(F.lit(1)).alias("recipes"), F.sum("k").alias("ingredients"))
+
+
+_UNIT_SIGNS = ["g", "mg", "ml", "mM"]
+_ENDS = ["1. Dissolve it", "Then add water", "Final pH 7", "Page 2"]
+
+
+@query("mined_blocks", f"""
+WITH r AS (SELECT p_partkey, p_size AS s, {_SALT('p_partkey')} AS salt, p_size % 4 AS k FROM part),
+b AS (SELECT p_partkey, salt AS name, s + 0.25 AS concentration, 0 AS place, * FROM r UNION ALL SELECT p_partkey, 'Magnesium sulfate', s, 1, * FROM r UNION ALL SELECT p_partkey, 'Beef extract', 2, 2, * FROM r WHERE k >= 2)
+SELECT p_partkey, name, concentration::DOUBLE AS concentration, CASE WHEN k < 2 AND place = 1 THEN 'g/L' ELSE (['g/L', 'mg/L', 'ml/L', 'mM'])[s % 4 + 1] END AS unit FROM b""")
+def mined_blocks(t: Tables) -> DataFrame:
+    """Blocks of names, amounts and units that end early, late or never, with lines between that say nothing."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    sign = lambda xs, n: F.element_at(F.array(*map(F.lit, xs)), (n % len(xs) + 1).cast("int"))
+    third = s % 4 >= 2
+    names = _text("Medium ", k, " of page 7\n", _salt(k), " (Difco)\nwater\nMagnesium sulfate\n", F.when(third, "Beef extract (Oxoid)\nFinal volume 1\n").otherwise(""))
+    amounts = _text(s, ".25\nabout\n", s, "\n", F.when(third, "2\n0\n").otherwise(""))
+    unit = sign(_UNIT_SIGNS, s)
+    units = F.when(third, _text(unit, "\n", unit, "\n", unit, "\n")).otherwise(_text(unit, "\n"))
+    text = _text(F.regexp_replace(names, "^Medium [^\n]*\n", ""), "\n", amounts, units, sign(_ENDS, k), "\n", "KCl\n5\n")
+    return t.part.select("p_partkey", F.explode(mining.tabular(text)).alias("i")).select("p_partkey", "i.name", "i.concentration", "i.unit")
+
+
+@query("mined_solutions", f"""
+WITH r AS (SELECT p_partkey, {_SALT('p_partkey')} AS salt, p_size % 3 AS k FROM part)
+SELECT p_partkey, unnest(CASE k WHEN 0 THEN [salt, 'Sodium chloride', 'Magnesium sulfate'] WHEN 1 THEN ['Boric acid', salt] ELSE ['Zinc sulfate'] END) AS name FROM r""")
+def mined_solutions(t: Tables) -> DataFrame:
+    """Formulas and named compounds of solutions told of in each of three ways."""
+    k, salt = F.col("p_size") % 3, _salt(F.col("p_partkey"))
+    text = F.when(k == 0, _text("Solution A: Sodium chloride and Magnesium sulfate with ", salt, ". More\n")).when(k == 1, _text("Stock solution 3: ", salt, " and Boric acid. Dilute")).otherwise("No water. Zinc sulfate solution (sterile) is made")
+    return t.part.select("p_partkey", F.explode(mining.solutions(text)).alias("i")).select("p_partkey", "i.name")
+
+
+#: Kinds of recipe text: table before procedure, procedure first, table closed and opened again, title with embedded names.
+_ROUTED = f"""
+WITH r AS (SELECT p_partkey AS k, p_size % 4 AS kind, p_size + 0.5 AS a, p_size + 1 AS s, {_SALT('p_partkey')} AS salt FROM part)"""
+
+
+def _routed(t: Tables) -> DataFrame:
+    k, s = F.col("p_partkey"), F.col("p_size")
+    table = _text(_salt(k), "\nMagnesium sulfate\n", s, ".5\n", s + 1, "\nmg\nml\n")
+    title = _text(k, ". MARINE MEDIUM: Tryptone Yeast water KNO-X Sodium pH 7\n")
+    text = F.when(s % 4 == 0, F.concat(_text("see below\n© page\n"), table, _text("Final pH 7\n5\nmg\n1. Dissolve Agar\nKCl 3 g/L\n")))
+    text = text.when(s % 4 == 1, F.concat(_text("Note: none\n"), table))
+    text = text.when(s % 4 == 2, F.concat(_text("7\nBoric acid 2 mM\nFinal volume 1\n9\n"), table, _text("Reference: a\n")))
+    return t.part.select("p_partkey", text.otherwise(F.concat(title, _text("12\n- Beef extract ", s + 1, " g/L\nheat\n"))).alias("text"))
+
+
+@query("routed_lines", _ROUTED + """, l AS (
+SELECT k, CASE kind WHEN 0 THEN [salt, 'Magnesium sulfate', a::VARCHAR, s::VARCHAR, 'mg', 'ml'] WHEN 1 THEN []
+  WHEN 2 THEN ['Boric acid 2 mM', salt, 'Magnesium sulfate', a::VARCHAR, s::VARCHAR, 'mg', 'ml'] ELSE ['Tryptone Yeast', concat('- Beef extract ', s, ' g/L')] END AS ingredients,
+CASE kind WHEN 0 THEN ['see below', 'Final pH 7', '5', 'mg', '1. Dissolve Agar', 'KCl 3 g/L'] WHEN 1 THEN ['Note: none', salt, 'Magnesium sulfate', a::VARCHAR, s::VARCHAR, 'mg', 'ml']
+  WHEN 2 THEN ['7', 'Final volume 1', '9', 'Reference: a'] ELSE [concat(k, '. MARINE MEDIUM: Tryptone Yeast water KNO-X Sodium pH 7'), '12', 'heat'] END AS instructions FROM r)
+SELECT k AS p_partkey, array_to_string(ingredients, ' | ') AS ingredients, array_to_string(instructions, ' ') AS instructions FROM l""")
+def routed_lines(t: Tables) -> DataFrame:
+    return _routed(t).select("p_partkey", F.array_join(routing.routed(F.col("text"))["ingredients"], " | ").alias("ingredients"), routing.instructions(F.col("text")).alias("instructions"))
+
+
+@query("routed_ingredients", _ROUTED + """
+SELECT k AS p_partkey, salt AS name, a::DOUBLE AS concentration, 'mg/L' AS unit, 'tabular' AS extraction_method FROM r WHERE kind = 0
+UNION ALL SELECT k, 'Magnesium sulfate', s, 'ml/L', 'tabular' FROM r WHERE kind = 0
+UNION ALL SELECT k, 'Boric acid', 2, 'mM', 'inline' FROM r WHERE kind = 2
+UNION ALL SELECT k, salt, a, 'mg/L', 'tabular' FROM r WHERE kind = 2 UNION ALL SELECT k, 'Magnesium sulfate', s, 'ml/L', 'tabular' FROM r WHERE kind = 2
+UNION ALL SELECT k, 'Tryptone Yeast', NULL, NULL, 'list' FROM r WHERE kind = 3 UNION ALL SELECT k, 'Beef extract', s, 'g/L', 'inline' FROM r WHERE kind = 3""")
+def routed_ingredients(t: Tables) -> DataFrame:
+    return _routed(t).select("p_partkey", F.explode(routing.routed_ingredients(F.col("text"))).alias("i")).select("p_partkey", "i.*")
