@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nested import synonyms
+from .contained import occurrences
 from .similar import scored_pairs
 
 
@@ -57,23 +58,13 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("left_name", "right_name", "score", "rank")
 
 
-def windows(df: DataFrame, text: str, lengths: DataFrame, allowed: Column) -> DataFrame:
-    """A row for each part of a text, as key, whose length n is in the array ``lengths`` of the only row of lengths and is ``allowed``."""
-    sized = df.join(F.broadcast(lengths)).withColumn("n", F.explode("lengths")).where(F.col("n") <= F.length(text)).where(allowed)
-    return sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("n") + 1))).withColumn("key", F.expr(f"substring({text}, at, n)"))
-
-
 def contained_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least_length: int = 4) -> DataFrame:
-    """For each distinct left name the longest right name found in it: exact ones score 100 at any length, others, of ``least_length`` or more, the share of the length.
-
-    Right names are looked up word by word: a contained name begins in some
-    window of the left name, so windows of characters at the lengths that right
-    names have are joined by equality; no pair is formed that doesn't match.
-    """
+    """For each distinct left name the longest right name found in it: exact ones score 100 at any length, others, of ``least_length`` or more, the share of the length."""
     b = right.select(F.lower(F.col(right_name)).alias("key"), F.col(right_name).alias("right_name")).where("key <> ''").groupBy("key").agg(F.min("right_name").alias("right_name"))
-    lengths = b.agg(F.sort_array(F.collect_set(F.length("key"))).alias("lengths"))
     a = left.select(F.col(left_name).alias("left_name")).where("left_name IS NOT NULL").distinct().withColumn("a", F.lower("left_name"))
-    found = windows(a, "a", lengths, (F.col("n") == F.length("a")) | (F.col("n") >= least_length)).join(b, "key")
+    hits = occurrences(a, b.where(F.length("key") >= least_length), "a", "key").select(F.col("text").alias("a"), F.col("name").alias("key")).distinct()
+    short = a.select("a", F.col("a").alias("key")).where(F.length("a") < least_length).distinct()
+    found = a.join(hits.unionByName(short), "a").join(b, "key")
     score = F.when(F.col("key") == F.col("a"), F.lit(100.0)).otherwise(F.length("key") / F.length("a") * 100)
     return first_rows(found.withColumn("score", score), ["left_name"], F.desc("score"), F.asc("key")).select("left_name", "right_name", "score")
 
@@ -89,8 +80,7 @@ def respelled_best(left: DataFrame, right: DataFrame, left_name: str, right_name
 
     The first respelling that the index has counts; partial is the first entry
     by ``pos`` that holds the name or is held by it, both of ``least_length``
-    or more. Cases and outer blanks don't count. Parts of names meet by
-    equality, of equal parts of the index only the first entry.
+    or more. Cases and outer blanks don't count.
     """
     key = lambda c: F.lower(F.trim(F.col(c)))
     first = F.min(F.struct(F.col("pos"), F.col("right_name"))).alias("first")
@@ -100,11 +90,10 @@ def respelled_best(left: DataFrame, right: DataFrame, left_name: str, right_name
     whole = first_rows(spelled, ["left_name"], F.asc("tier")).select("left_name", F.col("first.right_name").alias("right_name"), F.when(F.col("tier") == 0, "exact").otherwise("respelled").alias("method"))
     rest = a.join(whole, "left_name", "left_anti").where(F.length("a") >= least_length)
     long = b.where(F.length("key") >= least_length)
-    sizes = lambda df, c: df.agg(F.sort_array(F.collect_set(F.length(c))).alias("lengths"))
-    held = windows(rest, "a", sizes(long, "key"), F.lit(True)).join(long, "key").select("left_name", "first")
-    entries = long.select(F.col("key").alias("entry"), "first")
-    parts = windows(entries, "entry", sizes(rest, "a"), F.lit(True)).groupBy("key").agg(F.min("first").alias("first"))
-    holding = rest.join(parts, rest["a"] == parts["key"]).select("left_name", "first")
+    inside = lambda texts, text, names, name: occurrences(texts, names, text, name).select("text", "name").distinct()
+    held = rest.join(inside(rest, "a", long, "key"), F.col("a") == F.col("text")).select("left_name", F.col("name").alias("key")).join(long, "key").select("left_name", "first")
+    holding = inside(long, "key", rest, "a").join(long, F.col("text") == F.col("key")).groupBy("name").agg(F.min("first").alias("first"))
+    holding = rest.join(holding, F.col("a") == F.col("name")).select("left_name", "first")
     partial = held.unionByName(holding).groupBy("left_name").agg(F.min("first").alias("first"))
     return whole.unionByName(partial.select("left_name", F.col("first.right_name").alias("right_name"), F.lit("partial").alias("method")))
 

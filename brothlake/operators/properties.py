@@ -15,11 +15,20 @@ from ..functions.nested import number_list, pair_map
 DOUBLED = {"mgcl2": "Cl-", "cacl2": "Cl-", "na2so4": "Na+"}
 
 
-def property_table(df: DataFrame, lower_keys: bool = True) -> DataFrame:
-    """key, molecular_weight, pka_values, charge_states, ion_charges from text columns; without ``lower_keys`` keys stay as they are written."""
+def property_table(df: DataFrame, lower_keys: bool = True, pos: str | None = None) -> DataFrame:
+    """key, molecular_weight, pka_values, charge_states, ion_charges from text columns; without ``lower_keys`` keys stay as they are written.
+
+    Of rows of one key the first by ``pos`` counts; of those, or without it,
+    the one whose name is written as its key, then the smallest by name and by
+    the texts of its other columns. So the rows' order and partitioning never
+    matter. Rows without a name have no key.
+    """
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("compound_name", "molecular_weight", "pka_values", "charge_states", "ion_charges")]
     key = F.lower("compound_name") if lower_keys else F.col("compound_name")
-    out = df.select(key.alias("key"), F.col("molecular_weight").try_cast("double").alias("molecular_weight"), number_list(F.col("pka_values")).alias("pka_values"), number_list(F.col("charge_states"), "int").alias("charge_states"), pair_map(F.col("ion_charges")).alias("ion_charges"))
-    return out.dropDuplicates(["key"])
+    values = F.struct(F.col("molecular_weight").try_cast("double").alias("molecular_weight"), number_list(F.col("pka_values")).alias("pka_values"), number_list(F.col("charge_states"), "int").alias("charge_states"), pair_map(F.col("ion_charges")).alias("ion_charges"))
+    order = F.struct(*([F.col(pos).alias("pos")] if pos else []), (F.col("compound_name") != key).alias("apart"), *[t.alias(f"t{i}") for i, t in enumerate(texts)])
+    first = df.where(F.col("compound_name").isNotNull()).groupBy(key.alias("key")).agg(F.min_by(values, order).alias("v"))
+    return first.select("key", "v.*")
 
 
 def ingredients(compositions: DataFrame, properties: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import chemistry, predicates
 from ..functions.chains import present
+from ..sources.scratch import scratch_path
 from .matching import first_rows
 
 MATCH_COLUMNS = ["normalized_compound", "hydration_number", "chebi_match", "chebi_id", "chebi_original_name", "similarity_score", "match_confidence", "matching_method"]
@@ -95,11 +96,17 @@ def expanded_solutions(rows: DataFrame, solutions: DataFrame, keep_unresolved: b
     return out.unionByName(joined.where(~known).withColumn("expansion_status", F.lit("unresolved")).select(*direct.columns)) if keep_unresolved else out
 
 
-def upserted(existing: DataFrame, new: DataFrame, name: str) -> DataFrame:
-    """existing and those rows of new whose lower-cased name it lacks, one row a name, in order of name."""
+def upserted(existing: DataFrame, new: DataFrame, name: str, pos: str | None = None) -> DataFrame:
+    """existing and those rows of new whose lower-cased name it lacks, one row a name, in order of name.
+
+    Of rows of one name those of existing come first, then the first by
+    ``pos``, a column that is not part of the result; of those, or without it,
+    the smallest by the text of its columns.
+    """
     fresh = new.join(existing.select(F.lower(name).alias("_key")).distinct(), F.lower(new[name]) == F.col("_key"), "left_anti")
     both = existing.withColumn("_old", F.lit(0)).unionByName(fresh.withColumn("_old", F.lit(1)))
-    return first_rows(both, [name], F.asc("_old")).drop("_old").orderBy(name)
+    order = [F.asc("_old"), *([F.asc(pos)] if pos else []), F.to_json(F.struct(*[c for c in existing.columns if c != pos])).asc()]
+    return first_rows(both, [name], *order).drop("_old", *([pos] if pos else [])).orderBy(name)
 
 
 def patched(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:
@@ -124,5 +131,22 @@ def numeric_first(c: Column) -> list[Column]:
     return [number.isNull(), number, c]
 
 
-def running_positions(df: DataFrame, group: str, *order: Column) -> DataFrame:
-    return df.withColumn("pos", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """df with the place (from 1) of each row in an order, as row_number() gives it, but over all partitions.
+
+    The rows are range-partitioned, sorted and written; a row's place is its
+    place in its partition after the rows of the partitions before it, whose
+    numbers, one for each partition, go through the driver. Rows that the
+    order doesn't tell apart get any of their places; an empty table gives
+    none.
+    """
+    path = scratch_path(df.sparkSession, "numbered")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    sizes = sorted(rows.groupBy("_part").count().collect())
+    before, starts = 0, []
+    for part, n in sizes:
+        starts.append((part, before))
+        before += n
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_part long, _before long"))
+    return rows.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_id", "_part", "_before")

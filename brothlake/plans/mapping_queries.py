@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, predicates
 from ..functions.chains import replaced_sql
-from ..operators import matching, reports
+from ..operators import contained, matching, reports
 from .registry import Tables, query
 
 _NODES_SQL = "(SELECT concat('CHEBI:', n_nationkey) AS id, n_nationkey AS pos, n_name AS name, concat('alias ', n_nationkey % 20, '| ', 'salt of ', n_regionkey, '||') AS synonym FROM nation)"
@@ -165,6 +165,15 @@ def respelled_names(t: Tables) -> DataFrame:
     return matching.respelled_best(t.part.select(F.expr(_ASKED).alias("asked")), t.part, "asked", "p_name", "p_partkey")
 
 
+@query("containing_words", """
+WITH w AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(list_slice(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), 1, 4)) AS w FROM documents) WHERE w <> '')
+SELECT a.w AS name, b.w AS part FROM w a JOIN w b ON contains(a.w, b.w) AND a.w <> b.w AND length(b.w) >= 4""")
+def containing_words(t: Tables) -> DataFrame:
+    """Of the words that begin a document's text all pairs of which one holds the other."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    return contained.containing_pairs(t.documents.select(F.explode(F.slice(words, 1, 4)).alias("w")).select(F.lower("w").alias("w")).distinct(), "w")
+
+
 @query("fuzzy_names")
 def fuzzy_names(t: Tables) -> DataFrame:
     """The nearest other spelling of each part name: no SQL, for the ratio is no SQL function."""

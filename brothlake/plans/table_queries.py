@@ -174,9 +174,16 @@ def column_profile(t: Tables) -> DataFrame:
 @query("numeric_first_order", "SELECT id, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM (SELECT CASE WHEN n_nationkey % 4 = 0 THEN concat('x', n_nationkey) ELSE n_nationkey::VARCHAR END AS id FROM nation)")
 def numeric_first_order(t: Tables) -> DataFrame:
     ids = t.nation.select(F.when(F.col("n_nationkey") % 4 == 0, F.concat(F.lit("x"), F.col("n_nationkey").cast("string"))).otherwise(F.col("n_nationkey").cast("string")).alias("id"))
-    from pyspark.sql import Window
+    return tables.numbered(ids, tables.numeric_first(F.col("id")))
 
-    return ids.withColumn("place", F.row_number().over(Window.orderBy(*tables.numeric_first(F.col("id")))))
+
+@query("numbered_orders", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN concat('c', o_custkey, '-', o_orderkey) WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey::VARCHAR END AS id FROM orders)
+SELECT o_orderkey, id, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT) NULLS FIRST, id NULLS FIRST, o_orderkey) AS place FROM o""")
+def numbered_orders(t: Tables) -> DataFrame:
+    k = F.col("o_orderkey")
+    ids = t.orders.select("o_orderkey", F.when(k % 5 == 0, F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("-"), k.cast("string"))).when(k % 7 != 0, k.cast("string")).alias("id"))
+    return tables.numbered(ids, [*tables.numeric_first(F.col("id")), k])
 
 
 @query("top_counts", "SELECT l_shipdate::DATE::VARCHAR AS day, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, day LIMIT 10")
