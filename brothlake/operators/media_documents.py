@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import packed_texts
 from . import properties as P
 
 # Fixed values.
@@ -68,10 +69,13 @@ def as_json(analysed_rows: DataFrame) -> DataFrame:
     return analysed_rows.select("medium_id", F.to_json(F.struct(*[c for c in analysed_rows.columns if c != "medium_id"])).alias("content"))
 
 
-def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested documents of the files of a folder and those below, keyed by the id in medium_<id>_composition_properties.json, the name of a file or of its folder."""
-    rows = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
-    medium = F.regexp_extract(F.col("_metadata.file_path"), r"medium_([^_/]+)_composition_properties\.json", 1)
+def read_documents(spark: SparkSession, folder: str, packed: bool = False) -> DataFrame:
+    """Nested documents of the files of a folder and those below (``packed``: of packed ones), keyed by the id in medium_<id>_composition_properties.json, the name of a file or of its folder."""
+    if packed:
+        rows = packed_texts(spark, folder).select(F.col("file_name").alias("path"), F.col("text").alias("value"))
+    else:
+        rows = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    medium = F.regexp_extract("path", r"medium_([^_/]+)_composition_properties\.json", 1)
     return rows.select(medium.alias("medium_id"), F.from_json("value", DOCUMENT).alias("d")).where("medium_id <> ''").select("medium_id", "d.*")
 
 

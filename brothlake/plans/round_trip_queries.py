@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import media_documents, properties
 from ..sources import readers, writers
 from ..sources.scratch import scratch_path
+from ..sources.versioned import VersionedTable, property_defaults, valid_property
 from . import stages
 from .mapping_queries import nodes
 from .media_queries import _FACTS, _PH, compositions, property_rows
@@ -102,11 +103,11 @@ def failure_table(t: Tables) -> DataFrame:
 
 
 @query("media_json_round_trip", f"""
-WITH {_FACTS} SELECT medium_id, round({_PH}, 2) AS ph_value, n::VARCHAR AS parts FROM sums WHERE medium_id % 40 = 1""")
+WITH {_FACTS} SELECT medium_id, round({_PH}, 2) AS ph_value, n::VARCHAR AS parts FROM sums""")
 def media_json_round_trip(t: Tables) -> DataFrame:
     """JSON in and JSON out: a list of components, the medium's document, and its text back as a document."""
     line = F.struct("compound", "g_l")
-    media = compositions(t).where("medium_id % 40 = 1").groupBy("medium_id").agg(F.to_json(F.collect_list(line)).alias("content"))
+    media = compositions(t).groupBy("medium_id").agg(F.to_json(F.collect_list(line)).alias("content"))
     text = media_documents.as_json(media_documents.analysed(media, property_rows(t)))
     back = text.select("medium_id", F.from_json("content", media_documents.DOCUMENT).alias("d")).select("medium_id", "d.*")
     return back.select("medium_id", F.col("ph.value").alias("ph_value"), F.split_part("analysis_quality.compounds_recognized", F.lit("/"), F.lit(2)).alias("parts"))
@@ -138,14 +139,14 @@ def summary_job(t: Tables) -> DataFrame:
 
 
 @query("extraction_job", """
-SELECT concat('f', p_partkey, '.txt') AS file_name, CASE WHEN p_partkey % 2 = 0 THEN 'BROTH MEDIUM' ELSE concat('f', p_partkey, '.txt') END AS medium_name, 'NaCl' AS name, p_size + 0.5::DOUBLE AS concentration, 'Boil it.' AS preparation_instructions FROM part WHERE p_partkey % 8 = 0 OR p_partkey % 8 = 3""")
+SELECT concat('f', p_partkey, '.txt') AS file_name, CASE WHEN p_partkey % 2 = 0 THEN 'BROTH MEDIUM' ELSE concat('f', p_partkey, '.txt') END AS medium_name, 'NaCl' AS name, p_size + 0.5::DOUBLE AS concentration, 'Boil it.' AS preparation_instructions FROM part""")
 def extraction_job(t: Tables) -> DataFrame:
     """Text files with a title, an ingredient given twice and instructions."""
     folder = scratch_path(t.spark, "texts")
     title = F.when(F.col("p_partkey") % 2 == 0, "BROTH MEDIUM\n").otherwise("")
     text = F.concat(title, _text("NaCl (", F.col("p_size"), ".5 g/L), NaCl (1 mg)\nPreparation: Boil it.\n"))
-    writers.named_files(t.part.where("p_partkey % 8 IN (0, 3)").select(_text("f", F.col("p_partkey"), ".txt").alias("file_name"), text.alias("content")), folder)
-    return stages.extracted_texts(t.spark, folder).select("file_name", "medium_name", "name", "concentration", "preparation_instructions")
+    writers.packed_files(t.part.select(_text("f", F.col("p_partkey"), ".txt").alias("file_name"), text.alias("content")), folder)
+    return stages.extracted_texts(t.spark, folder, packed=True).select("file_name", "medium_name", "name", "concentration", "preparation_instructions")
 
 
 @query("property_database_job", "SELECT p_name AS compound_name, 1.0::DOUBLE AS molecular_weight FROM part WHERE p_size % 2 = 0 UNION SELECT p_name, 2.0 FROM part WHERE p_size % 2 = 1 AND p_size % 3 = 0 AND lower(p_name) NOT IN (SELECT lower(p_name) FROM part WHERE p_size % 2 = 0)")
@@ -156,11 +157,57 @@ def property_database_job(t: Tables) -> DataFrame:
 
 
 @query("expansion_job", """
-SELECT l_orderkey, l_linenumber, s_name AS original, CASE WHEN l_quantity = 0 OR s_acctbal = 0 THEN s_acctbal ELSE round(s_acctbal * l_quantity / 1000, 6) END AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 1""")
+SELECT l_orderkey, l_linenumber, s_name AS original, CASE WHEN l_quantity = 0 OR s_acctbal = 0 THEN s_acctbal ELSE round(s_acctbal * l_quantity / 1000, 6) END AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 def expansion_job(t: Tables) -> DataFrame:
     """Rows mapped to stock solutions, whose compositions are read from JSON files."""
     folder = scratch_path(t.spark, "stock")
     part = F.struct(F.col("s_name").alias("name"), F.col("s_acctbal").alias("concentration"), F.lit("g").alias("unit"))
     t.supplier.select(F.col("s_suppkey").cast("string").alias("solution_id"), F.array(part).alias("composition")).write.json(folder)
-    rows = t.lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber", F.lit("stock").alias("original"), _text("solution:", F.col("l_suppkey")).alias("mapped"), F.col("l_quantity").cast("double").alias("value"), F.lit("ml/l").alias("unit"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.lit("stock").alias("original"), _text("solution:", F.col("l_suppkey")).alias("mapped"), F.col("l_quantity").cast("double").alias("value"), F.lit("ml/l").alias("unit"))
     return stages.expanded(t.spark, rows, folder, pattern="*.json").select("l_orderkey", "l_linenumber", "original", F.round("value", 6).alias("value"))
+
+
+def _versioned(t: Tables) -> VersionedTable:
+    """A table of sizes of parts, of each the first part's price, in a scratch folder."""
+    rows = t.part.groupBy(F.concat(F.lit("c"), F.col("p_size").cast("string")).alias("name")).agg(F.min_by("p_retailprice", "p_partkey").cast("double").alias("weight"), F.lit(None).cast("string").alias("note"))
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versioned"))
+    table.create(rows, "name", 16)
+    return table
+
+
+_SIZES = "WITH e AS (SELECT concat('c', p_size) AS name, arg_min(p_retailprice, p_partkey)::DOUBLE AS weight, NULL::VARCHAR AS note FROM part GROUP BY 1)"
+
+
+@query("versioned_upserts", _SIZES + """, n AS (SELECT concat('C', c_custkey % 90) AS name, c_acctbal::DOUBLE AS weight, c_mktsegment AS note, c_custkey FROM customer)
+SELECT name, round(weight, 4) AS weight, note FROM e UNION ALL SELECT name, round(weight, 4), note FROM (SELECT * FROM n WHERE lower(name) NOT IN (SELECT name FROM e) QUALIFY row_number() OVER (PARTITION BY lower(name) ORDER BY c_custkey) = 1)""")
+def versioned_upserts(t: Tables) -> DataFrame:
+    """Names that the table lacks are added, of equal ones the first; made twice, once in effect."""
+    table, key = _versioned(t), F.col("c_custkey")
+    new = t.customer.select(F.concat(F.lit("C"), (key % 90).cast("string")).alias("name"), F.col("c_acctbal").cast("double").alias("weight"), F.col("c_mktsegment").alias("note"), key.alias("pos"))
+    for _ in range(2):
+        table.upserted(new, "customers", "pos")
+    return table.read().withColumn("weight", F.round("weight", 4))
+
+
+@query("versioned_updates", _SIZES + """, u AS (SELECT concat('c', o_custkey % 70) AS name, arg_max(o_totalprice, o_orderkey) FILTER (o_orderkey % 3 > 0)::DOUBLE AS weight, arg_max(o_orderstatus, o_orderkey) AS note FROM orders GROUP BY 1)
+SELECT name, round(coalesce(u.weight, e.weight), 4) AS weight, coalesce(u.note, e.note) AS note FROM e LEFT JOIN u USING (name)""")
+def versioned_updates(t: Tables) -> DataFrame:
+    """The last value of each column that is not null takes the place of the table's."""
+    table, key = _versioned(t), F.col("o_orderkey")
+    updates = t.orders.select(F.concat(F.lit("c"), (F.col("o_custkey") % 70).cast("string")).alias("name"), F.when(key % 3 > 0, F.col("o_totalprice").cast("double")).alias("weight"), F.col("o_orderstatus").alias("note"), key.alias("pos"))
+    table.updated(updates, "orders", "pos")
+    return table.read().withColumn("weight", F.round("weight", 4))
+
+
+@query("appended_properties", """
+WITH s AS (SELECT s_name AS compound_name, s_acctbal::DOUBLE AS molecular_weight, CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey - 3.0 END::DOUBLE AS given FROM supplier)
+SELECT compound_name, round(molecular_weight, 4) AS molecular_weight, '' AS pka_values, '0' AS charge_states, '' AS ion_charges, coalesce(given, 100) AS "solubility_g_per_L", 1.0::DOUBLE AS activity_coefficient, compound_name AS description FROM s WHERE molecular_weight > 0 AND coalesce(given, 100) >= 0""")
+def appended_properties(t: Tables) -> DataFrame:
+    """Rows by hand, in two changes, with defaults where nothing is given; rows that aren't valid are left out."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "properties"))
+    columns = "compound_name string, molecular_weight double, pka_values string, charge_states string, ion_charges string, solubility_g_per_L double, activity_coefficient double, description string"
+    table.create(t.spark.createDataFrame([], columns), "compound_name", 8)
+    rows = t.supplier.select(F.col("s_name").alias("compound_name"), F.col("s_acctbal").cast("double").alias("molecular_weight"), F.when(F.col("s_suppkey") % 4 == 0, F.col("s_nationkey") - 3.0).alias("solubility_g_per_L"), "s_suppkey")
+    for k, part in enumerate((rows.where("s_suppkey % 2 = 0"), rows.where("s_suppkey % 2 = 1"))):
+        table.appended(part.drop("s_suppkey"), f"manual-{k}", property_defaults(), valid_property)
+    return table.read().withColumn("molecular_weight", F.round("molecular_weight", 4))

@@ -273,12 +273,12 @@ def nested_media(t: Tables) -> DataFrame:
     return _flat(media_documents.analysed(_medium_documents(t), property_rows(t)))
 
 
-@query("media_document_files", _DOCUMENT_SQL.replace("concat(recognized, '/', nullif(n, 0))", "CASE WHEN n > 0 THEN concat(recognized, '/', n) END").replace("FROM m LEFT JOIN d", "FROM (SELECT medium_id FROM m WHERE medium_id % 100 IN (3, 7, 8)) m LEFT JOIN d"))
+@query("media_document_files", _DOCUMENT_SQL.replace("concat(recognized, '/', nullif(n, 0))", "CASE WHEN n > 0 THEN concat(recognized, '/', n) END"))
 def media_document_files(t: Tables) -> DataFrame:
-    """Documents as JSON files, one a medium, and back to flat rows by the id in a file's name."""
-    from ..sources.writers import named_files
+    """Documents as JSON texts, one a medium, packed in files, and back to flat rows by the id in a text's name."""
+    from ..sources.writers import packed_files
 
     folder = scratch_path(t.spark, "media")
-    found = media_documents.as_json(media_documents.analysed(_medium_documents(t).where("medium_id % 100 IN (3, 7, 8)"), property_rows(t)))
-    named_files(found.select(F.concat(F.lit("medium_"), F.col("medium_id").cast("string"), F.lit("_composition_properties.json")).alias("file_name"), "content"), folder)
-    return _flat(media_documents.read_documents(t.spark, folder).withColumn("medium_id", F.col("medium_id").cast("long")))
+    found = media_documents.as_json(media_documents.analysed(_medium_documents(t), property_rows(t)))
+    packed_files(found.select(F.concat(F.lit("medium_"), F.col("medium_id").cast("string"), F.lit("_composition_properties.json")).alias("file_name"), "content"), folder)
+    return _flat(media_documents.read_documents(t.spark, folder, packed=True).withColumn("medium_id", F.col("medium_id").cast("long")))

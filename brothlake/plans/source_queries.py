@@ -147,9 +147,9 @@ def layout_ingredients(t: Tables) -> DataFrame:
     return recipes.recipe_rows(_layout_texts(t), "p_partkey")
 
 
-@query("three_column_ingredients", f"WITH {_LAYOUT_ROWS} SELECT p_partkey, i AS pos, name, amount AS concentration, CASE WHEN i < n - 1 THEN 'mg' ELSE 'g' END AS unit, 'three_columns' AS extraction_method FROM named WHERE kind = 4")
+@query("three_column_ingredients", f"WITH {_LAYOUT_ROWS} SELECT p_partkey, i AS pos, name, amount AS concentration, CASE WHEN i < n - 1 THEN 'mg' ELSE 'g' END AS unit, 'three_columns' AS extraction_method FROM named WHERE kind IN (0, 4)")
 def three_column_ingredients(t: Tables) -> DataFrame:
-    return _layout_texts(t).where("p_partkey % 6 = 4").select("p_partkey", F.posexplode(layouts.three_columns(F.col("text"))).alias("pos", "r")).select("p_partkey", "pos", "r.*")
+    return _layout_texts(t).select("p_partkey", F.posexplode(layouts.three_columns(F.col("text"))).alias("pos", "r")).select("p_partkey", "pos", "r.*")
 
 
 @query("solution_ingredients", f"WITH {_LAYOUT_ROWS} SELECT p_partkey, name, amount AS concentration, 'Trace solution:' AS solution FROM named WHERE kind = 2")

@@ -74,10 +74,10 @@ def hydrate_job(t: Tables) -> DataFrame:
 
 
 @query("unaccounted_frequency", """
-SELECT source, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{12,}'))) AS word, count(*) AS frequency FROM documents GROUP BY source, word HAVING count(*) > 1""")
+SELECT source, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word, count(*) AS frequency FROM documents GROUP BY source, word""")
 def unaccounted_frequency(t: Tables) -> DataFrame:
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{12,}"), 0))
-    return t.documents.select("source", F.explode(words).alias("word")).groupBy("source", "word").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0))
+    return t.documents.select("source", F.explode(words).alias("word")).groupBy("source", "word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 query("elements_of_formulas", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Cl,Na' WHEN 1 THEN 'Mg,O,S' ELSE 'Ca,Cl,K' END AS elements FROM part")(

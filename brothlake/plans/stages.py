@@ -44,9 +44,9 @@ def media_summary(compositions: DataFrame, property_rows: DataFrame, mapped: Dat
     return joined.withColumn("mapping_rate", F.coalesce(F.round(F.try_divide(100.0 * F.col("mapped_compounds"), F.col("total_compounds")), 1), F.lit(0.0)))
 
 
-def extracted_texts(spark: SparkSession, folder: str, parity: bool = False) -> DataFrame:
-    """Ingredient rows of the text files of a folder, with title, references and preparation of each file; ``parity`` cuts long ones as published."""
-    files = readers.named_texts(spark, folder)
+def extracted_texts(spark: SparkSession, folder: str, parity: bool = False, packed: bool = False) -> DataFrame:
+    """Ingredient rows of the text files of a folder (``packed``: of packed ones), with title, references and preparation of each file; ``parity`` cuts long ones as published."""
+    files = readers.packed_texts(spark, folder) if packed else readers.named_texts(spark, folder)
     rows = recipes.deduplicated(recipes.recipe_rows(files, "file_name", parity=parity), "file_name")
     heads = files.select("file_name", recipes.title(F.col("text"), F.col("file_name")).alias("medium_name"), recipes.references(F.col("text")).alias("reference_media"), recipes.preparation(F.col("text"), parity).alias("preparation_instructions"))
     return heads.join(rows, "file_name", "left")

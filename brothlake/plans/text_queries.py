@@ -77,7 +77,7 @@ def solution_text_rows(t: Tables) -> DataFrame:
 
 @query("table_components", f"SELECT p_partkey, 'sodium chloride' AS name, p_size + 0.5::DOUBLE AS concentration, 'g' AS unit FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, {_SALT('p_partkey')}, p_size, 'mg' FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'biotin', 2, 'mg' FROM part WHERE p_partkey % 2 = 0")
 def table_components(t: Tables) -> DataFrame:
-    rows = _solutions(t).where("p_partkey % 2 = 0").select("p_partkey", F.explode(solution_texts.table_components(F.col("text"))).alias("r"))
+    rows = _solutions(t).select("p_partkey", F.explode(solution_texts.table_components(F.col("text"))).alias("r"))
     return rows.select("p_partkey", "r.*")
 
 

@@ -125,3 +125,8 @@ def named_texts(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     own = F.regexp_extract(F.col("_metadata.file_path"), r"file_name=([^/]+)/", 1)
     return rows.select(F.coalesce(F.nullif(F.url_decode(own), F.lit("")), F.col("_metadata.file_name")).alias("file_name"), F.col("value").alias("text"))
+
+
+def packed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """file_name and text of the files that writers.packed_files() has put together."""
+    return spark.read.schema("file_name string, content string").parquet(folder).withColumnRenamed("content", "text")

@@ -31,11 +31,11 @@ def failures(results: DataFrame, kind: str, path: str, failed) -> DataFrame:
     return results.where(failed).groupBy(kind).agg(F.sort_array(F.collect_set(path)).alias("paths"), F.count(F.lit(1)).alias("n"))
 
 
-def partitioned_names(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
-    """A table bucketed and sorted by key, so that later lookups join without a shuffle."""
-    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
-
-
 def named_files(df: DataFrame, folder: str) -> None:
-    """A folder for each file_name with its content as text, so a reader finds it by path."""
+    """A folder for each file_name with its content as text, so that other programs find it by path; for few files."""
     df.select("file_name", "content").repartition("file_name").write.partitionBy("file_name").text(folder)
+
+
+def packed_files(df: DataFrame, folder: str) -> None:
+    """Files by name, many in one Parquet file and sorted by name within it, so that there are as many files as tasks and not as documents."""
+    df.select("file_name", "content").sortWithinPartitions("file_name").write.parquet(folder)

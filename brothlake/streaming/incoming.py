@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.recipes import recipe_rows
+from ..sources.versioned import VersionedTable, property_defaults, valid_property
 
 
 def document_stream(spark: SparkSession, folder: str, schema: str = "doc_id long, text string, arrived timestamp", files_a_batch: int = 100) -> DataFrame:
@@ -27,3 +28,16 @@ def arrivals(docs: DataFrame, width: str = "1 hour", late: str = "2 hours") -> D
 def started(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Writes what has arrived as Parquet, each row once, and stops."""
     return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def property_arrivals(found: DataFrame, table: VersionedTable, checkpoint: str, name: str = "properties") -> StreamingQuery:
+    """Adds arriving property rows of names that the table lacks, and stops when all that has arrived is in.
+
+    A batch is one change of the table, named by the stream and the batch, so
+    a batch that is tried again after a failure is made once.
+    """
+
+    def add(batch: DataFrame, k: int) -> None:
+        table.appended(batch, f"{name}-{k}", property_defaults(), valid_property, "pos" if "pos" in batch.columns else None)
+
+    return found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
