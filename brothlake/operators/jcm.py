@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import scratch_path
 from . import layouts, recipes
 
 # Fixed values.
@@ -99,11 +100,52 @@ def ingredient_rows(found: DataFrame) -> DataFrame:
     return tables.unionByName(by_reference)
 
 
-def resolved(rows: DataFrame) -> DataFrame:
-    """rows of ingredient_rows() with those of a base medium put in the place of its reference (one step), less what is left out of it."""
-    bases = rows.where("action = 'base'").select(F.col("medium_id").alias("medium"), F.concat(F.lit("jcm_"), F.regexp_extract("name", r"(\d+)$", 1)).alias("base"))
-    gone = rows.where("action = 'remove'").select(F.col("medium_id").alias("medium"), F.lower("name").alias("gone")).distinct()
-    inherited = bases.join(rows.where("action NOT IN ('base', 'remove')"), F.col("base") == F.col("medium_id")).withColumn("low", F.lower("name"))
-    kept = inherited.join(gone, (inherited["medium"] == gone["medium"]) & (F.col("low") == F.col("gone")), "left_anti")
+def base_media(rows: DataFrame) -> DataFrame:
+    """medium, base, steps: all media that the rows of a medium rest on, with the least number of references between them.
+
+    Found by pointer jumping: a round joins the pairs with themselves and
+    doubles the steps that are known, so rounds grow with the logarithm of the
+    longest chain. A medium that comes to itself is in a cycle, which ends as
+    any chain does. Null ids refer to nothing.
+    """
+    spark = rows.sparkSession
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "bases")
+        pairs.groupBy("medium", "base").agg(F.min("steps").alias("steps")).write.parquet(path)
+        return spark.read.parquet(path)
+
+    known = kept(rows.where("action = 'base' AND medium_id IS NOT NULL").select(F.col("medium_id").alias("medium"), F.concat(F.lit("jcm_"), F.regexp_extract("name", r"(\d+)$", 1)).alias("base"), F.lit(1).alias("steps")))
+    size = lambda pairs: tuple(pairs.agg(F.count(F.lit(1)), F.sum("steps")).first())
+    now, before = size(known), None
+    while now != before:
+        further = known.select(F.col("medium").alias("base"), F.col("base").alias("far"), F.col("steps").alias("more"))
+        known = kept(known.unionByName(known.join(further, "base").select("medium", F.col("far").alias("base"), (F.col("steps") + F.col("more")).alias("steps"))))
+        now, before = size(known), now
+    return known
+
+
+def unresolved(rows: DataFrame, bases: DataFrame | None = None) -> DataFrame:
+    """medium_id and reason of media whose base is missing, or that rest on themselves (cycle)."""
+    bases = base_media(rows) if bases is None else bases
+    cycles = bases.where("medium = base").select(F.col("medium").alias("medium_id"), F.lit("cycle").alias("reason"))
+    there = rows.select(F.col("medium_id").alias("base")).distinct()
+    missing = bases.where("steps = 1").join(there, "base", "left_anti").select(F.col("medium").alias("medium_id"), F.lit("missing").alias("reason"))
+    return cycles.unionByName(missing).distinct()
+
+
+def resolved(rows: DataFrame, bases: DataFrame | None = None) -> DataFrame:
+    """rows of ingredient_rows() with those of all base media, however far, in the place of the references.
+
+    A row of a base is left out if a medium nearer than that base, on the way
+    from it, leaves out its name; what a nearer one adds again stays. A medium
+    takes nothing from itself, so cycles add each row once.
+    """
+    bases = (base_media(rows) if bases is None else bases).where("medium <> base")
     own = rows.where("action NOT IN ('base', 'remove')").select("medium_id", "name", "concentration", "unit", "action")
+    near = bases.unionByName(rows.select(F.col("medium_id").alias("medium"), F.col("medium_id").alias("base"), F.lit(0).alias("steps")).distinct())
+    gone = rows.where("action = 'remove'").select(F.col("medium_id").alias("base"), F.lower("name").alias("low")).distinct()
+    removed = near.join(gone, "base").groupBy("medium", "low").agg(F.min("steps").alias("removed_at"))
+    inherited = bases.join(own.withColumnRenamed("medium_id", "base"), "base").withColumn("low", F.lower("name")).join(removed, ["medium", "low"], "left")
+    kept = inherited.where(F.coalesce(F.col("removed_at") >= F.col("steps"), F.lit(True)))
     return own.unionByName(kept.select(F.col("medium").alias("medium_id"), "name", "concentration", "unit", F.lit("inherited").alias("action")))

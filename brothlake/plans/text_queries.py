@@ -43,18 +43,52 @@ UNION ALL SELECT concat('jcm_', p_partkey), 'agar', 0, 'removed', 'remove' FROM
 UNION ALL SELECT concat('jcm_', p_partkey), {_SALT('(p_size + 1)')}, p_size, 'mg', 'recipe' FROM part, range(2) WHERE p_partkey % 4 = 3)"""
 
 
-@query("collection_ingredients", f"WITH {_COLLECTED} SELECT medium_id, name, action, unit, concentration, count(*) > 0 AS found FROM rows GROUP BY ALL")
+@query("collection_ingredients", f"WITH {_COLLECTED} SELECT medium_id, name, action, unit, concentration, count(*) AS n FROM rows GROUP BY ALL")
 def collection_ingredients(t: Tables) -> DataFrame:
     rows = jcm.ingredient_rows(jcm.media(_pages(t)))
-    return rows.groupBy("medium_id", "name", "action", "unit", "concentration").agg((F.count(F.lit(1)) > 0).alias("found"))
+    return rows.groupBy("medium_id", "name", "action", "unit", "concentration").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("collection_resolved", f"""
 WITH {_COLLECTED}, own AS (SELECT * FROM rows WHERE action NOT IN ('base', 'remove')),
 inherited AS (SELECT b.medium_id, o.name, o.concentration, o.unit, 'inherited' AS action FROM rows b JOIN own o ON o.medium_id = concat('jcm_', regexp_extract(b.name, '\\d+$')) WHERE b.action = 'base' AND NOT EXISTS (SELECT 1 FROM rows g WHERE g.medium_id = b.medium_id AND g.action = 'remove' AND lower(g.name) = lower(o.name)))
-SELECT DISTINCT * FROM own UNION SELECT * FROM inherited""")
+SELECT * FROM own UNION ALL SELECT * FROM inherited""")
 def collection_resolved(t: Tables) -> DataFrame:
-    return jcm.resolved(jcm.ingredient_rows(jcm.media(_pages(t)))).distinct()
+    return jcm.resolved(jcm.ingredient_rows(jcm.media(_pages(t))))
+
+
+#: Chains of ten media, each based on the one before it; of a hundred, two are based on each other and one on a medium that isn't there.
+_CHAINS = f"""
+WITH RECURSIVE p AS (SELECT p_partkey AS k, p_size AS s, {_SALT('p_partkey')} AS salt FROM part),
+links AS (SELECT k, CASE WHEN k % 100 = 97 THEN k + 1 WHEN k % 100 = 55 THEN 0 ELSE k - 1 END AS base FROM p WHERE k % 10 > 0),
+walk AS (SELECT k, base, 1 AS steps FROM links UNION ALL SELECT w.k, l.base, steps + 1 FROM walk w JOIN links l ON w.base = l.k WHERE steps < 12),
+bases AS (SELECT k, base, min(steps) AS steps FROM walk GROUP BY 1, 2),
+own AS (SELECT k, salt AS name, s::DOUBLE AS concentration FROM p UNION ALL SELECT k, concat('Agar ', s % 3), 1 FROM p),
+gone AS (SELECT k, concat('agar ', s % 3) AS low FROM p WHERE s % 2 = 0)"""
+
+
+def _chained(t: Tables) -> DataFrame:
+    k, s = F.col("p_partkey"), F.col("p_size")
+    base = F.when(k % 100 == 97, k + 1).when(k % 100 == 55, F.lit(0)).otherwise(k - 1)
+    agar = _text("Agar ", s % 3)
+    row = lambda name, amount, unit, action: F.struct(name.alias("name"), amount.cast("double").alias("concentration"), F.lit(unit).alias("unit"), F.lit(action).alias("action"))
+    rows = F.array(row(_salt(k), s, "g", "table"), row(agar, F.lit(1), "g", "table"), F.when(k % 10 > 0, row(_text("Base Medium ", base), F.lit(1), "reference", "base")), F.when(s % 2 == 0, row(agar, F.lit(0), "removed", "remove")))
+    return t.part.select(_text("jcm_", k).alias("medium_id"), F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("medium_id", "r.*")
+
+
+@query("chained_media", _CHAINS + """
+SELECT concat('jcm_', k) AS medium_id, name, concentration, 'table' AS action FROM own
+UNION ALL SELECT concat('jcm_', b.k), name, concentration, 'inherited' FROM bases b JOIN own o ON b.base = o.k WHERE b.k <> b.base AND NOT EXISTS (
+  SELECT 1 FROM gone g WHERE g.low = lower(o.name) AND (g.k = b.k OR EXISTS (SELECT 1 FROM bases n WHERE n.k = b.k AND n.base = g.k AND n.base <> n.k AND n.steps < b.steps)))""")
+def chained_media(t: Tables) -> DataFrame:
+    """Media based on media that are based on media, with what each on the way leaves out."""
+    return jcm.resolved(_chained(t)).select("medium_id", "name", "concentration", "action")
+
+
+@query("unresolved_media", _CHAINS + """
+SELECT concat('jcm_', k) AS medium_id, 'cycle' AS reason FROM bases WHERE k = base UNION ALL SELECT concat('jcm_', k), 'missing' FROM links WHERE base NOT IN (SELECT k FROM p)""")
+def unresolved_media(t: Tables) -> DataFrame:
+    return jcm.unresolved(_chained(t))
 
 
 def _solutions(t: Tables) -> DataFrame:
