@@ -282,3 +282,18 @@ def media_document_files(t: Tables) -> DataFrame:
     found = media_documents.as_json(media_documents.analysed(_medium_documents(t), property_rows(t)))
     packed_files(found.select(F.concat(F.lit("medium_"), F.col("medium_id").cast("string"), F.lit("_composition_properties.json")).alias("file_name"), "content"), folder)
     return _flat(media_documents.read_documents(t.spark, folder, packed=True).withColumn("medium_id", F.col("medium_id").cast("long")))
+
+
+@query("sorted_lookups", r"""
+WITH w AS (SELECT lower(w) AS key, min(doc_id) AS cid FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents) GROUP BY 1),
+a AS (SELECT item_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+')[1] AS word FROM benchmark UNION ALL SELECT -p_partkey, p_name FROM part)
+SELECT item_id, word, cid::VARCHAR AS cid FROM a LEFT JOIN w ON key = lower(word)""")
+def sorted_lookups(t: Tables) -> DataFrame:
+    """First words of benchmark items and names of parts, looked up in a sorted index of all words of the documents."""
+    word = F.lit(r"[^\x20\x09-\x0D]+")
+    words = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", word, 0)).alias("w"))
+    index = words.groupBy(F.lower("w").alias("key")).agg(F.min("doc_id").cast("string").alias("cid"))
+    path = scratch_path(t.spark, "sorted-index")
+    lookups.write_sorted_index(index, path, 32)
+    asked = t.benchmark.select("item_id", F.get(F.regexp_extract_all("text", word, 0), F.lit(0)).alias("word")).unionByName(t.part.select((-F.col("p_partkey")).alias("item_id"), F.col("p_name").alias("word")))
+    return lookups.sorted_lookup(asked, path, "word").select("item_id", "word", "cid")

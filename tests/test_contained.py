@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from brothlake.operators import contained, matching, properties, tables
+from brothlake.operators import contained, jcm, lookups, matching, properties, tables
 
 
 def frame(spark, xs, c="t"):
@@ -69,3 +69,45 @@ def test_upserted_takes_the_first(spark, parts):
     new = spark.createDataFrame([("agar", 9.0, 1), ("Tris", 5.0, 2), ("Tris", 4.0, 1)], "name string, weight double, pos int").repartition(parts)
     assert [tuple(r) for r in tables.upserted(old, new, "name", "pos").collect()] == [("Agar", 2.0), ("KCl", 3.0), ("Tris", 4.0)]
     assert [tuple(r) for r in tables.upserted(old.drop("pos"), new.drop("pos"), "name").collect()] == [("Agar", 1.0), ("KCl", 3.0), ("Tris", 4.0)]
+
+
+def test_sorted_index(spark, tmp_path):
+    """Lookups open only files whose range holds a name; keys of any script; last lines win across files."""
+    rng = random.Random(5)
+    keys = sorted({"".join(rng.choice("abcé日\U0001f600z") for _ in range(rng.randrange(1, 6))) for _ in range(600)})
+    index = spark.createDataFrame([(k, str(i)) for i, k in enumerate(keys)], "key string, cid string")
+    path = str(tmp_path / "index")
+    lookups.write_sorted_index(index, path, 12)
+    one = spark.createDataFrame([(keys[7],)], "key string")
+    many = spark.createDataFrame([(k,) for k in keys], "key string")
+    assert len(lookups.touched_files(one, path)) == 1 and 6 < len(lookups.touched_files(many, path)) <= 12
+    assert lookups.touched_files(spark.createDataFrame([("",), (None,)], "key string"), path) == []
+    for asked in (keys[:5], keys, ["nothing", None, "", keys[3].upper(), keys[3]], ["\x01"]):
+        got = lookups.sorted_lookup(spark.createDataFrame([(k,) for k in asked], "name string"), path, "name").collect()
+        known = {k: str(i) for i, k in enumerate(keys)}
+        assert sorted((str(r.name), r.cid) for r in got) == sorted((str(k), known.get((k or "").lower().strip()) if k else None) for k in asked)
+
+
+def test_order_of_lines_over_files(spark, tmp_path):
+    for k, size in enumerate((3, 900, 1, 40)):
+        (tmp_path / f"part{k}.tsv").write_text("".join(f"{k}-{i}\tname{i % 50}\n" for i in range(size)))
+    rows = lookups.named_ids(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [r.cid for r in rows] == [f"{k}-{i}" for k, size in enumerate((3, 900, 1, 40)) for i in range(size)]
+    none = spark.createDataFrame([], "cid string, name string, pos long")
+    last = {r.key: r.cid for r in lookups.name_index(lookups.named_ids(spark, str(tmp_path)), none).collect()}
+    assert last["name0"] == "3-0" and last["name45"] == "1-895" and last["name39"] == "3-39"
+
+
+def test_base_media(spark):
+    schema = "medium_id string, name string, concentration double, unit string, action string"
+    base = lambda m, b: (f"jcm_{m}", f"Base Medium {b}", 1.0, "reference", "base")
+    own = lambda m, n: (f"jcm_{m}", n, 1.0, "g", "table")
+    gone = lambda m, n: (f"jcm_{m}", n, 0.0, "removed", "remove")
+    rows = [own(1, "Agar"), own(1, "NaCl"), base(2, 1), own(2, "KCl"), gone(2, "agar"), base(3, 2), own(3, "Agar"), base(4, 3), base(5, 6), own(5, "A"), base(6, 5), own(6, "B"), base(7, 99), own(7, "C"), (None, "Agar", 1.0, "g", "table")]
+    df = spark.createDataFrame(rows + rows[:1], schema).repartition(3)
+    got = sorted((r.medium_id, r.name, r.action) for r in jcm.resolved(df).where("medium_id IS NOT NULL").collect())
+    want = [("1", "Agar", "table"), ("1", "Agar", "table"), ("1", "NaCl", "table"), ("2", "KCl", "table"), ("2", "NaCl", "inherited"), ("3", "Agar", "table"), ("3", "KCl", "inherited"), ("3", "NaCl", "inherited")]
+    want += [("4", "Agar", "inherited"), ("4", "KCl", "inherited"), ("4", "NaCl", "inherited"), ("5", "A", "table"), ("5", "B", "inherited"), ("6", "A", "inherited"), ("6", "B", "table"), ("7", "C", "table")]
+    assert got == sorted((f"jcm_{m}", n, a) for m, n, a in want)
+    assert sorted(tuple(r) for r in jcm.unresolved(df).collect()) == [("jcm_5", "cycle"), ("jcm_6", "cycle"), ("jcm_7", "missing")]
+    assert jcm.resolved(df.where("false")).count() == 0
