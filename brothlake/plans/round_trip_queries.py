@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import media_documents, properties
-from ..sources import readers, writers
+from ..sources import json_ranges, readers, writers
 from ..sources.scratch import scratch_path
 from ..sources.versioned import VersionedTable, property_defaults, valid_property
 from . import stages
@@ -211,3 +211,14 @@ def appended_properties(t: Tables) -> DataFrame:
     for k, part in enumerate((rows.where("s_suppkey % 2 = 0"), rows.where("s_suppkey % 2 = 1"))):
         table.appended(part.drop("s_suppkey"), f"manual-{k}", property_defaults(), valid_property)
     return table.read().withColumn("molecular_weight", F.round("molecular_weight", 4))
+
+
+@query("json_objects", "SELECT doc_id, source, md5(text) AS text_md5, n_chars AS size FROM documents UNION ALL SELECT page_id, url, md5(html), -1 FROM pages")
+def json_objects(t: Tables) -> DataFrame:
+    """Documents and pages as JSON files of one line each, nested objects and braces in texts and all, read back in ranges."""
+    folder = scratch_path(t.spark, "objects")
+    docs = t.documents.select(F.struct("doc_id", "source", F.struct("text", F.struct(F.col("n_chars").cast("long").alias("size")).alias("n")).alias("body")).alias("r"))
+    pages = t.pages.select(F.struct(F.col("page_id").cast("long").alias("doc_id"), F.col("url").alias("source"), F.struct(F.col("html").alias("text"), F.struct(F.lit(-1).cast("long").alias("size")).alias("n")).alias("body")).alias("r"))
+    docs.unionByName(pages).select(F.to_json("r")).write.option("lineSep", ",").text(folder)
+    rows = json_ranges.objects(t.spark, folder).select(F.from_json("content", "doc_id long, source string, body struct<text:string,n:struct<size:long>>").alias("r"))
+    return rows.select("r.doc_id", "r.source", F.md5(F.col("r.body.text").cast("binary")).alias("text_md5"), F.col("r.body.n.size").alias("size"))
