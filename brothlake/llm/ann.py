@@ -142,7 +142,9 @@ def needed_share(index: DataFrame, asked: DataFrame, books: tuple[np.ndarray, np
     """The least share of the rows whose visit finds ``recall`` of the true neighbours of about ``trials`` queries.
 
     The trial queries are chosen by hash and broadcast; every task compares
-    its rows with them and keeps the ``top`` best of each.
+    its rows with them and keeps the ``top`` best of each. The walk through
+    the cells, of all of which a query's distances are sorted at once, is the
+    executors' work too: the driver gets a share for each true neighbour.
     """
     share = min(1.0, trials / max(1, asked.count()))
     chosen = asked.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1_000_000)) < share * 1_000_000).select("vec_id", "vector").toPandas()
@@ -166,14 +168,28 @@ def needed_share(index: DataFrame, asked: DataFrame, books: tuple[np.ndarray, np
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     found = index.select("vec_id", "vector", "cell").mapInPandas(kernel, "row int, score double, vec_id long, cell int")
     true = found.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top).select("row", "cell").toPandas()
-    upto, n = {}, sum(sizes.values())
-    for row, cells in enumerate(ordered_cells(chosen["vector"], books, sizes)):
-        held = 0
-        for c in cells:
-            held += sizes[c]
-            upto[row, c] = held / n
-    shares = np.sort([upto[r, c] for r, c in zip(true["row"], true["cell"])])
-    return float(shares[min(len(shares), int(np.ceil(recall * len(shares)))) - 1]) if len(shares) else 1.0
+    if not len(true):
+        return 1.0
+    cells = np.array(sorted(sizes), np.int64)
+    told = index.sparkSession.sparkContext.broadcast((books, cells, np.array([sizes[c] for c in cells.tolist()], np.int64)))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The share of the rows that each trial query has visited once it is through with a true neighbour's cell."""
+        (one, two), cells, counts = told.value
+        q, half = shared.value[1], one.shape[1]
+        for batch in batches:
+            out = []
+            for row, wanted in zip(batch["row"], batch["cells"]):
+                d1, d2 = distances(q[row : row + 1, :half], one)[0], distances(q[row : row + 1, half:], two)[0]
+                order, held = np.argsort(d1[cells // len(two)] + d2[cells % len(two)], kind="stable"), np.empty(len(cells))
+                held[order] = np.cumsum(counts[order])
+                out += (held[np.searchsorted(cells, wanted)] / counts.sum()).tolist()
+            yield pd.DataFrame({"share": np.array(out, float)})
+
+    asked_cells = true.groupby("row")["cell"].apply(list)
+    trial_rows = index.sparkSession.createDataFrame([(int(r), [int(c) for c in cs]) for r, cs in asked_cells.items()], "row int, cells array<int>")
+    shares = np.sort(trial_rows.repartition(max(1, min(64, len(asked_cells)))).mapInPandas(walk, "share double").toPandas()["share"])
+    return float(shares[min(len(shares), int(np.ceil(recall * len(shares)))) - 1])
 
 
 def _scaled(rows) -> np.ndarray:

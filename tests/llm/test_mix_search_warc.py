@@ -207,3 +207,21 @@ def test_gaps_are_logged(spark, tmp_path):
     manifest = spark.createDataFrame([(str(path),)], "path string")
     assert [(r.gap_start, r.gap_end) for r in warc.read_gaps(manifest).collect()] == [(len(good), len(good) + 6)]
     assert warc.read_archives(manifest).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["uniform", "clustered"])
+def test_recall_on_5000_vectors(spark, kind):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(5_000, 24))
+    if kind == "clustered":
+        x = rng.normal(size=(60, 24))[rng.integers(0, 60, 5_000)] * 3 + x * 0.4
+    x = x.astype(np.float32).astype(float)
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(6)
+    got = ann.nearest(table, F.col("vec_id") % 10 == 0).toPandas()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q, rows in got.groupby("query_id"):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(set(rows["vec_id"]) & set(np.argsort(-score)[:5]))
+    assert hits >= 0.95 * 5 * 500
