@@ -37,7 +37,7 @@ def test_run_and_names(spark, folder):
     out = corpus_pipeline.run(spark, str(folder))
     assert out.count() > 0 and {"doc_id", "n_tokens", "ids"} <= set(out.columns)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "substring_dedup", "source_mixing", "bpe_encoding"]
-    assert {int(q[2:].split("_")[0]) for q in registry.QUERIES} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in registry.QUERIES} == set(range(1, 14))
 
 
 def test_empty_input(spark, folder, tmp_path):
