@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a task whose work on each row is long.
+ROWS_A_TASK = 10_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,6 +23,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """A table with its rows dealt out to as many tasks as their number asks for, where the work on a row is long: else a row group of a file, which may hold a million rows, is one task."""
+        table = getattr(self, name)
+        tasks = max(self.spark.sparkContext.defaultParallelism, math.ceil(table.count() / ROWS_A_TASK))
+        return table.repartition(tasks)
+
 
 def query(name: str, sql: str | None = None):
     """Registers a function of Tables under a name."""

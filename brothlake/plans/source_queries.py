@@ -129,7 +129,7 @@ def _layout_texts(t: Tables) -> DataFrame:
         .when(kind == 4, F.concat_ws("\n", names, F.lit("see below"), amounts, F.lit("in"), units))
         .otherwise(sentence)
     )
-    return t.part.select("p_partkey", text.alias("text"))
+    return t.dealt("part").select("p_partkey", text.alias("text"))
 
 
 _LAYOUT_ROWS = f"""
