@@ -129,7 +129,7 @@ def _recipes(t: Tables) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("p_size")
     head = F.when(s % 2 == 0, "Ingredients\nPeptone\n").otherwise("Notes\nPeptone\n")
     lines = _text(_salt(k), " ", s, ".5 g/L and Yeast extract ", s, " mg\n1. Dissolve ", s, " g Resazurin, then boil.\nStock solution 2: ", _salt(k + 1), " and H3BO3. Done\n")
-    return t.part.select("p_partkey", F.concat(head, lines).alias("text"))
+    return t.dealt("part").select("p_partkey", F.concat(head, lines).alias("text"))
 
 
 @query("mined_ingredients", f"""
