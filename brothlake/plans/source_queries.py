@@ -63,7 +63,7 @@ _LISTED = "concat('Medium\\nSodium nitrate\\nKH2PO4\\nSoil extract\\nper litre\\
 SELECT p_partkey, 0 AS pos, 'Sodium nitrate' AS name, p_size + 0.5::DOUBLE AS concentration, 'g' AS unit, 'list' AS extraction_method FROM part
 UNION ALL SELECT p_partkey, 1, 'KH2PO4', 20, 'mg', 'list' FROM part UNION ALL SELECT p_partkey, 2, 'Soil extract', p_partkey % 9 + 1, 'ml', 'list' FROM part""")
 def listed_ingredients(t: Tables) -> DataFrame:
-    return recipes.recipe_rows(t.part.select("p_partkey", F.expr(_LISTED).alias("text")), "p_partkey")
+    return recipes.recipe_rows(t.dealt("part").select("p_partkey", F.expr(_LISTED).alias("text")), "p_partkey")
 
 
 @query("html_table_ingredients", """
