@@ -95,7 +95,7 @@ def _solutions(t: Tables) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("p_size")
     amounts = _text("{\"name\": \"Trace solution ", k, "\"}\nsodium chloride ", s, ",5 g\n", _salt(k), " ", s, " mg\nbiotin 2 mg\n")
     bare = _text("Name: Mineral salts ", k, "\n- Ferrous sulfate\n(Agar)\n")
-    return t.part.select("p_partkey", F.when(k % 2 == 0, amounts).otherwise(bare).alias("text"))
+    return t.dealt("part").select("p_partkey", F.when(k % 2 == 0, amounts).otherwise(bare).alias("text"))
 
 
 @query("solution_texts", f"""
