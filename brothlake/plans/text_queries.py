@@ -122,7 +122,7 @@ _tail = lambda n: F.element_at(F.array(*map(F.lit, _TAILS)), (n % len(_TAILS) +
 @query("cleaned_compounds", f"SELECT p_partkey, trim({replaced_sql('concat(p_size, chr(46) || chr(32), ' + _SALT('p_partkey') + f', chr(32), ({_TAILS})[p_size % {len(_TAILS)} + 1])', mining.CLEAN_CHAIN)}) AS name FROM part")
 def cleaned_compounds(t: Tables) -> DataFrame:
     raw: Column = _text(F.col("p_size"), ". ", _salt(F.col("p_partkey")), " ", _tail(F.col("p_size")))
-    return t.part.select("p_partkey", mining.cleaned(raw).alias("name"))
+    return t.dealt("part").select("p_partkey", mining.cleaned(raw).alias("name"))
 
 
 def _recipes(t: Tables) -> DataFrame:
@@ -170,7 +170,7 @@ def mined_blocks(t: Tables) -> DataFrame:
     unit = sign(_UNIT_SIGNS, s)
     units = F.when(third, _text(unit, "\n", unit, "\n", unit, "\n")).otherwise(_text(unit, "\n"))
     text = _text(F.regexp_replace(names, "^Medium [^\n]*\n", ""), "\n", amounts, units, sign(_ENDS, k), "\n", "KCl\n5\n")
-    return t.part.select("p_partkey", F.explode(mining.tabular(text)).alias("i")).select("p_partkey", "i.name", "i.concentration", "i.unit")
+    return t.dealt("part").select("p_partkey", F.explode(mining.tabular(text)).alias("i")).select("p_partkey", "i.name", "i.concentration", "i.unit")
 
 
 @query("mined_solutions", f"""
@@ -180,7 +180,7 @@ def mined_solutions(t: Tables) -> DataFrame:
     """Formulas and named compounds of solutions told of in each of three ways."""
     k, salt = F.col("p_size") % 3, _salt(F.col("p_partkey"))
     text = F.when(k == 0, _text("Solution A: Sodium chloride and Magnesium sulfate with ", salt, ". More\n")).when(k == 1, _text("Stock solution 3: ", salt, " and Boric acid. Dilute")).otherwise("No water. Zinc sulfate solution (sterile) is made")
-    return t.part.select("p_partkey", F.explode(mining.solutions(text)).alias("i")).select("p_partkey", "i.name")
+    return t.dealt("part").select("p_partkey", F.explode(mining.solutions(text)).alias("i")).select("p_partkey", "i.name")
 
 
 #: Kinds of recipe text: table before procedure, procedure first, table closed and opened again, title with embedded names.
@@ -195,7 +195,7 @@ def _routed(t: Tables) -> DataFrame:
     text = F.when(s % 4 == 0, F.concat(_text("see below\n© page\n"), table, _text("Final pH 7\n5\nmg\n1. Dissolve Agar\nKCl 3 g/L\n")))
     text = text.when(s % 4 == 1, F.concat(_text("Note: none\n"), table))
     text = text.when(s % 4 == 2, F.concat(_text("7\nBoric acid 2 mM\nFinal volume 1\n9\n"), table, _text("Reference: a\n")))
-    return t.part.select("p_partkey", text.otherwise(F.concat(title, _text("12\n- Beef extract ", s + 1, " g/L\nheat\n"))).alias("text"))
+    return t.dealt("part").select("p_partkey", text.otherwise(F.concat(title, _text("12\n- Beef extract ", s + 1, " g/L\nheat\n"))).alias("text"))
 
 
 @query("routed_lines", _ROUTED + """, l AS (
