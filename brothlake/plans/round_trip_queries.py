@@ -145,7 +145,7 @@ def extraction_job(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "texts")
     title = F.when(F.col("p_partkey") % 2 == 0, "BROTH MEDIUM\n").otherwise("")
     text = F.concat(title, _text("NaCl (", F.col("p_size"), ".5 g/L), NaCl (1 mg)\nPreparation: Boil it.\n"))
-    writers.packed_files(t.part.select(_text("f", F.col("p_partkey"), ".txt").alias("file_name"), text.alias("content")), folder)
+    writers.packed_files(t.dealt("part").select(_text("f", F.col("p_partkey"), ".txt").alias("file_name"), text.alias("content")), folder)
     return stages.extracted_texts(t.spark, folder, packed=True).select("file_name", "medium_name", "name", "concentration", "preparation_instructions")
 
 
