@@ -156,7 +156,7 @@ WITH h AS (SELECT p_partkey, pow(10.0, -(p_size % 14)::DOUBLE) AS h FROM part),
 SELECT p_partkey, round(a / (a + b + c + d), 6) AS h3, round(b / (a + b + c + d), 6) AS h2, round(c / (a + b + c + d), 6) AS h1, round(d / (a + b + c + d), 6) AS h0 FROM t""")
 def alpha_fractions(t: Tables) -> DataFrame:
     h = F.pow(F.lit(10.0), -(F.col("p_size") % 14).cast("double"))
-    alphas = t.part.select("p_partkey", chemistry.alpha_fractions(h, F.array(F.lit(2.15), F.lit(7.2), F.lit(12.35))).alias("a"))
+    alphas = t.dealt("part").select("p_partkey", chemistry.alpha_fractions(h, F.array(F.lit(2.15), F.lit(7.2), F.lit(12.35))).alias("a"))
     return alphas.select("p_partkey", *[F.round(F.col("a")[i], 6).alias(f"h{3 - i}") for i in range(4)])
 
 
@@ -165,7 +165,7 @@ SELECT p_partkey, concat('Na', n, 'SO4') AS formula, round(22.990 * n + 32.06 +
   concat('Fe((CN)', m, 'NO)', n) AS nested, round(55.845 + n * (m * (12.011 + 14.007) + 14.007 + 15.999), 4) AS nested_weight FROM (SELECT p_partkey, p_size % 5 + 2 AS n, p_partkey % 3 + 2 AS m FROM part)""")
 def formula_weight(t: Tables) -> DataFrame:
     n, m = (F.col("p_size") % 5 + 2).cast("string"), (F.col("p_partkey") % 3 + 2).cast("string")
-    formulas = t.part.select("p_partkey", F.concat(F.lit("Na"), n, F.lit("SO4")).alias("formula"), F.concat(F.lit("Ca"), n, F.lit("(PO4)"), m).alias("grouped"), F.concat(F.lit("Fe((CN)"), m, F.lit("NO)"), n).alias("nested"))
+    formulas = t.dealt("part").select("p_partkey", F.concat(F.lit("Na"), n, F.lit("SO4")).alias("formula"), F.concat(F.lit("Ca"), n, F.lit("(PO4)"), m).alias("grouped"), F.concat(F.lit("Fe((CN)"), m, F.lit("NO)"), n).alias("nested"))
     weight = lambda c: F.round(chemistry.formula_weight(F.col(c)), 4)
     return formulas.select("p_partkey", "formula", weight("formula").alias("weight"), "grouped", weight("grouped").alias("grouped_weight"), "nested", weight("nested").alias("nested_weight"))
 
@@ -186,7 +186,7 @@ SELECT p_partkey, name, formula, array_to_string(list_transform(pka, lambda x: p
   CASE WHEN xlogp IS NOT NULL THEN round(greatest(0.001, least(2000.0, pow(10.0, 2 - 0.5 * xlogp))), 6) WHEN {contains_any_sql('lower(name)', chemistry.SOLUBLE)} THEN 500.0 WHEN {contains_any_sql('lower(name)', chemistry.INSOLUBLE)} THEN 1.0 WHEN ionic THEN 200.0 ELSE 100.0 END AS solubility,
   CASE WHEN len(pka) > 0 THEN least(3, len(pka)) * 2 + 1 ELSE len(list_filter([p_partkey % 5 - 2, p_partkey % 5 - 1, p_partkey % 5], lambda z: abs(z) <= 3)) END AS n_states FROM p""")
 def property_estimates(t: Tables) -> DataFrame:
-    named = t.part.select("p_partkey", F.expr(_NAME).alias("name"), F.expr(_FORMULA).alias("formula"), F.when(F.col("p_partkey") % 5 == 0, (F.col("p_size") % 9 - 4).cast("double")).alias("xlogp"))
+    named = t.dealt("part").select("p_partkey", F.expr(_NAME).alias("name"), F.expr(_FORMULA).alias("formula"), F.when(F.col("p_partkey") % 5 == 0, (F.col("p_size") % 9 - 4).cast("double")).alias("xlogp"))
     pka = chemistry.pka_values(F.col("name"), F.col("formula"))
     return named.select("p_partkey", "name", "formula", nested.pka_text(pka).alias("pka"), chemistry.is_ionic(F.col("formula")).alias("ionic"), F.round(chemistry.solubility(F.col("name"), F.col("formula"), F.col("xlogp")), 6).alias("solubility"), F.size(chemistry.charge_states(pka, (F.col("p_partkey") % 5 - 1).cast("int"))).alias("n_states"))
 
@@ -199,7 +199,7 @@ WITH f AS (SELECT p_partkey, {_FORMULA} AS formula FROM part),
 i AS (SELECT p_partkey, formula, {' UNION ALL SELECT p_partkey, formula, '.join(f"'{ion}' AS ion, {z} AS charge FROM f WHERE contains(formula, '{needle}')" for needle, ion, z in _IONS)})
 SELECT p_partkey, formula, ion, charge FROM i""")
 def ion_charges(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.expr(_FORMULA).alias("formula")).select("p_partkey", "formula", F.explode(chemistry.ion_charges(F.col("formula"))).alias("ion", "charge"))
+    return t.dealt("part").select("p_partkey", F.expr(_FORMULA).alias("formula")).select("p_partkey", "formula", F.explode(chemistry.ion_charges(F.col("formula"))).alias("ion", "charge"))
 
 
 @query("activity_by_charge", "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.9 WHEN 2 THEN 0.8 ELSE 0.7 END::DOUBLE AS activity FROM part")
