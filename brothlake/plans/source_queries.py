@@ -53,7 +53,7 @@ SELECT p_partkey, 0 AS pos, CASE p_partkey % 5 WHEN 0 THEN concat('Na', p_size,
   ['g/L', 'g', 'g/L', 'g'][p_partkey % 5 + 1] AS unit, ['dotted', 'columnar', 'parenthetical', 'amount_first'][p_partkey % 5 + 1] AS extraction_method FROM part WHERE p_partkey % 5 < 4
 UNION ALL SELECT p_partkey, 1, CASE p_partkey % 5 WHEN 0 THEN 'KNO3' ELSE 'K2HPO4' END, CASE p_partkey % 5 WHEN 0 THEN 2.5 ELSE 1.5 END, CASE p_partkey % 5 WHEN 0 THEN 'mg/L' ELSE 'mM' END, CASE p_partkey % 5 WHEN 0 THEN 'dotted' ELSE 'columnar' END FROM part WHERE p_partkey % 5 < 2""")
 def recipe_ingredients(t: Tables) -> DataFrame:
-    return recipes.recipe_rows(t.part.select("p_partkey", F.expr(_TEXT.replace("\n", "\\n")).alias("text")), "p_partkey")
+    return recipes.recipe_rows(t.dealt("part").select("p_partkey", F.expr(_TEXT.replace("\n", "\\n")).alias("text")), "p_partkey")
 
 
 _LISTED = "concat('Medium\\nSodium nitrate\\nKH2PO4\\nSoil extract\\nper litre\\n', p_size, '.5 g\\n20 mg\\n', p_partkey % 9 + 1, ' ml\\nMake up to 1 litre\\nAutoclave at 15 psi\\n')"

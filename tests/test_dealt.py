@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__
 
-QUERIES = ["layout_ingredients", "mined_ingredients", "listed_ingredients", "mined_strategies", "table_components", "routed_ingredients", "formula_weight"]
+QUERIES = ["layout_ingredients", "mined_ingredients", "listed_ingredients", "mined_strategies", "table_components", "routed_ingredients", "formula_weight", "recipe_ingredients"]
 
 
 @pytest.fixture(scope="module")
