@@ -105,8 +105,9 @@ UNION ALL SELECT p_partkey, {_SALT('p_partkey')}, p_size FROM r WHERE kind = 0 A
 UNION ALL SELECT p_partkey, x, 0 FROM (SELECT *, unnest(['FeSO4', 'Agar']) AS x FROM r) WHERE kind = 1)
 SELECT p_partkey, solution_name, name, concentration FROM r JOIN c USING (p_partkey)""")
 def solution_text_rows(t: Tables) -> DataFrame:
-    rows = solution_texts.parsed(_solutions(t), "p_partkey").select(F.col("solution_id").alias("p_partkey"), "solution_name", F.explode("composition").alias("c"))
-    return rows.select("p_partkey", "solution_name", "c.name", "c.concentration")
+    rows = solution_texts.parsed(_solutions(t), "p_partkey").select(F.col("solution_id").alias("p_partkey"), "solution_name", F.explode_outer("composition").alias("c"))
+    # explode() would have the size of the composition asked for before the rows are dealt out, in few tasks.
+    return rows.where("c IS NOT NULL").select("p_partkey", "solution_name", "c.name", "c.concentration")
 
 
 @query("table_components", f"SELECT p_partkey, 'sodium chloride' AS name, p_size + 0.5::DOUBLE AS concentration, 'g' AS unit FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, {_SALT('p_partkey')}, p_size, 'mg' FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'biotin', 2, 'mg' FROM part WHERE p_partkey % 2 = 0")
