@@ -23,7 +23,7 @@ def _pages(t: Tables) -> DataFrame:
     change = _text(head, "<p>Use Medium No. <a href=\"/cgi-bin/jcm_grmd?GRMD=", k - 2, "\">", k - 2, "</a> supplemented with ", s, ".5 g/L ", _salt(s), " (final) without agar.</p><i>Trace solution:</i> ", s, " mg ", _salt(s + 1), " in 100 ml water")
     kind = k % 4
     html = F.when(kind == 0, _text("<html>Nothing found ", k)).when(kind == 1, table).when(kind == 3, change).otherwise("<html><p>no id</p>")
-    return t.part.select(_text("/x/jcm_", k, ".html").alias("path"), html.alias("html"))
+    return t.dealt("part").select(_text("/x/jcm_", k, ".html").alias("path"), html.alias("html"))
 
 
 @query("collection_media", """

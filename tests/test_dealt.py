@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__
 
-QUERIES = ["layout_ingredients", "mined_ingredients", "listed_ingredients", "mined_strategies", "table_components", "routed_ingredients", "formula_weight", "recipe_ingredients", "three_column_ingredients", "solution_texts"]
+QUERIES = ["layout_ingredients", "mined_ingredients", "listed_ingredients", "mined_strategies", "table_components", "routed_ingredients", "formula_weight", "recipe_ingredients", "three_column_ingredients", "solution_texts", "collection_resolved"]
 
 
 @pytest.fixture(scope="module")
