@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from .matching import first_rows
 
 MATCH_COLUMNS = ["normalized_compound", "hydration_number", "chebi_match", "chebi_id", "chebi_original_name", "similarity_score", "match_confidence", "matching_method"]
 
+#: How a Column that tells a direction ends.
+SORT_ORDER = re.compile(r" (?:ASC|DESC) NULLS (?:FIRST|LAST)'>$")
+
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     """df; a ValueError names the columns that it lacks."""
@@ -141,7 +146,10 @@ def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFra
     none.
     """
     path = scratch_path(df.sparkSession, "numbered")
-    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    # What is no sort order but an expression becomes a column, for a sort works its expressions out at each comparison.
+    keys = {f"_key{i}": c for i, c in enumerate(order) if not SORT_ORDER.search(str(c))}
+    places = [f"_key{i}" if f"_key{i}" in keys else c for i, c in enumerate(order)]
+    df.withColumns(keys).repartitionByRange(*places).sortWithinPartitions(*places).drop(*keys).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
     rows = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
     sizes = sorted(rows.groupBy("_part").count().collect())
     before, starts = 0, []
