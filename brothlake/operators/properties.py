@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,27 +31,35 @@ def property_table(df: DataFrame, lower_keys: bool = True, pos: str | None = Non
     return first.select("key", "v.*")
 
 
-def ingredients(compositions: DataFrame, properties: DataFrame) -> DataFrame:
-    """Each row of compositions (medium_id, compound, g_l) with its moles, pKa values, charge sum and how it was accounted for."""
-    keyed = compositions.withColumn("key", names.property_key(F.col("compound")))
-    distinct = keyed.select("compound", "key").distinct()
+def ingredients(compositions: DataFrame, properties: DataFrame, kept: list[str] | None = None) -> DataFrame:
+    """Each row of compositions (medium_id, compound, g_l) with its moles, pKa values, charge sum and how it was accounted for, and its ``kept`` columns.
+
+    What a compound alone tells is worked out once for each distinct one.
+    """
+    distinct = compositions.select("compound").distinct().withColumn("key", names.property_key(F.col("compound")))
     known = distinct.join(properties, "key", "left").withColumn("estimate", chemistry.estimated_properties(F.col("compound")))
     own = F.col("molecular_weight").isNotNull()
     facts = known.select(
         F.col("compound").alias("_compound"),
+        "key",
         F.when(own, F.struct("molecular_weight", "pka_values", "charge_states", "ion_charges")).otherwise(F.struct("estimate.molecular_weight", "estimate.pka_values", "estimate.charge_states", "estimate.ion_charges")).alias("p"),
         F.when(own, "recognized").when(F.col("estimate").isNotNull(), "estimated").otherwise("unaccounted").alias("account"),
     )
     doubled = F.coalesce(*[F.when(F.col("key") == k, F.lit(ion)) for k, ion in DOUBLED.items()], F.lit(""))
-    amount = F.coalesce("g_l", F.lit(0.0))
     charge = F.aggregate(F.map_entries("p.ion_charges"), F.lit(0.0), lambda a, e: a + e["value"] * e["value"] * F.when((doubled != "") & e["key"].contains(doubled), 2.0).otherwise(1.0))
-    joined = keyed.join(facts, keyed["compound"].eqNullSafe(facts["_compound"]), "left").drop("_compound")
-    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.col("p.charge_states").alias("charge_states"), F.coalesce(charge, F.lit(0.0)).alias("charge_sum"), "account", (F.size(F.map_keys("p.ion_charges")) > 0).alias("ionic"))
+    facts = facts.withColumns({"charge_sum": F.coalesce(charge, F.lit(0.0)), "ionic": F.size(F.map_keys("p.ion_charges")) > 0})
+    amount = F.coalesce("g_l", F.lit(0.0))
+    joined = compositions.join(facts, compositions["compound"].eqNullSafe(facts["_compound"]), "left").drop("_compound")
+    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.col("p.charge_states").alias("charge_states"), "charge_sum", "account", "ionic", *(kept or []))
 
 
 def media_figures(compositions: DataFrame, properties: DataFrame) -> DataFrame:
     """One row for each medium: ph, salinity and their uncertainties, strength, tds, and the numbers of its compounds by account."""
-    parts = ingredients(compositions, properties)
+    return figures_of(ingredients(compositions, properties))
+
+
+def figures_of(parts: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """media_figures() of rows of ingredients(), with further aggregates of a medium's rows by name."""
     buffered = (F.col("molar") > 0) & (F.size("pka_values") > 0)
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     sums = parts.groupBy("medium_id").agg(
@@ -65,13 +73,14 @@ def media_figures(compositions: DataFrame, properties: DataFrame) -> DataFrame:
         F.count_if(F.col("account") == "recognized").alias("recognized"),
         F.count_if(F.col("account") == "estimated").alias("estimated"),
         F.count_if((F.col("account") == "recognized") & (F.col("key") != "nacl") & F.col("ionic")).alias("other_salts"),
+        *[c.alias(name) for name, c in (more or {}).items()],
     )
     mean = F.col("pka_sum") / F.col("pka_weight")
     ph = F.when(F.col("buffers") == 0, 7.0).otherwise(F.least(F.lit(13.0), F.greatest(F.lit(1.0), F.when(F.col("buffers") > 1, 0.7 * mean + 0.3 * 7.0).otherwise(mean))))
     doubt = F.when(F.col("buffers") == 0, 0.5).otherwise(F.least(F.lit(1.5), 0.5 + 0.1 * F.col("buffers") + F.when(F.col("buffering") < 0.001, 0.3).otherwise(0.0)))
     strength = F.greatest(F.col("strength"), F.lit(chemistry.LEAST_IONIC_STRENGTH))
     salt_doubt = F.least(F.lit(0.1), 0.01 + F.when(strength < 0.001, 0.005).otherwise(0.0) + 0.005 * F.col("other_salts"))
-    return sums.select("medium_id", ph.alias("ph"), doubt.alias("ph_uncertainty"), chemistry.salinity_percent(strength, F.col("tds")).alias("salinity"), salt_doubt.alias("salinity_uncertainty"), strength.alias("strength"), "tds", "n", "recognized", "estimated")
+    return sums.select("medium_id", ph.alias("ph"), doubt.alias("ph_uncertainty"), chemistry.salinity_percent(strength, F.col("tds")).alias("salinity"), salt_doubt.alias("salinity_uncertainty"), strength.alias("strength"), "tds", "n", "recognized", "estimated", *(more or {}))
 
 
 def _confidence(doubt: str, high: float, medium: float):
