@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import packed_texts
+from ..sources.scratch import scratch_path
 from . import properties as P
 
 # Fixed values.
@@ -24,7 +25,17 @@ DOCUMENT = (
 
 def compositions_of(documents: DataFrame) -> DataFrame:
     """medium_id, compound, g_l, pos of the components of documents (medium_id, content) that are JSON lists."""
-    rows = documents.where(_error(F.col("content")).isNull()).select("medium_id", F.posexplode(F.from_json("content", LIST)).alias("pos", "c"))
+    return _components(documents.select("medium_id", _components_in(F.col("content")).alias("components")))
+
+
+def _components_in(content: Column) -> Column:
+    """The list of components of a document; null where it is no JSON list."""
+    return F.when(_error(content).isNull(), F.from_json(content, LIST))
+
+
+def _components(lists: DataFrame) -> DataFrame:
+    """A row for each component of lists (medium_id, components)."""
+    rows = lists.select("medium_id", F.posexplode("components").alias("pos", "c"))
     amount = F.coalesce(F.nullif("c.g_l", F.lit(0.0)), F.nullif("c.value", F.lit(0.0)), F.lit(0.0))
     return rows.select("medium_id", F.coalesce("c.compound", F.lit("")).alias("compound"), amount.alias("g_l"), "pos")
 
@@ -35,13 +46,14 @@ def _error(content: Column) -> Column:
 
 
 def analysed(documents: DataFrame, property_rows: DataFrame) -> DataFrame:
-    """medium_id and the nested document of each document (medium_id, content); for content that is no list of components one with an error and labels none."""
-    rows = compositions_of(documents)
-    accounts = P.ingredients(rows, property_rows).select("medium_id", "compound", "account")
-    positions = rows.select("medium_id", "compound", "pos").join(accounts.distinct(), ["medium_id", "compound"])
+    """medium_id and the nested document of each document (medium_id, content); for content that is no list of components one with an error and labels none. What is read of the documents is written to the session's scratch folder."""
+    # Documents are read once; their components are used for the distinct compounds and for the figures.
+    path = scratch_path(documents.sparkSession, "components")
+    documents.select("medium_id", _error(F.col("content")).alias("error"), _components_in(F.col("content")).alias("components")).write.parquet(path)
+    read = documents.sparkSession.read.parquet(path)
+    parts = P.ingredients(_components(read), property_rows, ["pos"])
     named = lambda a: F.transform(F.array_sort(F.collect_list(F.when(F.col("account") == a, F.struct("pos", "compound")))), lambda x: x["compound"])
-    lists = positions.groupBy("medium_id").agg(*[named(a).alias(f"{a}_compounds") for a in ("recognized", "estimated", "unaccounted")])
-    figures = P.media_figures(rows, property_rows).join(lists, "medium_id")
+    figures = P.figures_of(parts, {f"{a}_compounds": named(a) for a in ("recognized", "estimated", "unaccounted")})
     around = lambda v, u, digits, low=None: F.array(F.round(v - u if low is None else F.greatest(F.lit(low), v - u), digits), F.round(v + u, digits))
     of_all = lambda n: F.concat(n.cast("string"), F.lit("/"), F.col("n").cast("string"))
     known = F.col("recognized") + F.col("estimated")
@@ -59,7 +71,7 @@ def analysed(documents: DataFrame, property_rows: DataFrame) -> DataFrame:
         F.struct("recognized_compounds", "estimated_compounds", "unaccounted_compounds").alias("compound_details"),
         "notes",
     )
-    joined = documents.select("medium_id", _error(F.col("content")).alias("error")).join(found, "medium_id", "left")
+    joined = read.select("medium_id", "error").join(found, "medium_id", "left")
     none = lambda field: F.from_json(F.lit('{"confidence": "none"}'), f"{field} double, uncertainty double, range array<double>, confidence string")
     return joined.withColumn("ph", F.when(F.col("error").isNotNull(), none("value")).otherwise(F.col("ph"))).withColumn("salinity", F.when(F.col("error").isNotNull(), none("percent_nacl")).otherwise(F.col("salinity")))
 

@@ -10,6 +10,14 @@ def known(spark):
     return properties.property_table(spark.createDataFrame([("NaCl", "58.44", "", "0", "Na+:1,Cl-:-1")], "compound_name string, molecular_weight string, pka_values string, charge_states string, ion_charges string"))
 
 
+def test_documents_are_read_once(spark):
+    """The plan reads the components that were written, not the documents."""
+    docs = spark.createDataFrame([(1, '[{"compound":"NaCl","g_l":2}]'), (2, "{}"), (3, None)], "medium_id long, content string")
+    found = media_documents.analysed(docs, known(spark))
+    assert "try_parse_json" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.medium_id: (r.error, r.compound_details and r.compound_details.recognized_compounds) for r in found.collect()} == {1: (None, ["NaCl"]), 2: (media_documents.NOT_A_LIST, None), 3: (media_documents.NOT_JSON, None)}
+
+
 def test_keys_are_made_of_distinct_compounds(spark, monkeypatch):
     rows, made, key = spark.createDataFrame([(m, "NaCl", 1.0) for m in range(50)] + [(1, None, 1.0)], "medium_id long, compound string, g_l double"), spark.sparkContext.accumulator(0), names.property_key
     counted = F.udf(lambda x: made.add(1) or x)
