@@ -11,6 +11,7 @@ is still too large then is dealt out in blocks. Nothing is lost by any of it.
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,6 +27,12 @@ from ..sources.scratch import scratch_path
 #: Letters of the first keys and of the longest ones, and the pairs of one key at most.
 KEY_LETTERS, MOST_LETTERS, MOST_PAIRS = 2, 4, 250_000
 
+#: Names and pairs of a task: their bytes are few and their work is long, so sizes in bytes would make too few tasks; and tasks of a join at most.
+TASK_NAMES, TASK_PAIRS, MOST_TASKS = 10_000, 1_000_000, 4_096
+
+#: Parts of a name's signature: two of its letters, two of its pairs of letters.
+BITS = ("one", "two", "three", "four")
+
 #: Letters from common to rare; others are rarer still.
 COMMON = "etaoinsrhldcumfpgwybvkxjqz 0123456789-"
 
@@ -53,6 +60,20 @@ def numbered_letters(c: Column) -> Column:
     return F.when(c == "", F.array().cast("array<long>")).otherwise(F.array_sort(bound(F.regexp_extract_all(c, F.lit("(?s)."), 0), each)))
 
 
+def signatures(spelling: Column, letters: Column) -> Column:
+    """Bits of a name: those of its numbered letters (two longs) and of its pairs of neighbouring letters.
+
+    Names differ in at most as many letter bits as letters that they don't
+    share. One letter put in or taken out changes at most three pairs, so names
+    that come to each other by d such steps differ in at most 3 d pair bits.
+    """
+    bit = lambda x, seed: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(64)).cast("int"))
+    bits = lambda xs, seed, mine: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.when(mine(x), bit(x, seed)).otherwise(F.lit(0).cast("long"))))
+    half = lambda x: F.pmod(F.xxhash64(x, F.lit(5)), F.lit(2))
+    pairs = bound(F.regexp_extract_all(spelling, F.lit("(?s)."), 0), lambda xs: F.transform(F.slice(xs, 1, F.greatest(F.size(xs) - 1, F.lit(0))), lambda x, i: F.concat(x, F.get(xs, i + 1))))
+    return F.struct(bits(letters, 1, lambda x: half(x) == 0).alias("one"), bits(letters, 1, lambda x: half(x) == 1).alias("two"), bits(pairs, 2, lambda x: half(x) == 0).alias("three"), bits(pairs, 2, lambda x: half(x) == 1).alias("four"))
+
+
 def _point(letter: Column) -> Column:
     """The code point of a letter."""
     return F.conv(F.hex(F.encode(letter, "UTF-32")), 16, 10).cast("long")
@@ -69,16 +90,22 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _tasks(df: DataFrame, n: int, each: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MOST_TASKS, math.ceil(n / each)))
+
+
 def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """Pairs of rows (a, of left, and b, of right, with equal ``shared`` columns) that share enough letters for a ratio of ``least``.
 
-    left and right have id (long, distinct), letters (numbered_letters()) and
-    the shared columns. Columns: a, b and shared. Each pair comes once.
+    left and right have id (long, distinct), letters (numbered_letters()), the
+    shared columns and, both or neither, bits (signatures()). Columns: a, b and shared. Each pair comes once.
     """
     shared = shared or []
+    if "bits" not in left.columns:
+        left, right = (df.withColumn("bits", F.struct(*[F.lit(0).cast("long").alias(x) for x in BITS])) for df in (left, right))
     # n letters need at least `own` shared ones, with the shortest partner that is long enough.
     share = (least - 0.5) / (200.5 - least)
-    sized = lambda df, side: df.select(F.lit(side).alias("side"), "id", *shared, "letters", F.size("letters").alias("n"), F.greatest(F.lit(1), F.ceil(F.size("letters") * share - 1e-9).cast("int")).alias("own")).where("n > 0")
+    sized = lambda df, side: df.select(F.lit(side).alias("side"), "id", *shared, "letters", "bits", F.size("letters").alias("n"), F.greatest(F.lit(1), F.ceil(F.size("letters") * share - 1e-9).cast("int")).alias("own")).where("n > 0")
     rows = sized(left, 0).unionByName(sized(right, 1)).withColumns({"key": F.array().cast("array<long>"), "at": F.lit(0)})
     found, by = [], ["key", *shared]
     for k in range(1, MOST_LETTERS + 1):
@@ -91,12 +118,15 @@ def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str]
         sizes = rows.groupBy(*by).agg(many(0).alias("lefts"), many(1).alias("rights"), (many(0) * many(1)).alias("pairs")).where("pairs > 0")
         sizes = _written(sizes, "similar-sizes")
         large = sizes.where(F.col("pairs") > most_pairs)
-        found.append(_met(rows.join(sizes.where(F.col("pairs") <= most_pairs).select(*by), by, "left_semi"), by, least, k))
+        small = sizes.where(F.col("pairs") <= most_pairs)
+        tasks = _tasks(rows, small.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0], TASK_PAIRS)
+        found.append(_met(rows.join(small.select(*by), by, "left_semi").repartition(tasks, *by), by, least, k))
         if large.isEmpty():
             break
         rows = rows.join(large, by)
         if k == MOST_LETTERS:
-            found.append(_met(_in_blocks(rows, most_pairs), [*by, "i", "j"], least, k))
+            tasks = _tasks(rows, large.agg(F.sum("pairs")).first()[0], TASK_PAIRS)
+            found.append(_met(_in_blocks(rows, most_pairs).repartition(tasks, *by, "i", "j"), [*by, "i", "j"], least, k))
         else:
             rows = rows.drop("lefts", "rights", "pairs")
             found.append(_met(rows.where(F.col("own") <= k), by, least, k, exactly=True))
@@ -121,11 +151,15 @@ def _in_blocks(rows: DataFrame, most_pairs: int) -> DataFrame:
 
 def _met(rows: DataFrame, by: list[str], least: int, k: int, exactly: bool = False) -> DataFrame:
     """Pairs of the keys whose letters are the first k that they share, and which share enough; with ``exactly`` those only for which k are enough."""
-    side = lambda s, name: rows.where(F.col("side") == s).select(*by, F.col("id").alias(name), F.col("letters").alias(f"{name}_letters"), F.col("n").alias(f"{name}_n"), F.col("at").alias(f"{name}_at"))
+    side = lambda s, name: rows.where(F.col("side") == s).select(*by, F.col("id").alias(name), F.col("letters").alias(f"{name}_letters"), *[F.col(f"bits.{x}").alias(f"{name}_{x}") for x in BITS], F.col("n").alias(f"{name}_n"), F.col("at").alias(f"{name}_at"))
     t = least_shared(F.col("a_n"), F.col("b_n"), least)
     most = k + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
     enough = (t == k) if exactly else (t >= k)
-    met = side(0, "a").join(side(1, "b"), by).where(enough & (t <= F.least("a_n", "b_n")) & (most >= t))
+    # What compares numbers only stands in the join, and drops nearly all pairs before their letters are looked at.
+    apart = lambda *xs: sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in xs), F.lit(0))
+    unshared = F.col("a_n") + F.col("b_n") - 2 * t
+    near = (apart("one", "two") <= unshared) & (apart("three", "four") <= 3 * unshared)
+    met = side(0, "a").join(side(1, "b"), by).where(enough & (t <= F.least("a_n", "b_n")) & (most >= t) & near)
     first = F.size(F.array_intersect(F.slice("a_letters", 1, F.col("a_at")), F.slice("b_letters", 1, F.col("b_at")))) == k
     return met.where(first).where(F.size(F.array_intersect("a_letters", "b_letters")) >= t).drop("i", "j", "key")
 
@@ -142,15 +176,17 @@ def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name:
     shared = shared or []
 
     def spelled(df: DataFrame, name: str, kept: str) -> DataFrame:
-        return df.select(F.col(name).alias(kept), *shared).where(F.col(kept).isNotNull()).distinct().withColumn("spelling", prepared(F.col(kept))).where("spelling <> ''")
+        names = df.select(F.col(name).alias(kept), *shared).where(F.col(kept).isNotNull()).distinct().withColumn("spelling", prepared(F.col(kept))).where("spelling <> ''")
+        return _written(names, "similar-spellings")
 
     def distinct(names: DataFrame) -> DataFrame:
-        found = names.select("spelling", *shared).distinct()
-        return _written(found.withColumn("id", F.xxhash64("spelling", F.lit(1))).withColumn("letters", numbered_letters(F.col("spelling"))), "similar-names")
+        found = _written(names.select("spelling", *shared).distinct(), "similar-distinct")
+        dealt = found.repartition(_tasks(found, found.count(), TASK_NAMES)).withColumn("id", F.xxhash64("spelling", F.lit(1))).withColumn("letters", numbered_letters(F.col("spelling")))
+        return _written(dealt.withColumn("bits", signatures(F.col("spelling"), F.col("letters"))), "similar-names")
 
     a, b = spelled(left, left_name, "left_name"), spelled(right, right_name, "right_name")
     one, two = distinct(a), distinct(b)
-    near = candidates(one.select("id", "letters", *shared), two.select("id", "letters", *shared), least, shared, most_pairs)
+    near = candidates(one.select("id", "letters", "bits", *shared), two.select("id", "letters", "bits", *shared), least, shared, most_pairs)
     word = lambda df, key, name: df.select(F.col("id").alias(key), F.col("spelling").alias(name), *shared)
     pairs = near.join(word(one, "a", "x"), ["a", *shared]).join(word(two, "b", "y"), ["b", *shared])
     scored = pairs.withColumn("score", ratio("x", "y")).where(F.col("score") >= least).select("x", "y", *shared, "score")

@@ -185,7 +185,7 @@ def fuzzy_names(t: Tables) -> DataFrame:
 def fuzzy_words(t: Tables) -> DataFrame:
     """For the longest word of each document the nearest of the next longest ones of all documents: no SQL, for the ratio is no SQL function."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\x20\x09-\x0D]+"), 0))
-    ranked = t.documents.select(F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"]).alias("words"))
+    ranked = t.dealt("documents").select(F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"]).alias("words"))
     asked, known = ranked.select(F.get("words", F.lit(0)).alias("asked")), ranked.select(F.explode(F.slice("words", 2, 3)).alias("known"))
     return matching.fuzzy_best(asked, known, "asked", "known", least=85, top=3)
 

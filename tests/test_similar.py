@@ -79,3 +79,27 @@ def test_words_of_documents(spark):
     best = [(a, *p) for a in asked for p in sorted(((score(a, k), k) for k in known if score(a, k) >= 85), key=lambda p: (-p[0], p[1]))[:3]]
     got = [(r.left_name, r.score, r.right_name) for r in queries()["fuzzy_words"](spark, folder).collect()]
     assert sorted(got) == sorted(best)
+
+
+def test_signatures_part_no_similar_names(spark):
+    """Bits differ in no more places than the unshared letters allow, and tell unlike names of the same few letters apart."""
+    rng = random.Random(7)
+    words = [x for x in (typo(rng, rng.choice(BASE)) for _ in range(80)) if x] + ["tionchen", "chention", "ab", "a"]
+    told = spark.createDataFrame([(x,) for x in dict.fromkeys(words)], "w string").withColumn("l", similar.numbered_letters(F.col("w"))).select("w", "l", similar.signatures(F.col("w"), F.col("l")).alias("s")).collect()
+    apart = lambda a, b, *xs: sum(((a.s[x] ^ b.s[x]) & (2**64 - 1)).bit_count() for x in xs)
+    for a in told:
+        for b in told:
+            matched = sum(m.size for m in difflib.SequenceMatcher(None, a.w, b.w).get_matching_blocks())
+            assert apart(a, b, "one", "two") <= len(a.w) + len(b.w) - 2 * len(set(a.l) & set(b.l))
+            assert apart(a, b, "three", "four") <= 3 * (len(a.w) + len(b.w) - 2 * matched)
+
+
+def test_work_is_dealt_by_names_and_pairs(spark, monkeypatch):
+    """Names and keys of few bytes are still many tasks where the work on them is long, and nothing is lost."""
+    monkeypatch.setattr(similar, "TASK_PAIRS", 10)
+    rng = random.Random(3)
+    words = ["".join(rng.sample("chlorates", 9)) for _ in range(40)]
+    found = similar.scored_pairs(frame(spark, words[::2], "l"), frame(spark, words[1::2], "r"), "l", "r", 75, F.lower)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().sparkPlan().toString()
+    got = sorted((r.left_name, r.right_name, r.score) for r in found.collect())
+    assert got == sorted({(a, b, score(a, b)) for a in words[::2] for b in words[1::2] if score(a, b) >= 75})
