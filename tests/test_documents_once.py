@@ -25,3 +25,16 @@ def test_keys_are_made_of_distinct_compounds(spark, monkeypatch):
     got = properties.ingredients(rows, known(spark), ["compound"]).collect()
     assert len(got) == 51 and sum(r.account == "recognized" for r in got) == 50
     assert made.value <= 4
+
+
+def test_packed_documents_come_back(spark, tmp_path):
+    """A document written as JSON once read comes back from its packed file as it was."""
+    from brothlake.sources import writers
+
+    docs = spark.createDataFrame([(1, '[{"compound":"NaCl","g_l":2},{"compound":"mud"}]'), (2, "[]")], "medium_id long, content string")
+    found = media_documents.analysed(docs, known(spark))
+    texts = media_documents.as_json(found).select(F.concat(F.lit("medium_"), "medium_id", F.lit("_composition_properties.json")).alias("file_name"), "content")
+    writers.packed_files(texts, str(tmp_path / "packed"))
+    back = {int(r.medium_id): r.compound_details for r in media_documents.read_documents(spark, str(tmp_path / "packed"), packed=True).collect()}
+    assert back == {r.medium_id: r.compound_details for r in found.collect()}
+    assert "try_parse_json" not in texts._jdf.queryExecution().optimizedPlan().toString().lower()
