@@ -57,8 +57,8 @@ def _first(xs: Column, true, after: Column | int = 0) -> Column:
 
 
 def _after(xs: Column, place: Column) -> Column:
-    """Items from a place on; none for 0."""
-    return F.when(place > 0, F.slice(xs, F.greatest(place, F.lit(1)), F.size(xs))).otherwise(F.slice(xs, 1, 0))
+    """Items from a place on; none for 0. The place is found once."""
+    return bound(place, lambda p: F.slice(xs, F.greatest(p, F.lit(1)), F.when(p > 0, F.size(xs)).otherwise(0)))
 
 
 def _until(xs: Column, true) -> Column:
@@ -128,13 +128,19 @@ def reverse_tabular(text: Column) -> Column:
 def three_columns(text: Column) -> Column:
     """Names, then bare numbers, then units, anywhere in the text, paired by place."""
 
-    def found(lines: Column) -> Column:
-        name = lambda x: likely_chemical(x) & ~x.rlike(r"^[\d.\s]+$") & ~_is_unit(x)
-        rest = _after(lines, _first(lines, name))
-        number = lambda x: x.rlike(r"^[\d.]+$")
+    name = lambda x: likely_chemical(x) & ~x.rlike(r"^[\d.\s]+$") & ~_is_unit(x)
+    number = lambda x: x.rlike(r"^[\d.]+$")
+    text_of = lambda rows: F.transform(rows, lambda r: r["x"])
+
+    def paired(names: Column, rest: Column) -> Column:
         amounts = F.filter(F.transform(F.filter(rest, number), lambda x: x.try_cast("double")), lambda x: x.isNotNull())
         units = F.transform(F.filter(_after(rest, _first(rest, number)), _is_unit), lambda x: F.lower(x))
-        return bound(F.struct(F.filter(lines, name).alias("x"), amounts.alias("n"), units.alias("u")), lambda s: _zipped(s["x"], s["n"], s["u"], "three_columns"))
+        return bound(F.struct(names.alias("x"), amounts.alias("n"), units.alias("u")), lambda s: _zipped(s["x"], s["n"], s["u"], "three_columns"))
+
+    def found(lines: Column) -> Column:
+        # Whether a line is a name is asked once for each line.
+        marked = F.transform(lines, lambda x: F.struct(x.alias("x"), name(x).alias("named")))
+        return bound(marked, lambda rows: bound(text_of(_after(rows, _first(rows, lambda r: r["named"]))), lambda rest: paired(text_of(F.filter(rows, lambda r: r["named"])), rest)))
 
     skipped = ["medium", "©", "adjust", "sterilize", "autoclave"]
     return bound(F.filter(_lines(text), lambda x: ~x.rlike("(?i)" + "|".join(skipped))), found)

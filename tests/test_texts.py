@@ -59,3 +59,8 @@ def test_documents_with_errors(spark):
 def test_names_without_ids(spark):
     rows = spark.createDataFrame([("NaCl", None), ("KCl", "CHEBI:1"), ("A", None), ("AB", None), ("ab", ""), ("1.5", None), (None, None), ("NaCl", "kg:1")], "original string, mapped string")
     assert [r.original for r in repairs.without_ontology_id(rows).collect()] == ["NaCl", "ab"]
+
+
+def test_three_columns_ask_a_line_once_whether_it_is_a_name(spark):
+    plan = texts(spark).select(layouts.three_columns(F.col("text")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("gellan") == 1
