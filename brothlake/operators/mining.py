@@ -28,6 +28,8 @@ AMOUNT = r"(?<!\d)(\d++(?:\.\d++)?+)\s*(g/l|g\s*l-1|mg/l|ml/l|mM|μM|uM|M(?!\w)|
 #: Units as they are written out.
 UNITS = {"g/l": "g/L", "gl-1": "g/L", "mg/l": "mg/L", "ml/l": "ml/L", "mm": "mM", "μm": "μM", "um": "μM", "m": "M", "g": "g", "mg": "mg", "ml": "ml"}
 PROCEDURE = [rf"(?i){verb}\s+(\d+\.?\d*)\s*([a-zA-Z/]+)\s+([^.]+?)(?:\.|,|;)" for verb in ("add", r"supplement.*?with", "dissolve")] + [r"(?i)(\d+\.?\d*)\s*([a-zA-Z/]+)\s+([^.]+?)\s+(?:added|dissolved|supplemented)"]
+#: What a text holds, in some case, if the pattern of the same place in PROCEDURE fits.
+VERBS = ["add", "supplement", "dissolve"]
 SOLUTION = [r"(?i)solution\s+[A-Z]:\s*([^.]+)", r"(?i)stock\s+solution\s*\d*:\s*([^.]+)", r"(?i)(?:\G|\.)([^.]+)\s+solution\s+\((?:[^)]+)\)"]
 #: How a compound may be named, in the order in which it is looked for: formulas, names by their endings, names with a brand, names before an amount.
 COMPOUND = [
@@ -83,7 +85,8 @@ def tabular(text: Column) -> Column:
         return F.filter(rows, lambda r: r["concentration"] > 0)
 
     said = lambda lines: F.filter(cut(lines, F.lit(1), place_of(lines, lambda x: x.rlike(BLOCK_END))), lambda x: ~x.rlike(BLOCK_SKIPS))
-    block = lambda lines: bound(said(lines), lambda kept: bound(place_of(kept, number), lambda first: paired(kept, first)))
+    # Without an amount there is nothing to pair, so names are not looked for.
+    block = lambda lines: bound(said(lines), lambda kept: bound(place_of(kept, number), lambda first: F.when(first <= F.size(kept), paired(kept, first)).otherwise(F.array()).cast(INGREDIENT)))
     return bound(F.filter(text_lines(text), lambda x: x != ""), block)
 
 
@@ -104,8 +107,9 @@ def named_before(text: Column, parity: bool = False) -> Column:
         last = [F.regexp_extract(text, p + r"[\s:.,…-]*$", 1) for p in COMPOUND[:3]]
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     ends = lambda ws: [F.when(F.size(ws) >= n, F.array_join(F.slice(ws, -n, n), " ")) for n in (3, 2, 1)]
-    tried = bound(words, lambda ws: F.array(*[F.trim(x) for x in last], *ends(ws)))
-    return cleaned(F.get(F.filter(tried, compound_like), 0))
+    # What comes later is looked for only where all before it has failed.
+    like = lambda xs: F.coalesce(*[bound(x, lambda y: F.when(compound_like(y), y)) for x in xs])
+    return bound(F.coalesce(like([F.trim(x) for x in last]), bound(words, lambda ws: like(ends(ws)))), cleaned)
 
 
 def _amounts(line: Column, parity: bool) -> Column:
@@ -116,7 +120,8 @@ def _amounts(line: Column, parity: bool) -> Column:
         upto = lambda i: F.array_join(F.transform(F.slice(rows, 1, i), lambda r: r["all"]), "")
         return F.transform(rows, lambda r, i: F.struct((F.concat(upto(i), r["b"]) if parity else r["b"]).alias("before"), r["a"].cast("double").alias("amount"), r["u"].alias("unit")))
 
-    return bound(F.arrays_zip(part(0).alias("all"), part(1).alias("b"), part(2).alias("a"), part(3).alias("u")), with_starts)
+    whole = [part(0).alias("all")] if parity else []
+    return bound(F.arrays_zip(*whole, part(1).alias("b"), part(2).alias("a"), part(3).alias("u")), with_starts)
 
 
 def inline(text: Column, parity: bool = False) -> Column:
@@ -124,7 +129,7 @@ def inline(text: Column, parity: bool = False) -> Column:
     units = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
     unit = lambda r: F.element_at(units, F.lower(F.regexp_replace(r["unit"], r"\s", "")))
     of_line = lambda line: F.transform(_amounts(line, parity), lambda r: _row(named_before(r["before"], parity), r["amount"], unit(r), "inline"))
-    rows = F.flatten(F.transform(F.filter(text_lines(text), lambda x: x.rlike(r"\d")), of_line))
+    rows = F.flatten(F.transform(F.filter(text_lines(text), lambda x: x.rlike("(?i)" + AMOUNT)), of_line))
     return F.filter(rows, lambda r: (r["concentration"] > 0) & (r["name"] != ""))
 
 
@@ -142,13 +147,15 @@ def procedures(text: Column) -> Column:
         part = lambda g: F.regexp_extract_all(text, F.lit(pattern), g)
         return F.transform(F.arrays_zip(part(1).alias("a"), part(2).alias("u"), part(3).alias("n")), lambda r: _row(cleaned(F.trim(r["n"])), r["a"].cast("double"), r["u"], "procedure")).cast(INGREDIENT)
 
-    added = F.when(text.rlike(r"(?i)\s(?:added|dissolved|supplemented)"), found(PROCEDURE[3])).otherwise(F.array().cast(INGREDIENT))
-    return F.filter(F.concat(*[found(p) for p in PROCEDURE[:3]], added), lambda r: (r["name"] != "") & (r["concentration"] > 0))
+    none = F.array().cast(INGREDIENT)
+    told = [F.when(F.lower(text).contains(verb), found(p)).otherwise(none) for verb, p in zip(VERBS, PROCEDURE)]
+    added = F.when(text.rlike(r"(?i)\s(?:added|dissolved|supplemented)"), found(PROCEDURE[3])).otherwise(none)
+    return F.filter(F.concat(*told, added), lambda r: (r["name"] != "") & (r["concentration"] > 0))
 
 
 def solutions(text: Column, parity: bool = False) -> Column:
     """Formulas and named compounds in what a text says of its solutions, without amounts."""
-    told = F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in SOLUTION])
+    told = F.when(F.lower(text).contains("solution"), F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in SOLUTION])).otherwise(F.array().cast("array<string>"))
     named = lambda x: F.concat(*[F.regexp_extract_all(F.trim(x), F.lit(p), 1) for p in _patterns(parity)])
     names = F.filter(F.transform(F.flatten(F.transform(told, named)), lambda x: F.trim(x)), compound_like)
     return F.transform(names, lambda x: _row(cleaned(x), None, None, "solution"))

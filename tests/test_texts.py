@@ -64,3 +64,9 @@ def test_names_without_ids(spark):
 def test_three_columns_ask_a_line_once_whether_it_is_a_name(spark):
     plan = texts(spark).select(layouts.three_columns(F.col("text")).alias("x"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("gellan") == 1
+
+
+def test_amounts_are_read_in_three_passes(spark):
+    """Before, amount and unit of each amount of a line; all of it is asked for with parity only."""
+    plan = lambda **options: texts(spark).select(mining.inline(F.col("text"), **options).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan().count("regexp_extract_all(") == 3
