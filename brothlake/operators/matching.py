@@ -11,6 +11,9 @@ from ..functions.nested import synonyms
 from .contained import occurrences
 from .similar import scored_pairs
 
+#: More than there are ids: a tier and an id's place in one number.
+TIER = 1 << 48
+
 
 def first_rows(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in an order."""
@@ -109,12 +112,23 @@ def medium_components(edges: DataFrame, direct: bool = True, part_of: str = "bio
 
 
 def matched_in_medium(names: DataFrame, components: DataFrame, nodes: DataFrame, name: str, medium: str, normaliser: Callable[[Column], Column]) -> DataFrame:
-    """names with medium_match: the component of the row's own medium with that name, synonym or normalised key; ties by tier, then id."""
-    dictionary = nodes.select("id", F.explode(F.concat(F.array(F.struct(F.lit(1).alias("tier"), F.col("name").alias("key")), F.struct(F.lit(2).alias("tier"), normaliser(F.col("name")).alias("key"))), F.transform(synonyms(F.col("synonym")), lambda s: F.struct(F.lit(3).alias("tier"), s.alias("key"))), F.transform(synonyms(F.col("synonym")), lambda s: F.struct(F.lit(4).alias("tier"), normaliser(s).alias("key"))))).alias("p")).select("id", "p.*")
-    known = components.join(dictionary, components["component"] == dictionary["id"]).select("medium_id", "id", "tier", "key")
+    """names with medium_match: the component of the row's own medium with that name, synonym or normalised key; ties by tier, then id.
+
+    Ids are numbered in their order and compared by tier and number, so rows
+    that match are grouped by hashing; a least text would have them all sorted.
+    """
+    from .tables import numbered
+
+    placed = numbered(nodes.select("id", "name", "synonym").where("id IS NOT NULL"), [F.asc("id")], "place")
+    keyed = lambda tier, key: F.struct(F.lit(tier).alias("tier"), key.alias("key"))
+    others = synonyms(F.col("synonym"))
+    dictionary = placed.select("id", "place", F.explode(F.concat(F.array(keyed(1, F.col("name")), keyed(2, normaliser(F.col("name")))), F.transform(others, lambda s: keyed(3, s)), F.transform(others, lambda s: keyed(4, normaliser(s))))).alias("p"))
+    dictionary = dictionary.select("id", (F.col("p.tier") * F.lit(TIER) + F.col("place")).alias("rank"), "p.key")
+    known = components.join(dictionary, components["component"] == dictionary["id"]).select("medium_id", "rank", "key")
     asked = names.select(F.col(medium).alias("medium_id"), F.col(name).alias("_name")).distinct()
     probes = asked.select("medium_id", "_name", F.explode(F.array_distinct(F.array("_name", normaliser(F.col("_name"))))).alias("key"))
-    best = probes.join(known, ["medium_id", "key"]).groupBy("medium_id", "_name").agg(F.min(F.struct("tier", "id")).alias("best")).select(F.col("medium_id").alias("_medium"), "_name", F.col("best.id").alias("medium_match"))
+    least = probes.join(known, ["medium_id", "key"]).groupBy(F.col("medium_id").alias("_medium"), "_name").agg((F.min("rank") % F.lit(TIER)).alias("place"))
+    best = least.join(placed.select("place", F.col("id").alias("medium_match")), "place").drop("place")
     return names.join(best, names[medium].eqNullSafe(best["_medium"]) & names[name].eqNullSafe(best["_name"]), "left").drop("_medium", "_name")
 
 
