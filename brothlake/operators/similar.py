@@ -94,6 +94,12 @@ def _tasks(df: DataFrame, n: int, each: int) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, min(MOST_TASKS, math.ceil(n / each)))
 
 
+def dealt_names(df: DataFrame, more: list[Column]) -> DataFrame:
+    """df, a table of names, with columns whose work on a name is long; both steps are written, and names are dealt out by their number."""
+    found = _written(df, "names")
+    return _written(found.repartition(_tasks(found, found.count(), TASK_NAMES)).select("*", *more), "names-keyed")
+
+
 def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """Pairs of rows (a, of left, and b, of right, with equal ``shared`` columns) that share enough letters for a ratio of ``least``.
 

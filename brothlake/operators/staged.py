@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import chemistry, hydrates, names
 from ..functions.elements import element_mismatch
 from .matching import first_rows
-from .similar import scored_pairs
+from .similar import dealt_names, scored_pairs
 
 MATCH = ["original", "chebi_id", "chebi_name", "similarity_score", "match_confidence", "matching_method"]
 
@@ -23,11 +23,13 @@ def matched_in_stages(unaccounted: DataFrame, dictionary: DataFrame, least: int
     similar normalised name, or the name as it is where that is more similar
     and the normalised one below ``hydration_least``. Without a match the score
     is 0 and the method none. ``fuzzy`` off leaves out the stages that compare
-    by similarity.
+    by similarity. The names and their keys are written to the session's
+    scratch folder.
     """
-    known = dictionary.select(F.col("id").alias("chebi_id"), F.col("name").alias("chebi_name"), names.kg_key(F.col("name")).alias("full_key"), names.ontology_key(F.col("name")).alias("base_key"), F.coalesce(hydrates.hydration_number(F.col("name")), F.lit(0)).alias("waters"))
-    asked = unaccounted.select("original").where("original IS NOT NULL").distinct()
-    asked = asked.select("original", names.kg_key(F.col("original")).alias("full_key"), names.ontology_key(F.col("original")).alias("base_key"), F.coalesce(hydrates.hydration_number(F.col("original")), F.lit(0)).alias("waters"))
+    # Both sides are written with their keys, for each stage reads them; else each would read the tables anew, and joins moved beneath distinct() would make keys for every row.
+    keys = lambda c: [names.kg_key(F.col(c)).alias("full_key"), names.ontology_key(F.col(c)).alias("base_key"), F.coalesce(hydrates.hydration_number(F.col(c)), F.lit(0)).alias("waters")]
+    known = dealt_names(dictionary.select(F.col("id").alias("chebi_id"), F.col("name").alias("chebi_name")), keys("chebi_name"))
+    asked = dealt_names(unaccounted.select("original").where("original IS NOT NULL").distinct(), keys("original"))
 
     # Each stage is planned once over its own rest, found by anti joins on keys, and the earliest stage of an original wins at the end: a chain of stages, each on the last one's rest, doubles its plan with every stage.
     def stage(found: DataFrame, place: int, method: str) -> DataFrame:
