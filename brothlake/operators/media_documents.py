@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.chains import bound
 from ..sources.readers import packed_texts
 from ..sources.scratch import scratch_path
 from . import properties as P
@@ -25,12 +26,12 @@ DOCUMENT = (
 
 def compositions_of(documents: DataFrame) -> DataFrame:
     """medium_id, compound, g_l, pos of the components of documents (medium_id, content) that are JSON lists."""
-    return _components(documents.select("medium_id", _components_in(F.col("content")).alias("components")))
+    return _components(documents.select("medium_id", _read(F.col("content"))["components"].alias("components")))
 
 
-def _components_in(content: Column) -> Column:
-    """The list of components of a document; null where it is no JSON list."""
-    return F.when(_error(content).isNull(), F.from_json(content, LIST))
+def _read(content: Column) -> Column:
+    """What is wrong with a document and the list of its components, null where it is no JSON list; the text is made once and parsed once by each parser."""
+    return bound(content, lambda text: bound(_error(text), lambda error: F.struct(error.alias("error"), F.when(error.isNull(), F.from_json(text, LIST)).alias("components"))))
 
 
 def _components(lists: DataFrame) -> DataFrame:
@@ -49,10 +50,10 @@ def analysed(documents: DataFrame, property_rows: DataFrame) -> DataFrame:
     """medium_id and the nested document of each document (medium_id, content); for content that is no list of components one with an error and labels none. What is read of the documents is written to the session's scratch folder."""
     # Documents are read once; their components are used for the distinct compounds and for the figures.
     path = scratch_path(documents.sparkSession, "components")
-    documents.select("medium_id", _error(F.col("content")).alias("error"), _components_in(F.col("content")).alias("components")).write.parquet(path)
+    documents.select("medium_id", _read(F.col("content")).alias("d")).select("medium_id", "d.*").write.parquet(path)
     read = documents.sparkSession.read.parquet(path)
     parts = P.ingredients(_components(read), property_rows, ["pos"])
-    named = lambda a: F.transform(F.array_sort(F.collect_list(F.when(F.col("account") == a, F.struct("pos", "compound")))), lambda x: x["compound"])
+    named = lambda a: F.transform(F.sort_array(F.collect_list(F.when(F.col("account") == a, F.struct("pos", "compound")))), lambda x: x["compound"])
     figures = P.figures_of(parts, {f"{a}_compounds": named(a) for a in ("recognized", "estimated", "unaccounted")})
     around = lambda v, u, digits, low=None: F.array(F.round(v - u if low is None else F.greatest(F.lit(low), v - u), digits), F.round(v + u, digits))
     of_all = lambda n: F.concat(n.cast("string"), F.lit("/"), F.col("n").cast("string"))
@@ -66,12 +67,13 @@ def analysed(documents: DataFrame, property_rows: DataFrame) -> DataFrame:
         F.struct(F.round("tds", 2).alias("value"), F.lit("g/L").alias("unit")).alias("total_dissolved_solids"),
         F.struct(
             of_all(F.col("recognized")).alias("compounds_recognized"), of_all(F.col("estimated")).alias("compounds_estimated"), of_all(F.col("n") - known).alias("compounds_unaccounted"),
-            P._percent(known).alias("total_coverage_rate"), P._percent(F.col("recognized")).alias("recognition_rate"), P._percent(F.col("estimated")).alias("estimation_rate"), F.lit(METHOD).alias("calculation_method"),
+            F.col("total_coverage").alias("total_coverage_rate"), P._percent(F.col("recognized")).alias("recognition_rate"), F.col("compounds_estimated").alias("estimation_rate"), F.lit(METHOD).alias("calculation_method"),
         ).alias("analysis_quality"),
         F.struct("recognized_compounds", "estimated_compounds", "unaccounted_compounds").alias("compound_details"),
         "notes",
     )
-    joined = read.select("medium_id", "error").join(found, "medium_id", "left")
+    # The narrow side is hashed: else both are sorted, and the documents' rows are wide.
+    joined = read.select("medium_id", "error").hint("shuffle_hash").join(found, "medium_id", "left")
     none = lambda field: F.from_json(F.lit('{"confidence": "none"}'), f"{field} double, uncertainty double, range array<double>, confidence string")
     return joined.withColumn("ph", F.when(F.col("error").isNotNull(), none("value")).otherwise(F.col("ph"))).withColumn("salinity", F.when(F.col("error").isNotNull(), none("percent_nacl")).otherwise(F.col("salinity")))
 

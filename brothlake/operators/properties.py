@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import chemistry, names
 from ..functions.nested import number_list, pair_map
+from ..sources.scratch import scratch_path
 
 #: Compounds in whose formula an ion counts twice.
 DOUBLED = {"mgcl2": "Cl-", "cacl2": "Cl-", "na2so4": "Na+"}
@@ -34,7 +35,9 @@ def property_table(df: DataFrame, lower_keys: bool = True, pos: str | None = Non
 def ingredients(compositions: DataFrame, properties: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """Each row of compositions (medium_id, compound, g_l) with its moles, pKa values, charge sum and how it was accounted for, and its ``kept`` columns.
 
-    What a compound alone tells is worked out once for each distinct one.
+    What a compound alone tells is worked out once for each distinct one and
+    written to the session's scratch folder: where it is small its size is
+    known before the rows are joined, and they are not shuffled for it.
     """
     distinct = compositions.select("compound").distinct().withColumn("key", names.property_key(F.col("compound")))
     known = distinct.join(properties, "key", "left").withColumn("estimate", chemistry.estimated_properties(F.col("compound")))
@@ -47,10 +50,18 @@ def ingredients(compositions: DataFrame, properties: DataFrame, kept: list[str]
     )
     doubled = F.coalesce(*[F.when(F.col("key") == k, F.lit(ion)) for k, ion in DOUBLED.items()], F.lit(""))
     charge = F.aggregate(F.map_entries("p.ion_charges"), F.lit(0.0), lambda a, e: a + e["value"] * e["value"] * F.when((doubled != "") & e["key"].contains(doubled), 2.0).otherwise(1.0))
-    facts = facts.withColumns({"charge_sum": F.coalesce(charge, F.lit(0.0)), "ionic": F.size(F.map_keys("p.ion_charges")) > 0})
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    pka = F.col("p.pka_values")
+    facts = facts.withColumns({
+        "charge_sum": F.coalesce(charge, F.lit(0.0)), "ionic": F.size(F.map_keys("p.ion_charges")) > 0,
+        "pkas": F.size(pka), "pka_total": total(pka), "buffer": total(F.transform(pka, lambda p: F.exp(-F.abs(7.0 - p)))),
+    })
+    path = scratch_path(compositions.sparkSession, "compound-facts")
+    facts.write.parquet(path)
+    facts = compositions.sparkSession.read.schema(facts.schema).parquet(path)
     amount = F.coalesce("g_l", F.lit(0.0))
     joined = compositions.join(facts, compositions["compound"].eqNullSafe(facts["_compound"]), "left").drop("_compound")
-    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.col("p.charge_states").alias("charge_states"), "charge_sum", "account", "ionic", *(kept or []))
+    return joined.select("medium_id", "compound", "key", amount.alias("g_l"), F.when(amount > 0, amount / F.col("p.molecular_weight")).alias("molar"), F.col("p.pka_values").alias("pka_values"), F.col("p.charge_states").alias("charge_states"), "charge_sum", "account", "ionic", "pkas", "pka_total", "buffer", *(kept or []))
 
 
 def media_figures(compositions: DataFrame, properties: DataFrame) -> DataFrame:
@@ -60,15 +71,14 @@ def media_figures(compositions: DataFrame, properties: DataFrame) -> DataFrame:
 
 def figures_of(parts: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
     """media_figures() of rows of ingredients(), with further aggregates of a medium's rows by name."""
-    buffered = (F.col("molar") > 0) & (F.size("pka_values") > 0)
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    buffered = (F.col("molar") > 0) & (F.col("pkas") > 0)
     sums = parts.groupBy("medium_id").agg(
         F.sum("g_l").alias("tds"),
         F.sum(0.5 * F.coalesce("molar", F.lit(0.0)) * F.col("charge_sum")).alias("strength"),
         F.count_if(buffered).alias("buffers"),
-        F.sum(F.when(buffered, F.col("molar") * total(F.col("pka_values")))).alias("pka_sum"),
-        F.sum(F.when(buffered, F.col("molar") * F.size("pka_values"))).alias("pka_weight"),
-        F.sum(F.when(buffered, F.col("molar") * total(F.transform("pka_values", lambda p: F.exp(-F.abs(7.0 - p)))))).alias("buffering"),
+        F.sum(F.when(buffered, F.col("molar") * F.col("pka_total"))).alias("pka_sum"),
+        F.sum(F.when(buffered, F.col("molar") * F.col("pkas"))).alias("pka_weight"),
+        F.sum(F.when(buffered, F.col("molar") * F.col("buffer"))).alias("buffering"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("account") == "recognized").alias("recognized"),
         F.count_if(F.col("account") == "estimated").alias("estimated"),

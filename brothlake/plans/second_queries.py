@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -244,10 +246,15 @@ def run_statistics(t: Tables) -> DataFrame:
 
 # A medium's document for each order: the list of its lines as JSON, text that is no JSON, or JSON that is no list.
 
+#: Lines of a task that makes documents of them and reads these: their bytes are few and the work on them is long.
+LINES_A_TASK = 250_000
+
 
 def _medium_documents(t: Tables) -> DataFrame:
     line = F.struct("l_linenumber", _pick(INGREDIENTS, F.col("l_partkey")).alias("compound"), (F.col("l_quantity") / 10).alias("g_l"))
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("medium_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    tasks = max(t.spark.sparkContext.defaultParallelism, math.ceil(t.lineitem.count() / LINES_A_TASK))
+    dealt = t.lineitem.select(F.col("l_orderkey").alias("medium_id"), "l_partkey", "l_linenumber", "l_quantity").repartition(tasks, "medium_id")
+    lines = dealt.groupBy("medium_id").agg(F.sort_array(F.collect_list(line)).alias("lines"))
     listed = F.to_json(F.transform("lines", lambda x: F.struct(x["compound"].alias("compound"), x["g_l"].alias("g_l"))))
     kind = F.col("medium_id") % 10
     return lines.select("medium_id", F.when(kind == 7, F.substring(listed, F.lit(1), F.length(listed) - 1)).when(kind == 8, '{"name": "no list"}').otherwise(listed).alias("content"))

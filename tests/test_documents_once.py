@@ -38,3 +38,12 @@ def test_packed_documents_come_back(spark, tmp_path):
     back = {int(r.medium_id): r.compound_details for r in media_documents.read_documents(spark, str(tmp_path / "packed"), packed=True).collect()}
     assert back == {r.medium_id: r.compound_details for r in found.collect()}
     assert "try_parse_json" not in texts._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_rows_are_not_shuffled_for_few_compounds(spark):
+    """What compounds tell is written, so its size is known and rows are joined where they are."""
+    rows = spark.createDataFrame([(m, x, 1.0) for m in range(20) for x in ("NaCl", "mud")], "medium_id long, compound string, g_l double")
+    found = properties.ingredients(rows, known(spark))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted({(r.compound, r.account, r.key) for r in found.collect()}) == [("NaCl", "recognized", "nacl"), ("mud", "unaccounted", "mud")]
