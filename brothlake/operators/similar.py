@@ -1,6 +1,10 @@
-"""Similarity join of names: pairs meet by the rarest letters that they share, several at a time.
+"""Similarity join of names: by their lengths, or by the rarest letters that they share, several at a time.
 
-A name's letters are numbered (the first a, the second a ...) and put in one
+Names of at most WORD letters meet where their lengths do: for two lengths it
+is known how many letters must be shared, and a task takes a block of names of
+the one and a block of the other (letter_counts.sharing()).
+
+Longer names, and those that must have columns in common, have keys. A name's letters are numbered (the first a, the second a ...) and put in one
 order for all names, the rarest first. Two names that must share t letters
 share at least k of the first n - t + k of each, so the first k that they share
 are a key: a pair meets once, where its key is. Keys begin with KEY_LETTERS
@@ -12,7 +16,7 @@ from __future__ import annotations
 
 import difflib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -22,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.chains import bound
-from ..sources.scratch import scratch_path
+from ..sources.scratch import written as _written
+from .letter_counts import sharing
 
 #: Letters of the first keys and of the longest ones, and the pairs of one key at most.
 KEY_LETTERS, MOST_LETTERS, MOST_PAIRS = 2, 4, 250_000
@@ -30,6 +35,9 @@ KEY_LETTERS, MOST_LETTERS, MOST_PAIRS = 2, 4, 250_000
 #: Names and pairs of a task: their bytes are few and their work is long, so sizes in bytes would make too few tasks; and tasks of a join at most.
 TASK_NAMES, TASK_PAIRS, MOST_TASKS = 10_000, 1_000_000, 4_096
 
+#: Letters of a name that meets others by its length, and the pairs of names of one block: a task looks at some hundred million pairs a second.
+WORD, BLOCK_PAIRS = 64, 2_000_000_000
+
 #: Parts of a name's signature: two of its letters, two of its pairs of letters.
 BITS = ("one", "two", "three", "four")
 
@@ -37,12 +45,12 @@ BITS = ("one", "two", "three", "four")
 COMMON = "etaoinsrhldcumfpgwybvkxjqz 0123456789-"
 
 
-@F.pandas_udf(T.IntegerType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 times the matching share of two strings, rounded; 0 with a null. What is known of a second string is kept for all its pairs."""
     out, matcher, second = np.zeros(len(a), np.int32), difflib.SequenceMatcher(None), None
+    firsts, seconds = a.tolist(), b.tolist()
     for i in b.fillna("").argsort(kind="stable"):
-        x, y = a.iloc[i], b.iloc[i]
+        x, y = firsts[i], seconds[i]
         if isinstance(x, str) and isinstance(y, str):
             if y != second:
                 matcher.set_seq2(y)
@@ -52,6 +60,9 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+ratio = F.pandas_udf(ratios, T.IntegerType())
+
+
 def numbered_letters(c: Column) -> Column:
     """The letters of a string as sorted distinct numbers: later ones of a letter before earlier ones, then rare letters before common ones."""
     place = lambda x: F.when(F.instr(F.lit(COMMON), F.lower(x)) > 0, F.instr(F.lit(COMMON), F.lower(x))).otherwise(F.lit(99))
@@ -84,10 +95,9 @@ def least_shared(n: Column, m: Column, least: int) -> Column:
     return F.ceil((F.lit(least) - 0.5) * (n + m) / 200 - 1e-9)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def least_shared_of(n: int, m: int, least: int) -> int:
+    """least_shared() of two numbers."""
+    return math.ceil((least - 0.5) * (int(n) + int(m)) / 200 - 1e-9)
 
 
 def _tasks(df: DataFrame, n: int, each: int) -> int:
@@ -100,8 +110,8 @@ def dealt_names(df: DataFrame, more: list[Column]) -> DataFrame:
     return _written(found.repartition(_tasks(found, found.count(), TASK_NAMES)).select("*", *more), "names-keyed")
 
 
-def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS) -> DataFrame:
-    """Pairs of rows (a, of left, and b, of right, with equal ``shared`` columns) that share enough letters for a ratio of ``least``.
+def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS, longer: int = 0) -> DataFrame:
+    """Pairs of rows (a, of left, and b, of right, with equal ``shared`` columns) that share enough letters for a ratio of ``least``, and of which one has more than ``longer`` letters.
 
     left and right have id (long, distinct), letters (numbered_letters()), the
     shared columns and, both or neither, bits (signatures()). Columns: a, b and shared. Each pair comes once.
@@ -117,7 +127,7 @@ def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str]
     for k in range(1, MOST_LETTERS + 1):
         rows = _longer(rows, k)
         if k < KEY_LETTERS:
-            found.append(_met(rows.where(F.col("own") <= k), by, least, k, exactly=True))
+            found.append(_met(rows.where(F.col("own") <= k), by, least, k, longer, exactly=True))
             continue
         rows = _written(rows, "similar-keys")
         many = lambda side: F.count_if(F.col("side") == side)
@@ -126,16 +136,16 @@ def candidates(left: DataFrame, right: DataFrame, least: int, shared: list[str]
         large = sizes.where(F.col("pairs") > most_pairs)
         small = sizes.where(F.col("pairs") <= most_pairs)
         tasks = _tasks(rows, small.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0], TASK_PAIRS)
-        found.append(_met(rows.join(small.select(*by), by, "left_semi").repartition(tasks, *by), by, least, k))
+        found.append(_met(rows.join(small.select(*by), by, "left_semi").repartition(tasks, *by), by, least, k, longer))
         if large.isEmpty():
             break
         rows = rows.join(large, by)
         if k == MOST_LETTERS:
             tasks = _tasks(rows, large.agg(F.sum("pairs")).first()[0], TASK_PAIRS)
-            found.append(_met(_in_blocks(rows, most_pairs).repartition(tasks, *by, "i", "j"), [*by, "i", "j"], least, k))
+            found.append(_met(_in_blocks(rows, most_pairs).repartition(tasks, *by, "i", "j"), [*by, "i", "j"], least, k, longer))
         else:
             rows = rows.drop("lefts", "rights", "pairs")
-            found.append(_met(rows.where(F.col("own") <= k), by, least, k, exactly=True))
+            found.append(_met(rows.where(F.col("own") <= k), by, least, k, longer, exactly=True))
     return reduce(DataFrame.unionByName, found).select("a", "b", *shared)
 
 
@@ -155,7 +165,7 @@ def _in_blocks(rows: DataFrame, most_pairs: int) -> DataFrame:
     return placed.withColumn("j", F.explode(F.when(left, every("rights")).otherwise(F.array(dealt("rights"))))).drop("lefts", "rights", "pairs")
 
 
-def _met(rows: DataFrame, by: list[str], least: int, k: int, exactly: bool = False) -> DataFrame:
+def _met(rows: DataFrame, by: list[str], least: int, k: int, longer: int, exactly: bool = False) -> DataFrame:
     """Pairs of the keys whose letters are the first k that they share, and which share enough; with ``exactly`` those only for which k are enough."""
     side = lambda s, name: rows.where(F.col("side") == s).select(*by, F.col("id").alias(name), F.col("letters").alias(f"{name}_letters"), *[F.col(f"bits.{x}").alias(f"{name}_{x}") for x in BITS], F.col("n").alias(f"{name}_n"), F.col("at").alias(f"{name}_at"))
     t = least_shared(F.col("a_n"), F.col("b_n"), least)
@@ -165,16 +175,41 @@ def _met(rows: DataFrame, by: list[str], least: int, k: int, exactly: bool = Fal
     apart = lambda *xs: sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in xs), F.lit(0))
     unshared = F.col("a_n") + F.col("b_n") - 2 * t
     near = (apart("one", "two") <= unshared) & (apart("three", "four") <= 3 * unshared)
-    met = side(0, "a").join(side(1, "b"), by).where(enough & (t <= F.least("a_n", "b_n")) & (most >= t) & near)
+    met = side(0, "a").join(side(1, "b"), by).where((F.greatest("a_n", "b_n") > longer) & enough & (t <= F.least("a_n", "b_n")) & (most >= t) & near)
     first = F.size(F.array_intersect(F.slice("a_letters", 1, F.col("a_at")), F.slice("b_letters", 1, F.col("b_at")))) == k
     return met.where(first).where(F.size(F.array_intersect("a_letters", "b_letters")) >= t).drop("i", "j", "key")
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS) -> DataFrame:
+def _by_length(left: DataFrame, right: DataFrame, least: int, block_pairs: int) -> DataFrame:
+    """x, y and score of the spellings of left and right, distinct and of at most WORD letters, with a ratio of at least ``least``."""
+    spark, side = left.sparkSession, max(1, int(block_pairs**0.5))
+    lefts, rights = ({r["n"]: r["count"] for r in df.groupBy("n").count().collect()} for df in (left, right))
+    met = [(n, m, math.ceil(lefts[n] / side), math.ceil(rights[m] / side)) for n in lefts for m in rights if least_shared_of(n, m, least) <= min(n, m)]
+    lengths = F.broadcast(spark.createDataFrame(met, "n int, m int, lefts int, rights int"))
+    dealt = lambda n: F.pmod(F.xxhash64("spelling"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = left.join(lengths, "n").select("n", "m", dealt("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), "spelling")
+    b = right.withColumnRenamed("n", "m").join(lengths, "m").select("n", "m", every("lefts").alias("i"), dealt("rights").alias("j"), F.lit(1).alias("side"), "spelling")
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(batches)
+        a, b = (rows["spelling"][rows["side"] == s].to_numpy() for s in (0, 1))
+        for i, j in sharing(a, b, least_shared_of(*rows[["n", "m"]].iloc[0], least)):
+            found = pd.DataFrame({"x": a[i], "y": b[j]})
+            found["score"] = ratios(found["x"], found["y"])
+            yield found[found["score"] >= least]
+
+    by = ["n", "m", "i", "j"]
+    tasks = max(spark.sparkContext.defaultParallelism, min(MOST_TASKS, sum(i * j for _, _, i, j in met)))
+    return a.unionByName(b).repartition(tasks, *by).groupBy(*by).applyInPandas(scored, "x string, y string, score int")
+
+
+def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """left_name, right_name and score of all pairs of distinct names with a ratio of at least ``least`` and equal ``shared`` columns.
 
-    What matches in two strings is at most the letters that they share, so no
-    pair that candidates() leaves out can reach the score. Names that
+    What matches in two strings is at most their longest common subsequence,
+    and that at most the letters that they share, so no pair that sharing() or
+    candidates() leaves out can reach the score. Names that
     ``prepared`` makes equal are compared once. Null and empty names are like
     none; so is a null in a shared column. Tables of intermediate keys are
     written to the session's scratch folder.
@@ -186,15 +221,29 @@ def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name:
         return _written(names, "similar-spellings")
 
     def distinct(names: DataFrame) -> DataFrame:
-        found = _written(names.select("spelling", *shared).distinct(), "similar-distinct")
-        dealt = found.repartition(_tasks(found, found.count(), TASK_NAMES)).withColumn("id", F.xxhash64("spelling", F.lit(1))).withColumn("letters", numbered_letters(F.col("spelling")))
+        return _written(names.select("spelling", *shared, F.length("spelling").alias("n")).distinct(), "similar-distinct")
+
+    def keyed(found: DataFrame) -> DataFrame:
+        dealt = found.drop("n").repartition(_tasks(found, found.count(), TASK_NAMES)).withColumn("id", F.xxhash64("spelling", F.lit(1))).withColumn("letters", numbered_letters(F.col("spelling")))
         return _written(dealt.withColumn("bits", signatures(F.col("spelling"), F.col("letters"))), "similar-names")
 
+    def by_keys(one: DataFrame, two: DataFrame, longer: int) -> DataFrame:
+        one, two = keyed(one), keyed(two)
+        near = candidates(one.select("id", "letters", "bits", *shared), two.select("id", "letters", "bits", *shared), least, shared, most_pairs, longer)
+        word = lambda df, key, name: df.select(F.col("id").alias(key), F.col("spelling").alias(name), *shared)
+        pairs = near.join(word(one, "a", "x"), ["a", *shared]).join(word(two, "b", "y"), ["b", *shared])
+        return pairs.withColumn("score", ratio("x", "y")).where(F.col("score") >= least).select("x", "y", *shared, "score")
+
     a, b = spelled(left, left_name, "left_name"), spelled(right, right_name, "right_name")
     one, two = distinct(a), distinct(b)
-    near = candidates(one.select("id", "letters", "bits", *shared), two.select("id", "letters", "bits", *shared), least, shared, most_pairs)
-    word = lambda df, key, name: df.select(F.col("id").alias(key), F.col("spelling").alias(name), *shared)
-    pairs = near.join(word(one, "a", "x"), ["a", *shared]).join(word(two, "b", "y"), ["b", *shared])
-    scored = pairs.withColumn("score", ratio("x", "y")).where(F.col("score") >= least).select("x", "y", *shared, "score")
+    if shared:
+        scored = by_keys(one, two, 0)
+    else:
+        short = F.col("n") <= WORD
+        scored = _by_length(one.where(short), two.where(short), least, block_pairs)
+        if not one.where(~short).isEmpty() or not two.where(~short).isEmpty():
+            # What has a partner of more than WORD letters has as many letters as this at least.
+            long = F.col("n") >= next(n for n in range(1, WORD + 2) if least_shared_of(n, WORD + 1, least) <= n)
+            scored = scored.unionByName(by_keys(one.where(long), two.where(long), WORD))
     named = scored.join(a.withColumnRenamed("spelling", "x"), ["x", *shared]).join(b.withColumnRenamed("spelling", "y"), ["y", *shared])
     return named.select("left_name", "right_name", *shared, "score")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names, predicates
-from ..functions.chains import replaced_sql
+from ..functions.chains import bound, replaced_sql
 from ..operators import contained, matching, reports
+from ..sources.scratch import written
 from .registry import Tables, query
 
 _NODES_SQL = "(SELECT concat('CHEBI:', n_nationkey) AS id, n_nationkey AS pos, n_name AS name, concat('alias ', n_nationkey % 20, '| ', 'salt of ', n_regionkey, '||') AS synonym FROM nation)"
@@ -185,7 +186,11 @@ def fuzzy_names(t: Tables) -> DataFrame:
 def fuzzy_words(t: Tables) -> DataFrame:
     """For the longest word of each document the nearest of the next longest ones of all documents: no SQL, for the ratio is no SQL function."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\x20\x09-\x0D]+"), 0))
-    ranked = t.dealt("documents").select(F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"]).alias("words"))
+    # Only words as long as the fourth longest are put in order.
+    fourth = lambda ws: F.get(F.sort_array(F.transform(ws, F.length), asc=False), F.least(F.size(ws), F.lit(4)) - 1)
+    long = bound(words, lambda ws: bound(fourth(ws), lambda n: F.filter(ws, lambda w: F.length(w) >= n)))
+    first = F.slice(F.transform(F.array_sort(F.transform(long, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"]), 1, 4)
+    ranked = written(t.dealt("documents").select(first.alias("words")), "longest-words")
     asked, known = ranked.select(F.get("words", F.lit(0)).alias("asked")), ranked.select(F.explode(F.slice("words", 2, 3)).alias("known"))
     return matching.fuzzy_best(asked, known, "asked", "known", least=85, top=3)
 

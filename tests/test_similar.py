@@ -4,10 +4,11 @@ import difflib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brothlake.operators import matching, similar
+from brothlake.operators import letter_counts, matching, similar
 
 BASE = ["sodium chloride", "Magnesium sulfate", "glucose", "aaaa", "aab", "été 2", "a", "zz top", "potassium dihydrogen phosphate", "日本 \U0001f600 agar"]
 
@@ -20,6 +21,17 @@ def frame(spark, xs, c):
     return spark.createDataFrame([(x,) for x in [*xs, None, ""]], f"{c} string")
 
 
+def subsequence(a, b):
+    """The length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
+        row = new
+    return row[-1]
+
+
 def score(a, b):
     return round(100 * difflib.SequenceMatcher(None, a, b).ratio())
 
@@ -103,3 +115,48 @@ def test_work_is_dealt_by_names_and_pairs(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().sparkPlan().toString()
     got = sorted((r.left_name, r.right_name, r.score) for r in found.collect())
     assert got == sorted({(a, b, score(a, b)) for a in words[::2] for b in words[1::2] if score(a, b) >= 75})
+
+
+def test_lengths_keys_and_blocks_give_all_pairs(spark, monkeypatch):
+    """Names meet by their lengths up to WORD letters and by keys beyond, in blocks of few pairs; wherever the border is, all pairs are found once."""
+    rng = random.Random(11)
+    left, right = ([typo(rng, rng.choice([*BASE, "x" * 64, "ab" * 40])) for _ in range(60)] for _ in range(2))
+    all_pairs = sorted({(a, b, score(a, b)) for a in left if a for b in right if b and score(a, b) >= 75})
+    for word, pairs in ((0, 1), (3, 9), (12, 1), (64, 100), (64, 10**9)):
+        monkeypatch.setattr(similar, "WORD", word)
+        found = similar.scored_pairs(frame(spark, left, "l"), frame(spark, right, "r"), "l", "r", 75, lambda c: c, most_pairs=30, block_pairs=pairs)
+        assert sorted((r.left_name, r.right_name, r.score) for r in found.collect()) == all_pairs
+
+
+@pytest.mark.parametrize("leaf", [1, 40, 10**9])
+def test_ranges_of_counts_part_no_pairs(monkeypatch, leaf):
+    """Splitting by counts and telling by bits keep all pairs that share enough, also with more letters than are counted by themselves."""
+    rng = random.Random(leaf)
+    for letters in ("abcd", "".join(map(chr, range(97, 97 + 200)))):
+        monkeypatch.setattr(letter_counts, "LEAF", leaf)
+        monkeypatch.setattr(letter_counts, "CHUNK", 50)
+        base = ["".join(rng.choices(letters, k=12)) for _ in range(8)]
+        cut = lambda n: sorted({"".join(x[i] for i in sorted(rng.sample(range(12), n))) for x in base for _ in range(12)})
+        a, b = (np.array(cut(n), object) for n in (10, 11))
+        pairs = [(int(i), int(j)) for i, j in zip(*map(np.concatenate, zip(*letter_counts.sharing(a, b, 9))))]
+        assert sorted(pairs) == [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if subsequence(x, y) >= 9]
+
+
+def test_many_names_of_few_syllables(monkeypatch):
+    """Names that share most of their letters: few pairs are looked at letter by letter."""
+    rng = random.Random(5)
+    syllables = ["th", "er", "tion", "ing", "and", "he", "re", "on", "an", "ble", "st", "ou", "qu", "eux", "ment", "ge"]
+    names = {"".join(rng.choices(syllables, k=rng.randrange(4, 7))) for _ in range(20_000)}
+    a, b = (np.array(sorted(x for x in names if len(x) == n), object) for n in (12, 13))
+    looked, shared = [], letter_counts.shared
+    monkeypatch.setattr(letter_counts, "shared", lambda x, y: looked.append(len(x)) or shared(x, y))
+    assert sum(len(i) for i, _ in letter_counts.sharing(a, b, similar.least_shared_of(12, 13, 85))) > 0
+    assert sum(looked) < 0.03 * len(a) * len(b)
+
+
+def test_words_of_few_syllables_are_not_joined_as_rows(spark):
+    """The pairs of words of few syllables are looked at in blocks: no join makes rows of them, only of those that are alike."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices(["th", "er", "tion", "ing", "and", "he"], k=5)) for _ in range(60)]
+    plan = similar.scored_pairs(frame(spark, words[:30], "l"), frame(spark, words[30:], "r"), "l", "r", 85)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and "FlatMapGroupsInPandas" in plan
