@@ -13,8 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Letters at most whose counts are looked at by themselves, letters by whose counts ranges are split, pairs of ranges that are not split, and pairs looked at together letter by letter.
-LETTERS, SPLITS, LEAF, CHUNK = 48, 16, 32_768, 100_000
+#: Letters at most whose counts are looked at by themselves, letters by whose counts ranges are split, pairs of ranges that are not split, pairs gathered, and pairs looked at together letter by letter.
+LETTERS, SPLITS, LEAF, CHUNK, STEP = 48, 16, 32_768, 100_000, 16_384
 
 
 def points(words: np.ndarray, n: int) -> np.ndarray:
@@ -22,15 +22,22 @@ def points(words: np.ndarray, n: int) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n)
 
 
-def counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each of the words' letters occurs in each word; the rarest letters are counted as one."""
+def numbered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the letters of words, those of a of one length and those of b of one: numbered from the commonest on, in as few bytes as that takes."""
+    a, b = points(a, len(a[0])), points(b, len(b[0]))
     letters, times = np.unique(np.concatenate([a.ravel(), b.ravel()]), return_counts=True)
-    place = np.empty(len(letters), np.int64)
-    place[np.argsort(-times, kind="stable")] = np.minimum(np.arange(len(letters)), LETTERS - 1)
+    place = np.empty(len(letters), np.min_scalar_type(len(letters) - 1))
+    place[np.argsort(-times, kind="stable")] = np.arange(len(letters))
+    return place[np.searchsorted(letters, a)], place[np.searchsorted(letters, b)]
+
+
+def counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each letter occurs in each word, for words of numbered letters; the rarest letters are counted as one."""
+    n = min(int(max(a.max(), b.max())) + 1, LETTERS)
 
     def of(words: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(words), min(len(letters), LETTERS)), np.uint8)
-        for column in place[np.searchsorted(letters, words)].T:
+        out = np.zeros((len(words), n), np.uint8)
+        for column in np.minimum(words, n - 1).T:
             out[np.arange(len(words)), column] += 1
         return out
 
@@ -78,32 +85,65 @@ def _alike(a: np.ndarray, b: np.ndarray, x: int, y: int) -> Iterator[tuple[np.nd
                 yield at_a[near // (s - r) + p2], at_b[near % (s - r) + r]
 
 
-def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The length of the longest common subsequence of each row of a, of at most 64 code points, with that of b."""
-    n, full = a.shape[1], np.uint64((1 << a.shape[1]) - 1)
+def shared(a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    """The length of the longest common subsequence of each row of a with that of b where it is ``least`` or more, else a length below that.
+
+    Such a subsequence leaves few letters out, so a letter meets only those at
+    about its own place. Lengths of other places are those of shorter beginnings.
+    """
+    n, m = a.shape[1], b.shape[1]
     a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
-    left = np.full(a.shape[1], full)
-    for y in b:
-        same = np.zeros(len(left), np.uint64)
-        for i in range(n):
-            same |= (a[i] == y).astype(np.uint64) << np.uint64(i)
-        met = left & same
-        left = ((left + met) | (left - met)) & full
-    return n - np.bitwise_count(left).astype(np.int64)
-
-
-def sharing(a: np.ndarray, b: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) of the words of a (all of one length of at most 64) and b (all of one length) with a common subsequence of ``least`` or more; some thousand pairs at a time."""
-    if not len(a) or not len(b):
-        return
-    a, b = points(a, len(a[0])), points(b, len(b[0]))
+    old, new = np.zeros((2, m + 1, a.shape[1]), np.uint8)
+    same, further = np.empty(a.shape[1], np.bool_), np.empty(a.shape[1], np.uint8)
+    for i in range(1, n + 1):
+        for j in range(max(1, i - (n - least)), min(m, i + (m - least)) + 1):
+            np.equal(a[i - 1], b[j - 1], out=same)
+            np.add(old[j - 1], same.view(np.uint8), out=further)
+            np.maximum(further, old[j], out=further)
+            np.maximum(further, new[j - 1], out=new[j])
+        old, new = new, old
+    return old[m]
+
+
+def matched(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many letters difflib matches in each row of a, of at most 64 letters, and that of b: the longest stretch in both, of equal ones the first in a and then in b, and so on before and after it."""
+    total, pair = np.zeros(len(a), np.int64), np.arange(len(a))
+    p, q, r, s = (np.full(len(a), x) for x in (0, a.shape[1], 0, b.shape[1]))
+    while len(pair):
+        size, i, j = _longest(a[pair], b[pair], p, q, r, s)
+        total += np.bincount(pair, size, len(total)).astype(np.int64)
+        sides = [(pair, p, i, r, j), (pair, i + size, q, j + size, s)]
+        left = [(size > 0) & (x[1] < x[2]) & (x[3] < x[4]) for x in sides]
+        pair, p, q, r, s = (np.concatenate([x[here] for x, here in zip(both, left)]) for both in zip(*sides))
+    return total
+
+
+def _longest(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, r: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The length and places of the first longest stretch that each row of a between p and q has in common with that of b between r and s."""
+    within = lambda x, lo, hi, other: np.where((np.arange(x.shape[1])[:, None] >= lo) & (np.arange(x.shape[1])[:, None] < hi), x.T.astype(np.int32), other)
+    a, b = within(a, p, q, -1), within(b, r, s, -2)
+    # A stretch is one number: its length, then 127 less its place in a, then in b. One letter more adds as much to each.
+    old, new = np.zeros((2, len(b) + 1, a.shape[1]), np.int32)
+    best, more = np.zeros(a.shape[1], np.int32), (1 << 14) + (1 << 7) + 1
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            same = x == y
+            np.add(old[j], more, out=new[j + 1])
+            np.multiply(new[j + 1], same, out=new[j + 1])
+            np.maximum(best, new[j + 1] + same * np.int32(((126 - i) << 7) + 126 - j), out=best)
+        old, new = new, old
+    return best >> 14, np.where(best > 0, 127 - (best >> 7 & 127), 0), np.where(best > 0, 127 - (best & 127), 0)
+
+
+def sharing(a: np.ndarray, b: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (i, j) of the rows of a and b, numbered() words, with a common subsequence of ``least`` or more, and its length; some thousand pairs at a time."""
     held, n = [], 0
 
-    def told() -> tuple[np.ndarray, np.ndarray]:
+    def told() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         i, j = (np.concatenate(x) for x in zip(*held))
-        parts = [shared(a[i[p : p + CHUNK]], b[j[p : p + CHUNK]]) for p in range(0, len(i), CHUNK)]
-        enough = np.concatenate(parts) >= least
-        return i[enough], j[enough]
+        length = np.concatenate([shared(a[i[p : p + STEP]], b[j[p : p + STEP]], least) for p in range(0, len(i), STEP)])
+        enough = length >= least
+        return i[enough], j[enough], length[enough]
 
     for pair in _alike(*counts(a, b), a.shape[1] - least, b.shape[1] - least):
         held.append(pair)
@@ -113,3 +153,17 @@ def sharing(a: np.ndarray, b: np.ndarray, least: int) -> Iterator[tuple[np.ndarr
             held, n = [], 0
     if held:
         yield told()
+
+
+def raised(best: np.ndarray, i: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """best, the highest scores of each place in falling order, with more scores of places i."""
+    order = np.lexsort((-score, i))
+    i, score = i[order], score[order]
+    rank = np.arange(len(i)) - np.searchsorted(i, i)
+    i, rank, score = (x[rank < best.shape[1]] for x in (i, rank, score))
+    at, place = np.unique(i, return_inverse=True)
+    more = np.zeros((len(at), best.shape[1]), best.dtype)
+    more[place, rank] = score
+    out = best.copy()
+    out[at] = -np.sort(-np.concatenate([best[at], more], 1), 1)[:, : best.shape[1]]
+    return out

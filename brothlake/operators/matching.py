@@ -56,7 +56,7 @@ def token_sorted(c: Column) -> Column:
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int = 85, top: int = 1, prepared: Callable[[Column], Column] = F.lower) -> DataFrame:
     """For each distinct left name the ``top`` right names of the best ratio of at least ``least``, with score and rank; ties go to the smaller right name."""
-    scored = scored_pairs(left, right, left_name, right_name, least, prepared)
+    scored = scored_pairs(left, right, left_name, right_name, least, prepared, top=top)
     rank = F.row_number().over(Window.partitionBy("left_name").orderBy(F.desc("score"), "right_name"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("left_name", "right_name", "score", "rank")
 

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.chains import bound
 from ..sources.scratch import written as _written
-from .letter_counts import sharing
+from .letter_counts import STEP, matched, numbered, raised, sharing
 
 #: Letters of the first keys and of the longest ones, and the pairs of one key at most.
 KEY_LETTERS, MOST_LETTERS, MOST_PAIRS = 2, 4, 250_000
@@ -180,8 +180,8 @@ def _met(rows: DataFrame, by: list[str], least: int, k: int, longer: int, exactl
     return met.where(first).where(F.size(F.array_intersect("a_letters", "b_letters")) >= t).drop("i", "j", "key")
 
 
-def _by_length(left: DataFrame, right: DataFrame, least: int, block_pairs: int) -> DataFrame:
-    """x, y and score of the spellings of left and right, distinct and of at most WORD letters, with a ratio of at least ``least``."""
+def _by_length(left: DataFrame, right: DataFrame, least: int, block_pairs: int, top: int | None = None) -> DataFrame:
+    """x, y and score of the spellings of left and right, distinct and of at most WORD letters, with a ratio of at least ``least``; with ``top`` only those that may be among the best of x, ties included."""
     spark, side = left.sparkSession, max(1, int(block_pairs**0.5))
     lefts, rights = ({r["n"]: r["count"] for r in df.groupBy("n").count().collect()} for df in (left, right))
     met = [(n, m, math.ceil(lefts[n] / side), math.ceil(rights[m] / side)) for n in lefts for m in rights if least_shared_of(n, m, least) <= min(n, m)]
@@ -194,22 +194,34 @@ def _by_length(left: DataFrame, right: DataFrame, least: int, block_pairs: int)
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat(batches)
         a, b = (rows["spelling"][rows["side"] == s].to_numpy() for s in (0, 1))
-        for i, j in sharing(a, b, least_shared_of(*rows[["n", "m"]].iloc[0], least)):
-            found = pd.DataFrame({"x": a[i], "y": b[j]})
-            found["score"] = ratios(found["x"], found["y"])
-            yield found[found["score"] >= least]
+        if not len(a) or not len(b):
+            return
+        n, m = (int(x) for x in rows[["n", "m"]].iloc[0])
+        best, (letters_a, letters_b) = np.zeros((len(a), top or 1), np.int32), numbered(a, b)
+        rounded = lambda letters: np.round(100 * (2.0 * letters / (n + m))).astype(np.int32)
+        for i, j, letters in sharing(letters_a, letters_b, least_shared_of(n, m, least)):
+            # A pair scores as its letters at most; what matches is looked for in none that others are surely better than.
+            for length in np.unique(letters)[::-1]:
+                asked = (letters == length) & ((rounded(int(length)) >= best[i, -1]) | (top is None))
+                x, y = i[asked], j[asked]
+                score = rounded(np.concatenate([np.zeros(0, np.int64), *[matched(letters_a[x[p : p + STEP]], letters_b[y[p : p + STEP]]) for p in range(0, len(x), STEP)]]))
+                if top:
+                    best = raised(best, x, score)
+                kept = (score >= least) & ((score >= best[x, -1]) | (top is None))
+                yield pd.DataFrame({"x": a[x[kept]], "y": b[y[kept]], "score": score[kept]})
 
     by = ["n", "m", "i", "j"]
     tasks = max(spark.sparkContext.defaultParallelism, min(MOST_TASKS, sum(i * j for _, _, i, j in met)))
     return a.unionByName(b).repartition(tasks, *by).groupBy(*by).applyInPandas(scored, "x string, y string, score int")
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, least: int, prepared: Callable[[Column], Column] = F.lower, shared: list[str] | None = None, most_pairs: int = MOST_PAIRS, block_pairs: int = BLOCK_PAIRS, top: int | None = None) -> DataFrame:
     """left_name, right_name and score of all pairs of distinct names with a ratio of at least ``least`` and equal ``shared`` columns.
 
     What matches in two strings is at most their longest common subsequence,
     and that at most the letters that they share, so no pair that sharing() or
-    candidates() leaves out can reach the score. Names that
+    candidates() leaves out can reach the score. With ``top`` pairs may be left
+    out that score less than as many others of their left name. Names that
     ``prepared`` makes equal are compared once. Null and empty names are like
     none; so is a null in a shared column. Tables of intermediate keys are
     written to the session's scratch folder.
@@ -240,7 +252,7 @@ def scored_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name:
         scored = by_keys(one, two, 0)
     else:
         short = F.col("n") <= WORD
-        scored = _by_length(one.where(short), two.where(short), least, block_pairs)
+        scored = _by_length(one.where(short), two.where(short), least, block_pairs, top)
         if not one.where(~short).isEmpty() or not two.where(~short).isEmpty():
             # What has a partner of more than WORD letters has as many letters as this at least.
             long = F.col("n") >= next(n for n in range(1, WORD + 2) if least_shared_of(n, WORD + 1, least) <= n)

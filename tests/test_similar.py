@@ -135,11 +135,12 @@ def test_ranges_of_counts_part_no_pairs(monkeypatch, leaf):
     for letters in ("abcd", "".join(map(chr, range(97, 97 + 200)))):
         monkeypatch.setattr(letter_counts, "LEAF", leaf)
         monkeypatch.setattr(letter_counts, "CHUNK", 50)
+        monkeypatch.setattr(letter_counts, "STEP", 7)
         base = ["".join(rng.choices(letters, k=12)) for _ in range(8)]
         cut = lambda n: sorted({"".join(x[i] for i in sorted(rng.sample(range(12), n))) for x in base for _ in range(12)})
         a, b = (np.array(cut(n), object) for n in (10, 11))
-        pairs = [(int(i), int(j)) for i, j in zip(*map(np.concatenate, zip(*letter_counts.sharing(a, b, 9))))]
-        assert sorted(pairs) == [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if subsequence(x, y) >= 9]
+        pairs = [tuple(map(int, p)) for p in zip(*map(np.concatenate, zip(*letter_counts.sharing(*letter_counts.numbered(a, b), 9))))]
+        assert sorted(pairs) == [(i, j, subsequence(x, y)) for i, x in enumerate(a) for j, y in enumerate(b) if subsequence(x, y) >= 9]
 
 
 def test_many_names_of_few_syllables(monkeypatch):
@@ -149,8 +150,8 @@ def test_many_names_of_few_syllables(monkeypatch):
     names = {"".join(rng.choices(syllables, k=rng.randrange(4, 7))) for _ in range(20_000)}
     a, b = (np.array(sorted(x for x in names if len(x) == n), object) for n in (12, 13))
     looked, shared = [], letter_counts.shared
-    monkeypatch.setattr(letter_counts, "shared", lambda x, y: looked.append(len(x)) or shared(x, y))
-    assert sum(len(i) for i, _ in letter_counts.sharing(a, b, similar.least_shared_of(12, 13, 85))) > 0
+    monkeypatch.setattr(letter_counts, "shared", lambda x, y, least: looked.append(len(x)) or shared(x, y, least))
+    assert sum(len(i) for i, *_ in letter_counts.sharing(*letter_counts.numbered(a, b), similar.least_shared_of(12, 13, 85))) > 0
     assert sum(looked) < 0.03 * len(a) * len(b)
 
 
@@ -160,3 +161,29 @@ def test_words_of_few_syllables_are_not_joined_as_rows(spark):
     words = ["".join(rng.choices(["th", "er", "tion", "ing", "and", "he"], k=5)) for _ in range(60)]
     plan = similar.scored_pairs(frame(spark, words[:30], "l"), frame(spark, words[30:], "r"), "l", "r", 85)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in plan and "FlatMapGroupsInPandas" in plan
+
+
+def test_best_are_the_best_of_all(spark, monkeypatch):
+    """Pairs that others are better than are left out, and the best stay the same, with ties and capitals."""
+    rng = random.Random(13)
+    left, right = ([typo(rng, rng.choice(["chlorates", "Chlorides", "sulfates", "x" * 70])) for _ in range(n)] for n in (50, 90))
+    right += [x.upper() for x in right[:30]]
+    best = sorted((a, *p) for a in {*left} if a for p in sorted(((score(a.lower(), k.lower()), k) for k in {*right} if k and score(a.lower(), k.lower()) >= 70), key=lambda p: (-p[0], p[1]))[:3])
+    monkeypatch.setattr(letter_counts, "CHUNK", 40)
+    got = matching.fuzzy_best(frame(spark, left, "l"), frame(spark, right, "r"), "l", "r", 70, 3).collect()
+    assert sorted((r.left_name, r.score, r.right_name) for r in got) == best
+
+
+def test_best_scores_so_far():
+    best = np.array([[90, 80], [0, 0], [70, 0]], np.int32)
+    got = letter_counts.raised(best, np.array([2, 0, 1, 0, 2, 2]), np.array([60, 85, 75, 95, 99, 71]))
+    assert got.tolist() == [[95, 90], [75, 0], [99, 71]]
+
+
+def test_matched_letters_are_those_of_difflib():
+    """Words of few letters and of many, with stretches of equal length at several places."""
+    rng = random.Random(17)
+    for letters, n, m in (("ab", 9, 11), ("abc", 64, 60), ("etaoins", 13, 13), ("x", 5, 3), ("aé日\U0001f600", 12, 10)):
+        a, b = (np.array(["".join(rng.choices(letters, k=k)) for _ in range(300)], object) for k in (n, m))
+        got = letter_counts.matched(*letter_counts.numbered(a, b))
+        assert got.tolist() == [sum(x.size for x in difflib.SequenceMatcher(None, x, y).get_matching_blocks()) for x, y in zip(a, b)]
